@@ -11,6 +11,7 @@ from keeprate.functions.columns import yes_no_flag
 from keeprate.operators.encode import engineered
 from keeprate.plans.usage import customer_usage
 from keeprate.schema import CORRELATION_BEFORE, FEATURES, MEASURES, PERIODS
+from keeprate.session import settled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +25,14 @@ def usage(spark: SparkSession, folder: str) -> DataFrame:
     return customer_usage(spark, folder)
 
 
-def flagged(spark: SparkSession, folder: str) -> DataFrame:
+def kept_usage(spark: SparkSession, folder: str) -> DataFrame:
+    """The usage table written once, for queries that pass over it several times."""
+    return settled(customer_usage(spark, folder), "usage")
+
+
+def flagged(spark: SparkSession, folder: str, kept: bool = False) -> DataFrame:
     """Usage with 1/0 plans next to the texts and the engineered columns."""
-    return engineered(usage(spark, folder)).withColumns(
+    return engineered(kept_usage(spark, folder) if kept else usage(spark, folder)).withColumns(
         {"intl_flag": yes_no_flag("intl_plan"), "vmail_flag": yes_no_flag("vmail_plan")}
     )
 

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from keeprate.catalog.common import (
-    SMOOTH_PROBABILITY_SQL, USAGE_SQL, registered, rounded, scored, scored_sql, smooth_probability, usage,
+    SMOOTH_PROBABILITY_SQL, USAGE_SQL, kept_usage, registered, rounded, scored, scored_sql, smooth_probability, usage,
 )
 from keeprate.catalog.sources import EVENT_SQL, SHOWN_SQL, _shown, event_log
 from keeprate.operators import encode, importance, metrics, neighbors, resample
@@ -16,7 +16,7 @@ from keeprate.plans import models, recipes
 from keeprate.plans.scoring import report_table, score, summary
 from keeprate.plans.usage import test_rows, train_rows
 from keeprate.schema import FEATURES
-from keeprate.session import scratch_path, table
+from keeprate.session import scratch_path, settled, table
 from keeprate.sources import events, files
 from keeprate.streaming import ingest, score as score_streaming
 
@@ -54,7 +54,7 @@ def m10_knn_vote(spark, folder):
 def m10_knn_probability(spark, folder):
     """Vote of the five training customers nearest in scaled usage."""
     columns = ["account_length", "day_charge", "eve_charge", "cs_calls"]
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
 
     def points(rows):
         scaled = encode.standard_scaled(train_rows(u), columns, rows)
@@ -131,7 +131,7 @@ def a30_fold_mean_std(spark, folder):
 
 
 def _folded(spark, folder):
-    rows = train_rows(usage(spark, folder)).select("customer_id", F.col("churn").cast("int").alias("label"), *[
+    rows = train_rows(kept_usage(spark, folder)).select("customer_id", F.col("churn").cast("int").alias("label"), *[
         c for c in FEATURES if c not in ("state", "intl_plan", "vmail_plan")
     ])
     return models.stratified_folds(rows)
@@ -141,13 +141,13 @@ def _folded(spark, folder):
 
 
 def _encoded_train(spark, folder):
-    train = train_rows(usage(spark, folder))
+    train = train_rows(kept_usage(spark, folder))
     return recipes.encode(recipes.fit_features(train, "full"), train)
 
 
 def m01_synthetic_counts(spark, folder):
     """Rows per class before and after synthesis."""
-    rows = recipes.as_points(_encoded_train(spark, folder))
+    rows = settled(recipes.as_points(_encoded_train(spark, folder)), "rows")
     added = resample.synthesize(rows)
     return rows.select("label", F.lit(False).alias("synthetic")).unionByName(
         added.select("label", F.lit(True).alias("synthetic"))
@@ -167,7 +167,7 @@ def m01_rebalance(spark, folder):
 
 
 def _split(spark, folder):
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     return train_rows(u), test_rows(u)
 
 
@@ -394,7 +394,9 @@ def r07_snapshot(spark, folder):
 def x01_streaming_ingest(spark, folder):
     """JSON event files through the stream into the day-partitioned log."""
     source, target = scratch_path(spark, "events-json"), scratch_path(spark, "log")
-    event_log(spark, folder).drop("log_date").write.json(source)
+    event_log(spark, folder).drop("log_date").write.option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    ).json(source)
     query = ingest.ingest(
         ingest.event_stream(spark, source), target, scratch_path(spark, "ingest-checkpoint")
     )

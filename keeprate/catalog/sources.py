@@ -295,9 +295,10 @@ def _metadata_file(spark, folder):
         F.map_from_entries(F.collect_list(
             F.struct("version", F.struct("scores", F.col("ts").alias("evaluation_date")))
         )).alias("version_scores"),
-    ).drop("major")
+    )
+    # One document per file, as the tracker writes them.
     path = scratch_path(spark, "model-metadata")
-    documents.write.json(path)
+    documents.repartition("major").write.partitionBy("major").json(path)
     return path
 
 
@@ -386,7 +387,7 @@ ORACLES = {
       CAST(n AS VARCHAR) AS param_value, 'parameter: ' || name || ' = ' || n AS message FROM entries""",
     "s09_metric_events": f"""{RUN_MAPS_SQL} SELECT run_id, ts_us, 'metrics' AS stage, name AS metric_name,
       CAST(n AS DOUBLE) AS metric_value FROM entries""",
-    "s10_run_metric_scan": """SELECT strftime(ts, '%Y%m%d') AS run_id, event_type AS name, epoch_ms(ts) AS epoch_ms,
+    "s10_run_metric_scan": """SELECT strftime(ts, '%Y%m%d') AS run_id, event_type AS name, epoch_us(ts) // 1000 AS epoch_ms,
       value, CAST(event_id AS INTEGER) AS step FROM events""",
     "s10_run_metric_latest": """SELECT strftime(ts, '%Y%m%d') AS run_id, event_type AS name,
       arg_max(value, ts) AS value, count(*) AS points FROM events GROUP BY 1, 2""",

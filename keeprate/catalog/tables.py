@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from keeprate.catalog.common import (
-    FEATURE_LIST, NUMERIC, USAGE_SQL, cs_probability, each, flagged, registered, rounded, smooth_probability, usage,
+    FEATURE_LIST, NUMERIC, USAGE_SQL, cs_probability, each, flagged, kept_usage, registered, rounded, smooth_probability, usage,
 )
 from keeprate.functions.columns import (
     as_percent, confidence, fixed_digits, log_day, mapped, next_version, risk_level, service_call_rate, total,
@@ -49,7 +49,7 @@ def p04_feature_subset(spark, folder):
 
 
 def p05_filter_all_columns(spark, folder):
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     kept = outliers.remove_zscore_outliers(u, MEASURES, 2.0)
     return kept.select("customer_id", *MEASURES)
 
@@ -135,7 +135,7 @@ def a05_column_info(spark, folder):
 
 
 def a06_describe(spark, folder):
-    return rounded(profile.describe(usage(spark, folder), NUMERIC), {
+    return rounded(profile.describe(kept_usage(spark, folder), NUMERIC), {
         "mean": 4, "std": 4, "min": 4, "q25": 4, "q50": 4, "q75": 4, "max": 4,
     })
 
@@ -168,35 +168,35 @@ def a10_churn_by_category(spark, folder):
 
 
 def a10_churn_by_service_calls(spark, folder):
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     rates = rounded(profile.rate_by(u, "cs_calls"), {"churn_rate": 6})
     return rates.join(profile.count_by_class(u, "cs_calls"), "cs_calls")
 
 
 def a11_histogram(spark, folder):
-    return rounded(profile.histogram(usage(spark, folder), COUNTABLE, 25), {"low": 4, "high": 4})
+    return rounded(profile.histogram(kept_usage(spark, folder), COUNTABLE, 25), {"low": 4, "high": 4})
 
 
 def a12_histogram_by_class(spark, folder):
-    f = flagged(spark, folder)
+    f = flagged(spark, folder, kept=True)
     return rounded(
         profile.histogram(f, ["total_charge", "total_calls", "cs_rate"], 30, by="churn"), {"low": 6, "high": 6}
     )
 
 
 def a13_density(spark, folder):
-    return rounded(profile.density(flagged(spark, folder), "total_calls", by="churn"), {"x": 6, "density": 9})
+    return rounded(profile.density(flagged(spark, folder, kept=True), "total_calls", by="churn"), {"x": 6, "density": 9})
 
 
 def a14_box_stats(spark, folder):
-    return rounded(profile.box_stats(usage(spark, folder), MEASURES), {
+    return rounded(profile.box_stats(kept_usage(spark, folder), MEASURES), {
         "q1": 4, "median": 4, "q3": 4, "whisker_low": 4, "whisker_high": 4,
     })
 
 
 def a14_box_stats_cleaned(spark, folder):
     columns = ["account_length", "day_charge", "intl_calls"]
-    cleaned = outliers.remove_iqr_outliers(train_rows(usage(spark, folder)), columns)
+    cleaned = outliers.remove_iqr_outliers(train_rows(kept_usage(spark, folder)), columns)
     return rounded(profile.box_stats(cleaned, columns), {
         "q1": 4, "median": 4, "q3": 4, "whisker_low": 4, "whisker_high": 4,
     })
@@ -209,19 +209,19 @@ def a15_exact_quantile(spark, folder):
 
 
 def a16_correlation(spark, folder):
-    return rounded(profile.correlation_matrix(flagged(spark, folder), CORRELATION_BEFORE), {"correlation": 6})
+    return rounded(profile.correlation_matrix(flagged(spark, folder, kept=True), CORRELATION_BEFORE), {"correlation": 6})
 
 
 def a16_correlation_reduced(spark, folder):
-    return rounded(profile.correlation_matrix(flagged(spark, folder), CORRELATION_AFTER), {"correlation": 6})
+    return rounded(profile.correlation_matrix(flagged(spark, folder, kept=True), CORRELATION_AFTER), {"correlation": 6})
 
 
 def a17_mean_std(spark, folder):
-    return rounded(profile.mean_std_table(usage(spark, folder), NUMERIC), {"mean": 4, "std_pop": 4})
+    return rounded(profile.mean_std_table(kept_usage(spark, folder), NUMERIC), {"mean": 4, "std_pop": 4})
 
 
 def a18_normality(spark, folder):
-    found = anderson_darling(train_rows(usage(spark, folder)), MEASURES)
+    found = anderson_darling(train_rows(kept_usage(spark, folder)), MEASURES)
     return rounded(found, {"statistic": 4, "critical_value": 6})
 
 
@@ -252,7 +252,7 @@ def a21_batch_summary(spark, folder):
 
 def _strength(spark, folder):
     """Features by the strength of their correlation with churn."""
-    f = flagged(spark, folder).withColumn("churn", F.col("churn").cast("int"))
+    f = flagged(spark, folder, kept=True).withColumn("churn", F.col("churn").cast("int"))
     columns = [c for c in NUMERIC if c not in CORRELATED]
     return profile.correlation_matrix(f, ["churn", *columns]).filter(
         (F.col("column_a") == "churn") & (F.col("column_b") != "churn")
@@ -283,7 +283,7 @@ def t04_latest_first(spark, folder):
 
 
 def f01_label_encoding(spark, folder):
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     coded = encode.label_codes(train_rows(u), "state", u)
     return encode.label_codes(train_rows(u), "intl_plan", coded).select("customer_id", "state_code", "intl_plan_code")
 
@@ -295,8 +295,8 @@ def f01_label_encoding_text(spark, folder):
 
 
 def f01_label_stage(spark, folder):
-    u = usage(spark, folder)
-    model = encode.index_stage("state", "code", "error").fit(train_rows(u))
+    u = kept_usage(spark, folder)
+    model = encode.index_stage(["state"], ["code"], "error").fit(train_rows(u))
     return model.transform(u).select("customer_id", F.col("code").cast("int").alias("state_code"))
 
 
@@ -305,7 +305,7 @@ def f02_target_encoding(spark, folder):
 
 
 def f03_one_hot(spark, folder):
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     known = encode.categories_of(u.filter(F.col("account_length") < 2300), "area_code")
     return encode.one_hot(u, "area_code", known).select("customer_id", *[f"area_code_{c}" for c in known])
 
@@ -315,8 +315,8 @@ def f03_one_hot_stage(spark, folder):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
-    u = usage(spark, folder)
-    model = Pipeline(stages=encode.one_hot_stages("state")).fit(u.filter(F.col("area_code") != 102))
+    u = kept_usage(spark, folder)
+    model = Pipeline(stages=encode.one_hot_stages(["state"])).fit(u.filter(F.col("area_code") != 102))
     values = vector_to_array("state_hot")
     return model.transform(u).select(
         "customer_id", F.size(values).alias("slots"),
@@ -325,7 +325,7 @@ def f03_one_hot_stage(spark, folder):
 
 
 def f04_standard_scaling(spark, folder):
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     columns = ["account_length", "day_charge", "eve_calls", "cs_calls"]
     scaled = encode.standard_scaled(train_rows(u), columns, test_rows(u))
     return rounded(scaled.select("customer_id", *columns), {c: 6 for c in columns})
@@ -334,7 +334,7 @@ def f04_standard_scaling(spark, folder):
 def f04_scaler_stage(spark, folder):
     from pyspark.ml.functions import vector_to_array
 
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     columns = ["account_length", "day_charge", "eve_calls", "cs_calls"]
     build = encode.assembler(columns, "raw")
     stages = encode.fit_scaler(build.transform(train_rows(u)), "raw", "scaled")
@@ -347,18 +347,18 @@ def f04_scaler_stage(spark, folder):
 
 def f05_zscore(spark, folder):
     columns = ["day_minutes", "intl_calls"]
-    scored = outliers.zscores(usage(spark, folder), columns)
+    scored = outliers.zscores(kept_usage(spark, folder), columns)
     return scored.select("customer_id", *[F.round(F.abs(f"{c}_z"), 6).alias(f"{c}_z") for c in columns])
 
 
 def f06_zscore_outliers(spark, folder):
     columns = ["account_length", "day_minutes", "eve_calls", "night_charge"]
-    return outliers.remove_zscore_outliers(train_rows(usage(spark, folder)), columns).select("customer_id", *columns)
+    return outliers.remove_zscore_outliers(train_rows(kept_usage(spark, folder)), columns).select("customer_id", *columns)
 
 
 def f07_iqr_outliers(spark, folder):
     return outliers.remove_iqr_outliers(
-        train_rows(usage(spark, folder)), ["day_charge", "eve_charge", "intl_calls"]
+        train_rows(kept_usage(spark, folder)), ["day_charge", "eve_charge", "intl_calls"]
     ).select("customer_id", "day_charge", "eve_charge", "intl_calls")
 
 
@@ -370,13 +370,13 @@ def f07_iqr_outliers_lines(spark, folder):
 
 def f07_iqr_outliers_at_once(spark, folder):
     return outliers.remove_iqr_outliers(
-        train_rows(usage(spark, folder)), MEASURES, sequential=False
+        train_rows(kept_usage(spark, folder)), MEASURES, sequential=False
     ).select("customer_id")
 
 
 def f07_clean(spark, folder):
     """Both rules, chosen by the normality test of each column."""
-    return outliers.clean(train_rows(usage(spark, folder)), ["account_length", "day_charge", "intl_calls"]).select("customer_id")
+    return outliers.clean(train_rows(kept_usage(spark, folder)), ["account_length", "day_charge", "intl_calls"]).select("customer_id")
 
 
 def f08_totals(spark, folder):
@@ -397,7 +397,7 @@ def f10_drop_correlated(spark, folder):
 
 
 def f10_correlated_by_threshold(spark, folder):
-    found = profile.correlated_columns(flagged(spark, folder), CORRELATION_BEFORE, 0.9)
+    found = profile.correlated_columns(flagged(spark, folder, kept=True), CORRELATION_BEFORE, 0.9)
     return spark.createDataFrame([(c,) for c in found], "column string")
 
 
@@ -411,7 +411,7 @@ def f12_preprocessing(spark, folder):
     """The full recipe's fitted features, as named columns."""
     from pyspark.ml.functions import vector_to_array
 
-    u = usage(spark, folder)
+    u = kept_usage(spark, folder)
     encoded = recipes.encode(recipes.fit_features(train_rows(u), "full"), u)
     names = recipes.feature_names(encoded)
     wanted = ["intl_flag", "vmail_messages", "cs_calls", "total_calls", "total_charge", "cs_rate"]

@@ -76,17 +76,21 @@ def plan_flags(df: DataFrame) -> DataFrame:
 # ---- fitted stages -------------------------------------------------------------------
 
 
-def index_stage(column: str, output: str, unseen: str) -> StringIndexer:
+def index_stage(columns: list[str], outputs: list[str], unseen: str) -> StringIndexer:
+    """Codes of several columns, learned in one pass."""
     return StringIndexer(
-        inputCol=column, outputCol=output, stringOrderType="alphabetAsc", handleInvalid=unseen
+        inputCols=columns, outputCols=outputs, stringOrderType="alphabetAsc", handleInvalid=unseen
     )
 
 
-def one_hot_stages(column: str) -> list:
+def one_hot_stages(columns: list[str]) -> list:
     """Indexer plus encoder: one slot per training category, zeros for anything else."""
+    indexed = [f"{c}_index" for c in columns]
     return [
-        index_stage(column, f"{column}_index", "keep"),
-        OneHotEncoder(inputCol=f"{column}_index", outputCol=f"{column}_hot", dropLast=True, handleInvalid="error"),
+        index_stage(columns, indexed, "keep"),
+        OneHotEncoder(
+            inputCols=indexed, outputCols=[f"{c}_hot" for c in columns], dropLast=True, handleInvalid="error"
+        ),
     ]
 
 

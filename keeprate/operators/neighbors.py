@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from keeprate.session import settled
+
 CELL_ROWS = 16_384
 BLOCK_ROWS = 16_384
 MAX_PIVOTS = 2_048
@@ -70,18 +72,21 @@ def _assigned(points: DataFrame, pivots: np.ndarray) -> DataFrame:
 def _cell_plan(queries: DataFrame, base: DataFrame, pivots: np.ndarray, keep: int):
     """Per cell: radius of its queries, distance bound, query and base row counts."""
     m = len(pivots)
-    by_query = _assigned(queries, pivots).groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r"))
+    def sizes(cells: DataFrame):
+        return cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r")).collect()
+
     nearest = Window.partitionBy("cell").orderBy("radius")
     base_cells = _assigned(base, pivots)
-    by_base = base_cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r"))
+    by_base = sizes(base_cells)
+    by_query = by_base if queries is base else sizes(_assigned(queries, pivots))
     closest = (
         base_cells.withColumn("_rank", F.row_number().over(nearest)).filter(F.col("_rank") <= keep)
     )
     query_count, query_radius = np.zeros(m, "int64"), np.zeros(m)
-    for row in by_query.collect():
+    for row in by_query:
         query_count[row.cell], query_radius[row.cell] = row.n, row.r
     base_count, base_radius = np.zeros(m, "int64"), np.zeros(m)
-    for row in by_base.collect():
+    for row in by_base:
         base_count[row.cell], base_radius[row.cell] = row.n, row.r
     smallest = np.full((m, keep), np.inf)
     for row in closest.select("cell", "radius", "_rank").collect():
@@ -157,7 +162,8 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int) -> pd.DataFrame:
 def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int, block_rows: int) -> DataFrame:
     """(point, distance, neighbor_id, carried): the best of each block pair, per query point."""
     context = queries.sparkSession.sparkContext
-    n_query, n_base = queries.count(), base.count()
+    n_base = base.count()
+    n_query = n_base if queries is base else queries.count()
     cells = min(MAX_PIVOTS, math.ceil(n_base / cell_rows)) or 1
     if cells > 1:
         drawn = base.orderBy(F.xxhash64("vector"), "point").limit(cells).select("vector").collect()
@@ -233,14 +239,14 @@ def neighbor_lists(
     """Query rows with ``neighbors``: the k nearest base rows by Euclidean distance.
 
     ``base`` and ``queries`` have ``id long`` and ``vector array<double>`` without
-    nulls. Without ``queries`` every base row is a query and is not its own
+    nulls; both are read more than once, so pass kept tables. Without ``queries`` every base row is a query and is not its own
     neighbour. ``carry`` names a numeric base column brought along. A neighbour is
     struct(distance, neighbor_id, carried), in that order of sorting.
     """
     own = queries is None
     keep = k + 1 if own else k
-    merged = _merge_copies(base, keep, carry).persist()
-    asked = merged if own else _merge_copies(queries, 1, None).persist()
+    merged = settled(_merge_copies(base, keep, carry), "points")
+    asked = merged if own else settled(_merge_copies(queries, 1, None), "queries")
     best = Window.partitionBy("point").orderBy("distance", "neighbor_id")
     lists = (
         _candidates(asked, merged, keep, cell_rows, block_rows)

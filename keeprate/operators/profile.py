@@ -281,8 +281,4 @@ def correlated_columns(df: DataFrame, columns: list[str], threshold: float) -> l
         for r in correlation_matrix(df, columns).collect()
         if r.correlation is not None and abs(r.correlation) > threshold
     }
-    kept: list[str] = []
-    for c in columns:
-        if not any((c, k) in strong for k in kept):
-            kept.append(c)
-    return [c for c in columns if c not in kept]
+    return [c for i, c in enumerate(columns) if any((c, earlier) in strong for earlier in columns[:i])]

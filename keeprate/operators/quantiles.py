@@ -3,8 +3,8 @@
 Spark's exact ``percentile`` keeps every distinct value of a column in one merge
 task. That is right for small tables; for large ones the ranks are found by
 bracketing: an approximate pass gives a narrow value range around each wanted
-rank, a counting pass checks it, and the range shrinks until its rows fit a small
-buffer. Every pass covers all columns and ranks in one scan and shuffles only
+rank, a counting pass says which side of it holds the rank, and the range shrinks
+until its rows fit a small buffer. Every pass covers all columns and ranks in one scan and shuffles only
 per-partition summaries.
 """
 
@@ -12,12 +12,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 BUFFER_ROWS = 200_000
 ACCURACY = 10_000
 
 
+def _number(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _interpolate(lower: float, upper: float, share: float) -> float:
     return lower + (upper - lower) * share
 
@@ -29,12 +34,9 @@ def exact_quantiles(
     buffer_rows: int = BUFFER_ROWS,
     accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation, per column; null rows are left out."""
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    stats = numeric.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
-        for c in columns
-    ]).first()
+    """Quantiles with linear interpolation, per column; nulls and NaN are left out."""
+    numeric = df.select(*[_number(c).alias(c) for c in columns])
+    stats = numeric.agg(*[F.struct(F.count(c).alias("n")).alias(c) for c in columns]).first()
     if max(stats[c].n for c in columns) <= buffer_rows:
         row = numeric.agg(*[F.percentile(c, F.array(*map(F.lit, probabilities))).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in columns}
@@ -59,67 +61,80 @@ def exact_quantiles(
     return out
 
 
+class _Bracket:
+    """An open value range, the rows below or at its low end, and the rows inside."""
+
+    def __init__(self, column: str, rank: int, rows: int):
+        self.column, self.rank = column, rank
+        self.low, self.high, self.below, self.inside = None, None, 0, rows
+        self.value: float | None = None
+
+    def members(self) -> Column:
+        value = F.col(self.column)
+        within = value.isNotNull()
+        if self.low is not None:
+            within &= value > self.low
+        if self.high is not None:
+            within &= value < self.high
+        return F.when(within, value)
+
+    def position(self) -> int:
+        return self.rank - self.below
+
+    def narrow(self, first: float, second: float, counts: list[int]) -> None:
+        """Takes the part between or at two inner values that holds the rank."""
+        under, at_first, between, at_second = counts
+        place = self.position()
+        if place < under:
+            self.high, self.inside = first, under
+        elif place < under + at_first:
+            self.value = first
+        elif place < under + at_first + between:
+            self.low, self.high = first, second
+            self.below, self.inside = self.below + under + at_first, between
+        elif place < under + at_first + between + at_second:
+            self.value = second
+        else:
+            skipped = under + at_first + between + at_second
+            self.low, self.below, self.inside = second, self.below + skipped, self.inside - skipped
+
+
 def _order_statistics(
     df: DataFrame, wanted: set[tuple[str, int]], stats: Row, buffer_rows: int, accuracy: int
 ) -> dict[tuple[str, int], float]:
-    """Value at each 0-based rank. Brackets are inclusive value ranges."""
-    brackets = {w: (stats[w[0]].low, stats[w[0]].high) for w in wanted}
-    known = {w: (0, stats[w[0]].n) for w in wanted}  # rows below, rows inside
-    found: dict[tuple[str, int], float] = {}
-    margin = 2.0
-    while True:
-        for w, (low, high) in brackets.items():
-            if w not in found and low == high:
-                found[w] = low
-        open_ = [w for w in wanted if w not in found]
-        if not open_:
-            return found
-
-        def inside(w):
-            low, high = brackets[w]
-            return F.when(F.col(w[0]).between(low, high), F.col(w[0]))
-
-        small = [w for w in open_ if known[w][1] <= buffer_rows]
+    """Value at each 0-based rank. Values at the edges of a range are counted apart,
+    so a value repeated any number of times is settled at once."""
+    brackets = [_Bracket(c, rank, stats[c].n) for c, rank in sorted(wanted)]
+    while open_ := [b for b in brackets if b.value is None]:
+        small = [b for b in open_ if b.inside <= buffer_rows]
         if small:
             # The half-step keeps the discrete percentile clear of rounding.
-            row = df.select(*[inside(w).alias(f"v{i}") for i, w in enumerate(small)]).agg(*[
-                F.expr(f"percentile_disc({(w[1] - known[w][0] + 0.5) / known[w][1]!r}D) "
-                       f"WITHIN GROUP (ORDER BY v{i})").alias(f"v{i}")
-                for i, w in enumerate(small)
+            row = df.select(*[b.members().alias(f"v{i}") for i, b in enumerate(small)]).agg(*[
+                F.expr(f"percentile_disc({(b.position() + 0.5) / b.inside!r}D) WITHIN GROUP (ORDER BY v{i})")
+                for i, b in enumerate(small)
             ]).first()
-            found.update({w: row[f"v{i}"] for i, w in enumerate(small)})
-            open_ = [w for w in open_ if w not in found]
-            if not open_:
-                return found
-
+            for b, value in zip(small, row):
+                b.value = value
+            continue
         row = df.agg(*[
             F.percentile_approx(
-                inside(w),
+                b.members(),
                 F.array(*[
-                    F.lit(min(1.0, max(0.0, (w[1] - known[w][0]) / known[w][1] + side * margin / accuracy)))
-                    for side in (-1, 1)
+                    F.lit(min(1.0, max(0.0, (b.position() + 0.5) / b.inside + side * 2.0 / accuracy))) for side in (-1, 1)
                 ]),
                 F.lit(accuracy),
-            ).alias(f"b{i}")
-            for i, w in enumerate(open_)
+            )
+            for b in open_
         ]).first()
-        tried = {w: tuple(row[f"b{i}"]) for i, w in enumerate(open_)}
-        row = df.agg(*[
-            column
-            for i, w in enumerate(open_)
-            for column in (
-                F.count(F.when(F.col(w[0]) < tried[w][0], 1)).alias(f"l{i}"),
-                F.count(F.when(F.col(w[0]).between(*tried[w]), 1)).alias(f"n{i}"),
+        tried = list(row)
+        row = df.select(*[b.members().alias(f"v{i}") for i, b in enumerate(open_)]).agg(*[
+            F.struct(
+                F.count(F.when(v < first, 1)), F.count(F.when(v == first, 1)),
+                F.count(F.when((v > first) & (v < second), 1)),
+                F.count(F.when((v == second) & (v > first), 1)),
             )
+            for v, (first, second) in ((F.col(f"v{i}"), t) for i, t in enumerate(tried))
         ]).first()
-        missed = False
-        for i, w in enumerate(open_):
-            below, count = row[f"l{i}"], row[f"n{i}"]
-            if below <= w[1] < below + count:
-                missed |= tried[w] == brackets[w]
-                brackets[w], known[w] = tried[w], (below, count)
-            else:
-                missed = True
-        if missed:
-            margin *= 2
-            accuracy *= 2
+        for b, (first, second), counts in zip(open_, tried, row):
+            b.narrow(first, second, list(counts))
+    return {(b.column, b.rank): b.value for b in brackets}

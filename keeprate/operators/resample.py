@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from keeprate.operators.neighbors import nearest_neighbors, neighbor_lists
 from keeprate.operators.ordered import row_numbers
+from keeprate.session import settled
 
 
 def _draw(seed: int, name: str) -> Column:
@@ -27,8 +28,8 @@ def rows_to_add(majority: int, minority: int, ratio: float) -> int:
 def synthesize(df: DataFrame, ratio: float = 30 / 70, k: int = 5, seed: int = 42, **options) -> DataFrame:
     """New minority rows (id, label, vector) up to minority/majority = ``ratio``.
 
-    ``df`` has ``id long``, ``label`` (0/1) and ``vector array<double>``. Every new row
-    lies between a minority row and one of its k nearest minority rows.
+    ``df`` has ``id long``, ``label`` (0/1) and ``vector array<double>`` and is read
+    several times, so pass a kept table. Every new row lies between a minority row and one of its k nearest minority rows.
     """
     counts = {
         r.label: (r.n, r.top)
@@ -43,9 +44,9 @@ def synthesize(df: DataFrame, ratio: float = 30 / 70, k: int = 5, seed: int = 42
         raise ValueError(f"{n_minority} minority rows are too few for {k} neighbours")
     top_id = max(top for _, top in counts.values())
 
-    rare = df.filter(F.col("label") == F.lit(minority)).select("id", "vector").persist()
+    rare = df.filter(F.col("label") == F.lit(minority)).select("id", "vector")
     numbered = row_numbers(rare.select("id"), "id", "base_no")
-    near = nearest_neighbors(rare, k, **options).select("id", "rank", "neighbor_id")
+    near = settled(nearest_neighbors(rare, k, **options).select("id", "rank", "neighbor_id"), "near")
     draws = df.sparkSession.range(1, n_new + 1).select(
         F.col("id").alias("draw")
     ).select(
@@ -78,9 +79,9 @@ def rebalance(
     df: DataFrame, ratio: float = 30 / 70, k: int = 5, clean_k: int = 3, seed: int = 42, **options
 ) -> DataFrame:
     """Synthesis, then cleaning of all rows: (id, label, vector, synthetic)."""
-    rows = df.select("id", "label", "vector")
+    rows = settled(df.select("id", "label", "vector"), "rows")
     added = synthesize(rows, ratio, k, seed, **options)
     both = rows.withColumn("synthetic", F.lit(False)).unionByName(
         added.select("id", F.col("label").cast(rows.schema["label"].dataType), "vector", F.lit(True).alias("synthetic"))
-    ).persist()
-    return edited(both, clean_k, **options)
+    )
+    return edited(settled(both, "rows-and-synthetic"), clean_k, **options)

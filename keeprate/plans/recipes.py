@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from keeprate.operators.encode import assembler, fit_scaler, index_stage, one_hot_stages
 from keeprate.operators.resample import rebalance
 from keeprate.schema import CORRELATED, FEATURES, PERIODS
-from keeprate.session import shared_folder
+from keeprate.session import settled, shared_folder
 
 BASIC_TEXT = ["state", "intl_plan", "vmail_plan"]
 
@@ -35,7 +35,7 @@ def basic_stages() -> list:
     inputs = [f"{c}_code" if c in BASIC_TEXT else c for c in FEATURES]
     return [
         SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"),
-        *[index_stage(f"{c}_text", f"{c}_code", "error") for c in BASIC_TEXT],
+        index_stage([f"{c}_text" for c in BASIC_TEXT], [f"{c}_code" for c in BASIC_TEXT], "error"),
         assembler(inputs, "raw", "error"),
     ]
 
@@ -53,8 +53,7 @@ def full_stages(offset: int = 1) -> list:
     plain = ["intl_flag" if c == "intl_plan" else c for c in FEATURES if c not in (*CORRELATED, "state", "area_code")]
     return [
         SQLTransformer(statement=statement),
-        *one_hot_stages("state"),
-        *one_hot_stages("area"),
+        *one_hot_stages(["state", "area"]),
         assembler([*plain, "state_hot", "area_hot", "total_calls", "total_charge", "cs_rate"], "raw", "error"),
     ]
 
@@ -119,8 +118,8 @@ def prepare(
     """Fits encoders and scaler on the training rows.
 
     ``balance`` turns on rebalancing between encoding and scaling, with its options.
-    ``subset`` keeps only the named vector slots. The scaled rows are kept, since
-    every estimator passes over them many times.
+    ``subset`` keeps only the named vector slots. The encoded rows are written once
+    and the scaled rows kept, since every estimator passes over them many times.
     """
     shared_folder(train.sparkSession)  # iterative trainers cut their lineage there
     features = fit_features(train, recipe)
@@ -133,9 +132,9 @@ def prepare(
     if subset is not None:
         at = [names.index(n) for n in subset if n in names]
         slicer = VectorSlicer(inputCol="raw", outputCol="chosen", indices=at)
-        encoded, source, names = slicer.transform(encoded), "chosen", [names[i] for i in at]
+        encoded, source, names = slicer.transform(encoded).drop("raw"), "chosen", [names[i] for i in at]
         stages.append(slicer)
-    encoded = encoded.persist()
+    encoded = settled(encoded, "encoded")
     scaling = fit_scaler(encoded, source, "features")
     for stage in scaling:
         encoded = stage.transform(encoded)

@@ -88,6 +88,9 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
 ])
 
+# The stored log has the day as its partition column.
+LOG_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("log_date", T.StringType())])
+
 PREDICTION_SCHEMA = T.StructType([
     T.StructField("churn_prediction", T.IntegerType()),
     T.StructField("churn_probability", T.DoubleType()),

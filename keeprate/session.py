@@ -50,9 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the copy."""
-    shared_folder(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to the shared folder and continues from the copy.
+
+    For results that several later steps read: it cuts the plan, which would
+    otherwise be repeated inside every reader, outlives lost executors, and gives
+    the readers column pruning and true sizes to plan joins with.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keeprate.functions.columns import log_day
-from keeprate.schema import EVENT_SCHEMA
+from keeprate.schema import EVENT_SCHEMA, LOG_SCHEMA
 
 # Fields every event carries.
 PROJECT = "churn-prediction"
@@ -117,7 +117,7 @@ def append(events: DataFrame, path: str) -> None:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA.add("log_date", "string")).parquet(path)
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
 def field(name: str) -> Column:
