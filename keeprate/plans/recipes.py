@@ -93,6 +93,22 @@ def rebalanced(encoded: DataFrame, **options) -> DataFrame:
     )
 
 
+# Tree trainers run many short jobs; a task with fewer rows costs more than it saves.
+ROWS_PER_TASK = 6_000
+
+
+def sized_for_training(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions for small tables, more for a small table in one file; large tables stay as they are."""
+    wanted = max(1, -(-rows // ROWS_PER_TASK))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if wanted < current:
+        return df.coalesce(wanted)
+    if current < min(wanted, cores):
+        return df.repartition(min(wanted, cores))
+    return df
+
+
 class Prepared:
     """Training data ready for estimators, and the stages that lead there."""
 
@@ -135,6 +151,7 @@ def prepare(
         encoded, source, names = slicer.transform(encoded).drop("raw"), "chosen", [names[i] for i in at]
         stages.append(slicer)
     encoded = settled(encoded, "encoded")
+    encoded = sized_for_training(encoded, encoded.count())
     scaling = fit_scaler(encoded, source, "features")
     for stage in scaling:
         encoded = stage.transform(encoded)
