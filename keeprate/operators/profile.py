@@ -38,9 +38,21 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column; the sketch is opt-in."""
-    measure = F.approx_count_distinct if approximate else F.count_distinct
-    return _per_column(df, columns or df.columns, lambda c: measure(F.col(c)), "distinct_values")
+    """Distinct non-null values per column; the sketch is opt-in.
+
+    Values are merged per column on the map side, so neither a frequent value nor
+    the number of columns multiplies the shuffle.
+    """
+    columns = columns or df.columns
+    if approximate:
+        return _per_column(df, columns, lambda c: F.approx_count_distinct(c), "distinct_values")
+    # Adding zero makes -0.0 and 0.0 one value in text form.
+    signless = df.select(*[
+        (F.col(c) + F.lit(0.0)).alias(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else c
+        for c in columns
+    ])
+    found = unpivot(signless, columns, "string").groupBy("column", "value").agg(F.lit(1).alias("one"))
+    return found.groupBy("column").agg(F.count("value").alias("distinct_values"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -66,7 +78,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     basics = numeric.agg(*[
         F.struct(F.count(c), F.avg(c), F.stddev_samp(c), F.min(c), F.max(c)).alias(c) for c in columns
     ]).first()
-    quartiles = exact_quantiles(numeric, columns, [0.25, 0.5, 0.75])
+    quartiles = exact_quantiles(numeric, columns, [0.25, 0.5, 0.75], counts={c: basics[c][0] for c in columns})
     return _rows(
         df,
         [(c, *basics[c][:4], *quartiles[c], basics[c][4]) for c in columns],

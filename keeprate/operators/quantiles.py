@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BUFFER_ROWS = 200_000
-ACCURACY = 10_000
+ACCURACY = 2_000
 
 
 def _number(column: str) -> Column:
@@ -33,23 +33,28 @@ def exact_quantiles(
     probabilities: list[float],
     buffer_rows: int = BUFFER_ROWS,
     accuracy: int = ACCURACY,
+    counts: dict[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Quantiles with linear interpolation, per column; nulls and NaN are left out."""
+    """Quantiles with linear interpolation, per column; nulls and NaN are left out.
+
+    ``counts`` are the rows with a number per column, where the caller knows them.
+    """
     numeric = df.select(*[_number(c).alias(c) for c in columns])
-    stats = numeric.agg(*[F.struct(F.count(c).alias("n")).alias(c) for c in columns]).first()
-    if max(stats[c].n for c in columns) <= buffer_rows:
+    if counts is None:
+        counts = numeric.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    if max(counts.values()) <= buffer_rows:
         row = numeric.agg(*[F.percentile(c, F.array(*map(F.lit, probabilities))).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in columns}
     wanted = {
         (c, rank)
-        for c in columns if stats[c].n
+        for c in columns if counts[c]
         for p in probabilities
-        for rank in {math.floor(p * (stats[c].n - 1)), math.ceil(p * (stats[c].n - 1))}
+        for rank in {math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1))}
     }
-    found = _order_statistics(numeric, wanted, stats, buffer_rows, accuracy)
+    found = _order_statistics(numeric, wanted, counts, buffer_rows, accuracy)
     out: dict[str, list[float | None]] = {}
     for c in columns:
-        n = stats[c].n
+        n = counts[c]
         out[c] = [
             None if not n else _interpolate(
                 found[c, math.floor(p * (n - 1))],
@@ -61,6 +66,10 @@ def exact_quantiles(
     return out
 
 
+def _literal(value: float) -> str:
+    return f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+
+
 class _Bracket:
     """An open value range, the rows below or at its low end, and the rows inside."""
 
@@ -69,72 +78,72 @@ class _Bracket:
         self.low, self.high, self.below, self.inside = None, None, 0, rows
         self.value: float | None = None
 
-    def members(self) -> Column:
-        value = F.col(self.column)
-        within = value.isNotNull()
-        if self.low is not None:
-            within &= value > self.low
-        if self.high is not None:
-            within &= value < self.high
-        return F.when(within, value)
+    def members(self) -> str:
+        """SQL text: the value where it lies inside, else null."""
+        name = f"`{self.column}`"
+        limits = [f"{name} > {_literal(self.low)}"] * (self.low is not None) + [f"{name} < {_literal(self.high)}"] * (self.high is not None)
+        return f"CASE WHEN {' AND '.join(limits)} THEN {name} END" if limits else name
 
     def position(self) -> int:
         return self.rank - self.below
 
-    def narrow(self, first: float, second: float, counts: list[int]) -> None:
-        """Takes the part between or at two inner values that holds the rank."""
-        under, at_first, between, at_second = counts
+    def fractions(self, margin: float) -> tuple[float, float]:
+        """Where to look, rounded so that neighbouring ranks ask for the same."""
+        middle = round((self.position() + 0.5) / self.inside / margin) * margin
+        return max(0.0, middle - margin), min(1.0, middle + margin)
+
+    def narrow(self, first: tuple[float, int, int], second: tuple[float, int, int]) -> None:
+        """Takes the part around two inner values, (value, rows below, rows up to it), that holds the rank."""
         place = self.position()
-        if place < under:
-            self.high, self.inside = first, under
-        elif place < under + at_first:
-            self.value = first
-        elif place < under + at_first + between:
-            self.low, self.high = first, second
-            self.below, self.inside = self.below + under + at_first, between
-        elif place < under + at_first + between + at_second:
-            self.value = second
+        for value, below, upto in (first, second):
+            if below <= place < upto:
+                self.value = value
+                return
+        if place < first[1]:
+            self.high, self.inside = first[0], first[1]
+        elif place < second[1]:
+            self.low, self.high = first[0], second[0]
+            self.below, self.inside = self.below + first[2], second[1] - first[2]
         else:
-            skipped = under + at_first + between + at_second
-            self.low, self.below, self.inside = second, self.below + skipped, self.inside - skipped
+            self.low, self.below, self.inside = second[0], self.below + second[2], self.inside - second[2]
 
 
 def _order_statistics(
-    df: DataFrame, wanted: set[tuple[str, int]], stats: Row, buffer_rows: int, accuracy: int
+    df: DataFrame, wanted: set[tuple[str, int]], counts: dict[str, int], buffer_rows: int, accuracy: int
 ) -> dict[tuple[str, int], float]:
     """Value at each 0-based rank. Values at the edges of a range are counted apart,
     so a value repeated any number of times is settled at once."""
-    brackets = [_Bracket(c, rank, stats[c].n) for c, rank in sorted(wanted)]
+    brackets = [_Bracket(c, rank, counts[c]) for c, rank in sorted(wanted)]
     while open_ := [b for b in brackets if b.value is None]:
-        small = [b for b in open_ if b.inside <= buffer_rows]
+        # Ranks that still share a range share its column, its sketch and its counts.
+        groups: dict[tuple, list[_Bracket]] = {}
+        for b in open_:
+            groups.setdefault((b.column, b.low, b.high), []).append(b)
+        members = list(groups.values())
+        inside = df.selectExpr(*[f"{group[0].members()} AS g{j}" for j, group in enumerate(members)])
+        small = [(j, b) for j, group in enumerate(members) for b in group if b.inside <= buffer_rows]
         if small:
             # The half-step keeps the discrete percentile clear of rounding.
-            row = df.select(*[b.members().alias(f"v{i}") for i, b in enumerate(small)]).agg(*[
-                F.expr(f"percentile_disc({(b.position() + 0.5) / b.inside!r}D) WITHIN GROUP (ORDER BY v{i})")
-                for i, b in enumerate(small)
+            row = inside.agg(*[
+                F.expr(f"percentile_disc({(b.position() + 0.5) / b.inside!r}D) WITHIN GROUP (ORDER BY g{j})")
+                for j, b in small
             ]).first()
-            for b, value in zip(small, row):
+            for (_, b), value in zip(small, row):
                 b.value = value
             continue
-        row = df.agg(*[
-            F.percentile_approx(
-                b.members(),
-                F.array(*[
-                    F.lit(min(1.0, max(0.0, (b.position() + 0.5) / b.inside + side * 2.0 / accuracy))) for side in (-1, 1)
-                ]),
-                F.lit(accuracy),
+        sketches = inside.agg(*[
+            F.expr(
+                f"percentile_approx(g{j}, array({', '.join(f'{f!r}D' for b in group for f in b.fractions(2.0 / accuracy))}), "
+                f"{accuracy})"
             )
-            for b in open_
+            for j, group in enumerate(members)
         ]).first()
-        tried = list(row)
-        row = df.select(*[b.members().alias(f"v{i}") for i, b in enumerate(open_)]).agg(*[
-            F.struct(
-                F.count(F.when(v < first, 1)), F.count(F.when(v == first, 1)),
-                F.count(F.when((v > first) & (v < second), 1)),
-                F.count(F.when((v == second) & (v > first), 1)),
-            )
-            for v, (first, second) in ((F.col(f"v{i}"), t) for i, t in enumerate(tried))
+        asked = [(j, value) for j, values in enumerate(sketches) for value in sorted(set(values))]
+        row = inside.agg(*[
+            F.expr(f"struct(count_if(g{j} < {_literal(value)}), count_if(g{j} <= {_literal(value)}))") for j, value in asked
         ]).first()
-        for b, (first, second), counts in zip(open_, tried, row):
-            b.narrow(first, second, list(counts))
+        ranks = {key: tuple(counted) for key, counted in zip(asked, row)}
+        for j, group in enumerate(members):
+            for i, b in enumerate(group):
+                b.narrow(*((value, *ranks[j, value]) for value in sketches[j][2 * i:2 * i + 2]))
     return {(b.column, b.rank): b.value for b in brackets}

@@ -18,32 +18,30 @@ AS_OF = "2001-08-02"
 CHURN_BEFORE = "2000-05-01"
 
 
-def _period() -> dict[str, Column]:
-    current = F.col("l_returnflag") == "N"
-    open_line = F.col("l_linestatus") == "O"
-    return {
-        "day": current & open_line,
-        "eve": current & ~open_line,
-        "night": ~current & open_line,
-        "intl": ~current & ~open_line,
-    }
+# Lines of the four usage periods.
+PERIOD_LINES = {
+    "day": "l_returnflag = 'N' AND l_linestatus = 'O'",
+    "eve": "l_returnflag = 'N' AND l_linestatus <> 'O'",
+    "night": "l_returnflag <> 'N' AND l_linestatus = 'O'",
+    "intl": "l_returnflag <> 'N' AND l_linestatus <> 'O'",
+}
+
+
+def _sums_per_order() -> list[Column]:
+    return [
+        F.expr(text)
+        for period, lines in PERIOD_LINES.items()
+        for text in (
+            f"sum(CASE WHEN {lines} THEN l_quantity END) AS {period}_minutes",
+            f"count_if({lines}) AS {period}_calls",
+            f"sum(CASE WHEN {lines} THEN l_extendedprice END) AS {period}_charge",
+        )
+    ]
 
 
 def customer_usage(spark: SparkSession, folder: str) -> DataFrame:
     """One row per customer with orders: usage by period, plans, churn and split."""
-    per_order = (
-        table(spark, folder, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(*[
-            column
-            for period, mine in _period().items()
-            for column in (
-                F.sum(F.when(mine, F.col("l_quantity"))).alias(f"{period}_minutes"),
-                F.count(F.when(mine, 1)).alias(f"{period}_calls"),
-                F.sum(F.when(mine, F.col("l_extendedprice"))).alias(f"{period}_charge"),
-            )
-        ])
-    )
+    per_order = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(*_sums_per_order())
     per_customer = (
         table(spark, folder, "orders")
         .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -51,40 +49,39 @@ def customer_usage(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.min("o_orderdate").alias("first_order"),
             F.max("o_orderdate").alias("last_order"),
-            F.count(F.when(F.col("o_orderstatus") == "P", 1)).alias("pending_orders"),
-            F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("urgent_orders"),
+            F.expr("count_if(o_orderstatus = 'P') AS pending_orders"),
+            F.expr("count_if(o_orderpriority = '1-URGENT') AS urgent_orders"),
             *[
-                F.sum(f"{period}_{kind}").alias(f"{period}_{kind}")
+                F.expr(f"sum({period}_{kind}) AS {period}_{kind}")
                 for period in PERIODS for kind in ("minutes", "calls", "charge")
             ],
         )
     )
-    vmail = F.col("c_acctbal") > 5000
     measures = [
-        column
+        text
         for period in PERIODS
-        for column in (
-            F.round(F.coalesce(F.col(f"{period}_minutes"), F.lit(0.0)), 2).alias(f"{period}_minutes"),
-            F.coalesce(F.col(f"{period}_calls"), F.lit(0)).cast("int").alias(f"{period}_calls"),
-            F.round(F.coalesce(F.col(f"{period}_charge"), F.lit(0.0)), 2).alias(f"{period}_charge"),
+        for text in (
+            f"round(coalesce({period}_minutes, 0D), 2) AS {period}_minutes",
+            f"cast(coalesce({period}_calls, 0) AS int) AS {period}_calls",
+            f"round(coalesce({period}_charge, 0D), 2) AS {period}_charge",
         )
     ]
     return (
         table(spark, folder, "customer")
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("n_name").alias("state"),
-            F.datediff(F.to_date(F.lit(AS_OF)), F.to_date("first_order")).alias("account_length"),
-            (F.lit(100) + F.col("c_nationkey") % 3).cast("int").alias("area_code"),
-            F.when(F.col("c_mktsegment").isin("MACHINERY", "AUTOMOBILE"), "Yes").otherwise("No").alias("intl_plan"),
-            F.when(vmail, "Yes").otherwise("No").alias("vmail_plan"),
-            F.when(vmail, F.col("pending_orders")).otherwise(F.lit(0)).cast("int").alias("vmail_messages"),
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "n_name AS state",
+            f"datediff(DATE '{AS_OF}', cast(first_order AS date)) AS account_length",
+            "cast(100 + c_nationkey % 3 AS int) AS area_code",
+            "CASE WHEN c_mktsegment IN ('MACHINERY', 'AUTOMOBILE') THEN 'Yes' ELSE 'No' END AS intl_plan",
+            "CASE WHEN c_acctbal > 5000 THEN 'Yes' ELSE 'No' END AS vmail_plan",
+            "cast(CASE WHEN c_acctbal > 5000 THEN pending_orders ELSE 0 END AS int) AS vmail_messages",
             *measures,
-            F.col("urgent_orders").cast("int").alias("cs_calls"),
-            (F.col("last_order") < F.lit(CHURN_BEFORE).cast("timestamp_ntz")).alias("churn"),
-            F.when(F.col("c_custkey") % 5 < 4, "train").otherwise("test").alias("split"),
+            "cast(urgent_orders AS int) AS cs_calls",
+            f"last_order < TIMESTAMP_NTZ '{CHURN_BEFORE} 00:00:00' AS churn",
+            "CASE WHEN c_custkey % 5 < 4 THEN 'train' ELSE 'test' END AS split",
         )
     )
 
