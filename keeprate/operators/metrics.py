@@ -139,9 +139,9 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", d
     ``drop_collinear`` leaves out the points on a straight line between their neighbours.
     """
     points = running_totals(_by_score(df, label, score), "threshold", {"tp": "pos", "fp": "neg"}, descending=True)
+    totals = points.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
     if drop_collinear:
         points = _corners(points)
-    totals = _by_score(df, label, score).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
     origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return origin.unionByName(points.select(
         "threshold",

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from keeprate.operators.ordered import hash_sample
 from keeprate.session import settled
 
 CELL_ROWS = 16_384
@@ -166,7 +167,7 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
     n_query = n_base if queries is base else queries.count()
     cells = min(MAX_PIVOTS, math.ceil(n_base / cell_rows)) or 1
     if cells > 1:
-        drawn = base.orderBy(F.xxhash64("vector"), "point").limit(cells).select("vector").collect()
+        drawn = hash_sample(base.select("vector"), "vector", n_base, cells).collect() or base.select("vector").take(1)
         pivots = np.array([r.vector for r in drawn])
         query_count, radius, bound, reach, slack = _cell_plan(queries, base, pivots, keep)
     else:

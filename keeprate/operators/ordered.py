@@ -1,8 +1,7 @@
 """Ranks and running totals over a whole table without a one-task window.
 
 A window without ``partitionBy`` sends every row to one task. Here the key range
-is cut into buckets at values taken from a bounded uniform sample of the distinct
-keys; bucket totals (one row per bucket) give each bucket its starting offset, and
+is cut into buckets at values taken from a bounded sample of the keys; bucket totals (one row per bucket) give each bucket its starting offset, and
 a window inside each bucket does the rest. Bucket membership is a pure function of
 the key, so a recomputed task after an executor loss gives the same rows.
 """
@@ -20,26 +19,24 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return min(512, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def hash_sample(df: DataFrame, column: str, rows: int, size: int) -> DataFrame:
+    """About ``size`` of the ``rows`` rows, chosen by the hash of a column: the same ones every time."""
+    share = max(1, rows // size)
+    return df.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0).limit(4 * size)
+
+
 def cut_points(values: DataFrame, key: str, buckets: int | None = None) -> list:
     """At most ``buckets - 1`` ordered cut values; none when there are few keys.
 
-    The sample is the keys with the smallest hashes: a top-k of fixed size, so
-    neither a task nor the driver ever holds more than the sample.
+    The cuts only balance the buckets, so a bounded sample of the keys will do.
     """
     buckets = _bucket_count(values, buckets)
     size = buckets * SAMPLES_PER_BUCKET
-    rows = (
-        values.select(F.col(key).alias("k"))
-        .filter(F.col("k").isNotNull())
-        .orderBy(F.xxhash64("k"))
-        .limit(size)
-        .collect()
-    )
-    if len(rows) < size:
+    rows = values.count()
+    if rows <= size:
         return []
-    ordered = sorted(row.k for row in rows)
-    cuts = [ordered[i * len(ordered) // buckets] for i in range(1, buckets)]
-    return sorted(set(cuts))
+    ordered = sorted(r.k for r in hash_sample(values.select(F.col(key).alias("k")), "k", rows, size).collect())
+    return sorted({ordered[i * len(ordered) // buckets] for i in range(1, buckets)}) if ordered else []
 
 
 def bucket_of(key: str, cuts: list) -> Column:

@@ -20,6 +20,13 @@ TABLES = (
 ).split()
 
 
+# SQL types that have one counterpart.
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "HUGEINT": "a wide integer", "DOUBLE": "double", "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+}
+
+
 def open_tables(folder: str):
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
@@ -47,6 +54,10 @@ def difference(df, connection, sql: str) -> str | None:
     if sorted(found) != names:
         return f"columns {names} != {sorted(found)}"
     order = [found.index(n) for n in names]
+    kinds = {d[0]: str(d[1]).upper() for d in cursor.description}
+    for name, kind in df.dtypes:
+        if TYPES.get(kinds[name], kind) != kind:
+            return f"column {name} is {kind} here and {kinds[name]} in SQL"
     want = sorted((tuple(_plain(r[i]) for i in order) for r in cursor.fetchall()), key=_key)
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
