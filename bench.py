@@ -14,7 +14,7 @@ from keeprate import catalog
 from keeprate.operators import metrics
 from keeprate.plans import models, recipes
 from keeprate.plans.scoring import score, summary
-from keeprate.plans.usage import customer_usage, test_rows, train_rows
+from keeprate.plans.usage import customer_usage, held_out_rows, train_rows
 from keeprate.session import local_session, settled
 
 HEADLINE = [
@@ -38,7 +38,7 @@ def full_run(spark, folder):
     usage = settled(customer_usage(spark, folder), "usage")
     prepared = recipes.prepare(train_rows(usage), "basic")
     fitted = models.production_model("boosted_trees").fit(prepared.train)
-    held_out = models.positive_probability(fitted.transform(prepared.transform(test_rows(usage))))
+    held_out = models.positive_probability(fitted.transform(prepared.transform(held_out_rows(usage))))
     metrics.evaluate(held_out).collect()
 
 

@@ -14,7 +14,7 @@ from keeprate.catalog.sources import EVENT_SQL, SHOWN_SQL, _shown, event_log
 from keeprate.operators import encode, importance, metrics, neighbors, resample
 from keeprate.plans import models, recipes
 from keeprate.plans.scoring import report_table, score, summary
-from keeprate.plans.usage import test_rows, train_rows
+from keeprate.plans.usage import held_out_rows, train_rows
 from keeprate.schema import FEATURES
 from keeprate.session import scratch_path, settled, table
 from keeprate.sources import events, files
@@ -63,7 +63,7 @@ def m10_knn_probability(spark, folder):
             F.array(*columns).alias("vector"),
         )
 
-    found = neighbors.knn_probability(points(train_rows(u)), points(test_rows(u)))
+    found = neighbors.knn_probability(points(train_rows(u)), points(held_out_rows(u)))
     return found.select("id", F.round("probability", 6).alias("probability"))
 
 
@@ -168,7 +168,7 @@ def m01_rebalance(spark, folder):
 
 def _split(spark, folder):
     u = kept_usage(spark, folder)
-    return train_rows(u), test_rows(u)
+    return train_rows(u), held_out_rows(u)
 
 
 def _fitted(spark, folder, estimator, recipe="basic", **options):

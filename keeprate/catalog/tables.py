@@ -17,7 +17,7 @@ from keeprate.operators.normality import anderson_darling
 from keeprate.operators.ordered import row_numbers
 from keeprate.plans import recipes
 from keeprate.plans.scoring import as_predictions, report_table, summary
-from keeprate.plans.usage import test_rows, train_rows
+from keeprate.plans.usage import held_out_rows, train_rows
 from keeprate.functions.normal import log_normal_cdf
 from keeprate.schema import (
     CATEGORICAL, CORRELATED, CORRELATION_AFTER, CORRELATION_BEFORE, COUNTABLE, FEATURES, MEASURES, PERIODS,
@@ -327,7 +327,7 @@ def f03_one_hot_stage(spark, folder):
 def f04_standard_scaling(spark, folder):
     u = kept_usage(spark, folder)
     columns = ["account_length", "day_charge", "eve_calls", "cs_calls"]
-    scaled = encode.standard_scaled(train_rows(u), columns, test_rows(u))
+    scaled = encode.standard_scaled(train_rows(u), columns, held_out_rows(u))
     return rounded(scaled.select("customer_id", *columns), {c: 6 for c in columns})
 
 
@@ -338,7 +338,7 @@ def f04_scaler_stage(spark, folder):
     columns = ["account_length", "day_charge", "eve_calls", "cs_calls"]
     build = encode.assembler(columns, "raw")
     stages = encode.fit_scaler(build.transform(train_rows(u)), "raw", "scaled")
-    out = build.transform(test_rows(u))
+    out = build.transform(held_out_rows(u))
     for stage in stages:
         out = stage.transform(out)
     values = vector_to_array("scaled")

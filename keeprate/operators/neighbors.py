@@ -168,7 +168,7 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
     cells = min(MAX_PIVOTS, math.ceil(n_base / cell_rows)) or 1
     if cells > 1:
         drawn = hash_sample(base.select("vector"), "vector", n_base, cells).collect() or base.select("vector").take(1)
-        pivots = np.array([r.vector for r in drawn])
+        pivots = np.array([r.vector for r in drawn[:cells]])
         query_count, radius, bound, reach, slack = _cell_plan(queries, base, pivots, keep)
     else:
         pivots, slack = None, 0.0

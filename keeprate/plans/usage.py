@@ -94,5 +94,5 @@ def train_rows(usage: DataFrame) -> DataFrame:
     return usage.filter(F.col("split") == "train").drop("split")
 
 
-def test_rows(usage: DataFrame) -> DataFrame:
+def held_out_rows(usage: DataFrame) -> DataFrame:
     return usage.filter(F.col("split") == "test").drop("split")

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from keeprate.functions.columns import log_day
 from keeprate.schema import EVENT_SCHEMA, LOG_SCHEMA
 
-# Fields every event carries.
-PROJECT = "churn-prediction"
-LOGGER = "mlflow-pipeline"
+# What an event carries unless it says otherwise.
+PROJECT = "keeprate"
+LOGGER = "keeprate-jobs"
 
 
 def as_events(df: DataFrame, extra: dict[str, Column] | None = None, **fields: Column) -> DataFrame:

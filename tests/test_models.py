@@ -10,7 +10,7 @@ from keeprate.operators.adaboost import AdaBoost
 from keeprate.operators.fourier import FourierFeatures
 from keeprate.plans import models, recipes
 from keeprate.plans.scoring import as_predictions, report_table, score, summary
-from keeprate.plans.usage import customer_usage, test_rows as held_out, train_rows
+from keeprate.plans.usage import customer_usage, held_out_rows, train_rows
 from keeprate.session import settled
 
 FOLDER = "/root/testdata/sf0.001"
@@ -76,12 +76,12 @@ def test_saved_recipe_scores_alike(spark, usage, tmp_path):
     model = recipes.fit(train_rows(usage), models.production_model("random_forest", numTrees=5), "full")
     recipes.save(model, str(tmp_path / "model"))
     again = recipes.load(str(tmp_path / "model"))
-    first, second = score(model, held_out(usage)), score(again, held_out(usage))
+    first, second = score(model, held_out_rows(usage)), score(again, held_out_rows(usage))
     assert sorted(first.collect()) == sorted(second.collect())
 
 
 def test_new_state_is_scored_by_the_full_recipe_only(spark, usage):
-    train, test = train_rows(usage), held_out(usage).withColumn("state", F.lit("ATLANTIS"))
+    train, test = train_rows(usage), held_out_rows(usage).withColumn("state", F.lit("ATLANTIS"))
     full = recipes.fit(train, models.production_model("random_forest", numTrees=3), "full")
     assert score(full, test).count() == test.count()
     basic = recipes.fit(train, models.production_model("random_forest", numTrees=3), "basic")
@@ -99,7 +99,7 @@ def test_balanced_recipe_and_subset(spark, usage):
     prepared = recipes.prepare(train_rows(usage), "full", balance={"k": 3}, subset=recipes.FOREST_SUBSET)
     assert prepared.names == recipes.FOREST_SUBSET
     assert prepared.train.first().features.size == len(recipes.FOREST_SUBSET)
-    assert prepared.transform(held_out(usage)).count() == held_out(usage).count()
+    assert prepared.transform(held_out_rows(usage)).count() == held_out_rows(usage).count()
 
 
 def test_summary_of_an_empty_batch(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from keeprate.catalog.sources import event_log
 from keeprate.plans import models, recipes
-from keeprate.plans.usage import customer_usage, test_rows, train_rows
+from keeprate.plans.usage import customer_usage, held_out_rows, train_rows
 from keeprate.schema import FEATURES
 from keeprate.session import settled, table
 from keeprate.sources import events, files, runs, versions
@@ -116,9 +116,9 @@ def test_stream_scores_like_the_batch(spark, tmp_path):
     usage = settled(customer_usage(spark, FOLDER), "usage")
     model = recipes.fit(train_rows(usage), models.production_model("random_forest", numTrees=3), "full")
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
-    files.to_external(test_rows(usage).select("customer_id", *FEATURES)).write.json(source)
+    files.to_external(held_out_rows(usage).select("customer_id", *FEATURES)).write.json(source)
     score_streaming.score_stream(
         model, score_streaming.customer_stream(spark, source), target, checkpoint
     ).awaitTermination()
-    want = sorted(score(model, test_rows(usage)).collect())
+    want = sorted(score(model, held_out_rows(usage)).collect())
     assert sorted(spark.read.parquet(target).collect()) == want
