@@ -81,7 +81,11 @@ class _Bracket:
     def members(self) -> str:
         """SQL text: the value where it lies inside, else null."""
         name = f"`{self.column}`"
-        limits = [f"{name} > {_literal(self.low)}"] * (self.low is not None) + [f"{name} < {_literal(self.high)}"] * (self.high is not None)
+        limits = []
+        if self.low is not None:
+            limits.append(f"{name} > {_literal(self.low)}")
+        if self.high is not None:
+            limits.append(f"{name} < {_literal(self.high)}")
         return f"CASE WHEN {' AND '.join(limits)} THEN {name} END" if limits else name
 
     def position(self) -> int:
