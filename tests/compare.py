@@ -69,15 +69,15 @@ def difference(df, connection, sql: str) -> str | None:
 
 
 def main(folder: str, names: list[str]) -> None:
-    from keeprate import catalog
+    import __spark_entry__ as entry
     from keeprate.session import local_session
 
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     connection = open_tables(folder)
-    sql = catalog.oracle_sql()
+    sql = entry.oracle_sql()
     bad = 0
-    for name, query in catalog.queries().items():
+    for name, query in entry.queries().items():
         if names and not any(name.startswith(n) for n in names):
             continue
         started = time.time()
