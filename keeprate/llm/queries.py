@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
-from keeprate.llm import mixing, secrets
-from keeprate.llm.common import documents
+from pyspark.sql import functions as F
+
+from keeprate.llm import language, mixing, secrets, toxicity
+from keeprate.llm.common import documents, held_out
+from keeprate.session import table
+
+
+def op4_toxicity(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
 def op6_mixing(spark, folder):
@@ -14,6 +25,11 @@ def op8_secrets(spark, folder):
     return secrets.digest(secrets.scan(spark, documents(spark, folder)))
 
 
+def op10_language(spark, folder):
+    docs = documents(spark, folder)
+    return language.identify(docs, language.dictionaries(docs)).withColumn("held_out", held_out("doc_id", 5, 0))
+
+
 def queries():
     import corpus_pipeline
 
