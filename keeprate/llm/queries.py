@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keeprate.llm import language, mixing, secrets, toxicity
+from keeprate.llm import language, mixing, neighbours, secrets, toxicity
 from keeprate.llm.common import documents, held_out
 from keeprate.session import table
 
@@ -21,6 +21,11 @@ def op6_mixing(spark, folder):
     return mixing.mix(spark, documents(spark, folder))
 
 
+def op7_neighbours(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(spark, vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def op8_secrets(spark, folder):
     return secrets.digest(secrets.scan(spark, documents(spark, folder)))
 
