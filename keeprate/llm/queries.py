@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keeprate.llm import language, mixing, neighbours, secrets, toxicity
+from keeprate.llm import language, minhash, mixing, neighbours, secrets, toxicity, windows
 from keeprate.llm.common import documents, held_out
 from keeprate.session import table
 
 
+def op2_windows(spark, folder):
+    return windows.digest(windows.dedup(spark, documents(spark, folder)))
+
+
+def op3_minhash(spark, folder):
+    return minhash.group(spark, documents(spark, folder), 3, 85, 100).drop("text_hash")
+
+
 def op4_toxicity(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
