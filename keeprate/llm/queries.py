@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keeprate.llm import language, minhash, mixing, neighbours, secrets, toxicity, windows
+from keeprate.llm import language, minhash, mixing, neighbours, secrets, suffixes, toxicity, windows
 from keeprate.llm.common import documents, held_out
 from keeprate.session import table
 
@@ -38,6 +38,10 @@ def op8_secrets(spark, folder):
     return secrets.digest(secrets.scan(spark, documents(spark, folder)))
 
 
+def op9_suffixes(spark, folder):
+    return suffixes.digest(suffixes.dedup(spark, documents(spark, folder)))
+
+
 def op10_language(spark, folder):
     docs = documents(spark, folder)
     return language.identify(docs, language.dictionaries(docs)).withColumn("held_out", held_out("doc_id", 5, 0))
