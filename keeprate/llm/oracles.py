@@ -47,4 +47,73 @@ FROM sized d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
 JOIN taken t ON d.source IS NOT DISTINCT FROM t.source AND d.h = t.h
 """
 
-ORACLES = {"op6_mixing": OP6_MIXING}
+OP5_LINES = r"""
+WITH docs AS (
+  SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+), sizes AS (SELECT unnest([1, 2, 4, 8, 16]) AS m
+), blocks AS (
+  SELECT doc_id, m, p, array_to_string(lines[p + 1 : p + m], chr(10)) AS block
+  FROM (SELECT doc_id, m, lines, unnest(range(0, len(lines) - m + 1)) AS p FROM docs, sizes WHERE len(lines) >= m)
+), later AS (
+  SELECT doc_id, m, p, block,
+    row_number() OVER (PARTITION BY m, block ORDER BY doc_id, p) > 1
+      AND len(regexp_extract_all(block, '[^\x20\x09-\x0D]+')) >= 10 AS goes
+  FROM blocks
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + m)) AS line FROM later WHERE goes
+), numbered AS (
+  SELECT doc_id, text, lines, unnest(range(0, greatest(len(lines), 1))) AS line FROM docs
+), flagged AS (
+  SELECT n.doc_id, n.text, n.line, n.lines[n.line + 1] AS content, g.line IS NOT NULL AS goes, len(n.lines) AS n_lines,
+    g.line IS NOT NULL AND coalesce(NOT lag(g.line IS NOT NULL) OVER (PARTITION BY n.doc_id ORDER BY n.line), true) AS opens
+  FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.line = g.line
+)
+SELECT doc_id, CAST(max(n_lines) AS BIGINT) AS n_lines, CAST(sum(CAST(goes AS BIGINT)) AS BIGINT) AS n_removed,
+  CAST(sum(CAST(opens AS BIGINT)) AS BIGINT) AS n_runs,
+  CASE WHEN bool_or(text IS NULL) THEN NULL
+    ELSE sha256(coalesce(string_agg(content, chr(10) ORDER BY line) FILTER (WHERE NOT goes), '')) END AS kept_sha256
+FROM flagged GROUP BY doc_id
+"""
+
+OP1_DECONTAMINATION = r"""
+WITH items AS (
+  SELECT DISTINCT item_id, words, len(words) AS n
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM benchmark) WHERE len(words) >= 5
+), item_shingles AS (
+  SELECT item_id, words, n, array_to_string(words[p + 1 : p + 5], ' ') AS s, p
+  FROM (SELECT *, unnest(range(0, n - 4)) AS p FROM items)
+), item_bags AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id, words, s ORDER BY p) AS nth FROM item_shingles
+), docs AS (
+  SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents WHERE text IS NOT NULL
+), shingles AS (
+  SELECT doc_id, len(words) AS n, p, array_to_string(words[p + 1 : p + 5], ' ') AS s
+  FROM (SELECT *, unnest(range(0, len(words) - 4)) AS p FROM docs WHERE len(words) >= 5)
+), hits AS (
+  SELECT DISTINCT h.doc_id, h.n, h.p, i.item_id, i.words, i.n AS length
+  FROM shingles h JOIN item_shingles i ON h.s = i.s
+), windows AS (
+  SELECT DISTINCT doc_id, item_id, words, length, unnest(range(
+    greatest(0, least(p - length + 5, n - length)), greatest(0, least(p, n - length)) + 1)) AS start
+  FROM hits
+), bags AS (
+  SELECT w.doc_id, w.item_id, w.words, w.length, w.start, h.s,
+    row_number() OVER (PARTITION BY w.doc_id, w.item_id, w.words, w.start, h.s ORDER BY h.p) AS nth,
+    count(*) OVER (PARTITION BY w.doc_id, w.item_id, w.words, w.start) AS size
+  FROM windows w JOIN shingles h ON w.doc_id = h.doc_id AND h.p BETWEEN w.start AND w.start + w.length - 5
+), shared AS (
+  SELECT b.doc_id, b.item_id, b.words, b.length, b.start, max(b.size) AS size, count(*) AS common
+  FROM bags b JOIN item_bags i ON b.item_id = i.item_id AND b.words = i.words AND b.s = i.s AND b.nth = i.nth
+  GROUP BY ALL
+), scored AS (
+  SELECT doc_id, item_id, start, max(CAST(common AS DOUBLE) / CAST(size + length - 4 - common AS DOUBLE)) AS similarity, max(length) AS length
+  FROM shared WHERE CAST(common AS DOUBLE) / CAST(size + length - 4 - common AS DOUBLE) >= 0.8
+  GROUP BY doc_id, item_id, start
+)
+SELECT doc_id, item_id, max(similarity) AS similarity,
+  CAST(arg_min(start, [-similarity, start]) AS INTEGER) AS start_word,
+  CAST(arg_min(length, [-similarity, start]) AS INTEGER) AS n_words, count(*) AS n_windows
+FROM scored GROUP BY doc_id, item_id
+"""
+
+ORACLES = {"op1_decontamination": OP1_DECONTAMINATION, "op5_lines": OP5_LINES, "op6_mixing": OP6_MIXING}

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keeprate.llm import language, minhash, mixing, neighbours, secrets, suffixes, toxicity, windows
+from keeprate.llm import decontamination, language, lines, minhash, mixing, neighbours, secrets, suffixes, toxicity, windows
 from keeprate.llm.common import documents, held_out
 from keeprate.session import table
 
 
+def op1_decontamination(spark, folder):
+    return decontamination.leaks(spark, documents(spark, folder), table(spark, folder, "benchmark")).drop("text_hash")
+
+
 def op2_windows(spark, folder):
     return windows.digest(windows.dedup(spark, documents(spark, folder)))
 
@@ -29,6 +33,10 @@ def op6_mixing(spark, folder):
     return mixing.mix(spark, documents(spark, folder))
 
 
+def op5_lines(spark, folder):
+    return lines.digest(lines.dedup(spark, documents(spark, folder)))
+
+
 def op7_neighbours(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(spark, vectors, vectors.filter(F.col("vec_id") % 50 == 0))
