@@ -14,26 +14,31 @@ more set of partial sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from keeprate.llm.common import WORD, numbered
+from keeprate.llm.common import WORD, col, fresh, numbered
 from keeprate.session import settled
 
 BITS, LEVELS = 10, 6  # 60 bits of hash, refined by ten at a time
 SALTS = 64
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, h): size in words, h the position between 0 and 2^60."""
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _position() -> Column:
+    """Where a document lies between 0 and 2^60, by its id and text."""
     digest = F.md5(F.concat_ws(
         ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
         F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")),
     ).cast("binary"))
-    return docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("h"),
-    )
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, h): size in words, h the position."""
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), _size().alias("size"), _position().alias("h"))
 
 
 def targets(spark: SparkSession, sizes: DataFrame, weights=(5, 2, 1), most: int = 3) -> DataFrame:
@@ -83,6 +88,29 @@ def _boundary(rows: DataFrame, state: DataFrame, level: int) -> DataFrame:
     ).select("of_source", F.col("bucket").alias("prefix"), (F.col("rest") - F.col("upto") + F.col("unit")).alias("rest"), "unit")
 
 
+def cuts(spark: SparkSession, rows: DataFrame, weights=(5, 2, 1), most: int = 3) -> DataFrame:
+    """(of_source, source_size, target, whole, threshold): documents of a source below the threshold are taken
+    ``whole + 1`` times, the others ``whole`` times."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    wanted = settled(targets(spark, sizes, weights, most).withColumns({
+        "whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"),
+    }).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "wanted")
+    state = wanted.select(F.col("source").alias("of_source"), "rest")
+    for level in range(LEVELS):
+        state = _boundary(rows, state, level)
+    found = wanted.join(state.select("of_source", "prefix", F.col("rest").alias("left_over"), "unit"),
+                        F.col("source").eqNullSafe(F.col("of_source")), "left")
+    threshold = F.when(F.col("prefix").isNull(), F.lit(1 << 60)).otherwise(
+        F.col("prefix") + (F.col("left_over") * 2 > F.col("unit")).cast("long"))
+    return found.select(
+        F.col("source").alias("of_source"), "source_size", "target", "whole",
+        F.when(F.col("whole") < most, threshold).otherwise(F.lit(0)).alias("threshold"))
+
+
+def _copies() -> Column:
+    return F.col("whole") + (F.col("h") < F.col("threshold")).cast("int")
+
+
 def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), most: int = 3) -> DataFrame:
     """Copies to take of every document so that sources come near their targets.
 
@@ -97,20 +125,19 @@ def mix(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), most: int = 3)
     at most half the unit at its threshold (one document, or its equal rows).
     """
     rows = settled(sized(docs), "sized")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    wanted = settled(targets(spark, sizes, weights, most).withColumns({
-        "whole": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"),
-    }).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "wanted")
-    state = wanted.select(F.col("source").alias("of_source"), "rest")
-    for level in range(LEVELS):
-        state = _boundary(rows, state, level)
-    cut = wanted.join(state.select("of_source", "prefix", F.col("rest").alias("left_over"), "unit"),
-                      F.col("source").eqNullSafe(F.col("of_source")), "left").select(
-        F.col("source").alias("of_source"), "source_size", "target", "whole",
-        F.when(F.col("prefix").isNull(), F.lit(1 << 60))
-        .otherwise(F.col("prefix") + (F.col("left_over") * 2 > F.col("unit")).cast("long")).alias("threshold"),
-    )
-    copies = F.col("whole") + ((F.col("whole") < most) & (F.col("h") < F.col("threshold"))).cast("int")
-    return _joined(rows, cut).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
-    )
+    return _joined(rows, cuts(spark, rows, weights, most)).select(
+        "doc_id", "source", "size", "source_size", "target", _copies().alias("copies"), (F.col("size") * _copies()).alias("taken"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, weights=(5, 2, 1), most: int = 3) -> DataFrame:
+    """The documents of the mix: all columns of those taken at least once, with size, target, copies and taken.
+
+    A column of ``docs`` that has one of these names keeps it; the added one gets a leading underscore. Cases are those of ``mix``.
+    """
+    found = cuts(spark, settled(sized(docs), "sized"), weights, most)
+    size, target, copies, taken = fresh(docs, "size", "target", "copies", "taken")
+    rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("document"), F.col("source").cast("string").alias("source"),
+                       _size().alias("size"), _position().alias("h"))
+    return _joined(rows, found).filter(_copies() > 0).select(
+        *[F.col("document").getField(c).alias(c) for c in docs.columns], F.col("size").alias(size), F.col("target").alias(target),
+        _copies().alias(copies), (F.col("size") * _copies()).alias(taken))
