@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from keeprate.operators.ordered import bucket_of, cut_points, running_totals
-
-MAX_CLASSES = 10_000
+from keeprate.operators.ordered import running_totals, with_next
+from keeprate.session import settled
 
 # Fixed value: smallest probability used in the log loss (double epsilon).
 LOG_LOSS_EPSILON = 2.220446049250313e-16
@@ -24,14 +21,12 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     counts = df.groupBy(
         F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")
     ).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("too many classes for a confusion matrix")
-    found = {(r.label, r.prediction): r.n for r in rows}
-    classes = sorted({c for pair in found for c in pair if c is not None})
-    return df.sparkSession.createDataFrame(
-        [(a, b, found.get((a, b), 0)) for a in classes for b in classes], "label int, prediction int, n long"
-    )
+    # Every class meets every class, which is the size of the result; null classes are left out.
+    pairs = counts.filter(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+    classes = counts.select(F.explode(F.array("label", "prediction")).alias("class")).filter("class IS NOT NULL").distinct()
+    listed = classes.agg(F.sort_array(F.collect_set("class")).alias("prediction"))
+    grid = classes.select(F.col("class").alias("label")).join(listed).select("label", F.explode("prediction").alias("prediction"))
+    return grid.join(pairs, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def binary_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -151,33 +146,13 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", d
 
 
 def _corners(points: DataFrame) -> DataFrame:
-    """Points whose step differs from the next one, and both ends.
-
-    The next point is looked up inside a bucket of the score range; the last point of
-    a bucket takes the first of the next non-empty bucket, from one row per bucket.
-    """
-    points = points.persist()
-    cuts = cut_points(points, "threshold")
-    bucketed = points.withColumn("_bucket", bucket_of("threshold", cuts))
-    step = F.struct("pos", "neg")
-    heads = bucketed.groupBy("_bucket").agg(F.max_by(step, "threshold").alias("head"), F.max("threshold").alias("top"))
-    top = heads.agg(F.max("top")).first()[0]
-    # At most one row per bucket, so this window is small.
-    heads = heads.select(
-        F.col("_bucket").alias("_of"),
-        F.lag("head").over(Window.partitionBy(F.lit(0)).orderBy("_bucket")).alias("_head"),
-    )
-    following = F.lead(step).over(Window.partitionBy("_bucket").orderBy(F.desc("threshold")))
-    return (
-        bucketed.withColumn("_next", following)
-        .join(heads, F.col("_bucket") == F.col("_of"))
-        .withColumn("_next", F.coalesce("_next", "_head"))
-        .filter(
-            F.col("_next").isNull() | (F.col("_next.pos") != F.col("pos")) | (F.col("_next.neg") != F.col("neg"))
-            | (F.col("threshold") == F.lit(top))
-        )
-        .select(*points.columns)
-    )
+    """Points whose step differs from the next one, and both ends."""
+    followed = with_next(points, "threshold", F.struct("pos", "neg"), "_next")
+    top = points.agg(F.max("threshold")).first()[0]
+    return followed.filter(
+        F.col("_next").isNull() | (F.col("_next.pos") != F.col("pos")) | (F.col("_next.neg") != F.col("neg"))
+        | (F.col("threshold") == F.lit(top))
+    ).select(*points.columns)
 
 
 def log_loss(
@@ -205,24 +180,17 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
-    """Adds the balanced class weight; the classes are few and checked."""
-    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("too many classes to weight")
-    weight = reduce(
-        lambda so_far, r: so_far.when(F.col(label) == F.lit(r[label]), F.lit(r["weight"])),
-        rows[1:], F.when(F.col(label) == F.lit(rows[0][label]), F.lit(rows[0]["weight"])),
-    )
-    return df.withColumn(name, weight)
+    """Adds the balanced class weight."""
+    weights = class_weights(df, label).select(F.col(label).alias("_of"), F.col("weight").alias(name))
+    return df.join(weights, F.col(label).eqNullSafe(F.col("_of"))).drop("_of")
 
 
 def evaluate(
     scored: DataFrame, label: str = "label", prediction: str = "prediction", probability: str = "probability"
 ) -> DataFrame:
     """All scalar metrics of a scored table as (metric, value) rows."""
-    scored = scored.select(label, prediction, probability).persist()
-    counted = binary_scores(scored, label, prediction)
-    row = counted.first().asDict()
+    scored = settled(scored.select(label, prediction, probability), "scored")
+    row = binary_scores(scored, label, prediction).first().asDict()
     row["log_loss"] = log_loss(scored, label, probability).first()[0]
     row["roc_auc"] = roc_auc(scored, label, probability).first()[0]
     return scored.sparkSession.createDataFrame(

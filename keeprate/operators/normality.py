@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from keeprate.functions.normal import log_normal_cdf
 from keeprate.operators.ordered import running_totals
+from keeprate.operators.profile import _number
 from keeprate.operators.project import unpivot
 
 # 5 % point for estimated mean and deviation (Stephens 1974).
@@ -26,15 +27,15 @@ def anderson_darling(df: DataFrame, columns: list[str], critical: float = CRITIC
     A constant column has no defined statistic: it is reported null and not normal.
     """
     values = (
-        unpivot(df, columns, "double").filter(F.col("value").isNotNull())
+        unpivot(df, columns, "double").filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = running_totals(values, "value", {"upto": "n"}, by="column")
     moments = df.agg(*[
         F.struct(
-            F.count(c).alias("n"),
-            F.avg(F.col(c).cast("double")).alias("mean"),
-            F.stddev_samp(F.col(c).cast("double")).alias("std"),
+            F.count(_number(c)).alias("n"),
+            F.avg(_number(c)).alias("mean"),
+            F.stddev_samp(_number(c)).alias("std"),
         ).alias(c)
         for c in columns
     ]).first()

@@ -1,54 +1,29 @@
 """Ranks and running totals over a whole table without a one-task window.
 
-A window without ``partitionBy`` sends every row to one task. Here the key range
-is cut into buckets at values taken from a bounded sample of the keys; bucket totals (one row per bucket) give each bucket its starting offset, and
-a window inside each bucket does the rest. Bucket membership is a pure function of
-the key, so a recomputed task after an executor loss gives the same rows.
+A window without ``partitionBy`` sends every row to one task. Here the rows are
+range-partitioned by the key and written once, so that every reader sees the same
+ranges; one total per range gives each range its starting offset, and a window inside
+each range does the rest. The number of ranges is Spark's shuffle partition setting
+(AQE may merge small neighbours), so it grows with the cluster's settings and has no limit here.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SAMPLES_PER_BUCKET = 64
-
-
-def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return buckets
-    return min(512, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+from keeprate.session import settled
 
 
 def hash_sample(df: DataFrame, column: str, rows: int, size: int) -> DataFrame:
     """About ``size`` of the ``rows`` rows, chosen by the hash of a column: the same ones every time."""
     share = max(1, rows // size)
-    return df.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0).limit(4 * size)
-
-
-def cut_points(values: DataFrame, key: str, buckets: int | None = None) -> list:
-    """At most ``buckets - 1`` ordered cut values; none when there are few keys.
-
-    The cuts only balance the buckets, so a bounded sample of the keys will do.
-    """
-    buckets = _bucket_count(values, buckets)
-    size = buckets * SAMPLES_PER_BUCKET
-    rows = values.count()
-    if rows <= size:
-        return []
-    ordered = sorted(r.k for r in hash_sample(values.select(F.col(key).alias("k")), "k", rows, size).collect())
-    return sorted({ordered[i * len(ordered) // buckets] for i in range(1, buckets)}) if ordered else []
-
+    return df.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0)
 
-def bucket_of(key: str, cuts: list) -> Column:
-    """Number of cuts at or below the key, as a balanced tree of comparisons."""
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col(key) < F.lit(cuts[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return tree(0, len(cuts))
+def ranged(values: DataFrame, key: str, by: str | None = None) -> DataFrame:
+    """The rows with ``_range``, the number of their key range; written once."""
+    order = [by, key] if by else [key]
+    return settled(values.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
 
 
 def running_totals(
@@ -57,43 +32,34 @@ def running_totals(
     totals: dict[str, str],
     by: str | None = None,
     descending: bool = False,
-    buckets: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums in key order.
 
-    ``values`` holds one row per key (per ``by`` group): group equal keys first.
-    Keys are not null. ``totals`` maps new columns to the columns summed, and ``by``
-    restarts the sums per group. The input is kept (memory, then disk) because the
-    sample, the bucket totals and the result all read it.
+    ``values`` holds one row per key (per ``by`` group): group equal keys first, and select the
+    needed columns, since the rows are written once. Keys are not null. ``totals`` maps new
+    columns to the columns summed, and ``by`` restarts the sums per group.
     """
-    values = values.persist()
-    cuts = cut_points(values, key, buckets)
     groups = [by] if by else []
-    bucketed = values.withColumn("_bucket", bucket_of(key, cuts))
+    placed = ranged(values, key, by)
     order = F.col(key).desc() if descending else F.col(key).asc()
-    inside = Window.partitionBy(*groups, "_bucket").orderBy(order).rowsBetween(
+    inside = Window.partitionBy(*groups, "_range").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    running = bucketed.select(
-        "*", *[F.sum(source).over(inside).alias(name) for name, source in totals.items()]
-    )
-    if not cuts:
-        return running.drop("_bucket")
-
-    sums = bucketed.groupBy(*groups, "_bucket").agg(
+    running = placed.select("*", *[F.sum(source).over(inside).alias(name) for name, source in totals.items()])
+    sums = placed.groupBy(*groups, "_range").agg(
         *[F.sum(source).alias(name) for name, source in totals.items()]
     )
-    # One row per group and bucket; without groups that is at most `buckets` rows.
-    bucket_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(bucket_order).rowsBetween(
+    # One row per group and range; without groups that is one row per range.
+    range_order = F.col("_range").desc() if descending else F.col("_range").asc()
+    earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(range_order).rowsBetween(
         Window.unboundedPreceding, -1
     )
     before = sums.select(
         *[F.col(g).alias(f"_of_{g}") for g in groups],
-        F.col("_bucket").alias("_of_bucket"),
+        F.col("_range").alias("_of_range"),
         *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}") for name in totals],
     )
-    same = F.col("_bucket") == F.col("_of_bucket")
+    same = F.col("_range") == F.col("_of_range")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     return running.join(before, same).select(
@@ -102,14 +68,30 @@ def running_totals(
     )
 
 
+def with_next(values: DataFrame, key: str, what: Column, name: str) -> DataFrame:
+    """Adds ``what`` of the row with the next smaller key, null for the smallest."""
+    placed = ranged(values, key).withColumn("_what", what)
+    inside = F.lead("_what").over(Window.partitionBy("_range").orderBy(F.desc(key)))
+    heads = placed.groupBy("_range").agg(F.max_by("_what", key).alias("_head"))
+    # One row per range.
+    heads = heads.select(
+        F.col("_range").alias("_of"), F.lag("_head").over(Window.partitionBy(F.lit(0)).orderBy("_range")).alias("_head")
+    )
+    return placed.withColumn("_inside", inside).join(heads, F.col("_range") == F.col("_of")).select(
+        *values.columns, F.coalesce("_inside", "_head").alias(name)
+    )
+
+
 def row_numbers(df: DataFrame, key: str, name: str = "row_no", by: str | None = None) -> DataFrame:
-    """1-based row number in the order of a unique key."""
-    counted = df.withColumn("_one", F.lit(1).cast("long"))
-    return running_totals(counted, key, {name: "_one"}, by=by).drop("_one")
+    """1-based row number in the order of a unique key; only the key is written and sorted."""
+    keys = df.select(*([by] if by else []), key, F.lit(1).cast("long").alias("_one"))
+    numbered = running_totals(keys, key, {name: "_one"}, by=by).select(F.col(key).alias("_key"), name)
+    return df.join(numbered, F.col(key) == F.col("_key")).drop("_key")
 
 
 def dense_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     """(value, code) with codes 0..n-1 in value order, nulls as the text ``nan``."""
     distinct = df.select(F.coalesce(F.col(column).cast("string"), F.lit("nan")).alias(column)).distinct()
-    numbered = row_numbers(distinct, column, name)
+    ones = distinct.withColumn("_one", F.lit(1).cast("long"))
+    numbered = running_totals(ones, column, {name: "_one"}).drop("_one")
     return numbered.withColumn(name, (F.col(name) - 1).cast("int"))

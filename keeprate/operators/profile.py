@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keeprate.operators.project import unpivot
@@ -19,12 +17,19 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
+def _present(df: DataFrame, column: str) -> Column:
+    """The value, with NaN as null: the one rule of this module for what is missing."""
+    value = F.col(column)
+    return F.when(~F.isnan(column), value) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else value
+
+
+def _number(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _missing(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    absent = F.col(column).isNull()
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        absent = absent | F.isnan(column)
-    return F.count(F.when(absent, 1))
+    return F.count(F.when(_present(df, column).isNull(), 1))
 
 
 def _per_column(df: DataFrame, columns: list[str], measure, name: str) -> DataFrame:
@@ -45,10 +50,10 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate
     """
     columns = columns or df.columns
     if approximate:
-        return _per_column(df, columns, lambda c: F.approx_count_distinct(c), "distinct_values")
+        return _per_column(df, columns, lambda c: F.approx_count_distinct(_present(df, c)), "distinct_values")
     # Adding zero makes -0.0 and 0.0 one value in text form.
     signless = df.select(*[
-        (F.col(c) + F.lit(0.0)).alias(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else c
+        (_present(df, c) + F.lit(0.0)).alias(c) if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else c
         for c in columns
     ])
     found = unpivot(signless, columns, "string").groupBy("column", "value").agg(F.lit(1).alias("one"))
@@ -74,11 +79,11 @@ def column_info(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample deviation, min, exact quartiles, max: one row per column."""
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numeric = df.select(*[_number(c).alias(c) for c in columns])
     basics = numeric.agg(*[
         F.struct(F.count(c), F.avg(c), F.stddev_samp(c), F.min(c), F.max(c)).alias(c) for c in columns
     ]).first()
-    quartiles = exact_quantiles(numeric, columns, [0.25, 0.5, 0.75], counts={c: basics[c][0] for c in columns})
+    quartiles = exact_quantiles(numeric, columns, [0.25, 0.5, 0.75])
     return _rows(
         df,
         [(c, *basics[c][:4], *quartiles[c], basics[c][4]) for c in columns],
@@ -132,7 +137,7 @@ def count_by_class(df: DataFrame, column: str, flag: str = "churn") -> DataFrame
 def means_and_deviations(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column, from one scan."""
     row = df.agg(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns
+        F.struct(F.avg(_number(c)).alias("mean"), F.stddev_pop(_number(c)).alias("std")).alias(c) for c in columns
     ]).first()
     return {c: (row[c]["mean"], row[c]["std"]) for c in columns}
 
@@ -142,9 +147,14 @@ def mean_std_table(df: DataFrame, columns: list[str]) -> DataFrame:
     return _rows(df, [(c, *found[c]) for c in columns], "column string, mean double, std_pop double")
 
 
+def _finite(column: str) -> Column:
+    return F.when(F.abs(_number(column)) < float("inf"), F.col(column).cast("double"))
+
+
 def ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
+    """Smallest and largest finite value of each column."""
     row = df.agg(*[
-        F.struct(F.min(F.col(c).cast("double")).alias("low"), F.max(F.col(c).cast("double")).alias("high")).alias(c)
+        F.struct(F.min(_finite(c)).alias("low"), F.max(_finite(c)).alias("high")).alias(c)
         for c in columns
     ]).first()
     return {c: (row[c]["low"], row[c]["high"]) for c in columns}
@@ -161,7 +171,7 @@ def _bin_number(value: Column, low: Column, step: Column, bins: int) -> Column:
 def histogram(df: DataFrame, columns: list[str], bins: int, by: str | None = None) -> DataFrame:
     """Counts in equal-width bins shared by all classes of ``by``; empty bins count 0.
 
-    A constant column gets the single bin 0.
+    A constant column gets the single bin 0. Null, NaN and infinite values are in no bin.
     """
     keep = [by] if by else []
     # Constant columns have no width: only their bin 0 exists.
@@ -174,8 +184,8 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: str | None = Non
     binned = F.array(*[
         F.struct(
             F.lit(c).alias("column"),
-            (_bin_number(F.col(c).cast("double"), F.lit(limits[c][0]), F.lit(width[c]), bins)
-             if width[c] else F.when(F.col(c).isNotNull(), F.lit(0))).alias("bin"),
+            (_bin_number(_finite(c), F.lit(limits[c][0]), F.lit(width[c]), bins)
+             if width[c] else F.when(_finite(c).isNotNull(), F.lit(0))).alias("bin"),
         )
         for c in limits
     ])
@@ -185,11 +195,12 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: str | None = Non
     )
     frame = _rows(df, edges, "column string, bin int, low double, high double")
     if by:
-        # The classes of a histogram are few; the aggregate has one row per class.
-        classes = df.groupBy(by).count().agg(F.collect_set(by).alias("classes")).first()["classes"]
-        frame = frame.withColumn(by, F.explode(F.array(*[F.lit(x) for x in classes])))
+        listed = frame.agg(F.collect_list(F.struct("column", "bin", "low", "high")).alias("edges"))  # one row
+        frame = df.select(by).distinct().join(listed).select(by, F.inline("edges"))
     # bins x columns x classes rows against counts of the same size.
-    return frame.join(counts, [*keep, "column", "bin"], "left").select(
+    counts = counts.withColumnsRenamed({c: f"_{c}" for c in (*keep, "column", "bin")})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keep, "column", "bin")]
+    return frame.join(counts, same, "left").select(
         *keep, "column", "bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n")
     )
 
@@ -197,38 +208,27 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: str | None = Non
 def density(df: DataFrame, column: str, by: str | None = None, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid, scaled by class share.
 
-    The bandwidth per class is Scott's rule. Equal values are merged first, and
-    each remaining value adds to the grid sums on the map side, so the shuffle
-    carries only grid-size partial sums.
+    The bandwidth per class is Scott's rule. Each row adds to the grid sums of its class in
+    the task that reads it, so the shuffle carries one row of ``points`` sums per class and task.
+    Null, NaN and infinite values are left out, as are classes without spread.
     """
-    source = df.select(
-        F.col(column).cast("double").alias("x"), (F.col(by) if by else F.lit("all")).alias("class")
-    ).filter(F.col("x").isNotNull())
+    source = df.select(_finite(column).alias("x"), (F.col(by) if by else F.lit("all")).alias("class")).filter(F.col("x").isNotNull())
     stats = source.groupBy("class").agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("low"), F.max("x").alias("high"),
-    ).collect()
-    stats = [s for s in stats if s["std"]]
+        F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("std"), F.min("x").alias("low"), F.max("x").alias("high"),
+    ).filter(F.col("std") > 0)
+    whole = stats.agg(F.sum("n"), F.min("low"), F.max("high")).first()
     schema = f"class {source.schema['class'].dataType.simpleString()}, point int, x double, density double"
-    if not stats:
+    if not whole[0]:
         return _rows(df, [], schema)
-    total = sum(s["n"] for s in stats)
-    low, high = min(s["low"] for s in stats), max(s["high"] for s in stats)
+    total, low, high = whole
     step = (high - low) / (points - 1)
-    width = F.coalesce(*[
-        F.when(F.col("class") == F.lit(s["class"]), F.lit(s["std"] * s["n"] ** -0.2)) for s in stats
-    ])
-    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    kernel = F.exp(-0.5 * F.pow((F.col("grid_x") - F.col("x")) / F.col("h"), 2)) / F.col("h")
-    return (
-        source.groupBy("class", "x").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("h", width).filter(F.col("h").isNotNull())
-        .select("class", "x", "n", "h", grid)
-        .withColumn("grid_x", F.lit(low) + F.col("point") * F.lit(step))
-        .groupBy("class", "point")
-        .agg((F.sum(F.col("n") * kernel) / F.lit(total * (2 * 3.141592653589793) ** 0.5)).alias("density"))
-        .select("class", "point", (F.lit(low) + F.col("point") * F.lit(step)).alias("x"), "density")
-    )
+    widths = stats.select(F.col("class").alias("_of"), (F.col("std") * F.pow("n", F.lit(-0.2))).alias("h"))
+    kernel = lambda i: F.exp(-0.5 * F.pow((F.lit(low + i * step) - F.col("x")) / F.col("h"), 2)) / F.col("h")
+    sums = source.join(widths, F.col("class").eqNullSafe(F.col("_of"))).groupBy("class").agg(
+        *[F.sum(kernel(i)).alias(f"s{i}") for i in range(points)])
+    scale = F.lit(total * (2 * 3.141592653589793) ** 0.5)
+    return sums.select("class", F.posexplode(F.array(*[f"s{i}" for i in range(points)])).alias("point", "sum")).select(
+        "class", "point", (F.lit(low) + F.col("point") * F.lit(step)).alias("x"), (F.col("sum") / scale).alias("density"))
 
 
 def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -239,7 +239,7 @@ def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
         q1, _, q3 = quartiles[c]
         if q1 is None:
             q1 = q3 = 0.0
-        value = F.col(c).cast("double")
+        value = _number(c)
         low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
         within = F.when(value.between(low, high), value)
         aggregates.append(F.struct(
@@ -257,26 +257,16 @@ def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair, as (column_a, column_b, correlation).
 
-    A pair with a constant column is null. With nulls in the table each pair uses
-    the rows complete for it.
+    A pair with a constant column is null. Each pair uses the rows that are complete for it.
     """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    missing = numeric.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns]).first()
+    numeric = df.select(*[_number(c).alias(c) for c in columns])
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    row = numeric.agg(*[_pair_correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]).first()
     records = []
-    if not any(missing):
-        vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(numeric).select("v")
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        for i, a in enumerate(columns):
-            for j, b in enumerate(columns):
-                value = float(matrix[i, j])
-                records.append((a, b, None if value != value else value))
-    else:
-        pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-        row = numeric.agg(*[_pair_correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]).first()
-        for i, (a, b) in enumerate(pairs):
-            records.append((a, b, row[i]))
-            if a != b:
-                records.append((b, a, row[i]))
+    for i, (a, b) in enumerate(pairs):
+        records.append((a, b, row[i]))
+        if a != b:
+            records.append((b, a, row[i]))
     return _rows(df, records, "column_a string, column_b string, correlation double")
 
 
