@@ -17,7 +17,7 @@ Arrow batches, and needs no shuffle; the model that goes to the tasks has at mos
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +30,8 @@ from keeprate.llm.common import col, fresh, held_out
 SAMPLE = 4_000
 VOCABULARY = 20_000
 ROUNDS = 200
-CACHED = 200_000  # words whose features a task remembers
+SLOTS = 1 << 21
+CACHED = 100_000  # words whose features a task remembers
 SENTENCE = re.compile(r"[^.!?\n]+")
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5, 6, 7)  # inflected and compound words share their beginning
@@ -41,36 +42,42 @@ def features(word: str) -> list[str]:
     return [word, *(f"^{word[:k]}" for k in PREFIXES if len(word) > k)]
 
 
-def _bags(texts: list[str]) -> list[list[set[str]]]:
-    return [[{f for w in set(TOKEN.findall(s.lower())) for f in features(w)} for s in SENTENCE.findall(t or "")] for t in texts]
+def _slot(feature: str) -> int:
+    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % SLOTS
+
+
+def sentences(text: str | None) -> Iterator[set[str]]:
+    """The features of each sentence."""
+    for sentence in SENTENCE.findall(text or ""):
+        yield {f for w in set(TOKEN.findall(sentence.lower())) for f in features(w)}
 
 
 def train(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> dict:
     """Words with their weights, the sentence bias and the leak, from labelled texts."""
-    bags = _bags(texts)
-    seen = [Counter(), Counter()]
-    for bag, label in zip(bags, labels):
-        seen[int(label)].update({w for sentence in bag for w in sentence})
+    # Documents with a feature by label, counted in slots, so that memory does not follow the vocabulary.
+    seen = np.zeros((2, SLOTS), np.int32)
+    for text, label in zip(texts, labels):
+        seen[int(label), list({_slot(f) for sentence in sentences(text) for f in sentence})] += 1
     n = np.array([max((labels == 0).sum(), 1), max((labels == 1).sum(), 1)], dtype=float)
-    strength = {}
-    for word in seen[1] | seen[0]:
-        rates = (seen[0][word] + 0.5) / (n[0] + 1), (seen[1][word] + 0.5) / (n[1] + 1)
-        if seen[0][word] + seen[1][word] >= 5:
-            spread = np.sqrt(sum(r * (1 - r) / k for r, k in zip(rates, n)))
-            if abs(rates[1] - rates[0]) > 3.5 * spread:
-                strength[word] = abs(rates[1] - rates[0]) / spread
-    words = sorted(strength, key=lambda w: (-strength[w], w))[:VOCABULARY]
+    rates = (seen + 0.5) / (n[:, None] + 1)
+    strength = np.abs(rates[1] - rates[0]) / np.sqrt((rates * (1 - rates) / n[:, None]).sum(axis=0))
+    strength[seen.sum(axis=0) < 5] = 0
+    chosen = np.argsort(-strength, kind="stable")[:VOCABULARY]
+    chosen = set(chosen[strength[chosen] > 3.5].tolist())
+    words = sorted({f for text in texts for sentence in sentences(text) for f in sentence if _slot(f) in chosen})[:VOCABULARY]
     place = {w: i for i, w in enumerate(words)}
-    rows, columns, owners = [], [], []
-    for d, bag in enumerate(bags):
-        for sentence in bag:
-            known = {place[w] for w in sentence if w in place}
+    del seen, rates, strength
+    rows, columns, owners, count = [], [], [], np.zeros(len(texts))
+    for d, text in enumerate(texts):
+        for sentence in sentences(text):
+            count[d] += 1
+            known = sorted(place[w] for w in sentence if w in place)
             if known:  # other sentences all have the bias alone and are counted below
                 columns.extend(known)
                 rows.extend([len(owners)] * len(known))
                 owners.append(d)
     rows, columns, owners = np.array(rows, int), np.array(columns, int), np.array(owners, int)
-    plain = np.array([len(bag) for bag in bags], float) - np.bincount(owners, minlength=len(bags))
+    plain = count - np.bincount(owners, minlength=len(texts))
     theta, bias, leak = np.zeros(len(words)), -4.0, -3.0
     y, w = labels.astype(float), weights / weights.sum()
     moments = [np.zeros(len(words) + 2), np.zeros(len(words) + 2)]
@@ -78,7 +85,7 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> dict:
     for step in range(1, ROUNDS + 1):
         z = bias + np.bincount(rows, theta[columns], minlength=len(owners))
         p, p0, q = sigmoid(z), sigmoid(bias), sigmoid(leak)
-        none = np.bincount(owners, np.log1p(-p), minlength=len(bags)) + plain * np.log1p(-p0) + np.log1p(-q)
+        none = np.bincount(owners, np.log1p(-p), minlength=len(texts)) + plain * np.log1p(-p0) + np.log1p(-q)
         score = np.clip(-np.expm1(none), 1e-9, 1 - 1e-9)
         # d loss / d none, where none is the log of the chance that nothing offends.
         push = w * (y * (1 - score) / score - (1 - y))
