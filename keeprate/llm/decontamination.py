@@ -133,12 +133,14 @@ def _near(whole: DataFrame, tests: DataFrame, least: float) -> DataFrame:
     windows = settled(hits.select("key", "text_hash", "length", F.explode(starts).alias("start")).distinct(), "windows")
     marked = windows.select("key", "text_hash").distinct()
     texts = whole.join(marked, ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
-    texts = settled(texts.select("key", "text_hash", _shingles(_words(F.col("text")), SHINGLE).alias("all")), "marked-texts")
+    texts = texts.select("key", "text_hash", _words(F.col("text")).alias("words"))  # a column of its own: it is read for every shingle
+    texts = settled(texts.select("key", "text_hash", _shingles(F.col("words"), SHINGLE).alias("all")), "marked-texts")
     sliced = windows.join(texts, ["key", "text_hash"]).select(
         "key", "text_hash", "length", "start", F.slice("all", F.col("start") + 1, F.col("length") - SHINGLE + 1).alias("own"))
     sliced = settled(sliced, "sliced")
     printed = _fingerprints(sliced.select("key", "text_hash", "length", "start", F.explode("own").alias("s")),
                             ["key", "text_hash", "length", "start"])
+    printed = settled(printed, "prints")
     of_items = _fingerprints(tests.select("item_id", "item", "n", F.explode("shingles").alias("s")), ["item_id", "item", "n"])
     of_items = settled(of_items.withColumnRenamed("fingerprint", "item_print"), "item-prints")
     index = of_items.withColumnRenamed("item_print", "fingerprint").select(
