@@ -6,12 +6,14 @@ A candidate pair's signatures are compared batch by batch; it is dropped as soon
 posterior chance that its similarity reaches the threshold falls below ``MISS``. The
 survivors are confirmed on the full sets.
 
-A bucket of m members never becomes m * m pairs. It is worked off in rounds: a few pivots
-(the members that share most buckets, so the centre of a group of near copies) are
-compared with the members of other components; links merge components; a bucket is done
-when one component is left. What pivots were compared with everything leave their bucket, and their
-number grows fourfold a round, so the rounds are few and no candidate is skipped.
-Links, components and signatures stay in tables; the driver sees counts.
+A bucket of m members never becomes m * m pairs. First each member is compared with one, the
+member that shares most buckets, which is the centre of a group of near copies; links merge components.
+Where components are left apart, their members meet anew at their rarest shingles: sets of similarity t
+share one of the n - ceil(t * n) + 1 rarest, and its place in both orders bounds their intersection,
+so pairs that only share what the whole group shares are never made. These meetings are worked off in
+rounds: a few pivots are compared with the members of other components that the bound
+allows, then leave; their number grows eightfold a round, so the rounds are few and no candidate is
+skipped. Links, components and signatures stay in tables; the driver sees counts.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from keeprate.llm import rolling
 from keeprate.session import settled
@@ -29,6 +32,7 @@ from keeprate.session import settled
 ROWS, BANDS = 5, 24  # a pair at similarity 0.85 misses all bands with a chance below 1e-6, at 0.8 below 1e-4
 HASHES = ROWS * BANDS
 BATCH = 20  # signature places compared at a time
+SLOT_BITS = 20  # of the counters that order shingles by rarity; any order is right
 MISS = 1e-5  # chance of losing a pair at the threshold
 NO_ID = np.iinfo(np.int64).max
 
@@ -191,8 +195,8 @@ def group(spark: SparkSession, docs: DataFrame, width: int = 5, least: int = 80,
     docs = docs.select("doc_id", "text")
     rows = settled(profiles(docs, width), "profiles")
     nodes = rows.filter(F.col("n") > 0).groupBy("class").agg(
-        F.min(F.struct("key", "text_hash")).alias("root"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    nodes = settled(nodes.select("class", "root.*", "bands", "signature"), "nodes")
+        F.min(F.struct("key", "text_hash")).alias("root"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    nodes = settled(nodes.select("class", "n", "root.*", "bands", "signature"), "nodes")
     labels = _linked(spark, docs, nodes, width, least, per)
     named = nodes.select("class", "key").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
     smallest = named.groupBy("label").agg(F.min("key").alias("component"))
@@ -203,6 +207,85 @@ def group(spark: SparkSession, docs: DataFrame, width: int = 5, least: int = 80,
         (F.col("key") == F.col("component")).alias("kept"))
 
 
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _slot_counts(texts: DataFrame, width: int) -> np.ndarray:
+    """How often shingles fall into each slot, for an order by rarity; 2 ** ``SLOT_BITS`` numbers at every size."""
+    part = 1 << 10
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for shingles in shingle_sets(batch.column(1), width):
+                np.add.at(total, _slot(shingles), 1)
+        rows = [(i, x.tobytes()) for i, x in enumerate(total.reshape(-1, part)) if x.any()]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([i for i, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["part", "counts"])
+
+    def add(key, frame):
+        total = sum(np.frombuffer(x, np.int64) for x in frame["counts"])
+        return pd.DataFrame({"part": [int(key[0])], "counts": [total.tobytes()]})
+
+    rows = texts.select("class", "text").mapInArrow(count, "part int, counts binary").groupBy("part").applyInPandas(
+        add, "part int, counts binary").collect()
+    out = np.zeros((1 << SLOT_BITS) // part * part, np.int64).reshape(-1, part)
+    for row in rows:
+        out[row.part] = np.frombuffer(row.counts, np.int64)
+    return out.reshape(-1)
+
+
+def _meetings(texts: DataFrame, width: int, least: int, per: int) -> DataFrame:
+    """(class, n, bucket, place): the rarest shingles of each class, of which linked classes share one."""
+    counts = texts.sparkSession.sparkContext.broadcast(_slot_counts(texts, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                rows = batch.slice(start, 256)
+                chosen, sizes = [], []
+                for shingles in shingle_sets(rows.column(1), width):
+                    n = len(shingles)
+                    order = np.lexsort((shingles, counts.value[_slot(shingles)]))
+                    chosen.append(shingles[order[:n - -(-least * n // per) + 1]].astype(np.int64))
+                    sizes.append(n)
+                times = [len(x) for x in chosen]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(np.asarray(rows.column(0)), times)), pa.array(np.repeat(np.array(sizes, np.int64), times)),
+                    pa.array(np.concatenate(chosen)), pa.array(np.concatenate([np.arange(t) for t in times]).astype(np.int32))],
+                    ["class", "n", "bucket", "place"])
+
+    return texts.select("class", "text").mapInArrow(run, "class long, n long, bucket long, place int")
+
+
+def _may_link(least: int, per: int) -> Column:
+    """False where the places at which two classes first meet keep their similarity below the threshold."""
+    both = F.least(F.col("n") - F.col("place"), F.col("pivot_n") - F.col("pivot_place"))
+    return per * both >= least * (F.col("n") + F.col("pivot_n") - both)
+
+
+class _Verifier:
+    """Links between candidate pairs (a, b): signatures first, then the full sets."""
+
+    def __init__(self, signatures: DataFrame, texts: DataFrame, width: int, least: int, per: int):
+        self.signatures, self.texts, self.width, self.least, self.per = signatures, texts, width, least, per
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        signed = pairs.distinct().join(self.signatures.toDF("a", "sa"), "a").join(self.signatures.toDF("b", "sb"), "b")
+        likely = settled(_pruned(signed, self.least / self.per), "likely")
+        with_texts = likely.join(self.texts.toDF("b", "tb"), "b").join(self.texts.toDF("a", "ta"), "a")
+        return settled(_confirmed(with_texts, self.width, self.least, self.per), "confirmed")
+
+
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their labels, of buckets that hold several components."""
+    now = members.join(labels, "class")
+    several = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(
+        F.col("low") != F.col("high")).select("bucket")
+    return settled(now.join(several, "bucket"), "apart")
+
+
 def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int, least: int, per: int) -> DataFrame:
     """(class, label): component labels of the classes that share a bucket with another."""
     banded = nodes.select("class", F.explode("bands").alias("bucket"))
@@ -212,35 +295,39 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
     buckets = settled(buckets.groupBy("size", "sum").agg(F.min("bucket").alias("bucket"), F.count("*").alias("times")), "buckets")
     members = settled(banded.join(buckets, "bucket").select("bucket", "class", "size", "times"), "members")
     degree = members.groupBy("class").agg(F.sum(F.col("size") * F.col("times")).alias("degree"))
-    degree = settled(degree, "degree")
-    texts = degree.join(nodes.select("class", "key", "text_hash"), "class").drop("degree")
+    sharing = settled(degree.join(nodes.drop("bands"), "class"), "sharing")
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("key"), F.xxhash64("text").alias("text_hash"), "text")
-    texts = settled(keyed.join(texts, ["key", "text_hash"]).groupBy("class").agg(F.first("text").alias("text")), "texts")
-    signatures = degree.join(nodes.select("class", "signature"), "class")
-    signatures = settled(signatures.select("class", "signature"), "signatures")
-    labels = settled(degree.select("class", F.col("class").alias("label")), "labels")
-    open_members = members.select("bucket", "class").join(degree, "class")
-    pivots_a_round = 1
+    texts = keyed.join(sharing.select("class", "key", "text_hash"), ["key", "text_hash"])
+    texts = settled(texts.groupBy("class").agg(F.first("text").alias("text")), "texts")
+    labels = settled(sharing.select("class", F.col("class").alias("label")), "labels")
+    verifier = _Verifier(sharing.select("class", "signature"), texts, width, least, per)
+
+    # Every member against its bucket's centre.
+    placed = members.select("bucket", "class").join(sharing.select("class", "degree", "n"), "class")
+    centres = placed.groupBy("bucket").agg(F.max(F.struct("degree", "class", "n")).alias("centre"))
+    near = placed.join(centres, "bucket").filter((F.col("class") != F.col("centre.class")) & (
+        per * F.least("n", "centre.n") >= least * F.greatest("n", "centre.n")))
+    labels = components(verifier.links(near.select(F.col("centre.class").alias("a"), F.col("class").alias("b"))), labels)
+
+    # The members of buckets that still hold several components, at their rarest shingles.
+    left = _apart(members.select("bucket", "class"), labels).select("class").distinct()
+    meetings = settled(_meetings(texts.join(left, "class"), width, least, per), "meetings")
+    shared = meetings.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    open_members = settled(meetings.join(shared.select("bucket"), "bucket"), "open")
+    pivots_a_round = 8
     while True:
-        now = open_members.join(labels, "class")
-        mixed_buckets = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(
-            F.col("low") != F.col("high")).select("bucket")
-        now = settled(now.join(mixed_buckets, "bucket"), "open")
+        now = _apart(open_members, labels)
         if now.isEmpty():
             return labels
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "class"))
-        pivots = settled(now.withColumn("place", place).filter(F.col("place") <= pivots_a_round).select(
-            F.col("bucket").alias("of"), F.col("class").alias("pivot"), F.col("label").alias("pivot_label")), "pivots")
-        pairs = now.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("pivot_label")))
-        pairs = pairs.select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
-        signed = pairs.join(signatures.toDF("a", "sa"), "a").join(signatures.toDF("b", "sb"), "b")
-        likely = settled(_pruned(signed, least / per), "likely")
-        with_texts = likely.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
-        links = settled(_confirmed(with_texts, width, least, per), "confirmed")
-        labels = components(links, labels)
+        nth = F.row_number().over(Window.partitionBy("bucket").orderBy("place", "class"))
+        pivots = settled(now.withColumn("nth", nth).filter(F.col("nth") <= pivots_a_round).select(
+            F.col("bucket").alias("of"), F.col("class").alias("pivot"), F.col("label").alias("pivot_label"),
+            F.col("n").alias("pivot_n"), F.col("place").alias("pivot_place")), "pivots")
+        pairs = now.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("pivot_label")) & _may_link(least, per))
+        labels = components(verifier.links(pairs.select(F.col("pivot").alias("a"), F.col("class").alias("b"))), labels)
         done = pivots.select(F.col("of").alias("bucket"), F.col("pivot").alias("class"))
-        open_members = now.select("bucket", "class", "degree").join(done, ["bucket", "class"], "left_anti")
-        pivots_a_round *= 4
+        open_members = now.drop("label").join(done, ["bucket", "class"], "left_anti")
+        pivots_a_round *= 8
 
 
 def dedup(spark: SparkSession, docs: DataFrame, width: int = 5, least: int = 80, per: int = 100) -> DataFrame:
