@@ -354,7 +354,7 @@ def r06_list_versions(spark, folder):
 
 def t05_version_sort(spark, folder):
     names = version_scores(spark, folder).select(F.concat(F.lit("v"), "version").alias("name"))
-    return versions.versions_in_names(names).limit(12)
+    return versions.versions_in_names(names)
 
 
 QUERIES = registered(globals())
@@ -431,5 +431,5 @@ ORACLES = {
     "r06_list_versions": f"""{VERSION_SQL} SELECT DISTINCT version, CAST(major AS INTEGER) AS major,
       CAST(minor AS INTEGER) AS minor FROM scores""",
     "t05_version_sort": f"""{VERSION_SQL}, listed AS (SELECT DISTINCT version, major, minor FROM scores)
-      SELECT version FROM listed ORDER BY major, minor LIMIT 12""",
+      SELECT version FROM listed ORDER BY major, minor""",
 }

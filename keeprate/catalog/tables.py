@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from keeprate.catalog.common import (
     FEATURE_LIST, NUMERIC, USAGE_SQL, cs_probability, each, flagged, kept_usage, registered, rounded, smooth_probability, usage,
@@ -22,7 +24,7 @@ from keeprate.functions.normal import log_normal_cdf
 from keeprate.schema import (
     CATEGORICAL, CORRELATED, CORRELATION_AFTER, CORRELATION_BEFORE, COUNTABLE, FEATURES, MEASURES, PERIODS,
 )
-from keeprate.session import table
+from keeprate.session import settled, table
 
 # ---- projections and predicates ------------------------------------------------------
 
@@ -184,8 +186,14 @@ def a12_histogram_by_class(spark, folder):
     )
 
 
+# The columns whose density is drawn.
+DENSE = ["total_charge", "total_calls", "cs_rate"]
+
+
 def a13_density(spark, folder):
-    return rounded(profile.density(flagged(spark, folder, kept=True), "total_calls", by="churn"), {"x": 6, "density": 9})
+    rows = flagged(spark, folder, kept=True)
+    parts = [profile.density(rows, c, by="churn").select(F.lit(c).alias("column"), "*") for c in DENSE]
+    return rounded(reduce(DataFrame.unionByName, parts), {"x": 6, "density": 9})
 
 
 def a14_box_stats(spark, folder):
@@ -195,9 +203,8 @@ def a14_box_stats(spark, folder):
 
 
 def a14_box_stats_cleaned(spark, folder):
-    columns = ["account_length", "day_charge", "intl_calls"]
-    cleaned = outliers.remove_iqr_outliers(train_rows(kept_usage(spark, folder)), columns)
-    return rounded(profile.box_stats(cleaned, columns), {
+    cleaned = settled(outliers.remove_iqr_outliers(train_rows(kept_usage(spark, folder)), MEASURES), "cleaned")
+    return rounded(profile.box_stats(cleaned, MEASURES), {
         "q1": 4, "median": 4, "q3": 4, "whisker_low": 4, "whisker_high": 4,
     })
 
@@ -326,7 +333,7 @@ def f03_one_hot_stage(spark, folder):
 
 def f04_standard_scaling(spark, folder):
     u = kept_usage(spark, folder)
-    columns = ["account_length", "day_charge", "eve_calls", "cs_calls"]
+    columns = NUMERIC
     scaled = encode.standard_scaled(train_rows(u), columns, held_out_rows(u))
     return rounded(scaled.select("customer_id", *columns), {c: 6 for c in columns})
 
@@ -335,7 +342,7 @@ def f04_scaler_stage(spark, folder):
     from pyspark.ml.functions import vector_to_array
 
     u = kept_usage(spark, folder)
-    columns = ["account_length", "day_charge", "eve_calls", "cs_calls"]
+    columns = NUMERIC
     build = encode.assembler(columns, "raw")
     stages = encode.fit_scaler(build.transform(train_rows(u)), "raw", "scaled")
     out = build.transform(held_out_rows(u))
@@ -346,20 +353,20 @@ def f04_scaler_stage(spark, folder):
 
 
 def f05_zscore(spark, folder):
-    columns = ["day_minutes", "intl_calls"]
+    columns = MEASURES
     scored = outliers.zscores(kept_usage(spark, folder), columns)
     return scored.select("customer_id", *[F.round(F.abs(f"{c}_z"), 6).alias(f"{c}_z") for c in columns])
 
 
 def f06_zscore_outliers(spark, folder):
-    columns = ["account_length", "day_minutes", "eve_calls", "night_charge"]
+    columns = MEASURES
     return outliers.remove_zscore_outliers(train_rows(kept_usage(spark, folder)), columns).select("customer_id", *columns)
 
 
 def f07_iqr_outliers(spark, folder):
     return outliers.remove_iqr_outliers(
-        train_rows(kept_usage(spark, folder)), ["day_charge", "eve_charge", "intl_calls"]
-    ).select("customer_id", "day_charge", "eve_charge", "intl_calls")
+        train_rows(kept_usage(spark, folder)), MEASURES
+    ).select("customer_id", *MEASURES)
 
 
 def f07_iqr_outliers_lines(spark, folder):
@@ -376,7 +383,7 @@ def f07_iqr_outliers_at_once(spark, folder):
 
 def f07_clean(spark, folder):
     """Both rules, chosen by the normality test of each column."""
-    return outliers.clean(train_rows(kept_usage(spark, folder)), ["account_length", "day_charge", "intl_calls"]).select("customer_id")
+    return outliers.clean(train_rows(kept_usage(spark, folder)), MEASURES).select("customer_id")
 
 
 def f08_totals(spark, folder):
@@ -461,13 +468,25 @@ _STAT = "round({f}, 4)"
 _QUARTILES = "quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.75) AS q3"
 
 
-def _sequential_iqr(source: str, columns: list[str], name: str) -> str:
-    """Chain of CTEs, one per column, each over the survivors of the one before."""
+def _is_normal(column: str) -> str:
+    return f"""(SELECT is_normal FROM judged WHERE "column" = '{column}')"""
+
+
+def _within_three(columns: list[str]) -> str:
+    """CTE ``within``: training rows inside three deviations of every column that ``judged`` calls normal."""
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in columns)
+    keep = " AND ".join(f"(NOT {_is_normal(c)} OR abs((t.{c} - m_{c}) / s_{c}) < 3.0)" for c in columns)
+    return f"within AS (SELECT t.* FROM train t, (SELECT {stats} FROM train) s WHERE {keep})"
+
+
+def _sequential_iqr(source: str, columns: list[str], name: str, judged: bool = False) -> str:
+    """Chain of CTEs, one per column, each over the survivors of the one before; normal columns pass where ``judged``."""
     parts, current = [], source
     for i, c in enumerate(columns):
+        spared = f"{_is_normal(c)} OR " if judged else ""
         parts.append(f"""{name}_q{i} AS (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {current}),
         {name}_{i} AS (SELECT t.* FROM {current} t, {name}_q{i}
-          WHERE t.{c} >= q1 - 1.5 * (q3 - q1) AND t.{c} <= q3 + 1.5 * (q3 - q1))""")
+          WHERE {spared}(t.{c} >= q1 - 1.5 * (q3 - q1) AND t.{c} <= q3 + 1.5 * (q3 - q1)))""")
         current = f"{name}_{i}"
     return ", ".join(parts)
 
@@ -546,7 +565,7 @@ _NULL_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegmen
 _TYPES = {"state": "string", "intl_plan": "string", "vmail_plan": "string", "churn": "boolean"} | {
     c: "double" for p in PERIODS for c in (f"{p}_minutes", f"{p}_charge")
 }
-_SCALED = ["account_length", "day_charge", "eve_calls", "cs_calls"]
+_SCALED = NUMERIC
 _SCALING_SQL = _train(", test AS (SELECT * FROM usage WHERE split = 'test')") + " SELECT customer_id, " + ", ".join(
     f"round((t.{c} - m_{c}) / s_{c}, 6) AS {c}" for c in _SCALED
 ) + " FROM test t, (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED) + " FROM train) s"
@@ -604,17 +623,18 @@ ORACLES = {
       count(CASE WHEN churn THEN 1 END) AS "left" FROM usage GROUP BY cs_calls""",
     "a11_histogram": f"{USAGE_SQL} " + _histogram("usage", COUNTABLE, 25, None, 4),
     "a12_histogram_by_class": f"{USAGE_SQL} " + _histogram("flagged", ["total_charge", "total_calls", "cs_rate"], 30, "churn", 6),
-    "a13_density": f"""{USAGE_SQL}, s AS (
-        SELECT churn, count(*) AS n, stddev_samp(total_calls) * pow(count(*), -0.2) AS h FROM flagged GROUP BY churn),
-      r AS (SELECT min(total_calls) AS lo, max(total_calls) AS hi, count(*) AS total FROM flagged),
-      grid AS (SELECT CAST(point AS INTEGER) AS point, lo + point * ((hi - lo) / 199.0e0) AS gx, total
+    "a13_density": f"{USAGE_SQL}, longer AS (" + each(DENSE, """SELECT '{c}' AS "column", churn, CAST({c} AS DOUBLE) AS v FROM flagged""") + """), s AS (
+        SELECT "column", churn, count(*) AS n, stddev_samp(v) * pow(count(v), -0.2) AS h FROM longer WHERE v IS NOT NULL GROUP BY ALL),
+      r AS (SELECT "column", min(v) AS lo, max(v) AS hi, count(v) AS total FROM longer GROUP BY ALL),
+      grid AS (SELECT "column", CAST(point AS INTEGER) AS point, lo + point * ((hi - lo) / 199.0e0) AS gx, total
         FROM r, (SELECT unnest(range(200)) AS point))
-      SELECT s.churn AS class, point, round(gx, 6) AS x,
-        round(sum(exp(-0.5e0 * pow((gx - total_calls) / h, 2)) / h) / (total * sqrt(2e0 * pi())), 9) AS density
-      FROM flagged JOIN s ON s.churn = flagged.churn CROSS JOIN grid GROUP BY s.churn, point, gx, total""",
+      SELECT s."column", s.churn AS class, point, round(gx, 6) AS x,
+        round(sum(exp(-0.5e0 * pow((gx - v) / h, 2)) / h) / (total * sqrt(2e0 * pi())), 9) AS density
+      FROM longer JOIN s ON s.churn = longer.churn AND s."column" = longer."column" JOIN grid ON grid."column" = s."column"
+      WHERE v IS NOT NULL GROUP BY s."column", s.churn, point, gx, total""",
     "a14_box_stats": f"{USAGE_SQL} " + _box("usage", MEASURES),
-    "a14_box_stats_cleaned": _train(", " + _sequential_iqr("train", ["account_length", "day_charge", "intl_calls"], "k")) + _box(
-        "k_2", ["account_length", "day_charge", "intl_calls"]),
+    "a14_box_stats_cleaned": _train(", " + _sequential_iqr("train", MEASURES, "k")) + _box(
+        f"k_{len(MEASURES) - 1}", MEASURES),
     "a15_exact_quantile": "\nUNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST({p} AS DOUBLE) AS probability, round(quantile_cont({c}, {p}), 4) AS value FROM lineitem"""
         for c in ("l_extendedprice", "l_quantity", "l_discount") for p in (0.01, 0.25, 0.5, 0.75, 0.999)),
@@ -657,21 +677,19 @@ ORACLES = {
       FROM usage LEFT JOIN known ON usage.state = known.state""",
     "f04_standard_scaling": _SCALING_SQL,
     "f04_scaler_stage": _SCALING_SQL,
-    "f05_zscore": f"""{USAGE_SQL} SELECT customer_id, round(abs((day_minutes - m1) / s1), 6) AS day_minutes_z,
-      round(abs((intl_calls - m2) / s2), 6) AS intl_calls_z FROM usage, (SELECT avg(day_minutes) AS m1, stddev_pop(day_minutes) AS s1,
-      avg(intl_calls) AS m2, stddev_pop(intl_calls) AS s2 FROM usage) s""",
+    "f05_zscore": f"{USAGE_SQL} SELECT customer_id, " + ", ".join(f"round(abs(({c} - m_{c}) / s_{c}), 6) AS {c}_z" for c in MEASURES)
+      + " FROM usage, (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in MEASURES) + " FROM usage) s",
     "f06_zscore_outliers": _train() + " " + _zscore_filter(
-        "train", ["account_length", "day_minutes", "eve_calls", "night_charge"], 3.0,
-        "customer_id, account_length, day_minutes, eve_calls, night_charge"),
-    "f07_iqr_outliers": _train(", " + _sequential_iqr("train", ["day_charge", "eve_charge", "intl_calls"], "k"))
-      + " SELECT customer_id, day_charge, eve_charge, intl_calls FROM k_2",
+        "train", MEASURES, 3.0, "customer_id, " + ", ".join(MEASURES)),
+    "f07_iqr_outliers": _train(", " + _sequential_iqr("train", MEASURES, "k"))
+      + f" SELECT customer_id, {', '.join(MEASURES)} FROM k_{len(MEASURES) - 1}",
     "f07_iqr_outliers_lines": "WITH " + _sequential_iqr("lineitem", ["l_extendedprice", "l_quantity"], "k")
       + " SELECT count(*) AS kept, round(sum(l_quantity), 2) AS quantity FROM k_1",
     "f07_iqr_outliers_at_once": _train() + " SELECT customer_id FROM train t, (SELECT " + ", ".join(
         f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in MEASURES) + " FROM train) q WHERE " + " AND ".join(
         f"{c} BETWEEN a_{c} - 1.5 * (b_{c} - a_{c}) AND b_{c} + 1.5 * (b_{c} - a_{c})" for c in MEASURES),
-    "f07_clean": _train(", " + _sequential_iqr("train", ["account_length", "day_charge", "intl_calls"], "k"))
-      + " SELECT customer_id FROM k_2",
+    "f07_clean": _train(f", judged AS ({_normality('train', MEASURES, 4)}), " + _within_three(MEASURES) + ", "
+      + _sequential_iqr("within", MEASURES, "k", judged=True)) + f" SELECT customer_id FROM k_{len(MEASURES) - 1}",
     "f08_totals": f"{USAGE_SQL} SELECT customer_id, {_CALLS} AS total_calls, round({_CHARGE}, 2) AS total_charge FROM usage",
     "f09_service_call_rate": f"""{USAGE_SQL} SELECT customer_id, round(cs_calls / (account_length + 1.0e0), 9) AS rate_plus_one,
       round(cs_calls / nullif(CAST(account_length AS DOUBLE), 0), 9) AS rate FROM usage""",

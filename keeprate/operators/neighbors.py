@@ -18,12 +18,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from keeprate.operators.ordered import hash_sample
 from keeprate.session import settled
 
-CELL_ROWS = 16_384
-BLOCK_ROWS = 16_384
-MAX_PIVOTS = 2_048
+CELL_ROWS = 16_384  # rows a cell, as intended
+BLOCK_ROWS = 16_384  # rows of a block at most
+MAX_PIVOTS = 2_048  # what is sent to all tasks; with more rows the cells grow and are cut into more blocks
+SENT_ROWS = 65_536  # rows that a task hands on at a time
 PAIR_SLICE = 262_144
 
 
@@ -167,29 +167,31 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
     n_query = n_base if queries is base else queries.count()
     cells = min(MAX_PIVOTS, math.ceil(n_base / cell_rows)) or 1
     if cells > 1:
-        drawn = hash_sample(base.select("vector"), "vector", n_base, cells).collect() or base.select("vector").take(1)
-        pivots = np.array([r.vector for r in drawn[:cells]])
+        drawn = base.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(cells).collect()
+        pivots = np.array([r.vector for r in drawn])
         query_count, radius, bound, reach, slack = _cell_plan(queries, base, pivots, keep)
     else:
         pivots, slack = None, 0.0
         query_count, radius, bound, reach = np.array([n_query]), np.zeros(1), np.full(1, np.inf), np.array([n_base])
     # Query blocks are also small enough to occupy all cores; base blocks only bounded.
-    query_rows = max(256, min(block_rows, math.ceil(n_query / context.defaultParallelism)))
+    query_rows = max(256, min(block_rows, math.ceil(n_query / context.defaultParallelism)))  # placement only
     query_blocks = np.maximum(1, -(-query_count // query_rows))
     base_blocks = np.maximum(1, -(-reach // block_rows))
     plan = context.broadcast((pivots, radius, bound, query_count, query_blocks, base_blocks))
 
     def expand(batch, row, cell, first, second, blocks, others):
-        """Repeats each row once per block of the other side."""
+        """Repeats each row once per block of the other side, in frames of bounded size."""
         times = others[cell]
-        at = np.repeat(np.arange(len(row)), times)
-        other = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+        ends = np.cumsum(times)
         mine = (_hash(batch["point"].to_numpy()[row]) % blocks[cell].astype("uint64")).astype("int32")
-        frame = batch.iloc[row[at]].reset_index(drop=True)
-        frame.insert(0, "cell", cell[at].astype("int32"))
-        frame[first] = mine[at]
-        frame[second] = other.astype("int32")
-        return frame
+        for low in range(0, int(ends[-1]) if len(ends) else 0, SENT_ROWS):
+            slots = np.arange(low, min(low + SENT_ROWS, int(ends[-1])))
+            at = np.searchsorted(ends, slots, "right")
+            frame = batch.iloc[row[at]].reset_index(drop=True)
+            frame.insert(0, "cell", cell[at].astype("int32"))
+            frame[first] = mine[at]
+            frame[second] = (slots - (ends - times)[at]).astype("int32")
+            yield frame
 
     def send_queries(batches):
         pivots, _, _, _, query_blocks, base_blocks = plan.value
@@ -199,7 +201,7 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
                 _distances(np.stack(batch["vector"].to_numpy()), pivots).argmin(1)
                 if pivots is not None else np.zeros(n, "int64")
             )
-            yield expand(batch, np.arange(n), cell, "query_block", "base_block", query_blocks, base_blocks)
+            yield from expand(batch, np.arange(n), cell, "query_block", "base_block", query_blocks, base_blocks)
 
     def send_base(batches):
         pivots, radius, bound, query_count, query_blocks, base_blocks = plan.value
@@ -212,7 +214,7 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
                 row, cell = np.nonzero(
                     (distances - radius[None, :] <= bound[None, :] + slack) & (query_count > 0)[None, :]
                 )
-            yield expand(batch, row, cell, "base_block", "query_block", base_blocks, query_blocks)
+            yield from expand(batch, row, cell, "base_block", "query_block", base_blocks, query_blocks)
 
     blocks = "query_block int, base_block int"
     left = queries.select("point", "vector").mapInPandas(

@@ -12,6 +12,7 @@ from keeprate.operators.normality import split_by_normality
 from keeprate.operators.profile import means_and_deviations
 from keeprate.operators.project import keep_all_within
 from keeprate.operators.quantiles import exact_quantiles
+from keeprate.session import settled
 
 
 def zscores(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -44,15 +45,15 @@ def remove_iqr_outliers(df: DataFrame, columns: list[str], sequential: bool = Tr
 
     Sequential mode takes the quartiles of each column from the rows that survived
     the columns before it, so the column order matters. The filters are literal
-    ranges over the kept input and the plan stays one scan with one predicate.
+    ranges over the input, of which only the listed columns are read to find them, and the plan stays one scan with one predicate.
     The other mode takes all quartiles from the input, in one pass.
     """
     if not sequential:
         return keep_all_within(df, iqr_limits(df, columns))
-    df = df.persist()
-    kept = df
+    kept, measured = df, settled(df.select(*columns), "measured")
     for c in columns:
-        kept = keep_all_within(kept, iqr_limits(kept, [c]))
+        limits = iqr_limits(measured, [c])
+        kept, measured = keep_all_within(kept, limits), keep_all_within(measured, limits)
     return kept
 
 

@@ -12,22 +12,24 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
     MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, functions as F
 
 from keeprate.operators.adaboost import AdaBoost
 from keeprate.operators.fourier import FourierFeatures
-from keeprate.operators.metrics import binary_scores, evaluate, with_class_weight
+from keeprate.operators.metrics import evaluate, roc_auc, with_class_weight
 from keeprate.operators.neighbors import knn_probability
-from keeprate.operators.ordered import row_numbers
+from keeprate.operators.ordered import row_numbers, running_totals
 
 # Settings of the two production models.
 FOREST = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42)
 BOOSTED = dict(
     maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42
 )
+FOREST_BASE = {k: v for k, v in FOREST.items() if k != "seed"}
+DEEPEST = 30  # Spark's limit for trees without a depth setting
 
 PRODUCTION = {"random_forest": (RandomForestClassifier, FOREST), "boosted_trees": (GBTClassifier, BOOSTED)}
 
@@ -47,31 +49,43 @@ MODEL_NAMES = [
 ]
 
 
-def research_model(name: str, features: int, rounds: int = 100, seed: int = 42) -> Estimator:
-    """The estimators of the model comparison, under library-default settings."""
+def research_model(
+    name: str, features: int, rounds: int | None = None, seed: int = 42, depth: int = DEEPEST, steps: int = 100
+) -> Estimator:
+    """The estimators of the model comparison.
+
+    ``rounds`` are trees, boosting rounds or training passes; by default 50 stumps for AdaBoost, 200 passes for the network, else
+    100. ``depth`` bounds the trees that grow freely, ``steps`` the linear solvers.
+    """
     weight = {"weightCol": "weight"} if name in BALANCED else {}
     common = dict(featuresCol="features", labelCol="label")
     if name == "logistic_regression":
-        return LogisticRegression(regParam=1e-3, maxIter=100, **common, **weight)
+        return LogisticRegression(regParam=1e-3, maxIter=steps, **common, **weight)
     if name == "support_vector_machine":
-        return LinearSVC(regParam=1e-3, maxIter=50, **common, **weight)
+        return LinearSVC(regParam=1e-3, maxIter=steps, **common, **weight)
     if name == "decision_tree":
-        return DecisionTreeClassifier(maxDepth=15, seed=seed, **common, **weight)
+        return DecisionTreeClassifier(maxDepth=depth, seed=seed, **common, **weight)
     if name == "random_forest":
-        return RandomForestClassifier(numTrees=rounds, maxDepth=15, seed=seed, **common, **weight)
+        return RandomForestClassifier(numTrees=rounds or 100, maxDepth=depth, seed=seed, **common, **weight)
     if name == "naive_bayes":
         return NaiveBayes(modelType="gaussian", **common)
     if name == "gradient_boosting":
-        return GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed, **common)
+        return GBTClassifier(maxIter=rounds or 100, maxDepth=3, stepSize=0.1, seed=seed, **common)
     if name == "boosted_trees":
-        return GBTClassifier(maxIter=rounds, maxDepth=6, stepSize=0.3, seed=seed, **common)
+        return GBTClassifier(maxIter=rounds or 100, maxDepth=6, stepSize=0.3, seed=seed, **common)
     if name == "adaboost":
-        return AdaBoost(rounds=min(50, rounds), seed=seed)
+        return AdaBoost(maxIter=rounds or 50, seed=seed)
     if name == "neural_network":
-        return MultilayerPerceptronClassifier(layers=[features, 100, 2], maxIter=rounds, seed=seed, **common)
+        return MultilayerPerceptronClassifier(layers=[features, 100, 2], maxIter=rounds or 200, seed=seed, **common)
     raise ValueError(f"unsupported model type: {name}")
 
 
+def vector_size(df: DataFrame, column: str = "features") -> int:
+    """Length of a vector column, from its metadata where a stage left it there, else from one row."""
+    noted = df.schema[column].metadata.get("ml_attr", {}).get("num_attrs")
+    return noted or df.select(column).first()[0].size
+
+
 def positive_probability(scored: DataFrame) -> DataFrame:
     """``probability`` as the number for class 1; margins pass through the logistic curve."""
     if "probability" in scored.columns:
@@ -83,9 +97,9 @@ def positive_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("probability", value)
 
 
-def fit_and_score(name: str, train: DataFrame, test: DataFrame, rounds: int = 100, seed: int = 42) -> DataFrame:
+def fit_and_score(name: str, train: DataFrame, test: DataFrame, rounds: int | None = None, seed: int = 42) -> DataFrame:
     """Fits one named model on (label, features) rows and scores the test rows."""
-    size = train.first()["features"].size
+    size = vector_size(train)
     if name == "k_nearest_neighbors":
         def points(df):
             return df.select(
@@ -100,15 +114,14 @@ def fit_and_score(name: str, train: DataFrame, test: DataFrame, rounds: int = 10
         train = with_class_weight(train)
     if name == "support_vector_machine":
         curve = FourierFeatures(inputCol="features", outputCol="curved", size=max(64, 2 * size), seed=seed)
-        train = curve.transform(train).drop("features").withColumnRenamed("curved", "features").persist()
+        train = curve.transform(train).drop("features").withColumnRenamed("curved", "features")
         test = curve.transform(test).drop("features").withColumnRenamed("curved", "features")
     model = research_model(name, size, rounds, seed).fit(train)
     return positive_probability(model.transform(test)).select("customer_id", "label", "probability", "prediction")
 
 
-def compare(train: DataFrame, test: DataFrame, names: list[str] = MODEL_NAMES, rounds: int = 100) -> DataFrame:
+def compare(train: DataFrame, test: DataFrame, names: list[str] = MODEL_NAMES, rounds: int | None = None) -> DataFrame:
     """(model, metric, value) of every named model on the test rows."""
-    train, test = train.persist(), test.persist()
     out = None
     for name in names:
         rows = evaluate(fit_and_score(name, train, test, rounds)).select(F.lit(name).alias("model"), "metric", "value")
@@ -119,21 +132,6 @@ def compare(train: DataFrame, test: DataFrame, names: list[str] = MODEL_NAMES, r
 # ---- folds ---------------------------------------------------------------------------
 
 
-def fold_sizes(class_counts: list[int], folds: int) -> list[list[int]]:
-    """Rows per fold of each class, classes in order of first appearance.
-
-    Rows sorted by class are dealt to the folds in turn, so class sizes per fold
-    differ by at most one and the surplus does not pile up in the first fold.
-    """
-    sizes, start = [], 0
-    for count in class_counts:
-        sizes.append([
-            len(range((fold - start) % folds, count, folds)) for fold in range(folds)
-        ])
-        start += count
-    return sizes
-
-
 def stratified_folds(
     df: DataFrame, folds: int = 5, id_column: str = "customer_id", label: str = "label"
 ) -> DataFrame:
@@ -142,31 +140,27 @@ def stratified_folds(
     The rank inside a class comes from bucketed running totals, so a class holding
     most rows is ranked by many tasks.
     """
-    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min(id_column).alias("first")).orderBy("first")
-    counts = classes.limit(10_001).collect()
-    if len(counts) > 10_000:
-        raise ValueError("too many classes to stratify")
-    sizes = fold_sizes([r["n"] for r in counts], folds)
-    fold = None
-    for row, per_fold in zip(counts, sizes):
-        upper = [sum(per_fold[: i + 1]) for i in range(folds)]
-        place = F.lit(folds - 1)
-        for i in reversed(range(folds - 1)):
-            place = F.when(F.col("_rank") <= upper[i], F.lit(i)).otherwise(place)
-        mine = F.col(label) == F.lit(row[label])
-        fold = F.when(mine, place) if fold is None else fold.when(mine, place)
-    return row_numbers(df, id_column, "_rank", by=label).withColumn("fold", fold).drop("_rank")
+    classes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min(id_column).alias("first"))
+    # The fold that deals a class its next row is that of the number of rows of the classes before.
+    started = running_totals(classes, "first", {"upto": "n"})
+    started = started.select(F.col(label).alias("_of"), "n", (F.col("upto") - F.col("n")).alias("start"))
+    sizes = F.transform(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: F.floor(
+        (F.col("n") + folds - 1 - F.pmod(f - F.col("start"), F.lit(folds))) / folds))
+    limits = started.select("_of", F.transform(
+        F.sequence(F.lit(1), F.lit(folds)), lambda i: F.aggregate(
+            F.slice(sizes, F.lit(1), i), F.lit(0).cast("long"), lambda acc, x: acc + x)).alias("_limits"))
+    ranked = row_numbers(df, id_column, "_rank", by=label).join(limits, F.col(label).eqNullSafe(F.col("_of")))
+    fold = F.size(F.filter("_limits", lambda upto: upto < F.col("_rank")))
+    return ranked.select(*df.columns, fold.alias("fold"))
 
 
 def area_under_roc(scored: DataFrame) -> float:
-    raw = "rawPrediction" if "rawPrediction" in scored.columns else "probability"
-    return BinaryClassificationEvaluator(rawPredictionCol=raw, labelCol="label", numBins=0).evaluate(scored)
+    """By the probability of class 1: raw scores of some models are not comparable between rows."""
+    return roc_auc(positive_probability(scored)).first()[0]
 
 
 def cross_validate(folded: DataFrame, estimator: Estimator, folds: int = 5, parallelism: int = 4) -> DataFrame:
     """(metric, fold, value): area under ROC on each held-out fold, folds fitted side by side."""
-    folded = folded.persist()
-
     def one(fold: int) -> tuple[str, int, float]:
         model = estimator.fit(folded.filter(F.col("fold") != fold))
         return "roc_auc", fold, float(area_under_roc(model.transform(folded.filter(F.col("fold") == fold))))
@@ -230,7 +224,7 @@ def search_parameters(
         estimator=estimator, estimatorParamMaps=maps, trainRatio=train_ratio, parallelism=parallelism, seed=seed,
         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
     )
-    fitted = search.fit(train.persist())
+    fitted = search.fit(train)
     rows = [
         (i, {k: str(v) for k, v in s.items()}, float(accuracy))
         for i, (s, accuracy) in enumerate(zip(settings, fitted.validationMetrics))

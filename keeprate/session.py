@@ -31,24 +31,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can write to.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only a local session may fall
-    back to a temporary folder of the machine; a cluster without the setting is
+    It is the cluster's ``spark.checkpoint.dir``. Only a session inside one process, as in
+    tests, gets a folder of its own where that is unset; a cluster without the setting is
     an error, since its executors could not see such a folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="keeprate-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_folder(spark)}/keeprate-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has written to the shared folder.
+
+    For the end of a job, or between jobs whose results have been written elsewhere:
+    DataFrames that read intermediate tables can't be used afterwards.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:

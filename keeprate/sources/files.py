@@ -18,16 +18,29 @@ def to_external(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({a: b for a, b in FILE_NAMES.items() if a in df.columns})
 
 
-def read_customers_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Customer CSV with header; types are given, so train and score files agree."""
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema with a column that takes the text of records that cannot be parsed."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def read_customers_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, corrupt: bool = False) -> DataFrame:
+    """Customer CSV with header; types are given, so train and score files agree.
+
+    ``corrupt`` adds ``_corrupt_record``: the text of a malformed record, null for the others.
+    """
     schema = schema or file_schema()
-    return to_internal(spark.read.schema(schema).option("header", True).csv(path))
+    schema = with_corrupt(schema) if corrupt else schema
+    return to_internal(spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
-def read_customers_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Customer records, one JSON object per line, under their file names."""
+def read_customers_json(spark: SparkSession, path: str, schema: T.StructType | None = None, corrupt: bool = False) -> DataFrame:
+    """Customer records, one JSON object per line, under their file names; ``corrupt`` as for CSV."""
     schema = schema or file_schema(with_label=False)
-    return to_internal(spark.read.schema(schema).json(path))
+    schema = with_corrupt(schema) if corrupt else schema
+    return to_internal(spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def customers_from_records(spark: SparkSession, records: list[dict]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keeprate.functions import columns as C
 from keeprate.operators import encode, project
-from keeprate.plans.models import fold_sizes, stratified_folds
+from keeprate.plans.models import stratified_folds
 from keeprate.schema import FEATURES, file_schema
 from keeprate.sources import files
 
@@ -110,9 +110,13 @@ def test_validation_sends_faults_to_quarantine(spark):
     assert rejected.first().faults == ["State", "Area code"] and rejected.first()["Area code"] == "oops"
 
 
-def test_fold_sizes_deal_rows_in_turn():
-    assert fold_sizes([7, 5], 5) == [[2, 2, 1, 1, 1], [1, 1, 1, 1, 1]]
-    assert fold_sizes([6, 6], 4) == [[2, 2, 1, 1], [1, 1, 2, 2]]
+def test_folds_deal_the_surplus_onward(spark):
+    df = spark.createDataFrame([(i, int(i >= 7)) for i in range(12)], "customer_id long, label int")
+    rows = stratified_folds(df).collect()
+    sizes = [[sum(r.label == label and r.fold == f for r in rows) for f in range(5)] for label in (0, 1)]
+    assert sizes == [[2, 2, 1, 1, 1], [1, 1, 1, 1, 1]]
+    rows = stratified_folds(df.withColumn("label", (F.col("customer_id") >= 6).cast("int")), folds=4).collect()
+    assert [[sum(r.label == label and r.fold == f for r in rows) for f in range(4)] for label in (0, 1)] == [[2, 2, 1, 1], [1, 1, 2, 2]]
 
 
 def test_folds_are_contiguous_and_stratified(spark):

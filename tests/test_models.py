@@ -9,7 +9,7 @@ from keeprate.operators import importance
 from keeprate.operators.adaboost import AdaBoost
 from keeprate.operators.fourier import FourierFeatures
 from keeprate.plans import models, recipes
-from keeprate.plans.scoring import as_predictions, report_table, score, summary
+from keeprate.plans.scoring import as_predictions, report_table, score, split_scorable, summary
 from keeprate.plans.usage import customer_usage, held_out_rows, train_rows
 from keeprate.session import settled
 
@@ -28,7 +28,7 @@ def separable(spark):
     x = rng.normal(size=(600, 2))
     rows = [(i, float(a + 0.3 * rng.normal() > 0.4), [float(a), float(b)]) for i, (a, b) in enumerate(x)]
     df = spark.createDataFrame(rows, "customer_id long, label double, v array<double>")
-    return df.select("customer_id", "label", array_to_vector("v").alias("features")).persist()
+    return df.select("customer_id", "label", array_to_vector("v").alias("features"))
 
 
 def test_unknown_model_type_is_an_error():
@@ -59,9 +59,33 @@ def test_fit_is_repeatable(separable):
 
 
 def test_adaboost_combines_stumps(separable):
-    model = AdaBoost(rounds=8).fit(separable)
-    assert 1 <= len(model.stumps) <= 8
-    assert model.stumps[0][0].feature == 0
+    model = AdaBoost(maxIter=8).fit(separable)
+    assert 1 <= len(model.votes()) <= 8
+    assert model.votes()[0][0].feature == 0
+
+
+def test_adaboost_saves_and_loads(separable, tmp_path):
+    from keeprate.operators.adaboost import AdaBoostModel
+
+    model = AdaBoost(maxIter=7).fit(separable)
+    model.write().overwrite().save(str(tmp_path / "boosted"))
+    again = AdaBoostModel.load(str(tmp_path / "boosted"))
+    first = {r.customer_id: r.probability for r in model.transform(separable).collect()}
+    assert first == {r.customer_id: r.probability for r in again.transform(separable).collect()}
+
+
+def test_fit_does_not_depend_on_partitions(spark, usage):
+    def once(n):
+        rows = train_rows(usage).repartition(n)
+        model = recipes.fit(rows, models.production_model("random_forest", numTrees=5, maxDepth=4), "basic")
+        return {r.customer_id: r.churn_probability for r in score(model, held_out_rows(usage)).collect()}
+
+    assert once(1) == once(4) == once(8)
+
+
+def test_nothing_stays_cached(spark, usage):
+    models.compare(*(recipes.prepare(train_rows(usage), "basic").train,) * 2, names=["naive_bayes"]).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 def test_fourier_stage_saves_and_loads(spark, separable, tmp_path):
@@ -85,8 +109,17 @@ def test_new_state_is_scored_by_the_full_recipe_only(spark, usage):
     full = recipes.fit(train, models.production_model("random_forest", numTrees=3), "full")
     assert score(full, test).count() == test.count()
     basic = recipes.fit(train, models.production_model("random_forest", numTrees=3), "basic")
-    with pytest.raises(Exception, match="[Uu]nseen"):
-        score(basic, test).collect()
+    assert score(basic, test).count() == 0
+    assert {tuple(r.faults) for r in split_scorable(basic, test)[1].collect()} == {("State",)}
+
+
+def test_one_bad_record_does_not_stop_the_others(spark, usage):
+    model = recipes.fit(train_rows(usage), models.production_model("random_forest", numTrees=3), "full")
+    test = held_out_rows(usage)
+    one = test.agg(F.min("customer_id")).first()[0]
+    broken = test.withColumn("intl_plan", F.when(F.col("customer_id") == one, "yes").otherwise(F.col("intl_plan")))
+    assert score(model, broken).count() == test.count() - 1
+    assert [(r.customer_id, r.faults) for r in split_scorable(model, broken)[1].collect()] == [(one, ["International plan"])]
 
 
 def test_test_rows_do_not_change_the_fit(spark, usage):
@@ -96,6 +129,8 @@ def test_test_rows_do_not_change_the_fit(spark, usage):
 
 
 def test_balanced_recipe_and_subset(spark, usage):
+    with pytest.raises(ValueError, match="no such features"):
+        recipes.prepare(train_rows(usage), "full", subset=["total_charge", "no_such"])
     prepared = recipes.prepare(train_rows(usage), "full", balance={"k": 3}, subset=recipes.FOREST_SUBSET)
     assert prepared.names == recipes.FOREST_SUBSET
     assert prepared.train.first().features.size == len(recipes.FOREST_SUBSET)

@@ -163,3 +163,22 @@ def test_results_do_not_depend_on_partitioning(spark):
         lambda d: profile.box_stats(d, ["x"]).collect(),
     ):
         assert f(one) == f(many)
+
+
+def test_missing_numbers_count_the_same_at_every_size(spark):
+    """A third NaN among more rows than the quantile search sorts at once."""
+    n = 330_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("x"))
+    row = profile.describe(df, ["x"]).first()
+    kept = [float(i) for i in range(n) if i % 3]
+    assert row["count"] == len(kept) and row["max"] == kept[-1] and row["min"] == 1.0
+    for name, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        place = share * (len(kept) - 1)
+        low = int(place)
+        assert row[name] == pytest.approx(kept[low] + (kept[low + 1] - kept[low]) * (place - low))
+    counts = profile.histogram(df, ["x"], 10).agg(F.sum("n")).first()[0]
+    assert counts == len(kept)
+    assert profile.box_stats(df, ["x"]).first()["outliers"] == 0
+    both = df.withColumn("y", F.col("x") * 2)
+    assert all(r.correlation == pytest.approx(1.0) for r in profile.correlation_matrix(both, ["x", "y"]).collect())
+    assert profile.distinct_counts(df, ["x"]).first()["distinct_values"] == len(kept)
