@@ -170,9 +170,10 @@ def scored(docs: DataFrame, model: dict, least: float = 0.3, score_name: str = "
 
     Needs a column text. A null or empty text has no sentence; its score is the leak, the chance
     that a text without a known word is labelled toxic. Offsets count code points, end
-    exclusive. Rows keep their other columns, whatever their names; equal texts
-    have equal scores. An empty table stays empty.
+    exclusive. Rows keep their other columns; where one has an added column's name, that gets a
+    leading underscore. Equal texts have equal scores. An empty table stays empty.
     """
+    score_name, spans_name = fresh(docs, score_name, spans_name)
     schema = T.StructType([*docs.schema.fields, T.StructField(score_name, T.DoubleType()), T.StructField(spans_name, SPANS)])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
     at = docs.columns.index("text")
