@@ -211,7 +211,8 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
     chunks = hashed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     chunks = settled(chunks, "chunks")
     held = hashed.join(chunks, ["table", "bucket"]).withColumn("chunk", F.pmod(F.xxhash64("point", F.lit(2)), "chunks").cast("int"))
-    visited = asked.mapInPandas(visiting, "query_id long, q array<double>, table int, bucket long")
+    spread = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query_id")  # a query makes many probes
+    visited = spread.mapInPandas(visiting, "query_id long, q array<double>, table int, bucket long")
     ways = chunks.select(*[(F.col(c)).alias(c) for c in ("table", "bucket")], (F.col("chunks") - 1).alias("last"))
     visited = visited.join(ways, ["table", "bucket"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last"))))
     found = settled(_ranked(_search(visited, held, ["table", "bucket", "chunk"], k), k), "found")
