@@ -132,7 +132,8 @@ def _near(whole: DataFrame, tests: DataFrame, least: float) -> DataFrame:
                         F.greatest(F.lit(0), F.least(F.col("p"), F.col("n") - F.col("length"))))
     windows = settled(hits.select("key", "text_hash", "length", F.explode(starts).alias("start")).distinct(), "windows")
     marked = windows.select("key", "text_hash").distinct()
-    texts = whole.join(marked, ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
+    # Marked documents grow with the corpus: they are shuffled at every size, not sent to all tasks while they are few.
+    texts = whole.join(marked.hint("merge"), ["key", "text_hash"]).dropDuplicates(["key", "text_hash"])
     texts = texts.select("key", "text_hash", _words(F.col("text")).alias("words"))  # a column of its own: it is read for every shingle
     texts = settled(texts.select("key", "text_hash", _shingles(F.col("words"), SHINGLE).alias("all")), "marked-texts")
     sliced = windows.join(texts, ["key", "text_hash"]).select(
