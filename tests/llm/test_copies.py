@@ -66,7 +66,7 @@ def brute_suffixes(rows, least=200):
     return wanted
 
 
-@pytest.mark.parametrize("hot", [2_000, 2])
+@pytest.mark.parametrize("hot", [30_000, 2])
 def test_suffixes_match_brute_force(spark, corpus, rows, hot, monkeypatch):
     monkeypatch.setattr(suffixes, "HOT", hot)
     wanted = brute_suffixes(rows)

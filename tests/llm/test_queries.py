@@ -11,6 +11,7 @@ from keeprate.llm.common import documents
 from keeprate.session import table
 
 FOLDER = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"  # where every stage has something to do
 
 
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
@@ -33,13 +34,13 @@ def test_driver_contract():
 
 def test_pipeline_stages(spark):
     """Each stage against its predecessor's rows."""
-    docs, seen = documents(spark, FOLDER), []
+    docs, seen = documents(spark, LARGER), []
     for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, docs, FOLDER)
+        out = stage(spark, docs, LARGER)
         path = corpus_pipeline.settled(out, name)
         seen.append((name, docs, path))
         docs = path
-    columns = documents(spark, FOLDER).columns
+    columns = documents(spark, LARGER).columns
     assert [n for n, *_ in seen] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "mixing"]
     for name, before, after in seen[:-1]:
         assert after.columns == columns and 0 < after.count() < before.count(), name
@@ -57,19 +58,19 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in after.collect()} == kept
 
     before, after = by["decontamination"]
-    leaked = {r.doc_id for r in decontamination.leaks(spark, before, table(spark, FOLDER, "benchmark")).collect()}
+    leaked = {r.doc_id for r in decontamination.leaks(spark, before, table(spark, LARGER, "benchmark")).collect()}
     assert leaked and {r.doc_id for r in before.collect()} - leaked == {r.doc_id for r in after.collect()}
 
     _, after = by["mixing"]
     assert all(1 <= r.copies <= 3 and r.taken == r.size * r.copies for r in after.collect())
-    assert sorted(map(str, corpus_pipeline.run(spark, FOLDER).collect())) == sorted(map(str, after.collect()))
+    assert sorted(map(str, corpus_pipeline.run(spark, LARGER).collect())) == sorted(map(str, after.collect()))
 
 
 def test_pipeline_of_odd_documents(spark, corpus, nothing, tmp_path):
     for name, docs in (("odd", corpus), ("none", nothing)):
         folder = str(tmp_path / name)
         docs.write.parquet(f"{folder}/documents.parquet")
-        spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, 1), (None, 1), (3, None), *((i, 0) for i in range(4, 60))], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
         spark.createDataFrame([(1, "a b c d e f g"), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         out = corpus_pipeline.run(spark, folder)
         assert out.columns[:len(docs.columns)] == docs.columns
