@@ -116,4 +116,77 @@ SELECT doc_id, item_id, max(similarity) AS similarity,
 FROM scored GROUP BY doc_id, item_id
 """
 
-ORACLES = {"op1_decontamination": OP1_DECONTAMINATION, "op5_lines": OP5_LINES, "op6_mixing": OP6_MIXING}
+OP2_WINDOWS = f"""
+WITH docs AS (
+  SELECT doc_id, {WORDS} AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(w[s + 1 : s + 20], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS s FROM docs WHERE len(w) >= 20)
+), repeated AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS nth FROM windows) WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM repeated
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM docs
+), kept AS (
+  SELECT x.doc_id, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY x.p) FILTER (WHERE g.p IS NULL) AS text
+  FROM words x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.p = g.p GROUP BY x.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+OP3_MINHASH = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(0, len(w) - 2), lambda i: array_to_string(w[i + 1 : i + 3], ' ')) END) AS shingles
+  FROM docs
+), long AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS s FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM long a JOIN long b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM pairs WHERE 100 * k >= 85 * (na + nb - k)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM docs UNION SELECT l.b, reach.r FROM reach JOIN links l ON l.a = reach.doc_id
+)
+SELECT d.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, min(r) AS component_id, min(r) = d.doc_id AS kept
+FROM sets d JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, shingles
+"""
+
+OP9_SUFFIXES = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 400)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS s FROM docs WHERE len(h) >= 400)
+), repeated AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY k) AS n FROM strings) WHERE n > 1
+), opened AS (
+  SELECT *, CASE WHEN s > lag(s) OVER w + 200 OR lag(s) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY s)
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM opened
+), runs AS (
+  SELECT doc_id, min(s) AS a, max(s) + 200 AS b FROM numbered GROUP BY doc_id, run
+), pieces AS (
+  SELECT r.doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS piece
+  FROM runs r JOIN docs d ON r.doc_id = d.doc_id WINDOW w AS (PARTITION BY r.doc_id ORDER BY a)
+), kept AS (
+  SELECT doc_id, string_agg(piece, '' ORDER BY a) AS pieces, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last FROM pieces GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(pieces, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+ORACLES = {
+    "op1_decontamination": OP1_DECONTAMINATION, "op2_windows": OP2_WINDOWS, "op3_minhash": OP3_MINHASH, "op5_lines": OP5_LINES,
+    "op6_mixing": OP6_MIXING, "op9_suffixes": OP9_SUFFIXES,
+}
