@@ -15,7 +15,7 @@ from keeprate.operators import metrics
 from keeprate.plans import models, recipes
 from keeprate.plans.scoring import score, summary
 from keeprate.plans.usage import customer_usage, held_out_rows, train_rows
-from keeprate.session import local_session, settled
+from keeprate.session import clear_scratch, local_session, settled
 
 HEADLINE = [
     "a04_distinct_counts", "a06_describe", "a09_count_by_category", "a10_churn_rate_by_state", "a11_histogram",
@@ -64,7 +64,7 @@ def main() -> None:
         started = time.perf_counter()
         run()
         seconds[name] = round(time.perf_counter() - started, 3)
-        spark.catalog.clearCache()
+        clear_scratch(spark)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

@@ -39,15 +39,15 @@ PERIODS = ["day", "eve", "night", "intl"]
 CATEGORICAL = ["state", "area_code", "intl_plan", "vmail_plan", "cs_calls", "churn"]
 COUNTABLE = [name for name in FEATURES if name not in CATEGORICAL]
 
-# The thirteen measures checked for normality and cleaned of outliers.
+# The thirteen measures checked for normality and cleaned of outliers.
 MEASURES = ["account_length"] + [
     f"{period}_{kind}" for period in PERIODS for kind in ("minutes", "calls", "charge")
 ]
 
-# Columns dropped as correlated once totals are derived.
+# Columns dropped as correlated once totals are derived.
 CORRELATED = [f"{period}_minutes" for period in PERIODS] + ["vmail_plan"]
 
-# Columns of the correlation matrix before and after the correlated ones go.
+# Columns of the correlation matrix before and after the correlated ones go.
 CORRELATION_BEFORE = [
     "account_length", "day_minutes", "vmail_flag", "vmail_messages", "day_calls", "day_charge",
     "eve_minutes", "eve_calls", "eve_charge", "night_minutes", "night_calls", "night_charge",
