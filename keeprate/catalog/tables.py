@@ -271,7 +271,7 @@ def t01_top_ten(spark, folder):
 
 
 def t02_full_ranking(spark, folder):
-    ordered = _strength(spark, folder).withColumn("place", -F.col("importance"))
+    ordered = _strength(spark, folder).withColumn("place", F.struct(-F.col("importance"), "feature"))
     return row_numbers(ordered, "place", "rank").drop("place")
 
 
@@ -652,7 +652,7 @@ ORACLES = {
     "a21_batch_summary": f"""{USAGE_SQL} SELECT count(*) AS total_customers, count(CASE WHEN {_SMOOTH} > 0.5 THEN 1 END) AS churn_count,
       round(count(CASE WHEN {_SMOOTH} > 0.5 THEN 1 END) * 100.0e0 / count(*), 6) AS churn_percentage FROM usage""",
     "t01_top_ten": f"{USAGE_SQL} SELECT * FROM ({_STRENGTH}) ORDER BY importance DESC, feature LIMIT 10",
-    "t02_full_ranking": f"{USAGE_SQL} SELECT feature, importance, row_number() OVER (ORDER BY importance DESC) AS rank FROM ({_STRENGTH})",
+    "t02_full_ranking": f"{USAGE_SQL} SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank FROM ({_STRENGTH})",
     "t03_largest_twenty": f"""{USAGE_SQL} SELECT state, count(*) AS customers, CAST(sum(CAST(churn AS INTEGER)) AS BIGINT) AS churned,
       round(avg(CAST(churn AS INTEGER)), 6) AS churn_rate FROM usage GROUP BY state ORDER BY churned DESC, state LIMIT 20""",
     "t04_latest_first": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100""",
