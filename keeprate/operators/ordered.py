@@ -20,10 +20,11 @@ def hash_sample(df: DataFrame, column: str, rows: int, size: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0)
 
 
-def ranged(values: DataFrame, key: str, by: str | None = None) -> DataFrame:
+def ranged(values: DataFrame, key: str, by: str | None = None, buckets: int | None = None) -> DataFrame:
     """The rows with ``_range``, the number of their key range; written once."""
     order = [by, key] if by else [key]
-    return settled(values.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
+    dealt = values.repartitionByRange(buckets, *order) if buckets else values.repartitionByRange(*order)
+    return settled(dealt.withColumn("_range", F.spark_partition_id()), "ranged")
 
 
 def running_totals(
@@ -32,15 +33,16 @@ def running_totals(
     totals: dict[str, str],
     by: str | None = None,
     descending: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums in key order.
 
     ``values`` holds one row per key (per ``by`` group): group equal keys first, and select the
     needed columns, since the rows are written once. Keys are not null. ``totals`` maps new
-    columns to the columns summed, and ``by`` restarts the sums per group.
+    columns to the columns summed, and ``by`` restarts the sums per group. ``buckets`` sets the number of ranges.
     """
     groups = [by] if by else []
-    placed = ranged(values, key, by)
+    placed = ranged(values, key, by, buckets)
     order = F.col(key).desc() if descending else F.col(key).asc()
     inside = Window.partitionBy(*groups, "_range").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
