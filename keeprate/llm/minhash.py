@@ -164,6 +164,8 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     The smallest label spreads along links, and each label is replaced by its own label, until
     nothing changes; every step is written, so lost executors cost one step.
     """
+    if links.isEmpty():
+        return labels
     both = settled(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"), "links")
     while True:
         near = both.join(labels.toDF("b", "of_b"), "b").groupBy("a").agg(F.min("of_b").alias("near"))
@@ -237,26 +239,30 @@ def _slot_counts(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def _meetings(texts: DataFrame, width: int, least: int, per: int) -> DataFrame:
-    """(class, n, bucket, place): the rarest shingles of each class, of which linked classes share one."""
+    """(class, n, bucket, place, leads): the rarest shingles of each class, of which linked classes share one.
+
+    The smaller set of a linked pair has the first shared shingle among fewer still, the ones where it ``leads``.
+    """
     counts = texts.sparkSession.sparkContext.broadcast(_slot_counts(texts, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)
-                chosen, sizes = [], []
+                chosen, sizes, leading = [], [], []
                 for shingles in shingle_sets(rows.column(1), width):
                     n = len(shingles)
                     order = np.lexsort((shingles, counts.value[_slot(shingles)]))
                     chosen.append(shingles[order[:n - -(-least * n // per) + 1]].astype(np.int64))
                     sizes.append(n)
+                    leading.append(np.arange(len(chosen[-1])) <= n + (-2 * least * n // (per + least)))
                 times = [len(x) for x in chosen]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(np.asarray(rows.column(0)), times)), pa.array(np.repeat(np.array(sizes, np.int64), times)),
-                    pa.array(np.concatenate(chosen)), pa.array(np.concatenate([np.arange(t) for t in times]).astype(np.int32))],
-                    ["class", "n", "bucket", "place"])
+                    pa.array(np.concatenate(chosen)), pa.array(np.concatenate([np.arange(t) for t in times]).astype(np.int32)),
+                    pa.array(np.concatenate(leading))], ["class", "n", "bucket", "place", "leads"])
 
-    return texts.select("class", "text").mapInArrow(run, "class long, n long, bucket long, place int")
+    return texts.select("class", "text").mapInArrow(run, "class long, n long, bucket long, place int, leads boolean")
 
 
 def _may_link(least: int, per: int) -> Column:
@@ -279,10 +285,10 @@ class _Verifier:
 
 
 def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their labels, of buckets that hold several components."""
+    """Members, with their labels, of buckets that hold several components and one that leads."""
     now = members.join(labels, "class")
-    several = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(
-        F.col("low") != F.col("high")).select("bucket")
+    several = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("leads").alias("led")).filter(
+        (F.col("low") != F.col("high")) & F.col("led")).select("bucket")
     return settled(now.join(several, "bucket"), "apart")
 
 
@@ -297,7 +303,8 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
     degree = members.groupBy("class").agg(F.sum(F.col("size") * F.col("times")).alias("degree"))
     sharing = settled(degree.join(nodes.drop("bands"), "class"), "sharing")
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("key"), F.xxhash64("text").alias("text_hash"), "text")
-    texts = keyed.join(sharing.select("class", "key", "text_hash"), ["key", "text_hash"])
+    # What shares a bucket grows with the corpus: it is shuffled at every size, not sent to all tasks while it is small.
+    texts = keyed.join(sharing.select("class", "key", "text_hash").hint("merge"), ["key", "text_hash"])
     texts = settled(texts.groupBy("class").agg(F.first("text").alias("text")), "texts")
     labels = settled(sharing.select("class", F.col("class").alias("label")), "labels")
     verifier = _Verifier(sharing.select("class", "signature"), texts, width, least, per)
@@ -310,9 +317,9 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
     labels = components(verifier.links(near.select(F.col("centre.class").alias("a"), F.col("class").alias("b"))), labels)
 
     # The members of buckets that still hold several components, at their rarest shingles.
-    left = _apart(members.select("bucket", "class"), labels).select("class").distinct()
+    left = _apart(members.select("bucket", "class", F.lit(True).alias("leads")), labels).select("class").distinct()
     meetings = settled(_meetings(texts.join(left, "class"), width, least, per), "meetings")
-    shared = meetings.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    shared = meetings.groupBy("bucket").agg(F.count("*").alias("size"), F.max("leads").alias("led")).filter((F.col("size") > 1) & F.col("led"))
     open_members = settled(meetings.join(shared.select("bucket"), "bucket"), "open")
     pivots_a_round = 8
     while True:
@@ -320,7 +327,7 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
         if now.isEmpty():
             return labels
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy("place", "class"))
-        pivots = settled(now.withColumn("nth", nth).filter(F.col("nth") <= pivots_a_round).select(
+        pivots = settled(now.filter("leads").withColumn("nth", nth).filter(F.col("nth") <= pivots_a_round).select(
             F.col("bucket").alias("of"), F.col("class").alias("pivot"), F.col("label").alias("pivot_label"),
             F.col("n").alias("pivot_n"), F.col("place").alias("pivot_place")), "pivots")
         pairs = now.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("pivot_label")) & _may_link(least, per))
