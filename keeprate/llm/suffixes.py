@@ -40,7 +40,7 @@ from keeprate.session import settled
 PIECE = 64  # bytes of an anchor
 BUCKET_ANCHORS = 1_000_000
 PART_SUFFIXES = 30_000  # expanded together in one task
-HOT = 2_000
+HOT = PART_SUFFIXES
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -268,11 +268,11 @@ def expand(anchor: np.ndarray, lead: np.ndarray, span: np.ndarray, content: list
     return result
 
 
-FOUND = "grp long, key long, tag int, low long, high long, string long, times int"
+RUNS = "grp long, key long, tag int, low long, high long"
 
 
 def expanded(open_: DataFrame, least: int, groups: int) -> DataFrame:
-    """Runs (low to high) of repeated strings of a document; of hot intervals each different string with its hash."""
+    """Runs (low to high) of repeated strings of a document, found within the parts of intervals."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple] = []
@@ -280,18 +280,32 @@ def expanded(open_: DataFrame, least: int, groups: int) -> DataFrame:
             whole = (frame["anchor"].to_numpy().astype(np.uint64) + frame["part"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             lead, span, content = frame["lead"].to_numpy(), frame["span"].to_numpy(), frame["content"].tolist()
             found = expand(whole, lead, span, content, least)
-            cells = zip(frame["key"].tolist(), frame["tag"].tolist(), frame["first"].tolist(), lead.tolist(), span.tolist(), frame["hot"].tolist(), content, found)
-            for key, tag, first, l, n, hot, raw, flags in cells:
-                mine = flags[l - n:l + 1][::-1]  # by string, in the document's order
-                for a, b in rolling.runs(mine):
-                    rows.append((key % groups, key, tag, first + int(a), first + int(b) - 1, None, 0))
-                if hot:
-                    data = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
-                    for i, h in enumerate(rolling.rolling(data, least, BYTE_BASE).astype(np.int64).tolist()):
-                        rows.append((key % groups, key, tag, first + i, first + i, h, 1 + bool(mine[i])))
-        return pd.DataFrame(rows, columns=["grp", "key", "tag", "low", "high", "string", "times"]).astype({"string": "Int64"})
+            cells = zip(frame["key"].tolist(), frame["tag"].tolist(), frame["first"].tolist(), lead.tolist(), span.tolist(), found)
+            for key, tag, first, l, n, flags in cells:
+                for a, b in rolling.runs(flags[l - n:l + 1][::-1]):  # by string, in the document's order
+                    rows.append((key % groups, key, tag, first + int(a), first + int(b) - 1))
+        return pd.DataFrame(rows, columns=["grp", "key", "tag", "low", "high"])
 
-    return open_.groupBy("bin").applyInPandas(run, FOUND)
+    return open_.groupBy("bin").applyInPandas(run, RUNS)
+
+
+def across_parts(open_: DataFrame, least: int, groups: int) -> DataFrame:
+    """Repeated strings of the intervals that were expanded in parts, by hash: runs of one string."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                data = np.frombuffer(row["content"], np.uint8).astype(np.uint64) + np.uint64(1)
+                found = rolling.rolling(data, least, BYTE_BASE).astype(np.int64)
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, row["key"] % groups)), pa.array(np.full(n, row["key"])), pa.array(np.full(n, row["tag"], np.int32)),
+                    pa.array(row["first"] + np.arange(n)), pa.array(found)], ["grp", "key", "tag", "low", "string"])
+
+    hot = open_.filter("hot").select("key", "tag", "first", "content").mapInArrow(
+        strings, "grp long, key long, tag int, low long, string long")
+    twice = hot.groupBy("string").agg(F.count("*").alias("times")).filter(F.col("times") > 1).select("string")
+    return hot.join(twice, "string").select("grp", "key", "tag", "low", F.col("low").alias("high"))
 
 
 def dedup(spark: SparkSession, docs: DataFrame, least: int = 200) -> DataFrame:
@@ -317,12 +331,8 @@ def dedup(spark: SparkSession, docs: DataFrame, least: int = 200) -> DataFrame:
     waiting = asked.agg(F.sum(F.octet_length("lead")) / 2).first()[0] or 0
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID)))
     keyed = docs.withColumn("key", key).withColumn("grp", F.pmod("key", F.lit(groups)))
-    found = settled(expanded(
-        surroundings(keyed.groupBy("grp"), asked, least, _prime(int(waiting // PART_SUFFIXES))), least, groups), "found")
-    counted = found.filter(F.col("string").isNotNull())
-    across = counted.groupBy("string").agg(F.sum("times").alias("all")).filter(F.col("all") > 1)
-    hot = counted.join(across, "string").select("grp", "key", "tag", "low", "high")
-    runs_ = found.filter(F.col("string").isNull()).select("grp", "key", "tag", "low", "high").union(hot)
+    open_ = settled(surroundings(keyed.groupBy("grp"), asked, least, _prime(int(waiting // PART_SUFFIXES))), "surroundings")
+    runs_ = expanded(open_, least, groups).union(across_parts(open_, least, groups))
     nothing = F.lit(None).cast("binary")
     both = repeated.select("grp", *ENTRY, F.lit(None).cast("long").alias("key"), F.lit(None).cast("int").alias("tag"),
                            F.lit(None).cast("long").alias("low"), F.lit(None).cast("long").alias("high")).union(
