@@ -497,10 +497,12 @@ def x01_streaming_ingest(spark, folder):
 
 
 def x02_streaming_scoring(spark, folder):
-    """Customers scored by the stream and in a batch: all alike."""
+    """Customers scored by the stream, malformed records beside them, and in a batch: all alike."""
     model, test = _linear(spark, folder)
     source, target = scratch_path(spark, "customers-json"), scratch_path(spark, "predictions")
     files.to_external(test.select("customer_id", *FEATURES)).write.json(source)
+    broken = test.filter("customer_id % 10 = 4").select(F.concat(F.lit('{"customer_id": '), "customer_id", F.lit(', "State')).alias("value"))
+    broken.write.mode("append").text(source)
     query = score_streaming.score_stream(
         model, score_streaming.customer_stream(spark, source), target, scratch_path(spark, "score-checkpoint")
     )
