@@ -44,6 +44,7 @@ def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     known = docs.select("doc_id", "text", "lang").filter(
         F.col("text").isNotNull() & (F.col("text") != "") & F.col("lang").isNotNull() & ~held_out("doc_id", 5, 0))
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    # One row a language goes to all tasks, as the dictionaries themselves do later.
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.ceil(F.lit(float(SAMPLE) * (1 << 20)) / F.col("n"))
     sample = known.join(F.broadcast(counts), "lang").filter(share)
 
