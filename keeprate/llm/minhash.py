@@ -277,10 +277,12 @@ class _Verifier:
     def __init__(self, signatures: DataFrame, texts: DataFrame, width: int, least: int, per: int):
         self.signatures, self.texts, self.width, self.least, self.per = signatures, texts, width, least, per
 
-    def links(self, pairs: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame, how: str = "auto") -> DataFrame:
+        """``how`` "merge" shuffles the texts at every size, for pairs that grow with the corpus."""
         signed = pairs.distinct().join(self.signatures.toDF("a", "sa"), "a").join(self.signatures.toDF("b", "sb"), "b")
         likely = settled(_pruned(signed, self.least / self.per), "likely")
-        with_texts = likely.join(self.texts.toDF("b", "tb"), "b").join(self.texts.toDF("a", "ta"), "a")
+        texts = self.texts.hint("merge") if how == "merge" else self.texts
+        with_texts = likely.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
         return settled(_confirmed(with_texts, self.width, self.least, self.per), "confirmed")
 
 
@@ -314,11 +316,11 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
     centres = placed.groupBy("bucket").agg(F.max(F.struct("degree", "class", "n")).alias("centre"))
     near = placed.join(centres, "bucket").filter((F.col("class") != F.col("centre.class")) & (
         per * F.least("n", "centre.n") >= least * F.greatest("n", "centre.n")))
-    labels = components(verifier.links(near.select(F.col("centre.class").alias("a"), F.col("class").alias("b"))), labels)
+    labels = components(verifier.links(near.select(F.col("centre.class").alias("a"), F.col("class").alias("b")), "merge"), labels)
 
     # The members of buckets that still hold several components, at their rarest shingles.
     left = _apart(members.select("bucket", "class", F.lit(True).alias("leads")), labels).select("class").distinct()
-    meetings = settled(_meetings(texts.join(left, "class"), width, least, per), "meetings")
+    meetings = settled(_meetings(texts.hint("merge").join(left, "class"), width, least, per), "meetings")
     shared = meetings.groupBy("bucket").agg(F.count("*").alias("size"), F.max("leads").alias("led")).filter((F.col("size") > 1) & F.col("led"))
     open_members = settled(meetings.join(shared.select("bucket"), "bucket"), "open")
     pivots_a_round = 8
