@@ -6,7 +6,11 @@ of estimated success: the sum of squared distances to the cell walls that are cr
 (query-directed probing). Candidates of all tables are merged and ranked by exact cosine.
 
 The number of probes is fitted: a bounded set of ``CALIBRATION`` rows is searched exactly,
-and as many buckets are visited as it takes to meet ``AIM`` of their true neighbours.
+and as many buckets are visited as it takes to meet ``AIM`` of their true neighbours. Where
+``MOST_PROBES`` buckets are too few for that, the tables get fewer projections, so that their cells hold
+more points; where even two are too many, every query goes over all points. What was found is then
+checked on up to ``CALIBRATION`` of the queries themselves: with a recall below ``LEAST`` all
+queries are searched exactly.
 
 Equal vectors are one point that carries its smallest ids, so copies cost nothing. A
 bucket is cut into chunks of about ``CHUNK`` points by the hash of the point; each chunk returns
@@ -31,6 +35,7 @@ WIDTH = 1.2  # of a cell, in standard deviations of a projected unit vector
 CHUNK = 4_000
 CALIBRATION = 128
 AIM = 0.96
+LEAST = 0.9  # recall of the checked queries
 MOST_PROBES = 4_096  # a query's buckets in one table
 
 
@@ -56,11 +61,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """The tables' directions and offsets, from a seed."""
+    """The tables' directions and offsets, from a seed; ``size`` directions a table."""
 
-    def __init__(self, dimension: int, count: int, seed: int = 7):
+    def __init__(self, dimension: int, size: int, seed: int = 7):
         draw = np.random.default_rng(seed)
-        self.size = max(2, round(math.log(max(count / BUCKET, 1)) / math.log(4)))
+        self.size = size
         self.a = draw.normal(size=(TABLES, dimension, self.size))
         self.b = draw.uniform(0, WIDTH, size=(TABLES, self.size))
         self.mix = draw.integers(1, 1 << 62, size=(TABLES, self.size)) | 1
@@ -76,6 +81,11 @@ class Hashes:
             return (cells * self.mix[t]).sum(axis=-1)
 
 
+def _intended(count: int) -> int:
+    """Directions a table for ``BUCKET`` of ``count`` points a bucket."""
+    return max(2, round(math.log(max(count / BUCKET, 1)) / math.log(4)))
+
+
 def probes(into: np.ndarray, most: int) -> np.ndarray:
     """Perturbations of a cell, nearest walls first: rows of -1, 0 and 1."""
     size = len(into)
@@ -145,8 +155,8 @@ def exact(queries: DataFrame, index: DataFrame, k: int, blocks: int) -> DataFram
     return _ranked(_search(spread, index.withColumn("block", F.pmod("point", F.lit(blocks)).cast("int")), ["block"], k), k)
 
 
-def _fitted(index: DataFrame, hashes: Hashes, k: int, blocks: int) -> int:
-    """How many buckets a query must visit in each table."""
+def _true_pairs(index: DataFrame, k: int, blocks: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Unit vectors of ``CALIBRATION`` points and, row by row, of their true neighbours."""
     chosen = index.orderBy(F.xxhash64("point", F.lit(1)), "point").limit(CALIBRATION).select(
         F.col("ids")[0].alias("query_id"), F.col("vector").alias("q"))
     chosen = settled(chosen, "calibration")
@@ -154,17 +164,39 @@ def _fitted(index: DataFrame, hashes: Hashes, k: int, blocks: int) -> int:
     members = index.select("vector", F.explode("ids").alias("vec_id"))
     pairs = true.join(members, "vec_id").join(chosen, "query_id").select("q", "vector").collect()  # CALIBRATION times k at most
     if not pairs:
-        return 1
+        return None
     q, v = (_unit(np.array([p[i] for p in pairs], float)) for i in (0, 1))
-    rank = np.full(len(pairs), MOST_PROBES)
+    return q, v
+
+
+def _place(into: np.ndarray, step: np.ndarray) -> int:
+    """Where a perturbation stands in the order of ``probes``, from 1."""
+    walls = np.stack([into, 1 - into]) ** 2
+    costs = np.zeros(1)
+    for low, high in walls.T:
+        costs = np.concatenate([costs, costs + low, costs + high])
+    own = walls[0][step == -1].sum() + walls[1][step == 1].sum()
+    return int((costs <= own + 1e-12).sum())
+
+
+def _fitted(q: np.ndarray, v: np.ndarray, hashes: Hashes) -> int | None:
+    """How many buckets a query must visit in each table; None if ``MOST_PROBES`` miss the aim."""
+    rank = np.full(len(q), math.inf)
     for t in range(TABLES):
         (own, into), (other, _) = hashes.cells(q, t), hashes.cells(v, t)
         for i, step in enumerate(other - own):
             if np.abs(step).max() <= 1:
-                met = np.flatnonzero((probes(into[i], MOST_PROBES) == step).all(axis=1))
-                if len(met):
-                    rank[i] = min(rank[i], met[0] + 1)
-    return int(np.sort(rank)[min(len(rank) - 1, math.ceil(AIM * len(rank)) - 1)])
+                rank[i] = min(rank[i], _place(into[i], step))
+    needed = np.sort(rank)[min(len(rank) - 1, math.ceil(AIM * len(rank)) - 1)]
+    return int(needed) if needed <= MOST_PROBES else None
+
+
+def _recall(asked: DataFrame, found: DataFrame, index: DataFrame, k: int, blocks: int) -> float:
+    """Share of the true neighbours of up to ``CALIBRATION`` queries that were found."""
+    chosen = settled(asked.orderBy(F.xxhash64("query_id", F.lit(3)), "query_id").limit(CALIBRATION), "checked")
+    true = settled(exact(chosen, index, k, blocks).select("query_id", "vec_id"), "true")
+    count = true.count()
+    return true.join(found, ["query_id", "vec_id"], "left_semi").count() / count if count else 1.0
 
 
 def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 5,
@@ -175,7 +207,8 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
     those two columns are read. Rows with a null id, a null or empty vector, null or non-finite
     components or only zeros take no part, neither do vectors whose length is not the
     most frequent one. An id that comes twice counts once, at its best score. Equal scores go to the
-    smaller id. Fewer than k candidates: all of them. Empty tables give no rows.
+    smaller id. Fewer than k candidates: all of them. Empty tables give no rows. Where probing
+    does not reach the recall, the search is exact and costs queries times points.
     """
     index = settled(points(vectors, id_column, vector_column, k), "points")
     lengths = index.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
@@ -188,8 +221,14 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
         & F.forall("q", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("q", lambda x: x != 0)
     ).groupBy("query_id").agg(F.min("q").alias("q")), "queries")
     count, blocks = lengths["count"], max(1, math.ceil(lengths["count"] / CHUNK))
-    hashes = Hashes(lengths["size"], count)
-    visits = _fitted(index, hashes, k, blocks)
+    pairs = _true_pairs(index, k, blocks)
+    for size in range(_intended(count), 1, -1):
+        hashes = Hashes(lengths["size"], size)
+        visits = 1 if pairs is None else _fitted(*pairs, hashes)
+        if visits is not None:
+            break
+    else:
+        return exact(asked, index, k, blocks).select("query_id", "rank", "vec_id", "score")
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -216,7 +255,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
     ways = chunks.select(*[(F.col(c)).alias(c) for c in ("table", "bucket")], (F.col("chunks") - 1).alias("last"))
     visited = visited.join(ways, ["table", "bucket"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last"))))
     found = settled(_ranked(_search(visited, held, ["table", "bucket", "chunk"], k), k), "found")
-    short = asked.join(found.groupBy("query_id").count().filter(F.col("count") >= k), "query_id", "left_anti")
+    served = found.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
+    if _recall(asked.join(served, "query_id", "left_semi"), found, index, k, blocks) < LEAST:
+        return exact(asked, index, k, blocks).select("query_id", "rank", "vec_id", "score")
+    short = asked.join(served, "query_id", "left_anti")
     rest = exact(settled(short, "short"), index, k, blocks)
     full = found.join(rest.select("query_id").distinct(), "query_id", "left_anti")
     return full.unionByName(rest).select("query_id", "rank", "vec_id", "score")

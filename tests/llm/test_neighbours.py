@@ -72,6 +72,40 @@ def test_one_vector_in_many_rows(spark):
     assert met >= 0.9 * 5 * len(wanted)
 
 
+def recall(found, wanted):
+    lists = {}
+    for r in found.collect():
+        lists.setdefault(r.query_id, set()).add(r.vec_id)
+    return sum(len(lists[q] & {i for i, _ in w}) for q, w in wanted.items()) / sum(map(len, wanted.values()))
+
+
+@pytest.mark.parametrize("most", [1, 8])
+def test_too_few_probes_do_not_lose_neighbours(spark, monkeypatch, most):
+    monkeypatch.setattr(neighbours, "BUCKET", 4)  # five directions a table: 243 perturbations, as 6561 meet the limit in a large one
+    monkeypatch.setattr(neighbours, "MOST_PROBES", most)
+    x = np.random.default_rng(2).normal(size=(4000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(spark, vectors, vectors.filter("vec_id % 20 = 0"))
+    assert recall(found, exact(rows, [r for r in rows if r[0] % 20 == 0], 5)) >= 0.9
+
+
+def test_queries_unlike_the_points_are_checked(spark):
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(300, 16)), 10, axis=0) + 1e-4 * rng.normal(size=(3000, 16))  # close groups: few probes meet them
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    asked = [(10_000 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 16)))]
+    schema = "vec_id long, embedding array<double>"
+    found = neighbours.nearest(spark, spark.createDataFrame(rows, schema), spark.createDataFrame(asked, schema))
+    assert recall(found, exact(rows, asked, 5)) >= 0.9
+
+
+def test_places_follow_the_probes():
+    into = np.random.default_rng(4).uniform(size=4)
+    steps = neighbours.probes(into, 81)
+    assert [neighbours._place(into, s) for s in steps] == list(range(1, 82))
+
+
 def test_probes_come_by_estimated_success():
     steps = neighbours.probes(np.array([0.1, 0.6]), 9)
     assert len(steps) == 9 and len({tuple(s) for s in steps}) == 9
