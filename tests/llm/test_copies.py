@@ -159,12 +159,68 @@ def test_lines_match_brute_force(spark, corpus, rows):
     assert got == collections.Counter(wanted)
 
 
+def brute_runs(rows, min_words=10):
+    """Lines of the longest run from each line that also starts at an earlier place."""
+    at, out = collections.defaultdict(list), []
+    split = [(i, None if t is None else t.split("\n")) for i, t, *_ in rows]
+    for doc_id, parts in split:
+        for p, line in enumerate(parts or []):
+            at[line].append(((key_of(doc_id), p), parts))
+    for doc_id, parts in split:
+        gone = set()
+        for p in range(len(parts or [])):
+            best = 0
+            for (key, q), other in at[parts[p]]:
+                if (key, q) < (key_of(doc_id), p):
+                    n = 0
+                    while p + n < len(parts) and q + n < len(other) and parts[p + n] == other[q + n]:
+                        n += 1
+                    best = max(best, n)
+            if sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in parts[p:p + best]) >= min_words:
+                gone.update(range(p, p + best))
+        out.append((doc_id, None if parts is None else "\n".join(x for i, x in enumerate(parts) if i not in gone), len(gone)))
+    return out
+
+
+def check_runs(spark, docs, rows):
+    found = lines.dedup(spark, docs, removed_name="gone", kept_name="rest", whole_runs=True)
+    got = collections.Counter((r.doc_id, r.rest, sum(x.end - x.start for x in r.gone)) for r in found.collect())
+    assert got == collections.Counter(brute_runs(rows))
+
+
+def test_whole_runs_match_brute_force(spark, corpus, rows):
+    assert brute_runs(rows) != brute_lines(rows)
+    check_runs(spark, corpus, rows)
+
+
+def test_whole_runs_of_short_lines_go(spark):
+    say = lambda at, n: " ".join(f"w{at}x{i}" for i in range(n))
+    runs = [
+        "\n".join(say(i, 1) if i % 2 == 0 else "" for i in range(400)),  # 200 words, any 16 lines hold 8
+        "\n".join(say(1000 + i, 4) for i in range(3)),
+        say(2000, 9) + "\n\n" + say(2001, 9),
+        "\n".join(say(3000 + i, 2) for i in range(7)),
+        say(4000, 20) + "\n\n" + say(4001, 9),
+    ]
+    rows = [(10 * n + c, f"top {n} {c}\n{run}\nend {n} {c}") for n, run in enumerate(runs) for c in range(3)]
+    rows += [(90, "top\n" + say(1000, 4) + "\n" + say(1001, 4) + "\nend")]  # eight words of a run: too few
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_runs(spark, docs, rows)
+    left = {r.doc_id: r.text for r in lines.without_repeats(spark, docs, whole_runs=True).collect()}
+    assert all(left[10 * n + c] == f"top {n} {c}\nend {n} {c}" for n in range(len(runs)) for c in (1, 2))
+    assert left[90] == rows[-1][1]
+
+
 def test_line_stage_keeps_columns(spark, corpus, rows):
     out = lines.without_repeats(spark, corpus)
     assert out.columns == corpus.columns
     assert 0 < out.count() < corpus.count()
 
 
+def test_whole_runs_of_an_empty_table(spark, nothing):
+    assert lines.dedup(spark, nothing, whole_runs=True).count() == 0
+
+
 def test_empty_tables(spark, nothing):
     assert windows.dedup(spark, nothing).count() == 0
     assert suffixes.dedup(spark, nothing).count() == 0
