@@ -11,8 +11,11 @@ by length class, whose thresholds come from counts over all tokens of the corpus
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from keeprate.functions.normal import log_normal_cdf
 from keeprate.session import settled
 
 # The base patterns, in the order in which kinds are listed.
@@ -37,6 +40,7 @@ ENCODINGS = {
 }
 LENGTH_CLASSES = [20, 24, 32, 40, 64, 128]  # lower ends
 BINS_PER_TENTH = 20  # bins of probability for each power of ten
+LEAST_POWER = -300  # smaller probabilities share a bin: no count of tests is so large that they differ
 
 
 def _matches(df: DataFrame, pattern: str, name: str, group: int = 0) -> DataFrame:
@@ -65,7 +69,10 @@ def _matches(df: DataFrame, pattern: str, name: str, group: int = 0) -> DataFram
 
 
 def normal_cdf(z: Column) -> Column:
-    """The normal distribution function to seven decimals (Abramowitz and Stegun, 26.2.17), at least 1e-8."""
+    """The normal distribution function to seven decimals (Abramowitz and Stegun, 26.2.17), at least 1e-8.
+
+    For the levels of the randomness tests; p_text needs its tail and is kept as a logarithm.
+    """
     t = 1 / (1 + 0.2316419 * F.abs(z))
     series = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
     tail = F.greatest(F.exp(-z * z / 2) * 0.3989422804014327 * series, F.lit(1e-8))
@@ -83,7 +90,7 @@ def encoding_of(bare: Column) -> Column:
 
 
 def tested(tokens: DataFrame) -> DataFrame:
-    """Adds encoding, p_uniform, p_runs, p_serial and p_text to rows with a column ``value``."""
+    """Adds encoding, p_uniform, p_runs, p_serial and log_p_text (to base 10) to rows with a column ``value``."""
     alphabets = F.create_map(*[F.lit(x) for k, (a, _) in ENCODINGS.items() for x in (k, a)])
     excess = F.create_map(*[F.lit(x) for k, (_, e) in ENCODINGS.items() for x in (k, e)])
     bare = F.regexp_replace("value", "=+$", "")
@@ -123,7 +130,7 @@ def tested(tokens: DataFrame) -> DataFrame:
     return df.select(
         *tokens.columns, "encoding", (1 - normal_cdf(F.col("z_uniform"))).alias("p_uniform"),
         (2 * (1 - normal_cdf(F.abs("z_runs")))).alias("p_runs"), (2 * (1 - normal_cdf(F.abs("z_serial")))).alias("p_serial"),
-        normal_cdf(F.col("z_text")).alias("p_text"),
+        (F.expr(log_normal_cdf("z_text")) / math.log(10)).alias("log_p_text"),
     )
 
 
@@ -135,22 +142,26 @@ def length_class(length: Column) -> Column:
     return out
 
 
-def thresholds(candidates: DataFrame, rate: float) -> dict[int, float]:
-    """Largest accepted p_text by length class, for a share of false findings of at most ``rate``.
+def probability_bin(log_p: Column) -> Column:
+    """Number of the bin of a probability, from its logarithm; a bin's upper edge is its number over ``BINS_PER_TENTH``."""
+    return F.ceil(F.greatest(log_p, F.lit(float(LEAST_POWER))) * BINS_PER_TENTH).cast("int")
+
+
+def thresholds(candidates: DataFrame, rate: float) -> dict[int, int]:
+    """Largest accepted bin of p_text by length class, for a share of false findings of at most ``rate``.
 
-    The step-up rule p <= rate * rank / tests, on counts by probability bin: a bin's
+    The step-up rule p <= rate * rank / tests, in logarithms and on counts by probability bin: a bin's
     upper edge stands for its tokens, which can only accept fewer. Returns a value for each of the
     six length classes at most; all tokens that were tested count, those that failed too.
     """
-    bin_no = F.ceil(F.log10("p_text") * BINS_PER_TENTH).cast("int")
-    counts = candidates.groupBy("class", bin_no.alias("bin")).agg(
+    counts = candidates.groupBy("class", probability_bin(F.col("log_p_text")).alias("bin")).agg(
         F.sum(F.col("even").cast("long")).alias("n"), F.count("*").alias("all"))
     ordered = Window.partitionBy("class").orderBy("bin")
     whole = Window.partitionBy("class")
-    edge = F.pow(F.lit(10.0), F.col("bin") / BINS_PER_TENTH)
-    ranked = counts.select("class", edge.alias("edge"), F.sum("n").over(ordered).alias("rank"), F.sum("all").over(whole).alias("tests"))
-    passed = ranked.filter(F.col("edge") <= rate * F.col("rank") / F.col("tests"))
-    return {r["class"]: r.edge for r in passed.groupBy("class").agg(F.max("edge").alias("edge")).collect()}
+    ranked = counts.select("class", "bin", F.sum("n").over(ordered).alias("rank"), F.sum("all").over(whole).alias("tests"))
+    passed = ranked.filter((F.col("rank") > 0) & (
+        F.col("bin") / BINS_PER_TENTH <= (math.log10(rate) if rate > 0 else -math.inf) + F.log10("rank") - F.log10("tests")))
+    return {r["class"]: r.bin for r in passed.groupBy("class").agg(F.max("bin").alias("bin")).collect()}
 
 
 def scan(spark: SparkSession, docs: DataFrame, rate: float = 0.05, alpha: float = 0.001) -> DataFrame:
@@ -177,11 +188,11 @@ def scan(spark: SparkSession, docs: DataFrame, rate: float = 0.05, alpha: float
     tests = tested(found.filter(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t")).select("row", "t.*"))
     even = (F.col("p_uniform") >= alpha) & (F.col("p_runs") >= alpha) & (F.col("p_serial") >= alpha)
     tests = settled(tests.select(
-        "row", "start", "end", "p_text", even.alias("even"), length_class(F.length("value")).alias("class")), "tests")
-    accepted = F.lit(-1.0)
-    for least, edge in thresholds(tests, rate).items():
-        accepted = F.when(F.col("class") == least, F.lit(edge)).otherwise(accepted)
-    random = tests.filter(F.col("even") & (F.col("p_text") <= accepted)).groupBy("row").agg(F.collect_list(F.struct(
+        "row", "start", "end", "log_p_text", even.alias("even"), length_class(F.length("value")).alias("class")), "tests")
+    accepted = F.lit(None).cast("int")
+    for least, last in thresholds(tests, rate).items():
+        accepted = F.when(F.col("class") == least, F.lit(last)).otherwise(accepted)
+    random = tests.filter(F.col("even") & (probability_bin(F.col("log_p_text")) <= accepted)).groupBy("row").agg(F.collect_list(F.struct(
         "start", F.lit(KINDS.index("random")).alias("kind"), "end")).alias("random"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     joined = found.select("row", "doc_id", "base").join(random, "row", "left")

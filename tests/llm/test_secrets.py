@@ -58,5 +58,16 @@ def test_random_keys_are_found_and_words_are_not(spark, cases):
             assert not re.fullmatch("[a-z]+", text[s.start:s.end])
 
 
+def test_a_lone_long_key_among_very_many_tests(spark):
+    rng = random.Random(4)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(300))
+    texts = [f"see {key} here", *("-" * 130 + f" {i}" for i in range(50))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # The rule asks for rate / tests: a rate of 1e-10 over 51 tests is one of 0.05 over 25 thousand million.
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.scan(spark, docs, rate=1e-10).collect()}
+    assert found.pop(0) == [("random", 4, 304)]
+    assert not any(found.values())
+
+
 def test_empty_table(spark, nothing):
     assert secrets.scan(spark, nothing).count() == 0
