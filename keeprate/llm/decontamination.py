@@ -26,7 +26,7 @@ from keeprate.session import settled
 SHINGLE = 5
 BLOCKS, BLOCK_BITS, FLIPS, RADIUS = 8, 8, 2, 23
 BROADCAST_SHINGLES = 500_000  # of 16 bytes each
-LANES = 16  # bits of a vote counter; four counters share a long, for windows of up to 32,000 words
+LANES = 32  # bits of a vote counter; two counters share a long, for windows of up to two thousand million words
 TOKEN = r"[\p{L}\p{N}]+"
 NO_ID = (1 << 63) - 1
 

@@ -67,6 +67,14 @@ def test_edited_leaks_are_found(spark, items):
     assert sorted(r.doc_id for r in decontamination.leaks(spark, docs, tests).collect()) == [1, 2, 4]
 
 
+def test_very_long_items_are_found(spark):
+    item = " ".join(f"w{i}" for i in range(70_000))  # about half of the shingles vote for each bit: over 32,767 votes
+    docs = spark.createDataFrame([(1, f"before {item}"), (2, "w1 w2 w3 w4 w5 w6")], "doc_id long, text string")
+    tests = spark.createDataFrame([(1, item), (2, "w1 w2 w3 w4 w5 w6")], "item_id long, text string")
+    found = decontamination.leaks(spark, docs, tests).collect()
+    assert sorted((r.doc_id, r.item_id, r.similarity, r.start_word) for r in found) == [(1, 1, 1.0, 1), (1, 2, 1.0, 2), (2, 2, 1.0, 0)]
+
+
 def test_clean_documents_stay(spark, corpus, rows, items, nothing):
     tests = spark.createDataFrame(items, "item_id long, text string")
     kept = decontamination.keep_clean(spark, corpus, tests)
