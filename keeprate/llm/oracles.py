@@ -186,7 +186,83 @@ SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+# Components that take part: none null or not finite.
+WHOLE = """len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0"""
+
+OP11_TOPK = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w
+  FROM embeddings WHERE vec_id IS NOT NULL AND {WHOLE}
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.w, d.w) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12_NEGATIVES = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {WHOLE}
+), scored AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, CAST(list_inner_product(a.w, d.w) AS BIGINT) AS score
+  FROM v a JOIN v d ON a.vec_id <> d.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+OP13_SPELLING = """
+WITH RECURSIVE runs AS (
+  SELECT id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00c0-\u00ff]+')) AS run
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, text FROM documents WHERE text IS NOT NULL)
+), counted AS (
+  SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY id, run
+), hashed AS (
+  SELECT run, n, 4294967295 - list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(0, 4 * length(hex)), lambda k: CAST(
+      ((strpos('0123456789ABCDEF', substr(hex, 2 * (k // 8) + 2 - (k % 8) // 4, 1)) - 1) >> (k % 4)) & 1 AS BIGINT))),
+    lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1))) AS h
+  FROM (SELECT run, n, hex(encode(id || ':' || run)) AS hex FROM counted)
+), changed AS (
+  SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), shorter AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+), forms AS (
+  SELECT word, count(*) AS n_near, arg_min(other, struct_pack(a := -other_n, b := other)) AS form, max(other_n) AS form_n, any_value(n) AS n
+  FROM near GROUP BY word
+), valid AS (
+  SELECT word, form FROM forms WHERE form_n >= 10 * n
+), chains AS (
+  SELECT word, word AS root, 0 AS steps FROM words
+  UNION ALL SELECT c.word, v.form, steps + 1 FROM chains c JOIN valid v ON c.root = v.word
+), ends AS (
+  SELECT word, arg_max(root, steps) AS root FROM chains GROUP BY word
+)
+SELECT w.word, CASE WHEN form_n >= 10 * w.n THEN form END AS form, e.root, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+  CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+FROM words w JOIN ends e ON w.word = e.word LEFT JOIN forms f ON w.word = f.word
+"""
+
 ORACLES = {
     "op1_decontamination": OP1_DECONTAMINATION, "op2_windows": OP2_WINDOWS, "op3_minhash": OP3_MINHASH, "op5_lines": OP5_LINES,
     "op6_mixing": OP6_MIXING, "op9_suffixes": OP9_SUFFIXES,
+    "op11_topk": OP11_TOPK, "op12_negatives": OP12_NEGATIVES, "op13_spelling": OP13_SPELLING,
 }

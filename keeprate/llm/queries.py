@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keeprate.llm import decontamination, language, lines, minhash, mixing, neighbours, secrets, suffixes, toxicity, windows
+from keeprate.llm import (
+    blockmax, decontamination, language, lines, minhash, mixing, negatives, neighbours, secrets, spelling, suffixes, toxicity, windows,
+)
 from keeprate.llm.common import documents, held_out
 from keeprate.session import table
 
@@ -55,6 +57,20 @@ def op10_language(spark, folder):
     return language.identify(docs, language.dictionaries(docs)).withColumn("held_out", held_out("doc_id", 5, 0))
 
 
+def op11_topk(spark, folder):
+    items = blockmax.bags(table(spark, folder, "embeddings"), 1024)
+    return blockmax.search(spark, items, items.filter(F.col("id") % 100 == 0), 10)
+
+
+def op12_negatives(spark, folder):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark, negatives.labelled(table(spark, folder, "embeddings"), 256, label), F.col("id") % 100 == 0)
+
+
+def op13_spelling(spark, folder):
+    return spelling.group(spark, spelling.counted(spelling.perturbed_words(documents(spark, folder))))
+
+
 def queries():
     import corpus_pipeline
 

@@ -22,7 +22,7 @@ def test_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.queries()
 
 
 def test_driver_contract():
