@@ -9,14 +9,14 @@ Words at one edit (a code point inserted, deleted or replaced) from each other a
 2. *Decomposition.* At every place a word has the shortest gram that is not pruned (or q code points, or what
    is left); grams inside an earlier one are dropped, so starts and ends rise.
 3. *Affected grams.* An edit at place x changes at most the grams that end within x + 1 .. x + q: an earlier
-   gram is decided by code points before x, and a later one is out of reach of any gram that contains x. The
-   most such grams over all x bound what one edit takes from the word. With at least 2 q + 1 code
-   points a word always keeps a gram, so q grows with the length of the shorter word (``LONGEST``) and no pair
-   is lost.
-4. *Lists.* Two words at one edit share all but that many grams, so they share one of the rarest
-   (affected + 1) of each. Lists are kept by gram, its place and the length of the shorter word; a
-   word enters those that its lengths and shifts allow. A list beyond ``HOT`` words is split exactly: the edit lies
-   outside the shared gram, so its members meet by what is left when one more code point is taken out.
+   gram is decided by code points before x, and a later one is out of reach of any gram that contains x. So
+   for each word and a middle m, edits from m on spare all grams that end by m, and edits before m all that
+   end from m + q on. With at least 2 q + 1 code points both are some grams, so q grows
+   with the length of the shorter word (``LONGEST``) and no pair is lost.
+4. *Lists.* Two words at one edit share, at their places, all grams that the edit's side must spare. The lists
+   of these grams are merged to one, named by their hash and the length of the shorter word; a
+   word enters those that its lengths and shifts allow. A list beyond ``HOT`` words is split exactly: its members
+   meet by what is left when one more code point is taken out of the side of the edit.
 5. *Verification* by edit distance of each candidate pair.
 """
 
@@ -78,8 +78,8 @@ def level_of(shorter: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.array([*LONGEST]), shorter, side="right")
 
 
-def decomposed(words: list[str], levels: np.ndarray, pruned: np.ndarray, counts: np.ndarray):
-    """(word, place, size, hash) of each word's rarest (affected + 1) grams; ``pruned`` are sorted hashes."""
+def decomposed(words: list[str], levels: np.ndarray, pruned: np.ndarray):
+    """(batch, gram places, their ends in the word, their hashes); ``pruned`` are sorted hashes."""
     flat = Flat(words, levels)
     size, name = np.zeros(len(flat.points), np.int64), np.zeros(len(flat.points), np.uint64)
     growing = np.ones(len(flat.points), bool)
@@ -91,22 +91,23 @@ def decomposed(words: list[str], levels: np.ndarray, pruned: np.ndarray, counts:
     end = np.where(size > 0, np.arange(len(size)) + size, 0)
     before = np.maximum.accumulate(np.concatenate([[0], end[:-1]]))
     at = np.flatnonzero((size > 0) & (end > before))
-    # Grams that one edit can affect: the most ends within ``reach`` places in a row.
-    ends = np.zeros(len(size) + 1, np.int64)
-    ends[end[at]] = 1  # place after the last code point
-    upto = np.cumsum(ends)
-    here = np.arange(len(size))
-    affected = upto[here + np.minimum(flat.reach, flat.left)] - upto[here]
-    affected = np.maximum.reduceat(affected, flat.first)
-    word, rare = flat.word[at], np.zeros(len(at), np.int64)
-    if len(pruned):
-        known = np.minimum(np.searchsorted(pruned, name[at]), len(pruned) - 1)
-        rare = np.where(pruned[known] == name[at], counts[known], 0)
-    order = np.lexsort((name[at], rare, word))
-    firsts = np.flatnonzero(np.diff(word[order], prepend=-1))
-    rank = np.arange(len(order)) - np.repeat(firsts, np.diff(np.append(firsts, len(order))))
-    chosen = order[rank <= affected[word[order]]]
-    return word[chosen], flat.place[at][chosen], size[at][chosen], name[at][chosen]
+    return flat, at, flat.place[at] + size[at], name[at]
+
+
+def entries(words: list[str], longer: bool, pruned: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(list, first and end place of the edit) of each word, for an edit on the right and on the left."""
+    shorter = np.array([len(w) for w in words], np.int64) - longer
+    flat, at, end, name = decomposed(words, level_of(shorter), pruned)
+    middle, reach, word = shorter // 2, flat.reach[flat.first], flat.word[at]
+    # An edit on the left of a longer word has moved the grams by one place.
+    for left, spared in ((False, end <= middle[word]), (True, end - longer >= (middle + reach)[word])):
+        place = (flat.place[at] - (longer and left)).astype(np.uint64)
+        values = np.where(spared, mixed(name + place * np.uint64(0xD6E8FEB86659FD93)), np.uint64(0))
+        total = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values, out=total[1:])
+        first = np.searchsorted(word, np.arange(len(words) + 1))
+        key = mixed(mixed(total[first[1:]] - total[first[:-1]]) + (2 * shorter + left).astype(np.uint64))
+        yield key, np.where(left, 0, middle), np.where(left, middle, shorter + longer)
 
 
 def _roles(lengths: np.ndarray) -> list[tuple[bool, np.ndarray, np.ndarray]]:
@@ -116,8 +117,8 @@ def _roles(lengths: np.ndarray) -> list[tuple[bool, np.ndarray, np.ndarray]]:
     return [(False, own, level_of(lengths[own])), (True, longer, level_of(lengths[longer] - 1))]
 
 
-def dictionary(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and counts of the pruned grams: at most ``FREQUENT`` for each length and level."""
+def dictionary(words: DataFrame) -> np.ndarray:
+    """Sorted hashes of the pruned grams: less than ``FREQUENT`` of each length."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,49 +134,38 @@ def dictionary(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     grams = words.select("word").mapInArrow(count, "name long, size int, n long").groupBy("name", "size").agg(F.sum("n").alias("n"))
     grams = settled(grams, "grams")
     total = grams.groupBy("size").agg(F.sum("n").alias("total"))  # a row for each gram length
-    frequent = grams.join(F.broadcast(total), "size").filter((F.col("n") * FREQUENT > F.col("total")) & (F.col("n") > 8)).select("name", "n")
+    frequent = grams.join(F.broadcast(total), "size").filter((F.col("n") * FREQUENT > F.col("total")) & (F.col("n") > 8)).select("name")
     rows = frequent.toPandas()  # less than FREQUENT a length
-    names = rows["name"].to_numpy(np.int64).astype(np.uint64)
-    order = np.argsort(names)
-    return names[order], rows["n"].to_numpy(np.int64)[order]
+    return np.sort(rows["name"].to_numpy(np.int64).astype(np.uint64))
 
 
-LISTED = "list long, longer boolean, start int, size int, word string, n long"
+LISTED = "list long, longer boolean, low int, high int, word string, n long"
 
 
-def lists(words: DataFrame, pruned: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(list, longer, start, size, word, n): each word in the lists of its rarest grams; start and size are the gram's."""
-    shared = words.sparkSession.sparkContext.broadcast((pruned, counts))
+def lists(words: DataFrame, pruned: np.ndarray) -> DataFrame:
+    """(list, longer, low, high, word, n): each word in its merged lists; an edit lies within [low, high)."""
+    shared = words.sparkSession.sparkContext.broadcast(pruned)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(0).to_pylist()
             lengths = np.array([len(w) for w in column], np.int64)
-            for longer, chosen, levels in _roles(lengths):
-                if not len(chosen):
-                    continue
-                word, place, size, name = decomposed([column[i] for i in chosen], levels, *shared.value)
-                shorter = lengths[chosen][word] - longer
-                # In a longer word the gram stands where it does in the shorter one, or one place later.
-                for shift in (0, 1) if longer else (0,):
-                    ok = place >= shift
-                    at = place[ok] - shift
-                    key = mixed(mixed(name[ok] + at.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) + shorter[ok].astype(np.uint64))
-                    rows = pa.array(chosen[word[ok]])
+            for longer, chosen, _ in _roles(lengths):
+                rows = batch.take(pa.array(chosen))
+                for key, low, high in entries([column[i] for i in chosen], longer, shared.value) if len(chosen) else ():
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(key.astype(np.int64)), pa.array(np.full(len(key), longer)), pa.array(place[ok].astype(np.int32)),
-                        pa.array(size[ok].astype(np.int32)), batch.column(0).take(rows), batch.column(1).take(rows)],
-                        ["list", "longer", "start", "size", "word", "n"])
+                        pa.array(key.astype(np.int64)), pa.array(np.full(len(key), longer)), pa.array(low.astype(np.int32)),
+                        pa.array(high.astype(np.int32)), *rows.columns], ["list", "longer", "low", "high", "word", "n"])
 
     return words.select("word", "n").mapInArrow(enter, LISTED)
 
 
 def _split(hot: DataFrame) -> DataFrame:
-    """Members of long lists under what one more deletion outside the shared gram leaves; the deletion's place for words of one length."""
+    """Members of long lists under what a deletion on the side of the edit leaves, with its place for words of one length."""
     def without(i):
         return F.concat(F.substring("word", F.lit(1), i), F.substring("word", i + 2, F.length("word") - i - 1))
 
-    outside = F.filter(F.sequence(F.lit(0), F.length("word") - 1), lambda i: (i < F.col("start")) | (i >= F.col("start") + F.col("size")))
+    outside = F.sequence(F.col("low"), F.col("high") - 1)
     replaced = F.transform(outside, lambda i: F.xxhash64("list", F.lit("r"), i, without(i)))
     inserted = F.array_distinct(F.transform(outside, lambda i: F.xxhash64("list", F.lit("i"), without(i))))
     whole = F.array(F.xxhash64("list", F.lit("i"), F.col("word")))
@@ -184,7 +174,10 @@ def _split(hot: DataFrame) -> DataFrame:
 
 
 def _met(members: DataFrame) -> DataFrame:
-    """Candidate pairs (a, na, b, nb) within the lists; a is the shorter, or the smaller of one length."""
+    """Candidate pairs (a, na, b, nb) within the lists; a is the shorter, or the smaller of one length.
+
+    A list holds ``HOT`` words at most, or, where it was split, words that are all at one edit from each other or from one.
+    """
     listed = members.groupBy("list").agg(F.collect_list(F.struct("longer", "word", "n")).alias("m"))
     listed = listed.filter(F.size("m") > 1)
     own = F.filter("m", lambda x: ~x["longer"])
@@ -196,13 +189,11 @@ def _met(members: DataFrame) -> DataFrame:
 
 def near_pairs(spark: SparkSession, words: DataFrame) -> DataFrame:
     """(a, na, b, nb): pairs of words at exactly one edit, each once; words: (word, n), different, seven code points at least."""
-    members = settled(lists(words, *dictionary(words)), "lists")
-    sizes = members.groupBy("list").agg(F.count("*").alias("size_of"), F.min("longer").alias("lone")).filter(
-        (F.col("size_of") > 1) & ~F.col("lone"))
-    marked = members.join(sizes.withColumnRenamed("list", "of"), F.col("list") == F.col("of"))
-    marked = settled(marked.select(*members.columns, (F.col("size_of") > HOT).alias("hot")), "marked")
-    hot = _split(marked.filter("hot")).distinct()
-    candidates = _met(marked.filter(~F.col("hot")).select("list", "longer", "word", "n")).unionByName(_paired(hot))
+    members = settled(lists(words, dictionary(words)), "lists")
+    hot = settled(members.groupBy(F.col("list").alias("of")).agg(F.count("*").alias("size")).filter(F.col("size") > HOT).select("of"), "hot")
+    belongs = F.col("list") == F.col("of")
+    cold = members.join(hot, belongs, "left_anti").select("list", "longer", "word", "n")
+    candidates = _met(cold).unionByName(_met(_split(members.join(hot, belongs, "left_semi"))))
     return candidates.filter(_one_edit()).distinct()
 
 
@@ -215,13 +206,6 @@ def _one_edit() -> Column:
     return F.when(F.length("b") > LONG, long).otherwise(F.levenshtein("a", "b", 1) == 1)
 
 
-def _paired(members: DataFrame) -> DataFrame:
-    """Like ``_met`` by a join, for lists whose members are nearly all at one edit."""
-    own = members.filter(~F.col("longer")).select("list", F.col("word").alias("a"), F.col("n").alias("na"))
-    other = members.select("list", "longer", F.col("word").alias("b"), F.col("n").alias("nb"))
-    return own.join(other, "list").filter(F.col("longer") | (F.col("a") < F.col("b"))).select("a", "na", "b", "nb")
-
-
 def roots(forms: DataFrame) -> DataFrame:
     """(word, root): the end of each chain of (word, form); every step doubles the way that is done."""
     now = settled(forms.select("word", F.col("form").alias("root")), "roots")
