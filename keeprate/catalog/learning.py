@@ -21,8 +21,7 @@ from keeprate.session import scratch_path, settled, table
 from keeprate.sources import events, files
 from keeprate.streaming import ingest, score as score_streaming
 
-# Settings drawn in the registered searches; ``models.search_parameters`` draws 50 unless told otherwise.
-TRIALS = 2
+TRIALS = 50  # of the registered searches, as by default
 
 
 def _points(spark, folder):
@@ -259,6 +258,42 @@ def a31_depth_one_importance(spark, folder):
     return importance.importances(spark, model, STUMP)
 
 
+def _coarse(spark, folder):
+    """(train, test) vectors of three features with few values, whose splits SQL can follow."""
+    train, test = (t.withColumns({"label": F.col("churn").cast("double"), "intl_flag": (F.col("intl_plan") == "Yes").cast("int")})
+                   for t in _split(spark, folder))
+    build = encode.assembler(STUMP, "features")
+    return build.transform(train), build.transform(test)
+
+
+def _probabilities(model, rows):
+    return model.transform(rows).select("customer_id", F.round("probability", 6).alias("probability"))
+
+
+def m02_depth_two_tree(spark, folder):
+    """A tree of two levels on all rows and columns, by Gini, at the production limits of rows."""
+    train, test = _coarse(spark, folder)
+    tree = models.production_model("random_forest", numTrees=1, maxDepth=2, bootstrap=False, featureSubsetStrategy="all")
+    return _probabilities(tree.fit(train), test)
+
+
+def _two_rounds(spark, folder):
+    train, test = _coarse(spark, folder)
+    settings = dict(maxIter=2, maxDepth=1, subsamplingRate=1.0, featureShare=1.0)
+    return models.production_model("boosted_trees", **settings).fit(train), test
+
+
+def m03_two_rounds(spark, folder):
+    """Two rounds of one split by second-order gain: splits and leaf values have a closed form."""
+    return _probabilities(*_two_rounds(spark, folder))
+
+
+def a32_two_round_gains(spark, folder):
+    """Splits and mean gain of each feature of the two-round model."""
+    found = importance.split_importances(spark, _two_rounds(spark, folder)[0], STUMP)
+    return found.select("feature", "weight", F.round("gain", 3).alias("gain"))
+
+
 def m08_balanced_forest(spark, folder):
     return _predictions(spark, folder, "random_forest", 0.6)
 
@@ -318,7 +353,7 @@ def m15_model_comparison(spark, folder):
 
 def _searched(spark, folder, name):
     train, _ = _split(spark, folder)
-    trials = models.search_parameters(recipes.prepare(train, "basic").train, name, trials=TRIALS)[1]
+    trials = models.search_parameters(recipes.prepare(train, "basic").train, name, trials=TRIALS, parallelism=8)[1]
     return trials.select("trial", F.size("settings").alias("n_settings"), F.col("accuracy").between(0.5, 1).alias("in_range"))
 
 
@@ -334,8 +369,7 @@ def m18_refit_best(spark, folder):
     """Predictions of the best model of a search, refitted on all training rows."""
     train, test = _split(spark, folder)
     prepared = recipes.prepare(train, "basic")
-    settings = [models.FOREST_BASE, {**models.FOREST_BASE, "maxDepth": 5}]
-    search, _ = models.search_parameters(prepared.train, "random_forest", settings=settings)
+    search, _ = models.search_parameters(prepared.train, "random_forest", trials=TRIALS, parallelism=8)
     return _contract(score(prepared.model(search.bestModel), test), test, 0.6, "churn_probability", "churn_prediction")
 
 
@@ -408,7 +442,7 @@ def m23_training_run(spark, folder):
     """A whole run on rebalanced rows: events by stage, rows of the evaluation tables, scores of the version."""
     train, test = _split(spark, folder)
     run = train_and_evaluate(
-        spark, train, test, scratch_path(spark, "run"), settings={"numTrees": 20}, balance={"k": 3}, run_id="run-1")
+        spark, train, test, scratch_path(spark, "run"), balance={"k": 3}, run_id="run-1")
     log = events.read_log(spark, run.log).filter(F.col("run_id") == "run-1")
     stages = log.filter("stage <> 'parameters'").groupBy(F.col("stage").alias("part")).agg(F.count("*").alias("n"))
     held = log.filter("stage = 'data_preparation'").select(
@@ -565,6 +599,44 @@ def _bayes_sql(train: str, test: str, by: str = "") -> str:
 _NB_CTE = f"{_TRAIN_TEST}, {_bayes_sql('train', 'test')}"
 _NB_SQL = _NB_CTE + " SELECT customer_id, round(p, 5) AS probability, prediction FROM nb"
 _CONTRACT = f"{_TRAIN_TEST} SELECT customer_id, true AS in_range, true AS consistent, true AS ranks_well FROM test"
+# Cuts of three coarse features: sums of a statistic left and right of each.
+_COARSE = f"""{_TRAIN_TEST}, coarse AS (SELECT customer_id, split, CAST(churn AS DOUBLE) AS y, cs_calls * 1e0 AS f0,
+    CASE intl_plan WHEN 'Yes' THEN 1e0 ELSE 0e0 END AS f1, area_code * 1e0 AS f2 FROM usage),
+  wide AS (SELECT customer_id, split, y, unnest([0, 1, 2]) AS f, unnest([f0, f1, f2]) AS x FROM coarse),
+  cut AS (SELECT DISTINCT f, x AS c FROM wide WHERE split = 'train')"""
+
+
+def _round_sql(number: int, rate: float) -> str:
+    """One boosting round of one split: ``best``, then the rows' margins after it."""
+    before = f"m{number - 1}"
+    sums = ", ".join(f"sum(CASE WHEN x {op} c THEN {v} ELSE 0 END) AS {v}{side}" for op, side in (("<=", "l"), (">", "r")) for v in "gh")
+    return f"""g{number} AS (SELECT customer_id, 1e0 / (1e0 + exp(-margin)) - y AS g, exp(-margin) / (1e0 + exp(-margin)) ** 2 AS h FROM {before}),
+  s{number} AS (SELECT cut.f, c, {sums} FROM cut JOIN wide w ON cut.f = w.f AND split = 'train' JOIN g{number} g ON g.customer_id = w.customer_id GROUP BY cut.f, c),
+  b{number} AS (SELECT *, gl ** 2 / (hl + 1) + gr ** 2 / (hr + 1) - (gl + gr) ** 2 / (hl + hr + 1) AS gain FROM s{number}
+    WHERE hl >= 1 AND hr >= 1 ORDER BY gain DESC, f, c LIMIT 1),
+  m{number} AS (SELECT m.customer_id, y, margin - {rate} * CASE WHEN x <= c THEN gl / (hl + 1) ELSE gr / (hr + 1) END AS margin
+    FROM {before} m CROSS JOIN b{number} b JOIN (SELECT customer_id, f, x FROM wide) w ON w.customer_id = m.customer_id AND w.f = b.f)"""
+
+
+_TWO_ROUNDS = f"{_COARSE}, m0 AS (SELECT customer_id, y, 0e0 AS margin FROM coarse), {_round_sql(1, 0.1)}, {_round_sql(2, 0.1)}"
+
+
+def _gini_split(name: str, rows: str) -> str:
+    """The best split by Gini of the training rows in ``rows``: (f, c, left and right shares, whether it may be split)."""
+    return f"""{name}s AS (SELECT cut.f, c, count(CASE WHEN x <= c THEN 1 END) AS nl, count(CASE WHEN x > c THEN 1 END) AS nr,
+      sum(CASE WHEN x <= c THEN w.y ELSE 0 END) AS pl, sum(CASE WHEN x > c THEN w.y ELSE 0 END) AS pr
+    FROM cut JOIN wide w ON cut.f = w.f AND split = 'train' JOIN {rows} r ON r.customer_id = w.customer_id GROUP BY cut.f, c),
+  {name} AS (SELECT *, pl / nl AS left_share, pr / nr AS right_share FROM {name}s WHERE nl >= 2 AND nr >= 2 AND nl + nr >= 5 AND pl + pr BETWEEN 1 AND nl + nr - 1
+    ORDER BY round(2 * pl * (nl - pl) / nl + 2 * pr * (nr - pr) / nr, 9), f, c LIMIT 1)"""
+
+
+_DEPTH_TWO = f"""{_COARSE}, {_gini_split('top', 'coarse')},
+  sides AS (SELECT w.customer_id, x <= c AS goes_left, left_share, right_share FROM top JOIN wide w ON w.f = top.f),
+  lefts AS (SELECT customer_id FROM sides WHERE goes_left), rights AS (SELECT customer_id FROM sides WHERE NOT goes_left),
+  {_gini_split('lo', 'lefts')}, {_gini_split('hi', 'rights')}
+  SELECT s.customer_id, round(CASE WHEN goes_left THEN coalesce((SELECT CASE WHEN x <= c THEN lo.left_share ELSE lo.right_share END FROM lo JOIN wide w ON w.f = lo.f AND w.customer_id = s.customer_id), left_share)
+    ELSE coalesce((SELECT CASE WHEN x <= c THEN hi.left_share ELSE hi.right_share END FROM hi JOIN wide w ON w.f = hi.f AND w.customer_id = s.customer_id), right_share) END, 6) AS probability
+  FROM sides s JOIN test t ON t.customer_id = s.customer_id"""
 _STUMP_CTE = f"""{_TRAIN_TEST}, coded AS (SELECT customer_id, split, CAST(churn AS INTEGER) AS y, cs_calls * 1.0e0 AS f0,
     CASE intl_plan WHEN 'Yes' THEN 1e0 ELSE 0e0 END AS f1, area_code * 1.0e0 AS f2,
     CASE WHEN churn THEN (SELECT count(*) * 0.5e0 / count(CASE WHEN churn THEN 1 END) FROM train)
@@ -687,6 +759,10 @@ ORACLES = {
     "m23_training_run": f"""{_TRAIN_TEST} SELECT unnest(['run_start', 'data_preparation', 'model_training', 'model_evaluation', 'metrics', 'run_end', 'report', 'scores 1.0']) AS part,
       CAST(unnest([1, 1, 1, 1, 12, 1, 5, 12]) AS BIGINT) AS n
       UNION ALL SELECT 'test_samples', count(*) FROM test UNION ALL SELECT 'matrix', count(*) FROM test""",
+    "m02_depth_two_tree": _DEPTH_TWO,
+    "m03_two_rounds": _TWO_ROUNDS + " SELECT m2.customer_id, round(1e0 / (1e0 + exp(-margin)), 6) AS probability FROM m2 JOIN test ON test.customer_id = m2.customer_id",
+    "a32_two_round_gains": _TWO_ROUNDS + """ SELECT CASE f WHEN 0 THEN 'cs_calls' WHEN 1 THEN 'intl_flag' ELSE 'area_code' END AS feature,
+      count(*) AS weight, round(avg(gain), 3) AS gain FROM (SELECT f, gain FROM b1 UNION ALL SELECT f, gain FROM b2) GROUP BY f""",
     "a31_importances": "SELECT true AS none_negative, true AS within_features, true AS each_once, true AS sums_to_one",
     "a32_split_importances": "SELECT true AS none_negative, true AS within_features, true AS each_once",
     "m14_stratified_folds": _FOLDS + " SELECT customer_id, label, fold FROM folded",

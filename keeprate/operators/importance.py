@@ -31,9 +31,9 @@ def split_importances(spark: SparkSession, model, names: list[str], path: str |
     nodes = spark.read.parquet(f"{path}/data")
     labels = spark.createDataFrame(list(enumerate(names)), "index int, feature string")
     return (
-        nodes.filter(F.col("nodeData.leftChild") >= 0)
-        .groupBy(F.col("nodeData.split.featureIndex").alias("index"))
-        .agg(F.count(F.lit(1)).alias("weight"), F.avg("nodeData.gain").alias("gain"))
+        nodes.filter(F.col("feature") >= 0)
+        .groupBy(F.col("feature").alias("index"))
+        .agg(F.count(F.lit(1)).alias("weight"), F.avg("gain").alias("gain"))
         .join(labels, "index")
         .select("feature", "weight", "gain")
     )

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-import math
 import random
 import time
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-    MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
-)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, functions as F
 
 from keeprate.operators.adaboost import AdaBoost
@@ -22,16 +16,15 @@ from keeprate.operators.fourier import FourierFeatures
 from keeprate.operators.metrics import evaluate, roc_auc, with_class_weight
 from keeprate.operators.neighbors import knn_probability
 from keeprate.operators.ordered import row_numbers, running_totals
+from keeprate.operators.trees import Forest, SecondOrderBoosting
+from keeprate.plans.search import Search, drawn, search
 
 # Settings of the two production models.
-FOREST = dict(numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42)
-BOOSTED = dict(
-    maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42
-)
-FOREST_BASE = {k: v for k, v in FOREST.items() if k != "seed"}
-DEEPEST = 30  # Spark's limit for trees without a depth setting
+FOREST = dict(numTrees=100, maxDepth=10, minRowsToSplit=5, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=42)
+BOOSTED = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureShare=0.8, seed=42)
+DEEPEST = 1_000  # of trees without a depth setting: they end where a node has one class or one row
 
-PRODUCTION = {"random_forest": (RandomForestClassifier, FOREST), "boosted_trees": (GBTClassifier, BOOSTED)}
+PRODUCTION = {"random_forest": (Forest, FOREST), "boosted_trees": (SecondOrderBoosting, BOOSTED)}
 
 
 def production_model(name: str, **changes) -> Estimator:
@@ -64,15 +57,15 @@ def research_model(
     if name == "support_vector_machine":
         return LinearSVC(regParam=1e-3, maxIter=steps, **common, **weight)
     if name == "decision_tree":
-        return DecisionTreeClassifier(maxDepth=depth, seed=seed, **common, **weight)
+        return Forest(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=depth, seed=seed, **common, **weight)
     if name == "random_forest":
-        return RandomForestClassifier(numTrees=rounds or 100, maxDepth=depth, seed=seed, **common, **weight)
+        return Forest(numTrees=rounds or 100, maxDepth=depth, seed=seed, **common, **weight)
     if name == "naive_bayes":
         return NaiveBayes(modelType="gaussian", **common)
     if name == "gradient_boosting":
         return GBTClassifier(maxIter=rounds or 100, maxDepth=3, stepSize=0.1, seed=seed, **common)
     if name == "boosted_trees":
-        return GBTClassifier(maxIter=rounds or 100, maxDepth=6, stepSize=0.3, seed=seed, **common)
+        return SecondOrderBoosting(maxIter=rounds or 100, maxDepth=6, stepSize=0.3, seed=seed, **common)
     if name == "adaboost":
         return AdaBoost(maxIter=rounds or 50, seed=seed)
     if name == "neural_network":
@@ -176,6 +169,7 @@ def cross_validate(folded: DataFrame, estimator: Estimator, folds: int = 5, para
 FOREST_SPACE = {
     "numTrees": ("steps", 100, 500, 50),
     "maxDepth": ("steps", 5, 30, 5),
+    "minRowsToSplit": ("steps", 2, 20, 1),
     "minInstancesPerNode": ("steps", 1, 20, 1),
     "featureSubsetStrategy": ("choice", "sqrt", "log2", "all"),
 }
@@ -183,10 +177,10 @@ BOOSTED_SPACE = {
     "maxIter": ("steps", 50, 300, 50),
     "stepSize": ("log", 0.01, 0.2),
     "maxDepth": ("steps", 3, 10, 1),
-    "minInstancesPerNode": ("steps", 1, 10, 1),
+    "minHessian": ("steps", 1, 10, 1),
     "subsamplingRate": ("range", 0.5, 1.0),
-    "featureSubsetStrategy": ("share", 0.5, 1.0),
-    "minInfoGain": ("range", 0.0, 5.0),
+    "featureShare": ("range", 0.5, 1.0),
+    "gamma": ("range", 0.0, 5.0),
 }
 SPACES = {"random_forest": FOREST_SPACE, "boosted_trees": BOOSTED_SPACE}
 
@@ -195,42 +189,19 @@ def draw_settings(space: dict, trials: int, seed: int = 42) -> list[dict]:
     """Random settings from a search space; the same seed draws the same settings."""
     rng = random.Random(seed)
 
-    def one(kind: str, *limits):
-        if kind == "steps":
-            return rng.randrange(limits[0], limits[1] + 1, limits[2])
-        if kind == "log":
-            return math.exp(rng.uniform(math.log(limits[0]), math.log(limits[1])))
-        if kind == "choice":
-            return rng.choice(limits)
-        value = rng.uniform(*limits)
-        return str(value) if kind == "share" else value
-
-    return [{name: one(*how) for name, how in space.items()} for _ in range(trials)]
+    return [{name: drawn(kind, limits, rng) for name, (kind, *limits) in space.items()} for _ in range(trials)]
 
 
 def search_parameters(
     train: DataFrame, name: str, trials: int = 50, seed: int = 42, train_ratio: float = 0.8,
     parallelism: int = 4, settings: list[dict] | None = None,
-) -> tuple[TrainValidationSplitModel, DataFrame]:
-    """Random search by accuracy on a validation part of the training rows.
+) -> tuple[Search, DataFrame]:
+    """Sequential search over a production model's space, by accuracy on a validation part of the training rows.
 
-    Returns the search model, whose ``bestModel`` is refitted on all rows, and the
-    trials as (trial, settings, accuracy).
+    Returns the search, whose ``bestModel`` is refitted on all rows, and the
+    trials as (trial, settings, accuracy). ``settings`` are tried instead of proposed ones.
     """
-    estimator = production_model(name)
-    settings = settings or draw_settings(SPACES[name], trials, seed)
-    maps = [{estimator.getParam(k): v for k, v in s.items()} for s in settings]
-    search = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=maps, trainRatio=train_ratio, parallelism=parallelism, seed=seed,
-        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-    )
-    fitted = search.fit(train)
-    rows = [
-        (i, {k: str(v) for k, v in s.items()}, float(accuracy))
-        for i, (s, accuracy) in enumerate(zip(settings, fitted.validationMetrics))
-    ]
-    trials_table = train.sparkSession.createDataFrame(rows, "trial int, settings map<string,string>, accuracy double")
-    return fitted, trials_table
+    return search(train, production_model(name), SPACES[name], trials, seed, train_ratio, parallelism, settings)
 
 
 # ---- timing --------------------------------------------------------------------------
