@@ -14,7 +14,8 @@ queries are searched exactly.
 
 Equal vectors are one point that carries its smallest ids, so copies cost nothing. A
 bucket is cut into chunks of about ``CHUNK`` points by the hash of the point; each chunk returns
-at most k rows a query. Queries that found fewer than k go over all points, block by block.
+at most k rows a query. The first ``EARLY`` buckets of each table give a k-th score, and the others return
+only what reaches it, so what comes back grows with the queries and not with the buckets. Queries that found fewer than k go over all points, block by block.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ CHUNK = 4_000
 CALIBRATION = 128
 AIM = 0.96
 LEAST = 0.9  # recall of the checked queries
+EARLY = 8  # buckets a table that a query visits before its k-th score limits what the others return
 MOST_PROBES = 4_096  # a query's buckets in one table
 
 
@@ -107,8 +109,8 @@ def probes(into: np.ndarray, most: int) -> np.ndarray:
     return np.array(out)
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, vectors: np.ndarray, ids: list, k: int) -> list[tuple]:
-    """(query, id, score) of the k best per query, ties to the smaller id."""
+def _best(query_ids: np.ndarray, queries: np.ndarray, vectors: np.ndarray, ids: list, k: int, floors: np.ndarray) -> list[tuple]:
+    """(query, id, score) of the k best per query that reach its floor, ties to the smaller id."""
     norm = lambda x: np.sqrt((x * x).sum(axis=1))
     largest = max(np.abs(queries).max(initial=0), np.abs(vectors).max(initial=0))
     if largest > 1e100 or largest < 1e-100:
@@ -117,7 +119,7 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, vectors: np.ndarray, ids:
     rows = []
     keep = min(k + 1, scores.shape[1])
     least = np.partition(scores, scores.shape[1] - keep, axis=1)[:, scores.shape[1] - keep]
-    for q, row, limit in zip(query_ids, scores, least):
+    for q, row, limit in zip(query_ids, scores, np.maximum(least, floors)):
         found = []
         for j in np.flatnonzero(row >= limit):
             found += [(-row[j], i) for i in ids[j] if i != q]
@@ -125,11 +127,24 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, vectors: np.ndarray, ids:
     return rows
 
 
+def rescored(found: DataFrame, asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """The found pairs with their cosine summed in the order of the components, and the ranks that follow."""
+    of = index.select(F.explode("ids").alias("vec_id"), "vector")
+    pairs = found.select("query_id", "vec_id").join(of, "vec_id").join(asked, "query_id")
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
+    # Very large or small components would overflow in their squares.
+    unit = lambda v: F.transform(v, lambda x: x / F.array_max(F.transform(v, F.abs)))
+    pairs = pairs.select("query_id", "vec_id", unit(F.col("q")).alias("q"), unit(F.col("vector")).alias("v"))
+    norm = lambda v: F.sqrt(total(F.transform(v, lambda x: x * x)))
+    score = total(F.zip_with("q", "v", lambda x, y: x * y)) / (norm("q") * norm("v"))
+    return _ranked(pairs.select("query_id", "vec_id", score.alias("score")), k).select("query_id", "rank", "vec_id", "score")
+
+
 RESULT = "query_id long, vec_id long, score double"
 
 
 def _search(queries: DataFrame, index: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """k rows a query and group at most; queries: (keys, query_id, q), index: (keys, vector, ids)."""
+    """k rows a query and group at most; queries: (keys, query_id, q[, floor]), index: (keys, vector, ids)."""
 
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -137,7 +152,9 @@ def _search(queries: DataFrame, index: DataFrame, keys: list[str], k: int) -> Da
         vectors, ids, rows = _matrix(right["vector"]), right["ids"].tolist(), []
         for start in range(0, len(left), 512):
             part = left.iloc[start:start + 512]
-            rows += _best(part["query_id"].to_numpy(), _matrix(part["q"]), vectors, ids, k)
+            # The last bits of a product may depend on what is multiplied with it.
+            floors = part["floor"].to_numpy() - 1e-9 if "floor" in part else np.full(len(part), -np.inf)
+            rows += _best(part["query_id"].to_numpy(), _matrix(part["q"]), vectors, ids, k, floors)
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     return queries.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInPandas(one, RESULT)
@@ -228,7 +245,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
         if visits is not None:
             break
     else:
-        return exact(asked, index, k, blocks).select("query_id", "rank", "vec_id", "score")
+        return rescored(exact(asked, index, k, blocks), asked, index, k)
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -244,21 +261,25 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
                 for i in range(len(frame)):
                     buckets = hashes.keys(own[i] + probes(into[i], visits), t)
                     yield pd.DataFrame({"query_id": frame["query_id"].iloc[i], "q": [frame["q"].iloc[i]] * len(buckets),
-                                        "table": np.int32(t), "bucket": buckets})
+                                        "table": np.int32(t), "bucket": buckets, "turn": np.arange(len(buckets))})
 
     hashed = settled(index.mapInPandas(placed, "point long, vector array<double>, ids array<long>, table int, bucket long"), "index")
     chunks = hashed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     chunks = settled(chunks, "chunks")
     held = hashed.join(chunks, ["table", "bucket"]).withColumn("chunk", F.pmod(F.xxhash64("point", F.lit(2)), "chunks").cast("int"))
     spread = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query_id")  # a query makes many probes
-    visited = spread.mapInPandas(visiting, "query_id long, q array<double>, table int, bucket long")
+    visited = spread.mapInPandas(visiting, "query_id long, q array<double>, table int, bucket long, turn long")
     ways = chunks.select(*[(F.col(c)).alias(c) for c in ("table", "bucket")], (F.col("chunks") - 1).alias("last"))
-    visited = visited.join(ways, ["table", "bucket"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    found = settled(_ranked(_search(visited, held, ["table", "bucket", "chunk"], k), k), "found")
+    visited = settled(visited.join(ways, ["table", "bucket"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last")))), "visited")
+    keys = ["table", "bucket", "chunk"]
+    early = settled(_ranked(_search(visited.filter(F.col("turn") < EARLY), held, keys, k), k).drop("rank"), "early")
+    floors = early.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor")).filter(F.col("n") == k).drop("n")
+    late = visited.filter(F.col("turn") >= EARLY).join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
+    found = settled(_ranked(_search(late, held, keys, k).unionByName(early.select("query_id", "vec_id", "score")), k), "found")
     served = found.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
     if _recall(asked.join(served, "query_id", "left_semi"), found, index, k, blocks) < LEAST:
-        return exact(asked, index, k, blocks).select("query_id", "rank", "vec_id", "score")
+        return rescored(exact(asked, index, k, blocks), asked, index, k)
     short = asked.join(served, "query_id", "left_anti")
     rest = exact(settled(short, "short"), index, k, blocks)
     full = found.join(rest.select("query_id").distinct(), "query_id", "left_anti")
-    return full.unionByName(rest).select("query_id", "rank", "vec_id", "score")
+    return rescored(full.unionByName(rest), asked, index, k)
