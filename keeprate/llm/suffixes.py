@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keeprate.llm import rolling
 from keeprate.llm.rolling import BYTE_BASE, planes
-from keeprate.llm.windows import GROUP_BYTES, NO_ID, _packed, _prime, _tag, _unpacked
+from keeprate.llm.windows import GROUP_BYTES, _packed, _prime, _unpacked, grouped_by, identified
 from keeprate.session import settled
 
 PIECE = 64  # bytes of an anchor
@@ -70,6 +70,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, least: int):
     lengths = np.diff(offsets)
     count = np.maximum(lengths - least + 1, 0)  # strings of each row
     row = np.repeat(np.arange(len(lengths)), count)
+    if not len(row):  # every text is too short
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(offsets[:-1], count)
     at = at[start].astype(np.int64)
     new = np.ones(len(row), bool)
@@ -99,7 +101,7 @@ def _read(row) -> tuple:
 
 def _by_group(kind: str, groups: int, ids, tags, position, lead, span, extra: dict) -> list[dict]:
     """Packed entries by document group."""
-    group = ids % groups
+    group = (ids ^ tags) % groups
     order = np.lexsort((position, tags, ids, group))
     ids, tags, position, lead, span, group = (x[order] for x in (ids, tags, position, lead, span, group))
     extra = {k: v[order] for k, v in extra.items()}
@@ -121,12 +123,12 @@ def judged_anchors(docs: DataFrame, least: int, bits: int, groups: int) -> DataF
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = np.asarray(batch.column(0).cast(pa.int64()).fill_null(NO_ID))
+            every, marks = np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for row, end, data, offsets in rolling.chunks(batch.column(1)):
                 place, position, lead, span, anchor, around = anchors(data, offsets, least)
                 if not len(place):
                     continue
-                ids, tags = every[row:end], _tag(data, offsets)
+                ids, tags = every[row:end], marks[row:end]
                 # Equal anchors with equal surroundings are sent once a run of documents.
                 order = np.lexsort((around, anchor))
                 new = np.ones(len(order), bool)
@@ -193,36 +195,30 @@ def _known(frame: pd.DataFrame, kind: str) -> dict[tuple, list]:
         extra = []
         if kind == "open":
             extra = [rolling.from_planes(row.anchor, "<u8"), rolling.from_planes(row.part, "<u4"), rolling.from_planes(row.hot, "<u1")]
-        edges = np.concatenate([[0], np.flatnonzero((np.diff(ids) != 0) | (np.diff(tags.astype(int)) != 0)) + 1, [len(ids)]])
+        edges = np.concatenate([[0], np.flatnonzero((np.diff(ids) != 0) | (np.diff(tags) != 0)) + 1, [len(ids)]])
         for a, b in zip(edges[:-1], edges[1:]):
             if b > a:
                 out.setdefault((int(ids[a]), int(tags[a])), []).append([x[a:b] for x in (position, lead, span, *extra)])
     return out
 
 
-def _key_of(doc_key: int, raw: bytes) -> tuple:
-    data = np.frombuffer(raw, np.uint8)
-    return int(doc_key), int(_tag(data, np.array([0, len(data)]))[0])
-
-
 def surroundings(grouped, asked, least: int, parts: int) -> DataFrame:
     """The bytes that the strings of each open anchor reach, one row per anchor."""
 
     def fetch(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known, rows = _known(right, "open"), []
-        wanted = {k for k, _ in known}
-        for key, text in zip(left["key"], left["text"]):
-            if key not in wanted:
+        for key, tag, text in zip(left["key"], left["tag"], left["text"]):
+            own = int(key), int(tag)
+            if own not in known:
                 continue
             raw = (text or "").encode()
-            own = _key_of(key, raw)
             for position, lead, span, anchor, part, hot in known.pop(own, []):  # equal rows give one
                 for s, l, n, a, p, h in zip(*(x.tolist() for x in (position, lead, span, anchor, part, hot))):
                     rows.append((int((a + p * 0x9E3779B1) % parts), a - (1 << 64) if a >= 1 << 63 else a, p, bool(h), *own, s, l, n, raw[s:s + n + least]))
         return pd.DataFrame(rows, columns=["bin", "anchor", "part", "hot", "key", "tag", "first", "lead", "span", "content"])
 
     return grouped.cogroup(asked.groupBy("grp")).applyInPandas(
-        fetch, "bin long, anchor long, part long, hot boolean, key long, tag int, first long, lead int, span int, content binary")
+        fetch, "bin long, anchor long, part long, hot boolean, key long, tag long, first long, lead int, span int, content binary")
 
 
 def expand(anchor: np.ndarray, lead: np.ndarray, span: np.ndarray, content: list[bytes], least: int) -> np.ndarray:
@@ -268,7 +264,7 @@ def expand(anchor: np.ndarray, lead: np.ndarray, span: np.ndarray, content: list
     return result
 
 
-RUNS = "grp long, key long, tag int, low long, high long"
+RUNS = "grp long, key long, tag long, low long, high long"
 
 
 def expanded(open_: DataFrame, least: int, groups: int) -> DataFrame:
@@ -283,7 +279,7 @@ def expanded(open_: DataFrame, least: int, groups: int) -> DataFrame:
             cells = zip(frame["key"].tolist(), frame["tag"].tolist(), frame["first"].tolist(), lead.tolist(), span.tolist(), found)
             for key, tag, first, l, n, flags in cells:
                 for a, b in rolling.runs(flags[l - n:l + 1][::-1]):  # by string, in the document's order
-                    rows.append((key % groups, key, tag, first + int(a), first + int(b) - 1))
+                    rows.append(((key ^ tag) % groups, key, tag, first + int(a), first + int(b) - 1))
         return pd.DataFrame(rows, columns=["grp", "key", "tag", "low", "high"])
 
     return open_.groupBy("bin").applyInPandas(run, RUNS)
@@ -299,11 +295,11 @@ def across_parts(open_: DataFrame, least: int, groups: int) -> DataFrame:
                 found = rolling.rolling(data, least, BYTE_BASE).astype(np.int64)
                 n = len(found)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, row["key"] % groups)), pa.array(np.full(n, row["key"])), pa.array(np.full(n, row["tag"], np.int32)),
+                    pa.array(np.full(n, (row["key"] ^ row["tag"]) % groups)), pa.array(np.full(n, row["key"])), pa.array(np.full(n, row["tag"])),
                     pa.array(row["first"] + np.arange(n)), pa.array(found)], ["grp", "key", "tag", "low", "string"])
 
     hot = open_.filter("hot").select("key", "tag", "first", "content").mapInArrow(
-        strings, "grp long, key long, tag int, low long, string long")
+        strings, "grp long, key long, tag long, low long, string long")
     twice = hot.groupBy("string").agg(F.count("*").alias("times")).filter(F.col("times") > 1).select("string")
     return hot.join(twice, "string").select("grp", "key", "tag", "low", F.col("low").alias("high"))
 
@@ -318,23 +314,22 @@ def dedup(spark: SparkSession, docs: DataFrame, least: int = 200) -> DataFrame:
     Null and empty texts and texts under ``least`` bytes lose nothing (null: no byte). Repeated rows are
     occurrences of each other, whatever their ids; null ids are allowed. Only doc_id and text are read. Very long texts
     are read whole. An empty table gives an empty result. Equality of whole surroundings and of
-    strings across parts is that of 64-bit hashes; expansion compares bytes. ``least`` is from 65 to 65,000.
+    strings across parts is that of 64-bit hashes; expansion compares bytes. ``least`` is from 65 to 512.
     """
-    if not PIECE < least <= 65_000:
-        raise ValueError(f"least must be from {PIECE + 1} to 65000")
-    docs = docs.select("doc_id", "text")
+    if not PIECE < least <= rolling.WIDEST:
+        raise ValueError(f"least must be from {PIECE + 1} to {rolling.WIDEST}")
+    docs = identified(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(size * 2 / (least - PIECE) / BUCKET_ANCHORS, 1)))))
     groups = _prime(size // GROUP_BYTES)
-    entries = settled(judged_anchors(docs, least, bits, groups), "anchors")
+    entries = settled(judged_anchors(docs.select("key", "text", "tag"), least, bits, groups), "anchors")
     asked, repeated = entries.filter(F.col("kind") == "open"), entries.filter(F.col("kind") == "repeated")
     waiting = asked.agg(F.sum(F.octet_length("lead")) / 2).first()[0] or 0
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID)))
-    keyed = docs.withColumn("key", key).withColumn("grp", F.pmod("key", F.lit(groups)))
+    keyed = docs.withColumn("grp", grouped_by(groups))
     open_ = settled(surroundings(keyed.groupBy("grp"), asked, least, _prime(int(waiting // PART_SUFFIXES))), "surroundings")
     runs_ = expanded(open_, least, groups).union(across_parts(open_, least, groups))
     nothing = F.lit(None).cast("binary")
-    both = repeated.select("grp", *ENTRY, F.lit(None).cast("long").alias("key"), F.lit(None).cast("int").alias("tag"),
+    both = repeated.select("grp", *ENTRY, F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("tag"),
                            F.lit(None).cast("long").alias("low"), F.lit(None).cast("long").alias("high")).union(
         runs_.select("grp", *[nothing.alias(c) for c in ENTRY], "key", "tag", "low", "high"))
 
@@ -346,11 +341,11 @@ def dedup(spark: SparkSession, docs: DataFrame, least: int = 200) -> DataFrame:
         for k, t, low, high in zip(rest["key"], rest["tag"], rest["low"], rest["high"]):
             single.setdefault((int(k), int(t)), []).append((int(low), int(high)))
         rows = []
-        for doc_key, doc_id, text in zip(left["key"], left["doc_id"], left["text"]):
+        for key, tag, doc_id, text in zip(left["key"], left["tag"], left["doc_id"], left["text"]):
             raw = (text or "").encode()
             gone: list[dict] = []
             if known or single:
-                own = _key_of(doc_key, raw)
+                own = int(key), int(tag)
                 starts = [x[0] for x in known.get(own, [])] + [np.array([a for a, _ in single.get(own, [])], np.int64)]
                 ends = [x[0] + x[2] for x in known.get(own, [])] + [np.array([b for _, b in single.get(own, [])], np.int64)]
                 starts, ends = np.concatenate(starts), np.concatenate(ends)

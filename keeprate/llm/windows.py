@@ -19,23 +19,37 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from keeprate.llm import rolling
 from keeprate.llm.rolling import from_planes, planes
+from keeprate.session import settled
 
 BUCKET_WINDOWS = 3_000_000
 GROUP_BYTES = 12_000_000  # of text that one task joins with its repeats
+MOST_REPEATED = 100_000  # repeated ids that are sent to all tasks
 NO_ID = np.iinfo(np.int64).max  # stands for a null id, which comes after all others
 
 
-def _tag(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Two bytes of each text, to tell rows apart that share an id."""
-    values = (data.astype(np.uint64) + np.uint64(1)) * rolling.powers_for(rolling.BYTE_BASE, int(np.diff(offsets).max(initial=1)))[
-        np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values, out=sums[1:])
-    return (rolling.mixed(sums[offsets[1:]] - sums[offsets[:-1]]) >> np.uint64(48)).astype(np.uint16)
+def identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, key, tag): ``key`` stands for the id, ``tag`` is the text's hash where rows share an id, else 0.
+
+    Key and tag together name a text; groups by both of them spread the rows of one id, or of no id, over the tasks.
+    """
+    keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("key"))
+    repeated = settled(keyed.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("of"), "repeated-ids")
+    count, own = repeated.count(), F.xxhash64("text")
+    if not count:
+        return keyed.withColumn("tag", F.lit(0).cast("long"))
+    if count > MOST_REPEATED:
+        return keyed.withColumn("tag", own)
+    marked = keyed.join(F.broadcast(repeated), F.col("key") == F.col("of"), "left")
+    return marked.withColumn("tag", F.when(F.col("of").isNotNull(), own).otherwise(F.lit(0).cast("long"))).drop("of")
+
+
+def grouped_by(groups: int) -> Column:
+    """The group of a text, by key and tag; tasks compute the same."""
+    return F.pmod(F.col("key").bitwiseXOR(F.col("tag")), F.lit(groups))
 
 
 def _packed(ids, tags, place, position) -> dict:
@@ -43,7 +57,7 @@ def _packed(ids, tags, place, position) -> dict:
     used, counts = np.unique(place, return_counts=True)
     gaps = np.diff(position, prepend=0)
     gaps[np.cumsum(counts) - counts] = position[np.cumsum(counts) - counts]
-    return {"ids": planes(np.diff(ids[used], prepend=0)), "tags": tags[used].tobytes(),
+    return {"ids": planes(np.diff(ids[used], prepend=0)), "tags": planes(tags[used]),
             "counts": planes(counts.astype(np.uint32)), "gaps": planes(gaps.astype(np.uint32))}
 
 
@@ -55,7 +69,7 @@ def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.cumsum(counts) - counts
     walked -= np.repeat(walked[first] - gaps[first], counts)
     ids = np.cumsum(from_planes(row.ids, "<i8"))
-    return np.repeat(ids, counts), np.repeat(np.frombuffer(row.tags, np.uint16), counts), walked
+    return np.repeat(ids, counts), np.repeat(from_planes(row.tags, "<i8"), counts), walked
 
 
 def _earliest(order_by: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
@@ -76,18 +90,18 @@ REPEATS = "grp long, ids binary, tags binary, counts binary, gaps binary"
 
 
 def repeats(docs: DataFrame, width: int, bits: int, groups: int) -> DataFrame:
-    """Packed positions of repeated windows by document group; docs: (doc_id, text)."""
+    """Packed positions of repeated windows by document group; docs: (key, text, tag)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = np.asarray(batch.column(0).cast(pa.int64()).fill_null(NO_ID))
+            every, marks = np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for row, end, data, offsets in rolling.chunks(batch.column(1)):
                 starts, ends, first = rolling.words(data, offsets)
                 h = rolling.rolling(rolling.word_hashes(data, starts, ends), width, rolling.WORD_BASE)
                 count = np.maximum(np.diff(first) - width + 1, 0)
                 if not count.sum():
                     continue
-                ids, tags = every[row:end], _tag(data, offsets)
+                ids, tags = every[row:end], marks[row:end]
                 place = np.repeat(np.arange(end - row), count)
                 position = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
                 h = h[np.repeat(first[:-1], count) + position]
@@ -118,7 +132,7 @@ def repeats(docs: DataFrame, width: int, bits: int, groups: int) -> DataFrame:
         repeated = ~known
         repeated[known] = ~_few_earliest([position[known], ids[known]], np.concatenate(hashes))
         ids, tags, position = ids[repeated], tags[repeated], position[repeated]
-        group = ids % groups
+        group = (ids ^ tags) % groups
         order = np.lexsort((position, tags, ids, group))
         ids, tags, position, group = ids[order], tags[order], position[order], group[order]
         new = np.ones(len(ids), bool)
@@ -170,27 +184,28 @@ def dedup(spark: SparkSession, docs: DataFrame, width: int = 20) -> DataFrame:
     empty). A null doc_id comes after all others; rows that share an id and a position do not
     count as earlier than each other, so repeated rows keep the same words. Only doc_id and text
     are read. An empty table gives an empty result. Equality is that of 56 bits and the bucket's
-    bits of a hash.
+    bits of a hash, and of 64 bits for words; ``width`` is 512 at most.
     """
-    docs = docs.select("doc_id", "text")
+    if not 1 <= width <= rolling.WIDEST:
+        raise ValueError(f"width must be from 1 to {rolling.WIDEST}")
+    docs = identified(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(size / 6 / BUCKET_WINDOWS, 1)))))
     groups = _prime(size // GROUP_BYTES)
-    flagged = repeats(docs, width, bits, groups)
+    flagged = repeats(docs.select("key", "text", "tag"), width, bits, groups)
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known: dict[tuple, list] = {}
         for row in right.itertuples():
             ids, tags, position = _unpacked(row)
-            edges = np.concatenate([[0], np.flatnonzero((np.diff(ids) != 0) | (np.diff(tags.astype(int)) != 0)) + 1, [len(ids)]])
+            edges = np.concatenate([[0], np.flatnonzero((np.diff(ids) != 0) | (np.diff(tags) != 0)) + 1, [len(ids)]])
             for a, b in zip(edges[:-1], edges[1:]):
                 known.setdefault((int(ids[a]), int(tags[a])), []).append(position[a:b])
         rows = []
-        for key, doc_id, text in zip(left["key"], left["doc_id"], left["text"]):
+        for key, tag, doc_id, text in zip(left["key"], left["tag"], left["doc_id"], left["text"]):
             raw = (text or "").encode()
             parts, gone = raw.split(), []
-            data = np.frombuffer(raw, np.uint8)
-            mine = known.get((int(key), int(_tag(data, np.array([0, len(data)]))[0]))) if known else None
+            mine = known.get((int(key), int(tag)))
             n = len(parts)
             if mine:
                 covered = rolling.cover(np.concatenate(mine), width, n)
@@ -199,8 +214,7 @@ def dedup(spark: SparkSession, docs: DataFrame, width: int = 20) -> DataFrame:
             rows.append((doc_id, n, gone, b" ".join(parts).decode()))
         return pd.DataFrame(rows, columns=["doc_id", "n_words", "removed", "kept"]).astype({"doc_id": "Int64"})
 
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID)))
-    grouped = docs.withColumn("key", key).withColumn("grp", F.pmod("key", F.lit(groups)))
+    grouped = docs.withColumn("grp", grouped_by(groups))
     return grouped.groupBy("grp").cogroup(flagged.groupBy("grp")).applyInPandas(
         cut, "doc_id long, n_words long, removed array<struct<start:int,end:int>>, kept string")
 
