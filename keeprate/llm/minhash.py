@@ -33,6 +33,7 @@ ROWS, BANDS = 5, 24  # a pair at similarity 0.85 misses all bands with a chance
 HASHES = ROWS * BANDS
 BATCH = 20  # signature places compared at a time
 SLOT_BITS = 20  # of the counters that order shingles by rarity; any order is right
+EARLIER = 12  # rarest shingles of a class by which a meeting that came before is known
 MISS = 1e-5  # chance of losing a pair at the threshold
 NO_ID = np.iinfo(np.int64).max
 
@@ -191,9 +192,11 @@ def group(spark: SparkSession, docs: DataFrame, width: int = 5, least: int = 80,
     Null, empty and blank texts have no shingle and are linked with nothing, each kept under its own
     id. A null doc_id comes after all others: its component is null where no other id is in it, and
     it is kept there. Rows equal in id and text get the same result. Only doc_id and text are
-    read; ``text_hash`` is xxhash64 of the text, to find the row again. Very long texts are read whole. An empty
+    read; ``width`` is 512 at most; ``text_hash`` is xxhash64 of the text, to find the row again. Very long texts are read whole. An empty
     table gives an empty result. Sets are sets of 64-bit shingle hashes.
     """
+    if not 1 <= width <= rolling.WIDEST:
+        raise ValueError(f"width must be from 1 to {rolling.WIDEST}")
     docs = docs.select("doc_id", "text")
     rows = settled(profiles(docs, width), "profiles")
     nodes = rows.filter(F.col("n") > 0).groupBy("class").agg(
@@ -323,6 +326,10 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
     meetings = settled(_meetings(texts.hint("merge").join(left, "class"), width, least, per), "meetings")
     shared = meetings.groupBy("bucket").agg(F.count("*").alias("size"), F.max("leads").alias("led")).filter((F.col("size") > 1) & F.col("led"))
     open_members = settled(meetings.join(shared.select("bucket"), "bucket"), "open")
+    # Two classes meet first at their rarest shared shingle; later meetings are left out as far as ``firsts`` tells.
+    firsts = settled(meetings.filter(F.col("place") < EARLIER).groupBy("class").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "bucket"))), lambda x: x["bucket"]).alias("firsts")), "firsts")
+    before = F.slice("firsts", F.lit(1), F.col("place"))
     pivots_a_round = 8
     while True:
         now = _apart(open_members, labels)
@@ -331,8 +338,11 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy("place", "class"))
         pivots = settled(now.filter("leads").withColumn("nth", nth).filter(F.col("nth") <= pivots_a_round).select(
             F.col("bucket").alias("of"), F.col("class").alias("pivot"), F.col("label").alias("pivot_label"),
-            F.col("n").alias("pivot_n"), F.col("place").alias("pivot_place")), "pivots")
-        pairs = now.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("pivot_label")) & _may_link(least, per))
+            F.col("n").alias("pivot_n"), F.col("place").alias("pivot_place"), F.col("class")).join(firsts, "class").select(
+            "of", "pivot", "pivot_label", "pivot_n", "pivot_place", F.slice("firsts", F.lit(1), F.col("pivot_place")).alias("pivot_before")), "pivots")
+        members = now.join(firsts, "class").withColumn("before", before).drop("firsts")
+        pairs = members.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("label") != F.col("pivot_label")) & _may_link(least, per)
+                             & ~F.arrays_overlap("before", "pivot_before"))
         labels = components(verifier.links(pairs.select(F.col("pivot").alias("a"), F.col("class").alias("b"))), labels)
         done = pivots.select(F.col("of").alias("bucket"), F.col("pivot").alias("class"))
         open_members = now.drop("label").join(done, ["bucket", "class"], "left_anti")
