@@ -163,9 +163,13 @@ def _near(whole: DataFrame, tests: DataFrame, least: float) -> DataFrame:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
-    """Documents in which no item leaked, with the columns they came with."""
+    """Documents in which no item of five words or more leaked, with the columns they came with.
+
+    Shorter items are reported by ``leaks``, but a few common words alone reject no document.
+    """
     key, digest = fresh(docs, "key", "text_hash")
-    marked = leaks(spark, docs, items, least).select(
+    long = items.filter(F.size(_words(F.col("text"))) >= SHINGLE)
+    marked = leaks(spark, docs, long, least).select(
         F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias(key), F.col("text_hash").alias(digest)).distinct()
     keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), digest: F.xxhash64("text")})
     return keyed.join(marked, [key, digest], "left_anti").select(*[col(c) for c in docs.columns])

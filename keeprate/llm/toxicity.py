@@ -105,11 +105,11 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> dict:
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model from the rows of ``labels`` (doc_id, toxic) that are not held out.
 
-    Rows with a null id or label are left out. Without both labels in the rest there is
+    Rows with a null id or label are left out; of several labels for one id the toxic one counts. Without both labels in the rest there is
     nothing to learn: the score is then the share of toxic rows for every text.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2)).select(
-        "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+        "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows at most
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
     if len(counts) < 2:

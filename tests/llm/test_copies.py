@@ -228,3 +228,42 @@ def test_empty_tables(spark, nothing):
     assert minhash.dedup(spark, nothing).columns == nothing.columns
     assert lines.dedup(spark, nothing).count() == 0
     assert lines.without_repeats(spark, nothing).count() == 0
+
+
+def thue(size: int) -> tuple[str, str]:
+    """Two words of a pattern that polynomial hashes modulo 2^64 cannot tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [1_024, 4_096])
+def test_patterned_words_differ(spark, size):
+    one, other = thue(size)
+    words = " ".join(f"w{i}" for i in range(19))
+    docs = spark.createDataFrame([(1, f"{one} {words}"), (2, f"{other} {words}"), (3, one), (4, other)], "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in windows.dedup(spark, docs).collect()} == {i: [] for i in range(1, 5)}
+    found = {r.doc_id: r.component_id for r in minhash.group(spark, docs, 3, 85, 100).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 4}  # the first two share 17 of 19 shingles
+
+
+def test_many_rows_of_one_id_or_none(spark):
+    """Different texts under no id, or under one, keep apart, and their groups are spread over the tasks."""
+    passage = " ".join(f"shared{i}" for i in range(40))
+    texts = [f"text {i} " + ("x" * (i % 50)) + (f" {passage} end {i}" if i % 100 == 0 else "") for i in range(3_000)]
+    for doc_id in (None, 7):
+        rows = [(doc_id, t) for t in texts] + [(1, passage)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        want = sorted((passage in t and (doc_id is None or doc_id > 1), len(t.split())) for t in texts)
+        got = [r for r in windows.dedup(spark, docs).collect() if r.doc_id != 1]
+        assert sorted((bool(r.removed), r.n_words) for r in got) == want
+        assert all(r.kept in texts or passage not in r.kept for r in got)
+        cut = suffixes.dedup(spark, docs).collect()
+        assert sum(bool(r.removed) for r in cut) == 31
+        assert all(bytes(r.kept).decode() in texts or b"shared1 " not in bytes(r.kept) for r in cut)
+        named = windows.identified(docs)
+        assert named.withColumn("g", windows.grouped_by(7)).groupBy("g").count().count() == 7
+
+
+def test_only_short_texts(spark):
+    docs = spark.createDataFrame([(i, f"a short text of some thirty bytes {i}") for i in range(20)], "doc_id long, text string").coalesce(1)
+    assert all(not r.removed for r in suffixes.dedup(spark, docs).collect())
