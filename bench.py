@@ -43,10 +43,9 @@ def full_run(spark, folder):
 
 
 def batch_scoring(spark, folder):
-    """Fit a small forest, then score and summarise every customer."""
+    """Fit the production forest, then score and summarise every customer."""
     usage = settled(customer_usage(spark, folder), "usage")
-    small = models.production_model("random_forest", numTrees=10, maxDepth=5)
-    model = recipes.fit(train_rows(usage), small, "full")
+    model = recipes.fit(train_rows(usage), models.production_model("random_forest"), "full")
     summary(score(model, usage)).collect()
 
 

@@ -16,6 +16,8 @@ from keeprate.operators.ordered import dense_codes
 from keeprate.operators.profile import means_and_deviations
 from keeprate.schema import CORRELATED
 
+MOST_CATEGORIES = 10_000  # that become columns of a table
+
 
 def label_codes(train: DataFrame, column: str, apply_to: DataFrame | None = None) -> DataFrame:
     """Adds ``<column>_code``: position of the text among the sorted training values.
@@ -41,8 +43,11 @@ def one_hot(df: DataFrame, column: str, categories: list) -> DataFrame:
 
 
 def categories_of(df: DataFrame, column: str) -> list:
-    """Sorted distinct values, which become columns of the caller's table."""
-    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+    """Sorted distinct values, which become columns of the caller's table; more than ``MOST_CATEGORIES`` are an error."""
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
+    if len(found) > MOST_CATEGORIES:
+        raise ValueError(f"{column} has more than {MOST_CATEGORIES} values; one_hot_stages keeps them in one vector column")
+    return sorted(r[0] for r in found)
 
 
 def standard_scaled(train: DataFrame, columns: list[str], apply_to: DataFrame | None = None) -> DataFrame:

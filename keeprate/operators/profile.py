@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from keeprate.operators.project import unpivot
@@ -259,21 +263,48 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
     A pair with a constant column is null. Each pair uses the rows that are complete for it.
     """
-    numeric = df.select(*[_number(c).alias(c) for c in columns])
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = numeric.agg(*[_pair_correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]).first()
+    rows = {(r.a, r.b): r for r in _cross_products(df, columns).collect()}  # a row for each pair of columns
     records = []
-    for i, (a, b) in enumerate(pairs):
-        records.append((a, b, row[i]))
-        if a != b:
-            records.append((b, a, row[i]))
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            one, other = rows.get((i, j)), rows.get((j, i))
+            value = None
+            if one is not None and one.n and one.low < one.high and other.low < other.high:
+                mean, mean_b = one.sx / one.n, other.sx / one.n
+                spread = (one.sxx / one.n - mean * mean) * (other.sxx / one.n - mean_b * mean_b)
+                value = (one.sxy / one.n - mean * mean_b) / math.sqrt(spread) if spread > 0 else None
+            records.append((a, b, value))
     return _rows(df, records, "column_a string, column_b string, correlation double")
 
 
-def _pair_correlation(a: str, b: str) -> Column:
-    x = F.when(F.col(b).isNotNull(), F.col(a))
-    y = F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+def _cross_products(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(a, b, n, sx, sxx, sxy, low, high): sums over the rows that have both columns, x being a's distance from its mean.
+
+    Each partition multiplies its columns as matrices and sends one row for each pair.
+    """
+    numeric = df.select(*[_number(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    means = numeric.agg(*[F.avg(c) for c in numeric.columns]).first()
+    centre, k = np.array([0.0 if m is None else m for m in means]), len(columns)
+
+    def run(batches):
+        sums, low, high = np.zeros((4, k, k)), np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for batch in batches:
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            there = ~np.isnan(raw)
+            x, present = np.where(there, raw - centre, 0.0), there.astype(float)
+            sums += [present.T @ present, x.T @ present, (x * x).T @ present, x.T @ x]
+            for b in range(k):
+                part = raw[there[:, b]]
+                if len(part):
+                    low[:, b] = np.fmin(low[:, b], np.fmin.reduce(part, axis=0))
+                    high[:, b] = np.fmax(high[:, b], np.fmax.reduce(part, axis=0))
+        a, b = (i.ravel().astype(np.int32) for i in np.indices((k, k)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b), *(pa.array(m.ravel()) for m in (*sums, low, high))], ["a", "b", "n", "sx", "sxx", "sxy", "low", "high"])
+
+    totals = numeric.mapInArrow(run, "a int, b int, n double, sx double, sxx double, sxy double, low double, high double")
+    return totals.groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")], F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def correlated_columns(df: DataFrame, columns: list[str], threshold: float) -> list[str]:

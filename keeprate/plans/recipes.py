@@ -97,8 +97,8 @@ def rebalanced(encoded: DataFrame, **options) -> DataFrame:
 
 # Parts in which training rows are dealt to the tasks, by the hash of their id. Tree trainers sample
 # per part, so this number, and nothing about the cluster or the input's files, belongs to the result.
-# Raise it with the table: a part is what one task trains on.
-TRAINING_PARTS = 4
+# A part is what one task trains on: raise it with the table beyond some 10 GB of encoded rows.
+TRAINING_PARTS = 16
 
 
 def dealt(df: DataFrame, parts: int = TRAINING_PARTS) -> DataFrame:

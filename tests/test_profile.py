@@ -182,3 +182,34 @@ def test_missing_numbers_count_the_same_at_every_size(spark):
     both = df.withColumn("y", F.col("x") * 2)
     assert all(r.correlation == pytest.approx(1.0) for r in profile.correlation_matrix(both, ["x", "y"]).collect())
     assert profile.distinct_counts(df, ["x"]).first()["distinct_values"] == len(kept)
+
+
+def test_correlation_equals_numpy_on_complete_pairs(spark):
+    """Missing numbers by pair, large offsets, several partitions, and a pair that is constant only together."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 4)) + [0, 1e6, -50, 3]
+    x[:, 2] += x[:, 0]
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = np.where(np.isnan(x[:, 0]), x[:, 3], 0.1)
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(x)], "a double, b double, c double, d double")
+    for parts in (1, 5):
+        found = {(r.column_a, r.column_b): r.correlation for r in profile.correlation_matrix(df.repartition(parts), names).collect()}
+        assert len(found) == 16
+        for i, a in enumerate(names):
+            for j, b in enumerate(names):
+                both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+                p, q = x[both, i], x[both, j]
+                constant = np.ptp(p) == 0 or np.ptp(q) == 0
+                assert found[a, b] is None if constant else found[a, b] == pytest.approx(np.corrcoef(p, q)[0, 1], abs=1e-9)
+
+
+def test_too_many_categories_are_an_error(spark, monkeypatch):
+    from keeprate.operators import encode
+
+    monkeypatch.setattr(encode, "MOST_CATEGORIES", 3)
+    assert encode.categories_of(spark.range(3), "id") == [0, 1, 2]
+    with pytest.raises(ValueError, match="more than 3 values"):
+        encode.categories_of(spark.range(4), "id")
