@@ -5,11 +5,11 @@ Every line start is a suffix of its document's sequence of line IDs. In round k
 lines. The next round's name joins a suffix's name with that of the suffix 2^k lines on. A
 suffix alone in its interval is settled and leaves, so the rounds shrink; names are
 hashes instead of dense ranks, for which no global sort is needed: any fixed order of IDs gives
-the same intervals. In an interval the earliest suffix stays and the blocks of the later ones
-are marked. Overlapping marked blocks merge into the maximal repeated runs, which are deleted.
+the same intervals. In an interval the earliest suffix stays and the runs of the later ones
+are marked. Overlapping marked runs merge and are deleted.
 
-That judges blocks of ``ROUNDS`` sizes, as the SQL counterpart does. ``whole_runs`` judges the longest run
-itself: it doubles until no name is shared and adds up each suffix's common prefix from the rounds' names.
+The doubling goes on until no name is shared, and each suffix's longest common prefix is added up from the
+rounds' names. Without ``whole_runs`` only blocks of ``ROUNDS`` sizes are judged.
 """
 
 from __future__ import annotations
@@ -120,14 +120,13 @@ def maximal_runs(blocks: DataFrame) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, rounds: int = ROUNDS,
-          removed_name: str = "removed", kept_name: str = "kept", whole_runs: bool = False) -> DataFrame:
+          removed_name: str = "removed", kept_name: str = "kept", whole_runs: bool = True) -> DataFrame:
     """All columns of ``docs``, the removed line runs and the text that is left.
 
-    Lines end at ``\\n`` and are compared whole. A line is removed if it lies in a block of 2^k lines
-    (k below ``rounds``) with at least ``min_words`` words whose lines also start earlier: in a document
-    with a smaller doc_id, or in the same one further up. Blocks are judged on the input.
-    With ``whole_runs`` the words are asked of the longest run of lines that also starts earlier, of any length,
-    instead of its blocks; ``rounds`` has no meaning then.
+    Lines end at ``\\n`` and are compared whole. A line is removed if it lies in a maximal run of lines, of any length,
+    with at least ``min_words`` words that also starts earlier: in a document
+    with a smaller doc_id, or in the same one further up. Runs are judged on the input.
+    Without ``whole_runs`` the words are asked of blocks of 2^k lines, k below ``rounds``, instead.
 
     Null text: kept null, nothing removed. Empty text: one empty line. A text whose lines all go is
     kept empty. A null doc_id comes after all others. Rows that share an id count as one document, so
@@ -159,7 +158,7 @@ def digest(result: DataFrame) -> DataFrame:
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-def without_repeats(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
+def without_repeats(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool = True) -> DataFrame:
     """``docs`` with later copies of line runs cut out of ``text``; texts that lose all they have go."""
     removed, kept = fresh(docs, "removed", "kept")
     cut = dedup(spark, docs, min_words, removed_name=removed, kept_name=kept, whole_runs=whole_runs)

@@ -50,17 +50,18 @@ JOIN taken t ON d.source IS NOT DISTINCT FROM t.source AND d.h = t.h
 OP5_LINES = r"""
 WITH docs AS (
   SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
-), sizes AS (SELECT unnest([1, 2, 4, 8, 16]) AS m
-), blocks AS (
-  SELECT doc_id, m, p, array_to_string(lines[p + 1 : p + m], chr(10)) AS block
-  FROM (SELECT doc_id, m, lines, unnest(range(0, len(lines) - m + 1)) AS p FROM docs, sizes WHERE len(lines) >= m)
-), later AS (
-  SELECT doc_id, m, p, block,
-    row_number() OVER (PARTITION BY m, block ORDER BY doc_id, p) > 1
-      AND len(regexp_extract_all(block, '[^\x20\x09-\x0D]+')) >= 10 AS goes
-  FROM blocks
+), placed AS (
+  SELECT doc_id, p, content, len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT doc_id, unnest(lines) AS content, unnest(range(0, len(lines))) AS p FROM docs)
+), pairs AS (
+  SELECT l.doc_id, l.p, l.words, e.doc_id AS of_doc, l.p - e.p AS shift
+  FROM placed l JOIN placed e ON l.content = e.content AND (e.doc_id < l.doc_id OR (e.doc_id = l.doc_id AND e.p < l.p))
+), islands AS (
+  SELECT *, p - row_number() OVER (PARTITION BY doc_id, of_doc, shift ORDER BY p) AS island FROM pairs
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 1 AS b FROM islands GROUP BY doc_id, of_doc, shift, island HAVING sum(words) >= 10
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(p, p + m)) AS line FROM later WHERE goes
+  SELECT DISTINCT doc_id, unnest(range(a, b)) AS line FROM runs
 ), numbered AS (
   SELECT doc_id, text, lines, unnest(range(0, greatest(len(lines), 1))) AS line FROM docs
 ), flagged AS (
