@@ -1,10 +1,10 @@
 """Exact k-nearest-neighbour join, without a cross join.
 
 Rows with equal vectors are merged to one point that keeps its ``k + 1`` smallest
-ids, so a large group of copies costs one point. Points are assigned to the nearest
-of a bounded number of pivots drawn from the data. The pivot distances give every
-cell an upper bound on its neighbour distances; a point is sent to a cell only if
-the triangle inequality leaves it a chance there. Cells are cut into blocks of
+ids, so a large group of copies costs one point. Points are assigned to the cells of
+a tree of pivots (``pivots.py``). The pivot distances give every cell an upper bound on
+its neighbour distances; a point is sent to a cell only if the triangle inequality
+leaves it a chance there, tried from the root of the tree down. Cells are cut into blocks of
 bounded size, so no task holds more than two blocks, and a block emits only its
 best ``k + 1`` per query, which a ranked merge reduces. No candidate is cut off, so
 the result equals the brute-force one, with ties broken by id.
@@ -18,11 +18,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from keeprate.operators.pivots import grown, placed, statistics
 from keeprate.session import settled
 
 CELL_ROWS = 16_384  # rows a cell, as intended
 BLOCK_ROWS = 16_384  # rows of a block at most
-MAX_PIVOTS = 2_048  # what is sent to all tasks; with more rows the cells grow and are cut into more blocks
 SENT_ROWS = 65_536  # rows that a task hands on at a time
 PAIR_SLICE = 262_144
 
@@ -49,62 +49,6 @@ def _merge_copies(points: DataFrame, keep: int, carry: str | None) -> DataFrame:
     )
 
 
-def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    squares = (rows**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * rows @ pivots.T
-    return np.sqrt(np.maximum(squares, 0))
-
-
-def _assigned(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Adds the nearest pivot and the distance to it."""
-    shared = points.sparkSession.sparkContext.broadcast(pivots)
-
-    def assign(batches):
-        for batch in filter(len, batches):
-            distances = _distances(np.stack(batch["vector"].to_numpy()), shared.value)
-            cell = distances.argmin(1)
-            yield pd.DataFrame({
-                "point": batch["point"], "cell": cell.astype("int32"),
-                "radius": distances[np.arange(len(cell)), cell],
-            })
-
-    return points.select("point", "vector").mapInPandas(assign, "point long, cell int, radius double")
-
-
-def _cell_plan(queries: DataFrame, base: DataFrame, pivots: np.ndarray, keep: int):
-    """Per cell: radius of its queries, distance bound, query and base row counts."""
-    m = len(pivots)
-    def sizes(cells: DataFrame):
-        return cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r")).collect()
-
-    nearest = Window.partitionBy("cell").orderBy("radius")
-    base_cells = _assigned(base, pivots)
-    by_base = sizes(base_cells)
-    by_query = by_base if queries is base else sizes(_assigned(queries, pivots))
-    closest = (
-        base_cells.withColumn("_rank", F.row_number().over(nearest)).filter(F.col("_rank") <= keep)
-    )
-    query_count, query_radius = np.zeros(m, "int64"), np.zeros(m)
-    for row in by_query:
-        query_count[row.cell], query_radius[row.cell] = row.n, row.r
-    base_count, base_radius = np.zeros(m, "int64"), np.zeros(m)
-    for row in by_base:
-        base_count[row.cell], base_radius[row.cell] = row.n, row.r
-    smallest = np.full((m, keep), np.inf)
-    for row in closest.select("cell", "radius", "_rank").collect():
-        smallest[row.cell, row._rank - 1] = row.radius
-
-    between = _distances(pivots, pivots)
-    bound = np.full(m, np.inf)
-    for i in range(m):
-        reach = (query_radius[i] + between[i][:, None] + smallest).ravel()
-        if np.isfinite(reach).sum() >= keep:
-            bound[i] = np.partition(reach, keep - 1)[keep - 1]
-    # Base rows that can reach a cell, counted by whole cells: an upper limit.
-    slack = 1e-6 * (1 + between.max())
-    reachable = between - query_radius[:, None] - base_radius[None, :] <= bound[:, None] + slack
-    return query_count, query_radius, bound, reachable @ base_count, slack
-
-
 def _hash(points: np.ndarray) -> np.ndarray:
     mixed = points.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
     return mixed ^ (mixed >> np.uint64(29))
@@ -160,24 +104,29 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
+def _measured_tree(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int):
+    """The tree with all its bounds, and the queries with their leaves.
+
+    The queries' leaves are written: computed anew, a near tie could fall to another leaf,
+    whose radius does not hold the query.
+    """
+    tree = grown(base, base.count(), cell_rows)
+    asked = settled(placed(queries, tree), "placed")
+    of_queries = statistics(asked, tree, keep)
+    tree.measure(of_queries, of_queries if queries is base else statistics(placed(base, tree), tree, keep), keep)
+    return tree, asked
+
+
 def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int, block_rows: int) -> DataFrame:
     """(point, distance, neighbor_id, carried): the best of each block pair, per query point."""
     context = queries.sparkSession.sparkContext
-    n_base = base.count()
-    n_query = n_base if queries is base else queries.count()
-    cells = min(MAX_PIVOTS, math.ceil(n_base / cell_rows)) or 1
-    if cells > 1:
-        drawn = base.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(cells).collect()
-        pivots = np.array([r.vector for r in drawn])
-        query_count, radius, bound, reach, slack = _cell_plan(queries, base, pivots, keep)
-    else:
-        pivots, slack = None, 0.0
-        query_count, radius, bound, reach = np.array([n_query]), np.zeros(1), np.full(1, np.inf), np.array([n_base])
+    tree, asked = _measured_tree(queries, base, keep, cell_rows)
+    n_query = int(tree.query_rows[0])
     # Query blocks are also small enough to occupy all cores; base blocks only bounded.
     query_rows = max(256, min(block_rows, math.ceil(n_query / context.defaultParallelism)))  # placement only
-    query_blocks = np.maximum(1, -(-query_count // query_rows))
-    base_blocks = np.maximum(1, -(-reach // block_rows))
-    plan = context.broadcast((pivots, radius, bound, query_count, query_blocks, base_blocks))
+    query_blocks = np.maximum(1, -(-tree.query_rows // query_rows))
+    base_blocks = np.maximum(1, -(-tree.reach() // block_rows))
+    plan = context.broadcast((tree, query_blocks, base_blocks))
 
     def expand(batch, row, cell, first, second, blocks, others):
         """Repeats each row once per block of the other side, in frames of bounded size."""
@@ -194,32 +143,19 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
             yield frame
 
     def send_queries(batches):
-        pivots, _, _, _, query_blocks, base_blocks = plan.value
+        _, query_blocks, base_blocks = plan.value
         for batch in filter(len, batches):
-            n = len(batch)
-            cell = (
-                _distances(np.stack(batch["vector"].to_numpy()), pivots).argmin(1)
-                if pivots is not None else np.zeros(n, "int64")
-            )
-            yield from expand(batch, np.arange(n), cell, "query_block", "base_block", query_blocks, base_blocks)
+            leaf = batch.pop("leaf").to_numpy()
+            yield from expand(batch, np.arange(len(batch)), leaf, "query_block", "base_block", query_blocks, base_blocks)
 
     def send_base(batches):
-        pivots, radius, bound, query_count, query_blocks, base_blocks = plan.value
+        tree, query_blocks, base_blocks = plan.value
         for batch in filter(len, batches):
-            n = len(batch)
-            if pivots is None:
-                row, cell = np.arange(n), np.zeros(n, "int64")
-            else:
-                distances = _distances(np.stack(batch["vector"].to_numpy()), pivots)
-                row, cell = np.nonzero(
-                    (distances - radius[None, :] <= bound[None, :] + slack) & (query_count > 0)[None, :]
-                )
-            yield from expand(batch, row, cell, "base_block", "query_block", base_blocks, query_blocks)
+            for row, leaf in tree.reached(tree.shifted(batch["vector"])):
+                yield from expand(batch, row, leaf, "base_block", "query_block", base_blocks, query_blocks)
 
     blocks = "query_block int, base_block int"
-    left = queries.select("point", "vector").mapInPandas(
-        send_queries, f"cell int, point long, vector array<double>, {blocks}"
-    )
+    left = asked.mapInPandas(send_queries, f"cell int, point long, vector array<double>, {blocks}")
     right = base.select("point", "vector", "ids", "carried").mapInPandas(
         send_base,
         "cell int, point long, vector array<double>, ids array<long>, carried array<double>, "
@@ -231,6 +167,16 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
     )
 
 
+def pair_share(base: DataFrame, k: int, cell_rows: int = CELL_ROWS) -> float:
+    """The share of all pairs of distinct vectors that the bounds leave to compare, at most.
+
+    One tree is built to tell; a share near 1 means that the data has no structure to use.
+    """
+    merged = settled(_merge_copies(base, k + 1, None), "points")
+    tree, _ = _measured_tree(merged, merged, k + 1, cell_rows)
+    return float(tree.query_rows @ np.where(tree.children, 0, tree.reach())) / max(1, int(tree.query_rows[0])) ** 2
+
+
 def neighbor_lists(
     base: DataFrame,
     k: int,

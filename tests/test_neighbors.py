@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keeprate.operators.neighbors import knn_probability, knn_vote, nearest_neighbors
+from keeprate.operators.neighbors import knn_probability, knn_vote, nearest_neighbors, pair_share
+from keeprate.operators.pivots import grown, placed
 from keeprate.operators.resample import edited, rebalance, rows_to_add, synthesize
 
 
@@ -39,6 +40,54 @@ def test_equals_brute_force(spark, options):
     assert found(nearest_neighbors(points(spark, vectors), 4, **options)) == brute(vectors, 4)
 
 
+def clustered(rows, clusters, dims=3, seed=7, centre=0.0):
+    rng = np.random.default_rng(seed)
+    return centre + rng.uniform(-100, 100, size=(clusters, dims)).repeat(rows // clusters, 0) + rng.normal(size=(rows, dims))
+
+
+def test_tree_of_many_levels(spark, monkeypatch):
+    monkeypatch.setattr("keeprate.operators.pivots.grown.__defaults__", (3, 256 << 20))
+    vectors = clustered(600, 20)
+    df = points(spark, vectors).withColumnRenamed("id", "point")
+    tree = grown(df, 600, 20)
+    levels, node = 0, len(tree) - 1
+    while node > 0:
+        levels, node = levels + 1, tree.parent[node]
+    assert levels >= 3 and tree.children.max() == 3
+    sizes = [r["count"] for r in placed(df, tree).groupBy("leaf").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 40
+    assert found(nearest_neighbors(points(spark, vectors), 4, cell_rows=20)) == brute(vectors, 4)
+    asked = clustered(60, 20, seed=8) * 1.5
+    got = nearest_neighbors(points(spark, vectors), 4, points(spark, asked, first=1000), cell_rows=20)
+    assert found(got) == brute(vectors, 4, asked, 1000)
+
+
+def test_tree_without_room_keeps_larger_cells(spark, monkeypatch):
+    monkeypatch.setattr("keeprate.operators.pivots.grown.__defaults__", (4, 8 * (3 + 8) * 9))
+    vectors = clustered(400, 10)
+    assert len(grown(points(spark, vectors).withColumnRenamed("id", "point"), 400, 5)) <= 9
+    assert found(nearest_neighbors(points(spark, vectors), 3, cell_rows=5, block_rows=50)) == brute(vectors, 3)
+
+
+def test_far_from_the_origin(spark):
+    vectors = clustered(300, 10, centre=1e7)
+    got, want = found(nearest_neighbors(points(spark, vectors), 3, cell_rows=20)), brute(vectors, 3)
+    assert {i: [j for j, _ in near] for i, near in got.items()} == {i: [j for j, _ in near] for i, near in want.items()}
+
+
+def test_share_of_pairs_falls_with_size(spark):
+    shares = [pair_share(points(spark, clustered(n, n // 50)), 3, cell_rows=50) for n in (500, 2000, 8000)]
+    assert shares[0] > 1.5 * shares[1] > 2 * shares[2]
+
+
+def test_no_rows(spark):
+    empty = points(spark, [])
+    assert nearest_neighbors(empty, 3).count() == 0
+    some = points(spark, [[1.0], [2.0]])
+    assert nearest_neighbors(some, 3, empty).count() == 0 and nearest_neighbors(empty, 3, some).count() == 0
+    assert found(nearest_neighbors(points(spark, [[1.0], [2.0], [5.0]]), 9)) == brute(np.array([[1.0], [2.0], [5.0]]), 9)
+
+
 @pytest.mark.parametrize("options", [{}, dict(cell_rows=4, block_rows=3)])
 def test_copies_and_ties(spark, options):
     rng = np.random.default_rng(1)
