@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from keeprate.catalog.common import (
     SMOOTH_PROBABILITY_SQL, USAGE_SQL, kept_usage, registered, rounded, scored, scored_sql, smooth_probability, usage,
 )
 from keeprate.catalog.sources import EVENT_SQL, SHOWN_SQL, _shown, event_log
-from keeprate.operators import encode, importance, metrics, neighbors, resample
+from keeprate.operators import encode, importance, kernel, metrics, neighbors, resample
 from keeprate.plans import models, recipes
 from keeprate.plans.run import train_and_evaluate
 from keeprate.plans.scoring import report_table, score, score_records, summary
@@ -227,10 +227,27 @@ def m05_logistic_regression(spark, folder):
     return _predictions(spark, folder, "logistic_regression", 0.6)
 
 
+def m05_moments(spark, folder):
+    """Sums of each feature by fitted probability. Where the likelihood is largest they equal the sums by label, and nowhere else."""
+    train, _ = _coarse(spark, folder)
+    model = LogisticRegression(regParam=0.0, maxIter=500, tol=1e-14, featuresCol="features", labelCol="label").fit(train)
+    scored = models.positive_probability(model.transform(train))
+    sums = [(name, F.sum(F.col("probability") * F.col(name))) for name in STUMP] + [("intercept", F.sum("probability"))]
+    return scored.agg(F.array(*[F.struct(F.lit(name).alias("feature"), F.round(total, 1).alias("expected")) for name, total in sums])
+                      .alias("sums")).select(F.inline("sums"))
+
+
 def m06_support_vector_machine(spark, folder):
     return _predictions(spark, folder, "support_vector_machine", 0.6)
 
 
+def m06_calibration(spark, folder):
+    """Service calls as a margin, calibrated on the training customers: probability of each test customer."""
+    train, test = (t.select("customer_id", F.col("churn").cast("int").alias("label"), F.col("cs_calls").alias("margin")) for t in _split(spark, folder))
+    slope, offset = kernel.sigmoid(train)
+    return test.select("customer_id", F.round(1 / (1 + F.exp(-(F.lit(slope) * F.col("margin") + F.lit(offset)))), 6).alias("probability"))
+
+
 def m07_decision_tree(spark, folder):
     return _predictions(spark, folder, "decision_tree", 0.45)
 
@@ -322,10 +339,23 @@ def m11_gradient_boosting(spark, folder):
     return _predictions(spark, folder, "gradient_boosting", 0.55)
 
 
+def m11_two_rounds(spark, folder):
+    """Gradient boosting of two trees of one split: the first fits the classes, the second the slope of the loss."""
+    train, test = _coarse(spark, folder)
+    model = models.research_model("gradient_boosting", len(STUMP), rounds=2).setMaxDepth(1).fit(train)
+    return models.positive_probability(model.transform(test)).select("customer_id", F.round("probability", 6).alias("probability"))
+
+
 def m12_adaboost(spark, folder):
     return _predictions(spark, folder, "adaboost", 0.6)
 
 
+def m12_three_rounds(spark, folder):
+    """Three reweighting rounds, whose stumps and votes have a closed form."""
+    train, test = _coarse(spark, folder)
+    return _probabilities(models.research_model("adaboost", len(STUMP), rounds=3).fit(train), test)
+
+
 def m13_neural_network(spark, folder):
     return _predictions(spark, folder, "neural_network", 0.55)
 
@@ -348,7 +378,7 @@ def m15_model_comparison(spark, folder):
     found = models.compare(prepared.train, settled(prepared.transform(test), "held-out"))
     low = F.when(F.col("metric").isin("cohen_kappa", "matthews_corrcoef"), -1.0).otherwise(0.0)
     high = F.when(F.col("metric").isin("tn", "fp", "fn", "tp", "log_loss"), float("inf")).otherwise(1.0)
-    return found.select("model", "metric", F.coalesce(F.col("value").between(low, high), F.lit(True)).alias("in_range"))
+    return found.select("model", "metric", F.coalesce(F.col("value").between(low, high), F.lit(False)).alias("in_range"))
 
 
 def _searched(spark, folder, name):
@@ -382,8 +412,6 @@ def m19_top_features_boosted(spark, folder):
 
 
 def _linear(spark, folder):
-    from pyspark.ml.classification import LogisticRegression
-
     return _fitted(spark, folder, LogisticRegression(regParam=0.01, maxIter=50), "full")
 
 
@@ -621,6 +649,57 @@ def _round_sql(number: int, rate: float) -> str:
 _TWO_ROUNDS = f"{_COARSE}, m0 AS (SELECT customer_id, y, 0e0 AS margin FROM coarse), {_round_sql(1, 0.1)}, {_round_sql(2, 0.1)}"
 
 
+_MEAN_SUMS = "sum(CASE WHEN x <= c THEN r END) / count(CASE WHEN x <= c THEN 1 END) AS low, sum(CASE WHEN x > c THEN r END) / count(CASE WHEN x > c THEN 1 END) AS high"
+
+
+def _mean_split(number: int, target: str, rate: float) -> str:
+    """A regression tree of one split on ``target`` of the rows' margins; then the margins with it."""
+    before = f"v{number - 1}"
+    return f"""r{number} AS (SELECT customer_id, {target} AS r FROM {before}),
+  p{number} AS (SELECT cut.f, c, sum(CASE WHEN x <= c THEN r END) ** 2 / count(CASE WHEN x <= c THEN 1 END)
+      + sum(CASE WHEN x > c THEN r END) ** 2 / count(CASE WHEN x > c THEN 1 END) AS gain, {_MEAN_SUMS}
+    FROM cut JOIN wide w ON cut.f = w.f AND split = 'train' JOIN r{number} r ON r.customer_id = w.customer_id GROUP BY cut.f, c
+    HAVING count(CASE WHEN x > c THEN 1 END) > 0 ORDER BY round(gain, 9) DESC, cut.f, c LIMIT 1),
+  v{number} AS (SELECT v.customer_id, y, margin + {rate} * CASE WHEN x <= c THEN low ELSE high END AS margin
+    FROM {before} v CROSS JOIN p{number} p JOIN (SELECT customer_id, f, x FROM wide) w ON w.customer_id = v.customer_id AND w.f = p.f)"""
+
+
+_BOOST_TWO = f"""{_COARSE}, v0 AS (SELECT customer_id, 2 * y - 1 AS y, 0e0 AS margin FROM coarse), {_mean_split(1, 'y', 1.0)},
+  {_mean_split(2, '4 * y / (1 + exp(2 * y * margin))', 0.1)}"""
+
+
+def _vote_round(number: int) -> str:
+    """One reweighting round over a stump by weighted Gini: ``z`` sums the votes, ``say`` their weights."""
+    before = f"a{number - 1}"
+    return f"""t{number} AS (SELECT cut.f, c, sum(CASE WHEN x <= c THEN wt ELSE 0 END) AS nl, sum(CASE WHEN x > c THEN wt ELSE 0 END) AS nr,
+      sum(CASE WHEN x <= c THEN wt * a.y ELSE 0 END) AS pl, sum(CASE WHEN x > c THEN wt * a.y ELSE 0 END) AS pr
+    FROM cut JOIN wide w ON cut.f = w.f AND split = 'train' JOIN {before} a ON a.customer_id = w.customer_id GROUP BY cut.f, c),
+  u{number} AS (SELECT f, c, CAST(pl > nl / 2 AS INTEGER) AS low, CAST(pr > nr / 2 AS INTEGER) AS high FROM t{number} WHERE nr > 0
+    ORDER BY round((pl * (nl - pl) / nl + pr * (nr - pr) / nr) / (nl + nr), 12), f, c LIMIT 1),
+  q{number} AS (SELECT a.*, w.split, CASE WHEN x <= c THEN low ELSE high END AS says FROM {before} a CROSS JOIN u{number} u
+    JOIN (SELECT customer_id, f, x, split FROM wide) w ON w.customer_id = a.customer_id AND w.f = u.f),
+  e{number} AS (SELECT ln((1 - e) / e) AS s FROM (SELECT sum(CASE WHEN says <> y THEN wt ELSE 0 END) / sum(wt) AS e FROM q{number} WHERE split = 'train')),
+  a{number} AS (SELECT customer_id, y, CASE WHEN says <> y THEN wt * exp(s) ELSE wt END AS wt, z + s * (2 * says - 1) AS z, say + s AS say
+    FROM q{number} CROSS JOIN e{number})"""
+
+
+_VOTES_THREE = f"{_COARSE}, a0 AS (SELECT customer_id, y, 1e0 AS wt, 0e0 AS z, 0e0 AS say FROM coarse), " + ", ".join(map(_vote_round, (1, 2, 3)))
+
+
+def _sigmoid_sql(passes: int) -> str:
+    """Newton steps for slope ``a`` and offset ``b`` on (f, t) rows of ``aimed``; the last one is ``n{passes}``."""
+    steps = [f"""n{i} AS (SELECT a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a,
+      b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM (SELECT a, b, sum((p - t) * f) AS ga, sum(p - t) AS gb,
+        sum(p * (1 - p) * f * f) AS haa, sum(p * (1 - p) * f) AS hab, sum(p * (1 - p)) AS hbb
+      FROM (SELECT a, b, f, t, 1 / (1 + exp(-(a * f + b))) AS p FROM aimed CROSS JOIN n{i - 1}) GROUP BY a, b))""" for i in range(1, passes + 1)]
+    return ", ".join(steps)
+
+
+_CALIBRATED = f"""{_TRAIN_TEST}, c AS (SELECT count(CASE WHEN churn THEN 1 END) AS up, count(CASE WHEN NOT churn THEN 1 END) AS down FROM train),
+  aimed AS (SELECT cs_calls * 1e0 AS f, CASE WHEN churn THEN (up + 1e0) / (up + 2) ELSE 1e0 / (down + 2) END AS t FROM train CROSS JOIN c),
+  n0 AS (SELECT 0e0 AS a, ln((up + 1e0) / (down + 1)) AS b FROM c), {_sigmoid_sql(12)}"""
+
+
 def _gini_split(name: str, rows: str) -> str:
     """The best split by Gini of the training rows in ``rows``: (f, c, left and right shares, whether it may be split)."""
     return f"""{name}s AS (SELECT cut.f, c, count(CASE WHEN x <= c THEN 1 END) AS nl, count(CASE WHEN x > c THEN 1 END) AS nr,
@@ -739,6 +818,11 @@ ORACLES = {
       FROM best JOIN long ON long.f = best.f WHERE split = 'test'""",
     "a31_depth_one_importance": _STUMP_CTE + """ SELECT unnest(['cs_calls', 'intl_flag', 'area_code']) AS feature,
       unnest([CAST(f = 0 AS DOUBLE), CAST(f = 1 AS DOUBLE), CAST(f = 2 AS DOUBLE)]) AS importance FROM best""",
+    "m05_moments": _COARSE + """, train_rows AS (SELECT * FROM coarse WHERE split = 'train')
+      SELECT unnest(['cs_calls', 'intl_flag', 'area_code', 'intercept']) AS feature, unnest([sum(y * f0), sum(y * f1), sum(y * f2), sum(y)]) AS expected FROM train_rows""",
+    "m06_calibration": _CALIBRATED + " SELECT customer_id, round(1 / (1 + exp(-(a * cs_calls + b))), 6) AS probability FROM test CROSS JOIN n12",
+    "m11_two_rounds": _BOOST_TWO + " SELECT v.customer_id, round(1 / (1 + exp(-2 * margin)), 6) AS probability FROM v2 v JOIN test t ON t.customer_id = v.customer_id",
+    "m12_three_rounds": _VOTES_THREE + " SELECT a.customer_id, round(1 / (1 + exp(-2 * z / say)), 6) AS probability FROM a3 a JOIN test t ON t.customer_id = a.customer_id",
     "m14_cross_validation": _FOLD_NB,
     "m15_model_comparison": "SELECT unnest([" + ", ".join(f"'{m}'" for m in models.MODEL_NAMES) + "]) AS model, metric, true AS in_range FROM (SELECT unnest(["
       + ", ".join(f"'{m}'" for m in [*_METRICS, "roc_auc"]) + "]) AS metric)",

@@ -7,12 +7,12 @@ import time
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from keeprate.operators.adaboost import AdaBoost
-from keeprate.operators.fourier import FourierFeatures
+from keeprate.operators.kernel import KernelMachine
 from keeprate.operators.metrics import evaluate, roc_auc, with_class_weight
 from keeprate.operators.neighbors import knn_probability
 from keeprate.operators.ordered import row_numbers, running_totals
@@ -48,14 +48,14 @@ def research_model(
     """The estimators of the model comparison.
 
     ``rounds`` are trees, boosting rounds or training passes; by default 50 stumps for AdaBoost, 200 passes for the network, else
-    100. ``depth`` bounds the trees that grow freely, ``steps`` the linear solvers.
+    100. ``depth`` bounds the trees that grow freely, ``steps`` the linear solver.
     """
     weight = {"weightCol": "weight"} if name in BALANCED else {}
     common = dict(featuresCol="features", labelCol="label")
     if name == "logistic_regression":
         return LogisticRegression(regParam=1e-3, maxIter=steps, **common, **weight)
     if name == "support_vector_machine":
-        return LinearSVC(regParam=1e-3, maxIter=steps, **common, **weight)
+        return KernelMachine(seed=seed, **common, **weight)
     if name == "decision_tree":
         return Forest(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=depth, seed=seed, **common, **weight)
     if name == "random_forest":
@@ -105,10 +105,6 @@ def fit_and_score(name: str, train: DataFrame, test: DataFrame, rounds: int | No
         )
     if name in BALANCED:
         train = with_class_weight(train)
-    if name == "support_vector_machine":
-        curve = FourierFeatures(inputCol="features", outputCol="curved", size=max(64, 2 * size), seed=seed)
-        train = curve.transform(train).drop("features").withColumnRenamed("curved", "features")
-        test = curve.transform(test).drop("features").withColumnRenamed("curved", "features")
     model = research_model(name, size, rounds, seed).fit(train)
     return positive_probability(model.transform(test)).select("customer_id", "label", "probability", "prediction")
 
