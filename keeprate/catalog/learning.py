@@ -477,7 +477,7 @@ def m23_training_run(spark, folder):
         F.lit("test_samples").alias("part"), F.element_at("extra", "test_samples").cast("long").alias("n"))
     matrix = spark.read.parquet(run.evaluation("matrix")).agg(F.lit("matrix").alias("part"), F.sum("n").alias("n"))
     report = spark.read.parquet(run.evaluation("report")).agg(F.lit("report").alias("part"), F.count("*").alias("n"))
-    listed = spark.read.parquet(run.scores).groupBy(F.concat(F.lit("scores "), "version").alias("part")).agg(F.count("*").alias("n"))
+    listed = run.scores(spark).groupBy(F.concat(F.lit("scores "), "version").alias("part")).agg(F.count("*").alias("n"))
     return stages.union(held).union(matrix).union(report).union(listed)
 
 

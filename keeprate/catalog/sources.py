@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keeprate.catalog.common import CS_PROBABILITY_SQL, FEATURE_LIST, USAGE_SQL, cs_probability, registered, usage
 from keeprate.functions.columns import log_day
 from keeprate.plans.scoring import as_predictions, report_table
 from keeprate.schema import CUSTOMER_FIELDS, FEATURES, file_schema
-from keeprate.session import scratch_path, table
-from keeprate.sources import events, files, runs, versions
+from keeprate.session import scratch_path, settled, table
+from keeprate.sources import commits, events, files, runs, versions
 
 
 def _customers(spark, folder):
@@ -341,6 +343,26 @@ def r04_upsert_scores(spark, folder):
     return latest.select("version", "metric", "value", F.unix_seconds("ts").alias("stamp"))
 
 
+def r02_versions_of_parallel_runs(spark, folder):
+    """One run per metric, all at once: each gets a version of its own."""
+    path = scratch_path(spark, "registry")
+    runs = [r.metric for r in version_scores(spark, folder).select("metric").distinct().collect()]
+    with ThreadPool(len(runs) or 1) as pool:
+        given = pool.map(lambda run: commits.reserve_version(spark, path, run), runs)
+    found = commits.entries(spark, path).filter(F.col("version").isin(given))
+    return found.groupBy("version").agg(F.count_distinct("run_id").alias("runs"))
+
+
+def r04_committed_scores(spark, folder):
+    """Latest scores of tables that four writers commit side by side, beside one that is never committed."""
+    path, scores = scratch_path(spark, "registry"), settled(version_scores(spark, folder), "scores")
+    scores.withColumns({"value": F.lit(-1.0), "ts": F.current_timestamp()}).write.parquet(f"{path}/data/scores-unfinished")
+    with ThreadPool(4) as pool:
+        pool.map(lambda i: commits.append(spark, scores.filter(F.pmod(F.unix_seconds("ts"), F.lit(4)) == i), path, "scores"), range(4))
+    latest = versions.latest_scores(commits.rows(spark, path, "scores"))
+    return latest.select("version", "metric", "value", F.unix_seconds("ts").alias("stamp"))
+
+
 def r05_score_report(spark, folder):
     return versions.score_report(version_scores(spark, folder))
 
@@ -424,6 +446,8 @@ ORACLES = {
       FROM scores ORDER BY major DESC, minor DESC LIMIT 1""",
     "r03_version_history": f"{VERSION_SQL} SELECT version, max(stamp) AS stamp FROM scores GROUP BY version",
     "r04_upsert_scores": f"{VERSION_SQL} SELECT version, metric, value, stamp FROM latest",
+    "r02_versions_of_parallel_runs": f"{VERSION_SQL} SELECT '1.' || CAST(unnest(range(count(DISTINCT metric))) AS VARCHAR) AS version, CAST(1 AS BIGINT) AS runs FROM scores",
+    "r04_committed_scores": f"{VERSION_SQL} SELECT version, metric, value, stamp FROM latest",
     "r05_score_report": f"""{VERSION_SQL} SELECT version, """ + ", ".join(
         f"max(CASE WHEN metric = '{m}' THEN value END) AS {m}"
         for m in ("economy", "large", "medium", "promo", "small", "standard")

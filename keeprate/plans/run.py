@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from keeprate.operators import importance, metrics
 from keeprate.plans import models, recipes
 from keeprate.session import settled
-from keeprate.sources import events, versions
+from keeprate.sources import commits, events
 
 EVALUATED = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "log_loss"]
 
@@ -21,7 +21,11 @@ class Run:
 
     def __init__(self, folder: str, run_id: str):
         self.folder, self.run_id = folder, run_id
-        self.log, self.registry, self.scores = f"{folder}/log", f"{folder}/registry", f"{folder}/scores"
+        self.log, self.registry = f"{folder}/log", f"{folder}/registry"
+
+    def scores(self, spark: SparkSession) -> DataFrame:
+        """(version, metric, value, ts) of all runs whose scores are committed."""
+        return commits.rows(spark, self.registry, "scores")
 
     def evaluation(self, part: str) -> str:
         """``matrix``, ``report``, ``curve`` or ``importances``."""
@@ -34,8 +38,8 @@ def train_and_evaluate(
 ) -> Run:
     """Prepares, trains, saves under the next version, evaluates on the test rows and records it all.
 
-    Writes events to the log as the steps end, the model and its version to the registry, the
-    evaluation tables, and the metrics as scores of the version. An error is recorded as an event and raised again.
+    Writes events to the log as the steps end, the model, its version and its
+    scores to the registry, and the evaluation tables. Runs side by side in one folder get different versions. An error is recorded as an event and raised again.
     """
     run = Run(folder, run_id or uuid.uuid4().hex)
 
@@ -59,15 +63,8 @@ def train_and_evaluate(
         fitted = estimator.fit(prepared.train)
         record(events.training_events, model_type=name, duration=time.perf_counter() - started)
 
-        if version is None:
-            try:
-                version = versions.following_version(spark.read.parquet(f"{run.registry}/history")).first()["next_version"]
-            except Exception as error:  # the first run finds no history
-                if "PATH_NOT_FOUND" not in str(error):
-                    raise
-                version = versions.FIRST_VERSION
-        row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("timestamp"))
-        versions.snapshot(prepared.model(fitted), row, run.registry, version)
+        version = version or commits.reserve_version(spark, run.registry, run.run_id)
+        commits.save_model(spark, run.registry, prepared.model(fitted), version, run.run_id)
 
         scored = settled(models.positive_probability(fitted.transform(held_out)).select(
             "customer_id", "label", "prediction", "probability"), "scored")
@@ -81,8 +78,8 @@ def train_and_evaluate(
             m: F.lit(values[m]).cast("double") for m in EVALUATED})
         record(events.metric_events, metrics=F.create_map(*[
             x for m, v in sorted(values.items()) if v is not None for x in (F.lit(m), F.lit(v))]))
-        versions.append_rows(found.select(
-            F.lit(version).alias("version"), "metric", "value", F.current_timestamp().alias("ts")), run.scores)
+        commits.append(spark, found.select(
+            F.lit(version).alias("version"), "metric", "value", F.current_timestamp().alias("ts")), run.registry, "scores", run_id=run.run_id)
     except Exception as error:
         record(events.error_events, message="training run failed", exception_type=type(error).__name__,
                exception_message=str(error)[:2000])
