@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +21,7 @@ from keeprate.plans.usage import held_out_rows, train_rows
 from keeprate.schema import FEATURES
 from keeprate.session import scratch_path, settled, table
 from keeprate.sources import events, files
-from keeprate.streaming import ingest, score as score_streaming
+from keeprate.streaming import ingest, score as score_streaming, spans as span_streaming
 
 TRIALS = 50  # of the registered searches, as by default
 
@@ -558,6 +560,26 @@ def x01_streaming_ingest(spark, folder):
     return _shown(events.read_log(spark, target))
 
 
+def x01_streaming_run_spans(spark, folder):
+    """Spans of runs from a stream that stops in between and brings late and repeated events."""
+    source, target, state = (scratch_path(spark, name) for name in ("events-json", "spans", "span-state"))
+    log = settled(event_log(spark, folder).drop("log_date"), "log")
+    ends = log.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    cut = ends.low + (ends.high - ends.low) / 2
+    day_before = F.col("ts").between(cut - datetime.timedelta(days=1), cut)
+    late = day_before & (F.length("message") % 2 == 0)
+    repeated = log.filter(day_before & ~late)
+    beat = log.limit(1).withColumns({"ts": F.lit(ends.high + datetime.timedelta(days=30)), "run_id": F.lit("beat")})
+    for part in (log.filter((F.col("ts") <= cut) & ~late), log.filter((F.col("ts") > cut) | late).unionByName(repeated), beat):
+        part.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(source)
+        stream = ingest.event_stream(spark, source)
+        span_streaming.write_spans(stream, target, state, "2 days", "1 day").awaitTermination()
+    whole = span_streaming.merged(spark.read.parquet(target))
+    return whole.select(
+        "run_id", F.unix_micros("started").alias("started_us"), F.unix_micros("ended").alias("ended_us"),
+        "events", F.round("duration", 6).alias("duration"))
+
+
 def x02_streaming_scoring(spark, folder):
     """Customers scored by the stream, malformed records beside them, and in a batch: all alike."""
     model, test = _linear(spark, folder)
@@ -836,6 +858,8 @@ ORACLES = {
     "m21_rejected_records": f"""{_TRAIN_TEST} SELECT customer_id, CASE
         WHEN customer_id % 11 = 4 AND customer_id % 7 = 3 THEN 'State,Total day calls' WHEN customer_id % 11 = 4 THEN 'State'
         WHEN customer_id % 7 = 3 THEN 'Total day calls' WHEN customer_id % 13 = 5 THEN 'International plan' ELSE '' END AS faults FROM test""",
+    "x01_streaming_run_spans": f"""{EVENT_SQL} SELECT run_id, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS ended_us,
+      count(*) AS events, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS duration FROM (SELECT DISTINCT * FROM log) GROUP BY run_id""",
     "m22_timing": "SELECT unnest(['train', 'predict']) AS step, true AS measured",
     "m23_full_evaluation": f"{_NB_EVAL} " + " UNION ALL ".join(
         f"SELECT '{name}' AS metric, round({sql}, 5) AS value FROM derived" for name, sql in _METRICS.items()
