@@ -11,7 +11,7 @@ from keeprate.functions.columns import log_day
 from keeprate.plans.scoring import as_predictions, report_table
 from keeprate.schema import CUSTOMER_FIELDS, FEATURES, file_schema
 from keeprate.session import scratch_path, settled, table
-from keeprate.sources import commits, events, files, runs, versions
+from keeprate.sources import commits, events, files, postings, runs, versions
 
 
 def _customers(spark, folder):
@@ -187,6 +187,17 @@ def l03_match_field(spark, folder):
     return _shown(events.matching(event_log(spark, folder), {"k": "7", "level": "INFO"}))
 
 
+def l03_message_words(spark, folder):
+    """Events by the words of their message, over a log that grew after its index was made."""
+    path, index = scratch_path(spark, "event-log"), scratch_path(spark, "postings")
+    log = event_log(spark, folder).drop("log_date")
+    before = F.pmod(F.unix_seconds("ts"), F.lit(3)) > 0
+    events.append(log.filter(before), path)
+    postings.update(spark, path, index)
+    events.append(log.filter(~before), path)
+    return _shown(postings.search_messages(spark, path, index, "PURCHASE"))
+
+
 def l04_hit_count(spark, folder):
     return events.hit_count(event_log(spark, folder), {"stage": "purchase"})
 
@@ -418,6 +429,7 @@ ORACLES = {
     "l01_search_newest": f"{EVENT_SQL} SELECT {SHOWN_SQL} FROM log ORDER BY ts DESC, run_id, stage, message LIMIT 100",
     "l02_run_logs": f"{EVENT_SQL} SELECT {SHOWN_SQL} FROM log WHERE run_id = '8'",
     "l03_match_field": f"{EVENT_SQL} SELECT {SHOWN_SQL} FROM log WHERE k = '7' AND level = 'INFO'",
+    "l03_message_words": f"{EVENT_SQL} SELECT {SHOWN_SQL} FROM log WHERE list_contains(regexp_split_to_array(lower(message), '[^a-z0-9]+'), 'purchase')",
     "l04_hit_count": f"{EVENT_SQL} SELECT count(*) AS hits FROM log WHERE stage = 'purchase'",
     "l05_run_spans": f"""{EVENT_SQL} SELECT run_id, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS ended_us,
       count(*) AS events, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS duration FROM log GROUP BY run_id""",
