@@ -107,10 +107,14 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int) -> pd.DataFrame:
 def _measured_tree(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int):
     """The tree with all its bounds, and the queries with their leaves.
 
-    The queries' leaves are written: computed anew, a near tie could fall to another leaf,
+    Where there are several, the queries' leaves are written: computed anew, a near tie could fall to another leaf,
     whose radius does not hold the query.
     """
-    tree = grown(base, base.count(), cell_rows)
+    n_base = base.count()
+    tree = grown(base, n_base, cell_rows)
+    if len(tree) == 1:  # nothing to tell apart: no pass over the rows is needed
+        tree.measure({0: (n_base if queries is base else queries.count(), 0.0, [])}, {0: (n_base, 0.0, [])}, keep)
+        return tree, queries.select(F.lit(0).alias("leaf"), "point", "vector")
     asked = settled(placed(queries, tree), "placed")
     of_queries = statistics(asked, tree, keep)
     tree.measure(of_queries, of_queries if queries is base else statistics(placed(base, tree), tree, keep), keep)
