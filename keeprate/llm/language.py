@@ -5,26 +5,29 @@ text is compressed block by block with each of them, and the smallest sum of siz
 where the runner-up is nearly as small, the text is rejected (the guess stays visible).
 
 The dictionaries come from a bounded sample: about ``SAMPLE`` documents a language, chosen by
-the hash of their ids, and ``DICTIONARY`` bytes of their text. They are the only thing that is sent to
-the tasks. Every text is compressed whole; nothing is shuffled.
+the hash of id and text, which share ``DICTIONARY`` bytes evenly: each gives as much as the others, and what
+short ones leave goes to the rest. Its part of a document starts where a hash says. At most ``LANGUAGES``
+languages are learned, those with most documents. The dictionaries are the only thing that is sent to
+the tasks. Every text is compressed whole; nothing but the sample is shuffled.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from keeprate.llm.common import held_out
 
 SAMPLE = 400  # documents a language, as expected
 DICTIONARY = 100_000  # bytes a language
-PIECE = 1_000  # bytes of a training document at most
+PIECE = 4_000  # bytes of a training document at most
+LANGUAGES = 200
 BLOCK = 2_000  # bytes compressed at a time, so that the dictionary stays what matches
 LEVEL = 3
 MARGIN = 0.02
@@ -36,6 +39,23 @@ def letters(text: str) -> bytes:
     return APART.sub(" ", text.lower()).strip().encode()
 
 
+def piece(text: str) -> bytes:
+    """At most ``PIECE`` bytes of a text's letters, from a place that a hash of them tells."""
+    raw = letters(text)
+    start = zlib.crc32(raw) % max(len(raw) - PIECE + 1, 1)
+    return raw[start:start + PIECE]
+
+
+def even_limit(sizes: list[int], total: int) -> int:
+    """The largest limit at which the sizes, cut to it, sum to ``total`` at most."""
+    left = total
+    for i, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - i) > left:
+            return left // (len(sizes) - i)
+        left -= size
+    return max(sizes, default=0)
+
+
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Dictionary text by language, from the documents that are not held out.
 
@@ -43,22 +63,25 @@ def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """
     known = docs.select("doc_id", "text", "lang").filter(
         F.col("text").isNotNull() & (F.col("text") != "") & F.col("lang").isNotNull() & ~held_out("doc_id", 5, 0))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    # One row a language goes to all tasks, as the dictionaries themselves do later.
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.ceil(F.lit(float(SAMPLE) * (1 << 20)) / F.col("n"))
-    sample = known.join(F.broadcast(counts), "lang").filter(share)
+    place = F.xxhash64("doc_id", "text")
+    counts = known.groupBy("lang").agg(
+        F.count("*").alias("n"), F.approx_count_distinct(place).alias("different")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    share = F.pmod(place, F.lit(1 << 20)) < F.ceil(F.lit(float(SAMPLE) * (1 << 20)) / F.col("different"))
+    sample = known.join(F.broadcast(counts), "lang").filter(share).select("lang", "n", place.alias("place"), "text")
+
+    def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(text=[piece(t) for t in frame["text"]]).rename(columns={"text": "piece"})
+
+    # Equal rows are one document, so a text that comes often is no larger group.
+    sample = sample.mapInPandas(pieces, "lang string, n long, place long, piece binary").distinct()
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["doc_id", "text"])
-        pieces, size = [], 0
-        for text in frame["text"].drop_duplicates():
-            raw = letters(text)
-            start = max(0, (len(raw) - PIECE) // 2)
-            pieces.append(raw[start:start + PIECE])
-            size += len(pieces[-1])
-            if size >= DICTIONARY:
-                break
-        return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "content": [b"\n".join(pieces)[:DICTIONARY]], "n": [int(frame["n"].iloc[0])]})
+        frame = frame.sort_values("place")
+        parts = frame["piece"].drop_duplicates().tolist()
+        limit = even_limit([len(x) + 1 for x in parts], DICTIONARY + 1) - 1
+        content = b"\n".join(x[:limit] for x in parts)
+        return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "content": [content], "n": [int(frame["n"].iloc[0])]})
 
     rows = sample.groupBy("lang").applyInPandas(gather, "lang string, content binary, n long").collect()  # one a language
     return {r.lang: bytes(r.content) for r in sorted(rows, key=lambda r: (-r.n, r.lang))}
@@ -78,6 +101,8 @@ def identify(docs: DataFrame, content: dict[str, bytes], margin: float = MARGIN)
         T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         languages = list(content)
         coders = []
         for lang in languages:

@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,7 @@ def points(vectors: DataFrame, id_column: str, vector_column: str, k: int) -> Da
     first = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     return valid.withColumn("place", first).filter(F.col("place") <= k + 1).groupBy("vector").agg(
         F.sort_array(F.collect_set("id")).alias("ids")).select(
-        F.xxhash64("vector").alias("point"), "vector", "ids")
+        F.xxhash64("vector").alias("point"), F.size("vector").alias("size"), "vector", "ids")
 
 
 def _matrix(column) -> np.ndarray:
@@ -83,6 +84,11 @@ class Hashes:
             return (cells * self.mix[t]).sum(axis=-1)
 
 
+@lru_cache(maxsize=16)
+def _hashes(dimension: int, size: int) -> Hashes:
+    return Hashes(dimension, size)
+
+
 def _intended(count: int) -> int:
     """Directions a table for ``BUCKET`` of ``count`` points a bucket."""
     return max(2, round(math.log(max(count / BUCKET, 1)) / math.log(4)))
@@ -130,7 +136,7 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, vectors: np.ndarray, ids:
 def rescored(found: DataFrame, asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """The found pairs with their cosine summed in the order of the components, and the ranks that follow."""
     of = index.select(F.explode("ids").alias("vec_id"), "vector")
-    pairs = found.select("query_id", "vec_id").join(of, "vec_id").join(asked, "query_id")
+    pairs = found.select("query_id", "vec_id").join(of, "vec_id").join(asked, "query_id").filter(F.size("q") == F.size("vector"))
     total = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
     # Very large or small components would overflow in their squares.
     unit = lambda v: F.transform(v, lambda x: x / F.array_max(F.transform(v, F.abs)))
@@ -167,23 +173,21 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def exact(queries: DataFrame, index: DataFrame, k: int, blocks: int) -> DataFrame:
-    """Every query against every point, in blocks of points."""
+    """Every query against every point of its length, in blocks of points."""
     spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return _ranked(_search(spread, index.withColumn("block", F.pmod("point", F.lit(blocks)).cast("int")), ["block"], k), k)
+    return _ranked(_search(spread, index.withColumn("block", F.pmod("point", F.lit(blocks)).cast("int")), ["size", "block"], k), k)
 
 
-def _true_pairs(index: DataFrame, k: int, blocks: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Unit vectors of ``CALIBRATION`` points and, row by row, of their true neighbours."""
+def _true_pairs(index: DataFrame, k: int, blocks: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors of ``CALIBRATION`` points and, row by row, of their true neighbours, by length."""
     chosen = index.orderBy(F.xxhash64("point", F.lit(1)), "point").limit(CALIBRATION).select(
-        F.col("ids")[0].alias("query_id"), F.col("vector").alias("q"))
+        F.col("ids")[0].alias("query_id"), "size", F.col("vector").alias("q"))
     chosen = settled(chosen, "calibration")
     true = exact(chosen, index, k, blocks).select("query_id", "vec_id")
-    members = index.select("vector", F.explode("ids").alias("vec_id"))
-    pairs = true.join(members, "vec_id").join(chosen, "query_id").select("q", "vector").collect()  # CALIBRATION times k at most
-    if not pairs:
-        return None
-    q, v = (_unit(np.array([p[i] for p in pairs], float)) for i in (0, 1))
-    return q, v
+    members = index.select("vector", "size", F.explode("ids").alias("vec_id"))
+    pairs = true.join(members, "vec_id").join(chosen, ["query_id", "size"]).select("size", "q", "vector").collect()  # CALIBRATION times k at most
+    lengths = sorted({p["size"] for p in pairs})
+    return [tuple(_unit(np.array([p[c] for p in pairs if p["size"] == d], float)) for c in ("q", "vector")) for d in lengths]
 
 
 def _place(into: np.ndarray, step: np.ndarray) -> int:
@@ -196,15 +200,21 @@ def _place(into: np.ndarray, step: np.ndarray) -> int:
     return int((costs <= own + 1e-12).sum())
 
 
-def _fitted(q: np.ndarray, v: np.ndarray, hashes: Hashes) -> int | None:
+def _fitted(pairs: list[tuple[np.ndarray, np.ndarray]], size: int) -> int | None:
     """How many buckets a query must visit in each table; None if ``MOST_PROBES`` miss the aim."""
-    rank = np.full(len(q), math.inf)
-    for t in range(TABLES):
-        (own, into), (other, _) = hashes.cells(q, t), hashes.cells(v, t)
-        for i, step in enumerate(other - own):
-            if np.abs(step).max() <= 1:
-                rank[i] = min(rank[i], _place(into[i], step))
-    needed = np.sort(rank)[min(len(rank) - 1, math.ceil(AIM * len(rank)) - 1)]
+    ranks = [np.zeros(0)]
+    for q, v in pairs:
+        hashes, rank = _hashes(q.shape[1], size), np.full(len(q), math.inf)
+        for t in range(TABLES):
+            (own, into), (other, _) = hashes.cells(q, t), hashes.cells(v, t)
+            for i, step in enumerate(other - own):
+                if np.abs(step).max() <= 1:
+                    rank[i] = min(rank[i], _place(into[i], step))
+        ranks.append(rank)
+    rank = np.sort(np.concatenate(ranks))
+    if not len(rank):
+        return 1
+    needed = rank[min(len(rank) - 1, math.ceil(AIM * len(rank)) - 1)]
     return int(needed) if needed <= MOST_PROBES else None
 
 
@@ -222,26 +232,24 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
 
     ``queries`` are rows of the same columns; a query's own id is no candidate. Only
     those two columns are read. Rows with a null id, a null or empty vector, null or non-finite
-    components or only zeros take no part, neither do vectors whose length is not the
-    most frequent one. An id that comes twice counts once, at its best score. Equal scores go to the
-    smaller id. Fewer than k candidates: all of them. Empty tables give no rows. Where probing
+    components or only zeros take no part. Vectors of different lengths have no cosine: a query's
+    candidates are those of its length. An id that comes twice counts once, at its best score, and asks
+    with its smallest vector. Equal scores go to the smaller id. Fewer than k candidates: all of them. Empty tables give no rows. Where probing
     does not reach the recall, the search is exact and costs queries times points.
     """
     index = settled(points(vectors, id_column, vector_column, k), "points")
-    lengths = index.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    if lengths is None:
+    count = index.count()
+    if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = index.filter(F.size("vector") == lengths["size"])
     asked = queries.select(F.col(id_column).cast("long").alias("query_id"), F.col(vector_column).cast("array<double>").alias("q"))
     asked = settled(asked.filter(
-        F.col("query_id").isNotNull() & F.col("q").isNotNull() & (F.size("q") == lengths["size"])
+        F.col("query_id").isNotNull() & F.col("q").isNotNull()
         & F.forall("q", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("q", lambda x: x != 0)
-    ).groupBy("query_id").agg(F.min("q").alias("q")), "queries")
-    count, blocks = lengths["count"], max(1, math.ceil(lengths["count"] / CHUNK))
+    ).groupBy("query_id").agg(F.min("q").alias("q")).withColumn("size", F.size("q")), "queries")
+    blocks = max(1, math.ceil(count / CHUNK))
     pairs = _true_pairs(index, k, blocks)
-    for size in range(_intended(count), 1, -1):
-        hashes = Hashes(lengths["size"], size)
-        visits = 1 if pairs is None else _fitted(*pairs, hashes)
+    for directions in range(_intended(count), 1, -1):
+        visits = _fitted(pairs, directions)
         if visits is not None:
             break
     else:
@@ -249,29 +257,31 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = _unit(_matrix(frame["vector"])) if len(frame) else None
-            for t in range(TABLES if len(frame) else 0):
-                yield frame.assign(table=np.int32(t), bucket=hashes.keys(hashes.cells(x, t)[0], t))
+            for size, same in frame.groupby("size"):
+                x, hashes = _unit(_matrix(same["vector"])), _hashes(int(size), directions)
+                for t in range(TABLES):
+                    yield same.assign(table=np.int32(t), bucket=hashes.keys(hashes.cells(x, t)[0], t))
 
     def visiting(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = _unit(_matrix(frame["q"])) if len(frame) else None
-            for t in range(TABLES if len(frame) else 0):
-                own, into = hashes.cells(x, t)
-                for i in range(len(frame)):
-                    buckets = hashes.keys(own[i] + probes(into[i], visits), t)
-                    yield pd.DataFrame({"query_id": frame["query_id"].iloc[i], "q": [frame["q"].iloc[i]] * len(buckets),
-                                        "table": np.int32(t), "bucket": buckets, "turn": np.arange(len(buckets))})
-
-    hashed = settled(index.mapInPandas(placed, "point long, vector array<double>, ids array<long>, table int, bucket long"), "index")
-    chunks = hashed.groupBy("table", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+            for size, same in frame.groupby("size"):
+                x, hashes = _unit(_matrix(same["q"])), _hashes(int(size), directions)
+                for t in range(TABLES):
+                    own, into = hashes.cells(x, t)
+                    for i in range(len(same)):
+                        buckets = hashes.keys(own[i] + probes(into[i], visits), t)
+                        yield pd.DataFrame({"query_id": same["query_id"].iloc[i], "size": np.int32(size), "q": [same["q"].iloc[i]] * len(buckets),
+                                            "table": np.int32(t), "bucket": buckets, "turn": np.arange(len(buckets))})
+
+    hashed = settled(index.mapInPandas(placed, "point long, size int, vector array<double>, ids array<long>, table int, bucket long"), "index")
+    chunks = hashed.groupBy("table", "size", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     chunks = settled(chunks, "chunks")
-    held = hashed.join(chunks, ["table", "bucket"]).withColumn("chunk", F.pmod(F.xxhash64("point", F.lit(2)), "chunks").cast("int"))
+    held = hashed.join(chunks, ["table", "size", "bucket"]).withColumn("chunk", F.pmod(F.xxhash64("point", F.lit(2)), "chunks").cast("int"))
     spread = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query_id")  # a query makes many probes
-    visited = spread.mapInPandas(visiting, "query_id long, q array<double>, table int, bucket long, turn long")
-    ways = chunks.select(*[(F.col(c)).alias(c) for c in ("table", "bucket")], (F.col("chunks") - 1).alias("last"))
-    visited = settled(visited.join(ways, ["table", "bucket"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last")))), "visited")
-    keys = ["table", "bucket", "chunk"]
+    visited = spread.mapInPandas(visiting, "query_id long, size int, q array<double>, table int, bucket long, turn long")
+    ways = chunks.select(*[(F.col(c)).alias(c) for c in ("table", "size", "bucket")], (F.col("chunks") - 1).alias("last"))
+    visited = settled(visited.join(ways, ["table", "size", "bucket"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last")))), "visited")
+    keys = ["table", "size", "bucket", "chunk"]
     early = settled(_ranked(_search(visited.filter(F.col("turn") < EARLY), held, keys, k), k).drop("rank"), "early")
     floors = early.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor")).filter(F.col("n") == k).drop("n")
     late = visited.filter(F.col("turn") >= EARLY).join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))

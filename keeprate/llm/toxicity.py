@@ -64,7 +64,8 @@ def train(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> dict:
     strength[seen.sum(axis=0) < 5] = 0
     chosen = np.argsort(-strength, kind="stable")[:VOCABULARY]
     chosen = set(chosen[strength[chosen] > 3.5].tolist())
-    words = sorted({f for text in texts for sentence in sentences(text) for f in sentence if _slot(f) in chosen})[:VOCABULARY]
+    words = {f for text in texts for sentence in sentences(text) for f in sentence if _slot(f) in chosen}
+    words = sorted(sorted(words, key=lambda f: (-strength[_slot(f)], f))[:VOCABULARY])
     place = {w: i for i, w in enumerate(words)}
     del seen, rates, strength
     rows, columns, owners, count = [], [], [], np.zeros(len(texts))

@@ -71,6 +71,21 @@ def test_language_of_odd_texts(spark, corpus, nothing):
     assert language.identify(nothing, content).count() == 0
 
 
+def test_each_sampled_document_teaches_alike(spark):
+    assert language.even_limit([5, 1, 9], 100) == 9 and language.even_limit([], 7) == 0
+    assert language.even_limit([10, 1, 10, 10], 22) == 7 and language.even_limit([4, 4], 3) == 1
+    # Three hundred long texts, a short one, one text in many rows, and languages beyond the limit.
+    rows = [(i, f"word{'abcdefghij'[i % 10] * 9}{chr(97 + i // 10 % 26)} " * 2000, "xx") for i in range(300)] + [(900, "short", "xx")]
+    rows += [(901, "same words everywhere", "yy")] * 500 + [(None, None, "zz"), (5, "text", None)]
+    rows += [(1000 + i, "more", f"lang{i:03d}") for i in range(250)]
+    content = language.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(content) <= language.LANGUAGES and {"xx", "yy"} <= set(content) and list(content)[0] == "yy"
+    assert content["yy"] == b"same words everywhere"
+    parts = content["xx"].split(b"\n")
+    assert 200 <= len(parts) and 0.95 * language.DICTIONARY < len(content["xx"]) <= language.DICTIONARY
+    assert len({len(p) for p in parts if p != b"short"}) == 1
+
+
 @pytest.mark.parametrize("texts", [["x"] * 4, [""] * 4, ["a.b!c\nd"] * 4])
 def test_training_on_texts_without_signal(texts):
     model = toxicity.train(texts, np.array([0, 1, 0, 1]), np.ones(4))

@@ -115,3 +115,22 @@ def test_probes_come_by_estimated_success():
 def test_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(spark, none, none).count() == 0
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=(8, 8, 3, 8, 5)[i % 5]).tolist()) for i in range(900)]
+    rows += [(900, [1.0, 2.0]), (901, [3.0] * 4), (902, [1.0] * 4), (7, [2.0, 1.0])]  # few of a length, an id of two lengths
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = vectors.filter("vec_id % 20 = 0 OR vec_id > 900")
+    lists = {}
+    for r in neighbours.nearest(spark, vectors, asked).collect():
+        lists.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    met = total = 0
+    for q, x in [r for r in rows if r[0] % 20 == 0 or r[0] > 900]:
+        wanted = exact([r for r in rows if len(r[1]) == len(x)], [(q, x)], 5)[q]
+        total += len(wanted)
+        true = dict(wanted)
+        assert len(lists[q]) == len(wanted)
+        met += sum(i in true and abs(true[i] - s) < 1e-9 for i, s in lists[q])
+    assert met >= 0.9 * total and lists[901] == [(902, pytest.approx(1.0))] and lists[900] == [(7, pytest.approx(0.8))]
