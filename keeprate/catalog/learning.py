@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +14,7 @@ from keeprate.catalog.common import (
     SMOOTH_PROBABILITY_SQL, USAGE_SQL, kept_usage, registered, rounded, scored, scored_sql, smooth_probability, usage,
 )
 from keeprate.catalog.sources import EVENT_SQL, SHOWN_SQL, _shown, event_log
-from keeprate.operators import encode, importance, kernel, metrics, neighbors, resample
+from keeprate.operators import encode, importance, kernel, metrics, neighbors, network, resample
 from keeprate.plans import models, recipes
 from keeprate.plans.run import train_and_evaluate
 from keeprate.plans.scoring import report_table, score, score_records, summary
@@ -23,6 +24,9 @@ from keeprate.session import scratch_path, settled, table
 from keeprate.sources import events, files
 from keeprate.streaming import ingest, score as score_streaming, spans as span_streaming
 
+# Parameters of the network whose slopes are compared: two hidden weights a feature, two offsets, two output weights, an offset.
+NETWORK = [0.1, -0.2, -0.4, 0.3, 0.01, 0.02, -0.9, -1.8, 0.5, -0.7, 0.2]
+SLOPES = ["loss", *(f"{f}_{unit}" for f in ("cs_calls", "intl_flag", "area_code", "offset", "output") for unit in (1, 2)), "output_offset", "rows"]
 TRIALS = 50  # of the registered searches, as by default
 
 
@@ -362,6 +366,15 @@ def m13_neural_network(spark, folder):
     return _predictions(spark, folder, "neural_network", 0.55)
 
 
+def m13_slopes(spark, folder):
+    """Summed log loss of a network of two hidden units, and its slope by each of its parameters."""
+    train, _ = _coarse(spark, folder)
+    blocks = network.Blocks(train.select("label", vector_to_array("features").alias("values")), seed=42, batches=1)
+    sums = blocks.sums(np.array(NETWORK), 2, 0) * network.UNIT
+    rows = [(name, float(value)) for name, value in zip(SLOPES, sums)]
+    return rounded(spark.createDataFrame(rows, "name string, value double"), {"value": 3})
+
+
 def m14_stratified_folds(spark, folder):
     return _folded(spark, folder).select("customer_id", "label", "fold")
 
@@ -656,6 +669,19 @@ _COARSE = f"""{_TRAIN_TEST}, coarse AS (SELECT customer_id, split, CAST(churn AS
   cut AS (SELECT DISTINCT f, x AS c FROM wide WHERE split = 'train')"""
 
 
+_W = [f"{w}e0" for w in NETWORK]
+_SLOPES_SQL = _COARSE + f""", inner_sums AS (SELECT y, f0, f1, f2,
+    f0 * ({_W[0]}) + f1 * ({_W[2]}) + f2 * ({_W[4]}) + ({_W[6]}) AS z1, f0 * ({_W[1]}) + f1 * ({_W[3]}) + f2 * ({_W[5]}) + ({_W[7]}) AS z2
+    FROM coarse WHERE split = 'train'),
+  active AS (SELECT *, greatest(z1, 0e0) AS a1, greatest(z2, 0e0) AS a2 FROM inner_sums),
+  margins AS (SELECT *, a1 * ({_W[8]}) + a2 * ({_W[9]}) + ({_W[10]}) AS m FROM active),
+  pushes AS (SELECT *, 1 / (1 + exp(-m)) - y AS p FROM margins),
+  backs AS (SELECT *, CASE WHEN z1 > 0 THEN p * ({_W[8]}) ELSE 0e0 END AS b1, CASE WHEN z2 > 0 THEN p * ({_W[9]}) ELSE 0e0 END AS b2 FROM pushes),
+  summed AS (SELECT [sum(ln(1 + exp(m)) - y * m), {", ".join(f"sum({f} * b{u})" for f in ("f0", "f1", "f2", "1") for u in (1, 2))},
+    sum(a1 * p), sum(a2 * p), sum(p), count(*)] AS all_sums FROM backs)
+  SELECT unnest([{", ".join(f"'{n}'" for n in SLOPES)}]) AS name, round(unnest(all_sums), 3) AS value FROM summed"""
+
+
 def _round_sql(number: int, rate: float) -> str:
     """One boosting round of one split: ``best``, then the rows' margins after it."""
     before = f"m{number - 1}"
@@ -845,6 +871,7 @@ ORACLES = {
     "m06_calibration": _CALIBRATED + " SELECT customer_id, round(1 / (1 + exp(-(a * cs_calls + b))), 6) AS probability FROM test CROSS JOIN n12",
     "m11_two_rounds": _BOOST_TWO + " SELECT v.customer_id, round(1 / (1 + exp(-2 * margin)), 6) AS probability FROM v2 v JOIN test t ON t.customer_id = v.customer_id",
     "m12_three_rounds": _VOTES_THREE + " SELECT a.customer_id, round(1 / (1 + exp(-2 * z / say)), 6) AS probability FROM a3 a JOIN test t ON t.customer_id = a.customer_id",
+    "m13_slopes": _SLOPES_SQL,
     "m14_cross_validation": _FOLD_NB,
     "m15_model_comparison": "SELECT unnest([" + ", ".join(f"'{m}'" for m in models.MODEL_NAMES) + "]) AS model, metric, true AS in_range FROM (SELECT unnest(["
       + ", ".join(f"'{m}'" for m in [*_METRICS, "roc_auc"]) + "]) AS metric)",

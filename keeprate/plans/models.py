@@ -7,7 +7,7 @@ import time
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,6 +15,7 @@ from keeprate.operators.adaboost import AdaBoost
 from keeprate.operators.kernel import KernelMachine
 from keeprate.operators.metrics import evaluate, roc_auc, with_class_weight
 from keeprate.operators.neighbors import knn_probability
+from keeprate.operators.network import NeuralNetwork
 from keeprate.operators.ordered import row_numbers, running_totals
 from keeprate.operators.trees import Forest, SecondOrderBoosting
 from keeprate.plans.search import Search, drawn, search
@@ -69,7 +70,7 @@ def research_model(
     if name == "adaboost":
         return AdaBoost(maxIter=rounds or 50, seed=seed)
     if name == "neural_network":
-        return MultilayerPerceptronClassifier(layers=[features, 100, 2], maxIter=rounds or 200, seed=seed, **common)
+        return NeuralNetwork(maxIter=rounds or 200, seed=seed, **common)
     raise ValueError(f"unsupported model type: {name}")
 
 
