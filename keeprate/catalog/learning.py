@@ -14,7 +14,7 @@ from keeprate.catalog.common import (
     SMOOTH_PROBABILITY_SQL, USAGE_SQL, kept_usage, registered, rounded, scored, scored_sql, smooth_probability, usage,
 )
 from keeprate.catalog.sources import EVENT_SQL, SHOWN_SQL, _shown, event_log
-from keeprate.operators import encode, importance, kernel, metrics, neighbors, network, resample
+from keeprate.operators import encode, folded, importance, kernel, metrics, neighbors, network, resample
 from keeprate.plans import models, recipes
 from keeprate.plans.run import train_and_evaluate
 from keeprate.plans.scoring import report_table, score, score_records, summary
@@ -27,6 +27,8 @@ from keeprate.streaming import ingest, score as score_streaming, spans as span_s
 # Parameters of the network whose slopes are compared: two hidden weights a feature, two offsets, two output weights, an offset.
 NETWORK = [0.1, -0.2, -0.4, 0.3, 0.01, 0.02, -0.9, -1.8, 0.5, -0.7, 0.2]
 SLOPES = ["loss", *(f"{f}_{unit}" for f in ("cs_calls", "intl_flag", "area_code", "offset", "output") for unit in (1, 2)), "output_offset", "rows"]
+NUMBERS = [c for c in FEATURES if c not in ("state", "intl_plan", "vmail_plan")]
+PENALTY = 0.01
 TRIALS = 50  # of the registered searches, as by default
 
 
@@ -386,6 +388,33 @@ def m14_cross_validation(spark, folder):
     return rounded(metrics.mean_and_std(models.cross_validate(folds, estimator)), {"mean": 6, "std": 6})
 
 
+def m14_shared_bayes(spark, folder):
+    """Area under ROC of naive Bayes on all numeric features; one scan fits the models of all folds."""
+    found = folded.bayes_margins(settled(_folded(spark, folder), "folds"), NUMBERS)
+    areas = metrics.roc_auc_by(found, "fold", score="margin").withColumn("metric", F.lit("roc_auc"))
+    return rounded(metrics.mean_and_std(areas), {"mean": 6, "std": 6})
+
+
+def m14_shared_logistic(spark, folder):
+    """Mean of each scaled feature by fitted probability plus what the penalty pulls, for the model without each fold.
+
+    At the optimum this is the mean by label, and nowhere else.
+    """
+    rows = settled(_folded(spark, folder), "folds")
+    shape = rows.agg(*[f(c) for c in NUMBERS for f in (F.avg, F.stddev_pop)]).first()
+    scaled = [(F.col(c) - float(shape[2 * i])) / float(shape[2 * i + 1]) for i, c in enumerate(NUMBERS)]
+    rows = settled(rows.select("label", "fold", F.array(*scaled).alias("values")), "scaled")
+    fits = folded.fit_logistic(rows, [PENALTY])
+    taught = rows.select("values", F.explode(F.filter(F.array(*map(F.lit, fits.folds)), lambda f: f != F.col("fold"))).alias("fold"))
+    p = 1 / (1 + F.exp(-F.col("margins")[0]))
+    sums = fits.margins(taught).select("fold", p.alias("p"), F.posexplode(F.concat("values", F.array(F.lit(1.0)))).alias("i", "x")).groupBy(
+        "fold", "i").agg(F.avg(F.col("p") * F.col("x")).alias("mean"))
+    pulls = [(fold, i, name, float(w) * (PENALTY if i < len(NUMBERS) else 0.0))
+             for j, fold in enumerate(fits.folds) for i, (name, w) in enumerate(zip([*NUMBERS, "intercept"], fits.weights[0, j]))]
+    pulls = spark.createDataFrame(pulls, "fold int, i int, feature string, pull double")
+    return sums.join(pulls, ["fold", "i"]).select("fold", "feature", F.round(F.col("mean") + F.col("pull"), 7).alias("expected"))
+
+
 def m15_model_comparison(spark, folder):
     """All ten models: every metric is there and in its range."""
     train, test = _split(spark, folder)
@@ -644,15 +673,15 @@ _FOLDS = f"""{_TRAIN_TEST}, ranked AS (
   limits AS (SELECT label, fold, sum(size) OVER (PARTITION BY label ORDER BY fold) AS upto FROM sizes),
   folded AS (SELECT customer_id, ranked.label, CAST(min(fold) AS INTEGER) AS fold FROM ranked JOIN limits
     ON ranked.label = limits.label AND place <= upto GROUP BY ALL)"""
-def _bayes_sql(train: str, test: str, by: str = "") -> str:
+def _bayes_sql(train: str, test: str, by: str = "", columns: list[str] = BAYES) -> str:
     """CTEs ending in ``nb`` (customer_id, label, p, prediction[, by]); ``by`` separates models and their test rows."""
     comma, same = (f", {by}", f"x.{by} = y.{by}") if by else ("", "true")
     group = f" GROUP BY {by}" if by else ""
-    return f"""eps AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({c})' for c in BAYES)}) AS e, count(*) AS total{comma} FROM {train}{group}),
+    return f"""eps AS (SELECT 1e-9 * greatest({', '.join(f'var_pop({c})' for c in columns)}) AS e, count(*) AS total{comma} FROM {train}{group}),
   stats AS (SELECT CAST(x.churn AS INTEGER) AS class, ln(count(*) * 1.0e0 / any_value(total)) AS prior{comma.replace(' ', ' x.')},
-    {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) + any_value(e) AS v_{c}' for c in BAYES)}
+    {', '.join(f'avg({c}) AS m_{c}, var_pop({c}) + any_value(e) AS v_{c}' for c in columns)}
     FROM {train} x JOIN eps y ON {same} GROUP BY x.churn{comma.replace(' ', ' x.')}),
-  logs AS (SELECT customer_id, churn, class{comma.replace(' ', ' x.')}, prior + {' + '.join(f'(-0.5e0 * ln(2e0 * pi() * v_{c}) - pow({c} - m_{c}, 2) / (2e0 * v_{c}))' for c in BAYES)} AS l
+  logs AS (SELECT customer_id, churn, class{comma.replace(' ', ' x.')}, prior + {' + '.join(f'(-0.5e0 * ln(2e0 * pi() * v_{c}) - pow({c} - m_{c}, 2) / (2e0 * v_{c}))' for c in columns)} AS l
     FROM {test} x JOIN stats y ON {same}),
   wide AS (SELECT customer_id, CAST(any_value(churn) AS INTEGER) AS label{comma}, max(CASE WHEN class = 1 THEN l END) AS l1,
     max(CASE WHEN class = 0 THEN l END) AS l0 FROM logs GROUP BY customer_id{comma}),
@@ -786,13 +815,26 @@ _NB_EVAL = _EVAL.replace(scored_sql(SMOOTH_PROBABILITY_SQL), f"{_NB_CTE}, scored
 _NB_AUC = """(SELECT round(sum(pos * (below + neg / 2.0e0)) / (sum(pos) * sum(neg)), 5) AS value FROM (
     SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
     FROM (SELECT p, count(CASE WHEN label = 1 THEN 1 END) * 1.0e0 AS pos, count(CASE WHEN label = 0 THEN 1 END) * 1.0e0 AS neg FROM nb GROUP BY 1)))"""
-_FOLD_NB = f"""{_FOLDS}, rows AS (SELECT t.*, folded.fold FROM train t JOIN folded ON t.customer_id = folded.customer_id),
-  other AS (SELECT r.* EXCLUDE (fold), k AS fold FROM rows r, (SELECT unnest(range(5)) AS k) WHERE r.fold <> k),
+_OTHER_FOLDS = f"""{_FOLDS}, rows AS (SELECT t.*, folded.fold FROM train t JOIN folded ON t.customer_id = folded.customer_id),
+  other AS (SELECT r.* EXCLUDE (fold), k AS fold FROM rows r, (SELECT unnest(range(5)) AS k) WHERE r.fold <> k)"""
+_FOLD_NB = f"""{_OTHER_FOLDS},
   {_bayes_sql('other', 'rows', 'fold')},
   steps AS (SELECT fold, p, count(CASE WHEN label = 1 THEN 1 END) * 1.0e0 AS pos, count(CASE WHEN label = 0 THEN 1 END) * 1.0e0 AS neg FROM nb GROUP BY ALL),
   summed AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM steps),
   areas AS (SELECT fold, sum(pos * (below + neg / 2.0e0)) / (sum(pos) * sum(neg)) AS v FROM summed GROUP BY fold)
   SELECT 'roc_auc' AS metric, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM areas"""
+_SHARED_NB = f"""{_OTHER_FOLDS},
+  {_bayes_sql('other', 'rows', 'fold', NUMBERS)},
+  steps AS (SELECT fold, l1 - l0 AS p, count(CASE WHEN label = 1 THEN 1 END) * 1.0e0 AS pos, count(CASE WHEN label = 0 THEN 1 END) * 1.0e0 AS neg FROM wide GROUP BY ALL),
+  summed AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY fold ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM steps),
+  areas AS (SELECT fold, sum(pos * (below + neg / 2.0e0)) / (sum(pos) * sum(neg)) AS v FROM summed GROUP BY fold)
+  SELECT 'roc_auc' AS metric, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM areas"""
+_SHARED_LOGISTIC = f"""{_OTHER_FOLDS},
+  shape AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMBERS)} FROM train),
+  means AS (SELECT fold, {", ".join(f"avg(CAST(churn AS DOUBLE) * ({c} - m_{c}) / s_{c}) AS {c}" for c in NUMBERS)}, avg(CAST(churn AS DOUBLE)) AS intercept
+    FROM other, shape GROUP BY fold)
+  SELECT CAST(fold AS INTEGER) AS fold, unnest([{", ".join(f"'{c}'" for c in [*NUMBERS, "intercept"])}]) AS feature,
+    round(unnest([{", ".join([*NUMBERS, "intercept"])}]), 7) AS expected FROM means"""
 _METRICS = {
     "tn": "tn", "fp": "fp", "fn": "fn", "tp": "tp", "accuracy": "acc", "precision": "coalesce(tp / nullif(tp + fp, 0), 0)",
     "recall": "tp / (tp + fn)", "f1_score": "2 * tp / (2 * tp + fp + fn)", "cohen_kappa": _KAPPA,
@@ -871,7 +913,7 @@ ORACLES = {
     "m06_calibration": _CALIBRATED + " SELECT customer_id, round(1 / (1 + exp(-(a * cs_calls + b))), 6) AS probability FROM test CROSS JOIN n12",
     "m11_two_rounds": _BOOST_TWO + " SELECT v.customer_id, round(1 / (1 + exp(-2 * margin)), 6) AS probability FROM v2 v JOIN test t ON t.customer_id = v.customer_id",
     "m12_three_rounds": _VOTES_THREE + " SELECT a.customer_id, round(1 / (1 + exp(-2 * z / say)), 6) AS probability FROM a3 a JOIN test t ON t.customer_id = a.customer_id",
-    "m13_slopes": _SLOPES_SQL,
+    "m13_slopes": _SLOPES_SQL, "m14_shared_bayes": _SHARED_NB, "m14_shared_logistic": _SHARED_LOGISTIC,
     "m14_cross_validation": _FOLD_NB,
     "m15_model_comparison": "SELECT unnest([" + ", ".join(f"'{m}'" for m in models.MODEL_NAMES) + "]) AS model, metric, true AS in_range FROM (SELECT unnest(["
       + ", ".join(f"'{m}'" for m in [*_METRICS, "roc_auc"]) + "]) AS metric)",

@@ -110,11 +110,11 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     )
 
 
-def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positive and negative rows per distinct score; rows without a score are left out."""
+def _by_score(df: DataFrame, label: str, score: str, *by: str) -> DataFrame:
+    """Positive and negative rows per distinct score (and group); rows without a score are left out."""
     positive = F.col(label).cast("int") == 1
     return df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(
-        F.col(score).cast("double").alias("threshold")
+        *by, F.col(score).cast("double").alias("threshold")
     ).agg(F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(~positive, 1)).alias("neg"))
 
 
@@ -128,6 +128,13 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") ->
     )
 
 
+def roc_auc_by(df: DataFrame, by: str, label: str = "label", score: str = "probability") -> DataFrame:
+    """(group, value): the area under ROC of each group, all ranked together; null with a single class."""
+    ranked = running_totals(_by_score(df.filter(F.col(by).isNotNull()), label, score, by), "threshold", {"below_neg": "neg"}, by=by)
+    wins = F.col("pos") * ((F.col("below_neg") - F.col("neg")).cast("double") + F.col("neg") / 2)
+    return ranked.groupBy(by).agg(F.try_divide(F.sum(wins), F.sum("pos").cast("double") * F.sum("neg")).alias("value"))
+
+
 def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", drop_collinear: bool = False) -> DataFrame:
     """(threshold, fpr, tpr) from the highest score down, after the point (infinity, 0, 0).
 
