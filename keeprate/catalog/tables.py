@@ -196,6 +196,13 @@ def a13_density(spark, folder):
     return rounded(reduce(DataFrame.unionByName, parts), {"x": 6, "density": 9})
 
 
+def a13_binned_density(spark, folder):
+    """Density from weights on a fine grid."""
+    rows = flagged(spark, folder, kept=True)
+    parts = [profile.binned_density(rows, c, by="churn").select(F.lit(c).alias("column"), "*") for c in DENSE]
+    return rounded(reduce(DataFrame.unionByName, parts), {"x": 6, "density": 9})
+
+
 def a14_box_stats(spark, folder):
     return rounded(profile.box_stats(kept_usage(spark, folder), MEASURES), {
         "q1": 4, "median": 4, "q3": 4, "whisker_low": 4, "whisker_high": 4,
@@ -632,6 +639,17 @@ ORACLES = {
         round(sum(exp(-0.5e0 * pow((gx - v) / h, 2)) / h) / (total * sqrt(2e0 * pi())), 9) AS density
       FROM longer JOIN s ON s.churn = longer.churn AND s."column" = longer."column" JOIN grid ON grid."column" = s."column"
       WHERE v IS NOT NULL GROUP BY s."column", s.churn, point, gx, total""",
+    "a13_binned_density": f"{USAGE_SQL}, longer AS (" + each(DENSE, """SELECT '{c}' AS "column", churn, CAST({c} AS DOUBLE) AS v FROM flagged""") + """), s AS (
+        SELECT "column", churn, stddev_samp(v) * pow(count(v), -0.2) AS h FROM longer WHERE v IS NOT NULL GROUP BY ALL),
+      r AS (SELECT "column", min(v) AS lo, max(v) AS hi, count(v) AS total FROM longer GROUP BY ALL),
+      placed AS (SELECT l."column", churn, (v - lo) / ((hi - lo) / 1990.0e0) AS place FROM longer l JOIN r ON r."column" = l."column" WHERE v IS NOT NULL),
+      beside AS (SELECT *, least(floor(place), 1989) AS node FROM placed),
+      nodes AS (SELECT "column", churn, node, sum(weight) AS weight FROM (
+        SELECT "column", churn, node, node + 1 - place AS weight FROM beside UNION ALL SELECT "column", churn, node + 1, place - node FROM beside) GROUP BY ALL)
+      SELECT n."column", n.churn AS class, CAST(point AS INTEGER) AS point, round(lo + point * ((hi - lo) / 199.0e0), 6) AS x,
+        round(sum(weight * exp(-0.5e0 * pow((point * 10 - node) * ((hi - lo) / 1990.0e0) / h, 2)) / h) / (total * sqrt(2e0 * pi())), 9) AS density
+      FROM nodes n JOIN s ON s.churn = n.churn AND s."column" = n."column" JOIN r ON r."column" = n."column", (SELECT unnest(range(200)) AS point)
+      GROUP BY n."column", n.churn, point, lo, hi, total""",
     "a14_box_stats": f"{USAGE_SQL} " + _box("usage", MEASURES),
     "a14_box_stats_cleaned": _train(", " + _sequential_iqr("train", MEASURES, "k")) + _box(
         f"k_{len(MEASURES) - 1}", MEASURES),

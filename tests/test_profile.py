@@ -105,6 +105,25 @@ def test_density_integrates_to_class_share(spark):
         assert area == pytest.approx(share, abs=0.02)
 
 
+def test_binned_density_stays_within_its_bound(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=700), rng.exponential(3, 300), [7.0] * 200])
+    rows = [(float(v), bool(i % 3 == 0)) for i, v in enumerate(values)] + [(None, True), (float("nan"), False), (float("inf"), True)]
+    df = spark.createDataFrame(rows, "x double, c boolean").repartition(5)
+    exact = {(r["class"], r.point): (r.x, r.density) for r in profile.density(df, "x", by="c", points=60).collect()}
+    for refine in (1, 10):
+        found = profile.binned_density(df, "x", by="c", points=60, refine=refine).collect()
+        assert len(found) == len(exact) == 120
+        for c in (True, False):
+            own = values[[bool(i % 3 == 0) == c for i in range(len(values))]]
+            h = own.std(ddof=1) * len(own) ** -0.2
+            d = (values.max() - values.min()) / 59 / refine
+            bound = len(own) / len(values) * d**2 / (8 * h**3 * math.sqrt(2 * math.pi))
+            errors = [abs(r.density - exact[c, r.point][1]) for r in found if r["class"] is c]
+            assert max(errors) <= bound + 1e-12 and all(r.x == exact[r["class"], r.point][0] for r in found)
+    assert profile.binned_density(df.filter("x = 7"), "x", by="c").count() == 0  # no spread
+
+
 def test_log_normal_cdf(spark):
     xs = [float(x) for x in np.linspace(-30, 30, 301)]
     rows = numbers(spark, xs, "w").selectExpr("w", log_normal_cdf("w") + " AS low", log_normal_cdf("w", -1) + " AS high").collect()
