@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from keeprate.llm import language, queries, toxicity
 from keeprate.llm.common import documents
@@ -71,6 +74,43 @@ def test_language_of_odd_texts(spark, corpus, nothing):
     assert language.identify(nothing, content).count() == 0
 
 
+def test_scores_equal_a_plain_scorer_of_the_same_model(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    rows = docs.select("doc_id", "text").collect()
+    model = toxicity.fit(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    theta = dict(zip(model["words"], model["theta"]))
+    p = lambda z: 1 / (1 + math.exp(-z))
+
+    def toxic(text):
+        clean = 1 - p(model["leak"])
+        for sentence in re.split(r"[.!?\n]+", text or ""):
+            words = set(re.findall(r"\w+", sentence.lower()))
+            known = {f for w in words for f in [w, *("^" + w[:k] for k in (4, 5, 6, 7) if len(w) > k)]}
+            clean *= 1 - p(model["bias"] + sum(theta.get(f, 0.0) for f in known)) if sentence else 1
+        return 1 - clean
+
+    found = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert len(theta) > 10 and all(abs(found[r.doc_id] - toxic(r.text)) < 1e-9 for r in rows)
+
+    content = language.dictionaries(docs)
+
+    def sizes(text):
+        raw, out = language.letters(text), []
+        for lang in content:
+            words = zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(level=3, dict_data=words, write_checksum=False, write_content_size=False, write_dict_id=False)
+            out.append(sum(len(coder.compress(raw[i:i + 2_000])) for i in range(0, len(raw), 2_000)))
+        return out
+
+    guessed = {r.doc_id: r.lang_pred for r in language.identify(docs, content).collect()}
+    for r in rows[::9]:
+        if r.text and any(map(str.isalpha, r.text)):
+            of = sizes(r.text)
+            assert guessed[r.doc_id] == list(content)[of.index(min(of))]
+        else:
+            assert guessed[r.doc_id] == "und"
+
+
 def test_each_sampled_document_teaches_alike(spark):
     assert language.even_limit([5, 1, 9], 100) == 9 and language.even_limit([], 7) == 0
     assert language.even_limit([10, 1, 10, 10], 22) == 7 and language.even_limit([4, 4], 3) == 1
