@@ -198,7 +198,8 @@ def best_split(sums: np.ndarray, rule):
     gain = np.where(rule.allowed(a, b) & (left[2] > 0) & (right[2] > 0), gain, -np.inf)
     at = int(gain.argmax())
     column, cut = divmod(at, gain.shape[1])
-    return float(gain[column, cut]), column, cut, left[:, column, cut]
+    # A copy: trees keep these sums, and a view would keep the node's whole histogram with them.
+    return float(gain[column, cut]), column, cut, left[:, column, cut].copy()
 
 
 class Tree:

@@ -62,6 +62,15 @@ def test_levels_tasks_and_partitions_grow_the_same_trees(noisy, monkeypatch, nam
         pd.testing.assert_frame_equal(whole, nodes(ESTIMATORS[name]().fit(noisy.repartition(parts))))
 
 
+def test_a_branch_keeps_its_sums_and_no_histograms():
+    rng = np.random.default_rng(5)
+    codes, ones = rng.integers(0, 200, (3_000, 4)).astype(np.uint8), np.full(3_000, 1 << 26)
+    stats = np.stack([ones * rng.integers(0, 2, 3_000), ones, np.ones(3_000, np.int64)])
+    tree = trees.grown(codes, stats, trees.Gini(2, 1, 1_000), trees.Columns(4, 1), 0, 1, 0)
+    assert len(tree.stats) > 500
+    assert sum((s if s.base is None else s.base).nbytes for s in tree.stats) == 24 * len(tree.stats)
+
+
 def test_a_round_equals_the_formulas(spark):
     """One split of one feature, by hand: gradients 1/2 - y, Hessians 1/4."""
     df = frame(spark, [[0], [0], [1], [1], [1], [2], [2], [2]], [0, 0, 0, 1, 0, 1, 1, 1])
