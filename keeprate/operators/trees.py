@@ -36,7 +36,12 @@ BINS = 256
 SMALL = 65_536  # rows of a node that one task finishes
 CELLS = 4_000_000  # histogram cells that a partition adds up at a time
 DRAWN_ROWS = 200_000_000  # rows times trees that one job deals out
-MOST_NODES = 5_000_000  # of a model; it is held whole where it scores
+MOST_NODES = 5_000_000  # of a boosted model; it is held whole where it scores
+SORTED = 2_048  # codes of a node whose split is found by sorting, together with other nodes; larger ones have histograms
+ENTRIES = 1_000_000  # codes that are sorted at a time
+HELD_NODES = 200_000  # of trees that are sent to all tasks, or that one task scores with
+SCORED_ROWS = 1 << 18  # rows that one task scores at a time with trees that are not sent to all
+VOTE = float(1 << 40)  # a tree's vote is a whole multiple of 1 / VOTE, so that votes add up in any order
 UNIT = float(1 << 26)  # statistics are whole multiples of 1 / UNIT
 CUT = 8  # boosting rounds after which margins are written
 ROUNDS = 25  # boosting rounds that one task takes in turn where a whole tree is a small node
@@ -127,7 +132,7 @@ class Newton:
         return (left[1] >= self.least_hessian) & (right[1] >= self.least_hessian)
 
     def is_open(self, s, depth: int) -> bool:
-        return depth < self.depth and s[1] >= 2 * self.least_hessian and s[2] > 1
+        return (depth < self.depth) & (s[1] >= 2 * self.least_hessian) & (s[2] > 1)
 
     def value(self, s) -> float:
         return -s[0] / (s[1] + self.l2)
@@ -150,7 +155,7 @@ class Gini:
         return (left[2] >= self.rows_in_leaf) & (right[2] >= self.rows_in_leaf)
 
     def is_open(self, s, depth: int) -> bool:
-        return depth < self.depth and s[2] >= self.rows_to_split and 0 < s[0] < s[1]
+        return (depth < self.depth) & (s[2] >= self.rows_to_split) & (0 < s[0]) & (s[0] < s[1])
 
     def value(self, s) -> float:
         return s[0] / s[1] if s[1] > 0 else 0.0
@@ -170,10 +175,22 @@ class Columns:
             columns = np.sort(columns[np.argsort(draw(self.seed + 2, tree, columns ^ key), kind="stable")[:self.a_node]])
         return columns
 
+    def of_each(self, tree: int, keys: np.ndarray) -> np.ndarray:
+        """``of`` of many nodes, a row for each."""
+        columns = Columns(self.size, self.seed, self.a_tree / self.size).of(tree, 0)
+        if self.a_node is None or self.a_node >= len(columns):
+            return np.tile(columns, (len(keys), 1))
+        drawn = draw(self.seed + 2, tree, columns[None, :] ^ keys[:, None])
+        return np.sort(columns[np.argsort(drawn, axis=1, kind="stable")[:, :self.a_node]], axis=1)
+
 
 def child_key(key: int, side: int) -> int:
     """The name of a node's path, whatever order nodes are made in."""
-    return int(mixed(np.array([(2 * key + side + 1) & (2**64 - 1)], np.uint64))[0] >> np.uint64(2))
+    return int(child_keys(np.array([key], np.int64), np.array([side]))[0])
+
+
+def child_keys(keys: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    return (mixed(keys.astype(np.uint64) * np.uint64(2) + (sides + 1).astype(np.uint64)) >> np.uint64(2)).astype(np.int64)
 
 
 def histogram(codes: np.ndarray, columns: np.ndarray, stats: np.ndarray) -> np.ndarray:
@@ -226,6 +243,20 @@ class Tree:
             self.add(s, child_key(self.key[node], side), self.depth[node] + 1) for side, s in enumerate(children))
         return self.left[node], self.right[node]
 
+    def split_all(self, nodes: np.ndarray, feature: np.ndarray, cut: np.ndarray, gain: np.ndarray, sums: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarray:
+        """Splits many nodes; ``sums``, ``keys`` and the result have the two children of each in turn."""
+        children = np.arange(len(self.feature), len(self.feature) + 2 * len(nodes))
+        for field, values in zip(self.FIELDS, (feature, cut, children[::2], children[1::2], gain)):
+            own = getattr(self, field)
+            for node, value in zip(nodes.tolist(), values.tolist()):
+                own[node] = value
+        for field, value in zip(self.FIELDS, (-1, 0, -1, -1, 0.0)):
+            getattr(self, field).extend([value] * len(children))
+        self.stats.extend(x.copy() for x in sums.T.astype(float))
+        self.key.extend(keys.tolist())
+        self.depth.extend([depth] * len(children))
+        return children
+
     def graft(self, node: int, branch: Tree) -> None:
         """Puts a finished branch, whose root is this node, in its place."""
         offset = len(self.feature) - 1
@@ -257,21 +288,65 @@ def place(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndar
     return node
 
 
+def _sorted_splits(codes: np.ndarray, stats: np.ndarray, rows: np.ndarray, sizes: np.ndarray, sums: np.ndarray, chosen: np.ndarray, rule) -> tuple:
+    """``best_split`` of many small nodes, whose ``rows`` follow each other: (gain, place among the columns, bin, left sums)."""
+    count, width = chosen.shape
+    node = np.repeat(np.arange(count), sizes)
+    name = (((node[:, None] * width + np.arange(width)) << 8) + codes[rows[:, None], chosen[node]]).ravel()  # node, column, bin
+    order = np.argsort(name, kind="stable")
+    name = name[order]
+    upto = stats[:, np.repeat(rows, width)[order]].cumsum(axis=1)
+    last = np.flatnonzero(np.append(name[1:] != name[:-1], True))  # of the rows with one bin
+    name = name[last]
+    group = name >> 8
+    before = np.concatenate([np.zeros((3, 1), np.int64), upto], axis=1)[:, np.repeat(sizes, width).cumsum() - np.repeat(sizes, width)]
+    left = upto[:, last] - before[:, group]
+    owner = group // width
+    whole = sums[:, owner]
+    a, b = scaled(left), scaled(whole - left)
+    gain = rule.score(a) + rule.score(b) - rule.score(scaled(sums))[owner]
+    gain = np.where(rule.allowed(a, b) & (left[2] > 0) & (whole[2] > left[2]), gain, -np.inf)
+    best = np.maximum.reduceat(gain, np.searchsorted(owner, np.arange(count)))
+    at = np.flatnonzero(gain == best[owner])
+    at = at[np.unique(owner[at], return_index=True)[1]]  # the first column and bin
+    return best, group[at] % width, name[at] & 255, left[:, at]
+
+
 def grown(codes: np.ndarray, stats: np.ndarray, rule, columns: Columns, number: int, key: int, depth: int) -> Tree:
-    """The whole branch over some rows, in one task."""
-    tree = Tree()
-    todo = [(tree.add(stats.sum(axis=1), key, depth), np.arange(codes.shape[0]))]
-    while todo:
-        node, rows = todo.pop()
-        if not rule.is_open(scaled(tree.stats[node]), tree.depth[node]):
-            continue
-        chosen = columns.of(number, tree.key[node])
-        gain, at, cut, left_stats = best_split(histogram(codes[rows], chosen, stats[:, rows]), rule)
-        if gain <= rule.least_gain:
-            continue
-        left, right = tree.split(node, int(chosen[at]), cut, gain, left_stats)
-        goes = codes[rows, chosen[at]] <= cut
-        todo += [(left, rows[goes]), (right, rows[~goes])]
+    """The whole branch over some rows, in one task, level by level."""
+    tree, stats = Tree(), stats.astype(np.int64)
+    tree.add(stats.sum(axis=1), key, depth)
+    nodes, rows, sizes = np.zeros(1, np.int64), np.arange(codes.shape[0]), np.array([codes.shape[0]])
+    sums, keys = stats.sum(axis=1)[:, None], np.array([key], np.int64)
+    while len(nodes):
+        is_open = np.asarray(rule.is_open(scaled(sums), depth)) & (sizes > 0)
+        rows = rows[np.repeat(is_open, sizes)]
+        nodes, sizes, sums, keys = nodes[is_open], sizes[is_open], sums[:, is_open], keys[is_open]
+        if not len(nodes):
+            break
+        chosen, starts = columns.of_each(number, keys), sizes.cumsum() - sizes
+        gain, at, cut, left = np.full(len(nodes), -np.inf), np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64), np.zeros((3, len(nodes)), np.int64)
+        for i in np.flatnonzero(sizes * chosen.shape[1] > SORTED):
+            own = rows[starts[i]:starts[i] + sizes[i]]
+            gain[i], at[i], cut[i], left[:, i] = best_split(histogram(codes[own], chosen[i], stats[:, own]), rule)
+        few = np.flatnonzero(sizes * chosen.shape[1] <= SORTED)
+        portion = (sizes[few].cumsum() * chosen.shape[1]) // ENTRIES
+        for some in np.split(few, np.flatnonzero(np.diff(portion)) + 1) if len(few) else ():
+            mask = np.zeros(len(nodes), bool)
+            mask[some] = True
+            gain[some], at[some], cut[some], left[:, some] = _sorted_splits(
+                codes, stats, rows[np.repeat(mask, sizes)], sizes[some], sums[:, some], chosen[some], rule)
+        split = gain > rule.least_gain
+        rows = rows[np.repeat(split, sizes)]
+        nodes, sizes, sums, keys, gain, cut, left = nodes[split], sizes[split], sums[:, split], keys[split], gain[split], cut[split], left[:, split]
+        feature = chosen[split, at[split]]
+        depth += 1
+        owner = np.repeat(np.arange(len(nodes)), sizes)
+        child = 2 * owner + (codes[rows, feature[owner]] > cut[owner])
+        rows, sizes = rows[np.argsort(child, kind="stable")], np.bincount(child, minlength=2 * len(nodes))
+        sums = np.stack([left, sums - left], axis=2).reshape(3, -1)
+        keys = child_keys(np.repeat(keys, 2), np.tile([0, 1], len(nodes)))
+        nodes = tree.split_all(nodes, feature, cut, gain, sums, keys, depth)
     return tree
 
 
@@ -296,6 +371,15 @@ def _sent(trees: dict[int, Tree], nodes: dict[int, list[int]]) -> dict:
 
 def grow(rows: DataFrame, statistics: Statistics, rule, columns: Columns, numbers: list[int], count: int) -> dict[int, Tree]:
     """The trees ``numbers`` over the binned rows; ``count`` of rows."""
+    trees, branches = grown_apart(rows, statistics, rule, columns, numbers, count)
+    for t, n, branch in _collected(branches, rule.depth) if branches is not None else ():
+        trees[t].stats[n] = branch.stats[0]
+        trees[t].graft(n, branch)
+    return trees
+
+
+def grown_apart(rows: DataFrame, statistics: Statistics, rule, columns: Columns, numbers: list[int], count: int) -> tuple[dict[int, Tree], DataFrame | None]:
+    """The trees down to their small nodes, and the branches below those, which stay on the executors."""
     context, trees = rows.sparkSession.sparkContext, {}
     large, small = {}, {}
     for t in numbers:
@@ -320,14 +404,13 @@ def grow(rows: DataFrame, statistics: Statistics, rule, columns: Columns, number
                     (small if tree.stats[child][2] <= SMALL else left_over).setdefault(r.tree, []).append(child)
         shared.destroy()
         large = left_over
-    if small:
-        shared = context.broadcast(_sent(trees, small))
-        branches = _finished(rows, statistics, rule, columns, shared, {t: {n: trees[t].depth[n] for n in nodes} for t, nodes in small.items()})
-        for t, n, branch in _collected(branches, rule.depth):
-            trees[t].stats[n] = branch.stats[0]
-            trees[t].graft(n, branch)
-        shared.destroy()
-    return trees
+    if not small:
+        return trees, None
+    shared = context.broadcast(_sent(trees, small))
+    branches = _finished(rows, statistics, rule, columns, shared, {t: {n: trees[t].depth[n] for n in nodes} for t, nodes in small.items()})
+    branches = settled(branches, "branches")
+    shared.destroy()
+    return trees, branches
 
 
 def _level(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shared) -> DataFrame:
@@ -390,7 +473,6 @@ def _finished(rows: DataFrame, statistics: Statistics, rule, columns: Columns, s
 def _collected(branches: DataFrame, depth: int) -> list:
     """Finished branches by (tree, node); their size is checked first where only the rows bound it."""
     if depth > 16:
-        branches = settled(branches, "branches")
         nodes = branches.agg(F.sum(F.size("feature"))).first()[0] or 0
         if nodes > MOST_NODES:
             raise ValueError(f"{nodes} nodes; raise the rows a leaf or a split needs, or bound the depth")
@@ -407,18 +489,26 @@ def _collected(branches: DataFrame, depth: int) -> list:
 # ---- models --------------------------------------------------------------------------
 
 NODES = "tree int, node int, feature int, threshold double, left int, right int, value double, gain double, cover double"
+FIELDS = ("feature", "threshold", "left", "right", "value", "gain", "cover")  # of nodes
+SCORING = list(FIELDS[:5])
+PACKED = "tree int, feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>, gain array<double>, cover array<double>"
 
 
 class _NodesWriter(DefaultParamsWriter):
     def saveImpl(self, path: str) -> None:
         super().saveImpl(path)
-        self.sparkSession.createDataFrame(self.instance.nodes, NODES).write.parquet(f"{path}/data")
+        self.instance.node_rows(self.sparkSession).write.parquet(f"{path}/data")
 
 
 class _NodesReader(DefaultParamsReader):
     def load(self, path: str):
         model = super().load(path)
-        return model.with_nodes(self.sparkSession.read.parquet(f"{path}/data").toPandas())
+        return model.with_node_rows(self.sparkSession.read.parquet(f"{path}/data"))
+
+
+def _numbers(values: pd.Series) -> np.ndarray:
+    x = np.stack(values.to_numpy()) if len(values) else np.zeros((0, 1))
+    return np.where(np.isnan(x), np.inf, x)
 
 
 class _TreesModel(Model, HasFeaturesCol, MLWritable, MLReadable):
@@ -440,6 +530,12 @@ class _TreesModel(Model, HasFeaturesCol, MLWritable, MLReadable):
     def copy(self, extra=None):
         return super().copy(extra).with_nodes(self.nodes)
 
+    def node_rows(self, spark) -> DataFrame:
+        return spark.createDataFrame(self.nodes, NODES)
+
+    def with_node_rows(self, rows: DataFrame):
+        return self.with_nodes(rows.toPandas())
+
     def write(self):
         return _NodesWriter(self)
 
@@ -462,8 +558,7 @@ class _TreesModel(Model, HasFeaturesCol, MLWritable, MLReadable):
 
         def score(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for values in frames:
-                x = np.stack(values.to_numpy()) if len(values) else np.zeros((0, 1))
-                x = np.where(np.isnan(x), np.inf, x)
+                x = _numbers(values)
                 yield pd.Series(combine([t[4][place(*t[:4], x)] for t in shared.value], len(x)))
 
         probability = F.pandas_udf(score, "double")
@@ -472,16 +567,109 @@ class _TreesModel(Model, HasFeaturesCol, MLWritable, MLReadable):
 
 
 class ForestModel(_TreesModel):
+    """The trees are a table of one row a tree, however many nodes they have; ``nodes`` collects them, for a look at small ones.
+
+    Up to ``HELD_NODES`` nodes are sent to all tasks. More are dealt: a task gets some trees and some of the distinct vectors,
+    and the votes are added up by vector.
+    """
+
+    packed: DataFrame
+
+    def with_packed(self, packed: DataFrame):
+        self.packed = packed
+        return self
+
+    @property
+    def nodes(self) -> pd.DataFrame:
+        return self.node_rows(self.packed.sparkSession).toPandas().sort_values(["tree", "node"], ignore_index=True)
+
+    @nodes.setter
+    def nodes(self, nodes: pd.DataFrame) -> None:
+        pass
+
+    def copy(self, extra=None):
+        return Model.copy(self, extra).with_packed(self.packed)
+
+    def node_rows(self, spark) -> DataFrame:
+        zipped = F.posexplode(F.arrays_zip(*FIELDS)).alias("node", "x")
+        return self.packed.select("tree", zipped).select("tree", "node", *[f"x.{f}" for f in FIELDS])
+
+    def with_node_rows(self, rows: DataFrame):
+        def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            frame = frame.sort_values("node")
+            return pd.DataFrame({"tree": [int(key[0])], **{f: [frame[f].to_numpy()] for f in FIELDS}})
+
+        return self.with_packed(settled(rows.groupBy("tree").applyInPandas(pack, PACKED), "trees"))
+
+    @property
+    def getNumTrees(self) -> int:
+        return self.packed.count()
+
     @staticmethod
-    def combined(values: list[np.ndarray], count: int) -> np.ndarray:
-        return np.mean(values, axis=0) if values else np.full(count, 0.5)
+    def votes(trees: list[tuple], x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        for t in trees:
+            out += np.rint(t[4] * VOTE).astype(np.int64)[place(*t[:4], x)]
+        return out
+
+    def arrays(self) -> list[tuple]:
+        return [tuple(np.array(r[f]) for f in SCORING) for r in self.packed.select("tree", *SCORING).orderBy("tree").toLocalIterator()]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        sizes = {r.tree: r.n for r in self.packed.select("tree", F.size("feature").alias("n")).collect()}
+        values = vector_to_array(self.getFeaturesCol())
+        if df.isStreaming or sum(sizes.values()) <= HELD_NODES:
+            shared, votes = df.sparkSession.sparkContext.broadcast(self.arrays()), self.votes
+
+            def score(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+                for rows in frames:
+                    yield pd.Series(votes(shared.value, _numbers(rows)))
+
+            out = df.withColumn("probability", F.pandas_udf(score, "long")(values))
+        else:
+            found = self._voted(df.select(values.alias("_values")).distinct(), sizes)
+            out = df.withColumn("_values", values).join(found, "_values", "left").drop("_values")
+        return out.withColumn("probability", F.col("probability") / F.lit(VOTE * len(sizes))).withColumn(
+            "prediction", (F.col("probability") > 0.5).cast("double"))
+
+    def _voted(self, vectors: DataFrame, sizes: dict[int, int]) -> DataFrame:
+        """(_values, probability: sum of votes) of distinct vectors."""
+        rows = settled(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")  # written: the numbers stay
+        blocks = max(1, -(-rows.count() // SCORED_ROWS))
+        part, upto = {}, 0
+        for tree, n in sorted(sizes.items()):
+            part[tree], upto = upto // HELD_NODES, upto + n
+        groups = {p: i for i, p in enumerate(sorted(set(part.values())))}
+        parts = rows.sparkSession.createDataFrame([(t, groups[p]) for t, p in part.items()], "tree int, part int")
+        asked = rows.select("row", "_values", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))).alias("part"),
+                            F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
+        dealt = self.packed.select("tree", *SCORING).join(F.broadcast(parts), "tree").withColumn(
+            "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        votes = self.votes
+
+        def vote(x: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+            found = votes(list(trees[SCORING].itertuples(index=False, name=None)), _numbers(x["_values"]))
+            return pd.DataFrame({"row": x["row"], "votes": found})
+
+        keys = ["part", "block"]
+        tasks = blocks * len(groups)  # much work for few bytes: not to be coalesced
+        voted = asked.repartition(tasks, *keys).groupBy(*keys).cogroup(dealt.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(
+            vote, "row long, votes long")
+        return rows.join(settled(voted, "votes").groupBy("row").agg(F.sum("votes").alias("probability")), "row").drop("row")
 
     @property
     def featureImportances(self) -> DenseVector:
         """Impurity decrease by feature, normalised in each tree, then over the trees."""
-        out = np.zeros(self.getOrDefault(self.size))
-        for _, t in self._gains().groupby("tree"):
-            own = np.bincount(t["feature"], np.maximum(t["gain"], 0), len(out))
+        size = self.getOrDefault(self.size)
+
+        def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                own = [np.bincount(f[f >= 0], np.maximum(g[f >= 0], 0), size) for f, g in zip(frame["feature"], frame["gain"])]
+                yield pd.DataFrame({"tree": frame["tree"], "own": own})
+
+        out = np.zeros(size)
+        for r in self.packed.select("tree", "feature", "gain").mapInPandas(sums, "tree int, own array<double>").orderBy("tree").collect():
+            own = np.array(r.own)
             out += own / own.sum() if own.sum() else 0
         return DenseVector(out / out.sum() if out.sum() else out)
 
@@ -503,17 +691,50 @@ class BoostedModel(_TreesModel):
 def _table(trees: dict[int, Tree], cuts: list[np.ndarray], rule, rate: float = 1.0) -> pd.DataFrame:
     parts = []
     for number, tree in trees.items():
-        feature = np.array(tree.feature)
-        inner = feature >= 0
-        threshold = np.full(len(feature), np.nan)
-        threshold[inner] = [cuts[f][c] if c < len(cuts[f]) else np.inf for f, c in zip(feature[inner], np.array(tree.cut)[inner])]
-        stats = [scaled(s) for s in tree.stats]
-        parts.append(pd.DataFrame({
-            "tree": number, "node": np.arange(len(feature)), "feature": feature, "threshold": threshold, "left": tree.left, "right": tree.right,
-            "value": [rate * rule.value(s) for s in stats], "gain": np.where(inner, tree.gain, 0.0), "cover": [s[1] for s in stats]}))
+        fields = _fields({f: np.array(getattr(tree, f)) for f in (*Tree.FIELDS, "stats")}, cuts, rule, rate)
+        parts.append(pd.DataFrame({"tree": number, "node": np.arange(len(tree.feature)), **fields}))
     return pd.concat(parts, ignore_index=True)
 
 
+def _packed(trees: dict[int, Tree], branches: list[DataFrame], rows: DataFrame, cuts: list[np.ndarray], rule) -> DataFrame:
+    """One row a tree: its upper nodes with the branches in their places, numbered as by ``Tree.graft``."""
+    tops = [(t, -1, *(list(map(kind, getattr(tree, f))) for f, kind in zip(Tree.FIELDS, (int, int, int, int, float))), np.concatenate(tree.stats).tolist())
+            for t, tree in trees.items()]
+    pieces = rows.sparkSession.createDataFrame(tops, BRANCH.replace(" key array<long>, depth array<int>,", ""))
+    for found in branches:
+        pieces = pieces.unionByName(found.drop("key", "depth"))
+    shared = rows.sparkSession.sparkContext.broadcast(cuts)
+
+    def assemble(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        tree, size = {f: [] for f in (*Tree.FIELDS, "stats")}, 0
+        for piece in frame.sort_values("node").to_dict("records"):
+            own = {f: np.array(piece[f]) for f in Tree.FIELDS} | {"stats": np.array(piece["stats"]).reshape(-1, 3)}
+            if piece["node"] >= 0:
+                for side in ("left", "right"):
+                    own[side] = np.where(own[side] >= 0, own[side] + size - 1, -1)
+                for f in own:
+                    tree[f][0][piece["node"]] = own[f][0]
+                own = {f: x[1:] for f, x in own.items()}
+            for f, x in own.items():
+                tree[f].append(x)
+            size += len(own["feature"])
+        tree = {f: np.concatenate(x) for f, x in tree.items()}
+        return pd.DataFrame({"tree": [int(key[0])], **{f: [x] for f, x in _fields(tree, shared.value, rule).items()}})
+
+    parts = min(len(trees), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return settled(pieces.repartition(parts, "tree").groupBy("tree").applyInPandas(assemble, PACKED), "trees")
+
+
+def _fields(tree: dict, cuts: list[np.ndarray], rule, rate: float = 1.0) -> dict:
+    """The columns of a tree's nodes."""
+    feature, inner = tree["feature"], tree["feature"] >= 0
+    threshold = np.full(len(feature), np.nan)
+    threshold[inner] = [cuts[f][c] if c < len(cuts[f]) else np.inf for f, c in zip(feature[inner], tree["cut"][inner])]
+    stats = [scaled(s) for s in tree["stats"]]
+    return {"feature": feature, "threshold": threshold, "left": tree["left"], "right": tree["right"], "value": np.array([rate * rule.value(s) for s in stats], float),
+            "gain": np.where(inner, tree["gain"], 0.0), "cover": np.array([s[1] for s in stats], float)}
+
+
 class _Trees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed):
     maxDepth = Param(Params._dummy(), "maxDepth", "splits above a leaf at most", TypeConverters.toInt)
     idCol = Param(Params._dummy(), "idCol", "the rows' own id, which draws follow", TypeConverters.toString)
@@ -575,11 +796,12 @@ class Forest(_Trees):
             whole = np.rint(weight[chosen] * UNIT).astype(np.int64) * times[chosen]
             return chosen, np.stack([whole * (label[chosen] > 0), whole, times[chosen]])
 
-        trees: dict[int, Tree] = {}
+        trees, branches = {}, []
         at_once = max(1, DRAWN_ROWS // max(count, 1))
         for start in range(0, self.getNumTrees(), at_once):
-            trees |= grow(rows, statistics, rule, columns, list(range(start, min(start + at_once, self.getNumTrees()))), count)
-        return ForestModel(featuresCol=self.getFeaturesCol(), size=len(cuts)).with_nodes(_table(trees, cuts, rule))
+            tops, below = grown_apart(rows, statistics, rule, columns, list(range(start, min(start + at_once, self.getNumTrees()))), count)
+            trees, branches = trees | tops, branches + ([below] if below is not None else [])
+        return ForestModel(featuresCol=self.getFeaturesCol(), size=len(cuts)).with_packed(_packed(trees, branches, rows, cuts, rule))
 
 
 class SecondOrderBoosting(_Trees, HasMaxIter, HasStepSize):

@@ -71,6 +71,22 @@ def test_a_branch_keeps_its_sums_and_no_histograms():
     assert sum((s if s.base is None else s.base).nbytes for s in tree.stats) == 24 * len(tree.stats)
 
 
+def test_forests_beyond_what_tasks_hold(noisy, monkeypatch, tmp_path):
+    """Trees stay on the executors, however many nodes; they score alike dealt out and sent to all."""
+    whole = trees.Forest(numTrees=5).fit(noisy)
+    sent = {r.customer_id: (r.probability, r.prediction) for r in whole.transform(noisy).collect()}
+    assert len(sent) == 400 and 0 <= min(sent.values())[0] < 0.2 and max(sent.values())[0] > 0.8
+    for name, limit in (("MOST_NODES", 50), ("HELD_NODES", 100), ("SCORED_ROWS", 150)):
+        monkeypatch.setattr(trees, name, limit)
+    model = trees.Forest(numTrees=5).fit(noisy)
+    pd.testing.assert_frame_equal(nodes(whole), nodes(model))
+    model.write().save(f"{tmp_path}/forest")
+    for dealt in (model, trees.ForestModel.read().load(f"{tmp_path}/forest"), model.copy()):
+        found = dealt.transform(noisy.union(noisy.limit(3))).collect()
+        assert len(found) == 403 and {r.customer_id: (r.probability, r.prediction) for r in found} == sent
+        assert dealt.getNumTrees == 5 and dealt.featureImportances == whole.featureImportances
+
+
 def test_a_round_equals_the_formulas(spark):
     """One split of one feature, by hand: gradients 1/2 - y, Hessians 1/4."""
     df = frame(spark, [[0], [0], [1], [1], [1], [2], [2], [2]], [0, 0, 0, 1, 0, 1, 1, 1])
