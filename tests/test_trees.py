@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pathlib
 import random
 
 import numpy as np
@@ -87,6 +88,20 @@ def test_forests_beyond_what_tasks_hold(noisy, monkeypatch, tmp_path):
         assert dealt.getNumTrees == 5 and dealt.featureImportances == whole.featureImportances
 
 
+def test_trials_leave_no_trees_behind(spark, noisy, monkeypatch):
+    """A search keeps the winner's tables alone, whatever the number of trials."""
+    from keeprate.session import run_folder
+
+    monkeypatch.setattr(trees, "HELD_NODES", 20)  # scored by dealing
+    folder = pathlib.Path(run_folder(spark).removeprefix("file:"))
+    before = {f.name for f in folder.glob("*")}
+    settings = [{"numTrees": n, "maxDepth": 20} for n in (2, 3, 4)]
+    found, trials = search.search(noisy, trees.Forest(), {}, settings=settings)
+    left = sorted(f.name.rsplit("-", 1)[0] for f in folder.glob("*") if f.name not in before)
+    assert left == ["binned", "binned", "fitted", "trees", "validated"]
+    assert trials.count() == 3 and found.bestModel.transform(noisy).count() == 400
+
+
 def test_a_round_equals_the_formulas(spark):
     """One split of one feature, by hand: gradients 1/2 - y, Hessians 1/4."""
     df = frame(spark, [[0], [0], [1], [1], [1], [2], [2], [2]], [0, 0, 0, 1, 0, 1, 1, 1])
