@@ -24,6 +24,7 @@ from keeprate.session import settled
 CELL_ROWS = 16_384  # rows a cell, as intended
 BLOCK_ROWS = 16_384  # rows of a block at most
 SENT_ROWS = 65_536  # rows that a task hands on at a time
+PAIRS = 1 << 20  # measured at a time
 PAIR_SLICE = 262_144
 
 
@@ -70,7 +71,7 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int) -> pd.DataFrame:
     points = query["point"].to_numpy()
     query_vectors = np.stack(query["vector"].to_numpy())
     out = []
-    step = max(1, (1 << 23) // len(base))
+    step = max(1, PAIRS // len(base))
     for low in range(0, len(query), step):
         q = query_vectors[low:low + step]
         q_squares = (q**2).sum(1)

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from keeprate.operators import neighbors
 from keeprate.operators.neighbors import knn_probability, knn_vote, nearest_neighbors, pair_share
 from keeprate.operators.pivots import grown, placed
 from keeprate.operators.resample import edited, rebalance, rows_to_add, synthesize
@@ -40,6 +44,16 @@ def test_equals_brute_force(spark, options):
     assert found(nearest_neighbors(points(spark, vectors), 4, **options)) == brute(vectors, 4)
 
 
+def test_a_pair_of_blocks_needs_little_memory():
+    vectors = np.random.default_rng(2).normal(size=(4_096, 4))
+    frame = pd.DataFrame({"point": np.arange(4_096), "vector": list(vectors), "ids": [np.array([i]) for i in range(4_096)], "carried": [np.zeros(1)] * 4_096})
+    tracemalloc.start()
+    best = neighbors._best(frame[["point", "vector"]], frame, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(best) == 3 * 4_096 and peak < 64 << 20
+
+
 def clustered(rows, clusters, dims=3, seed=7, centre=0.0):
     rng = np.random.default_rng(seed)
     return centre + rng.uniform(-100, 100, size=(clusters, dims)).repeat(rows // clusters, 0) + rng.normal(size=(rows, dims))
