@@ -2,12 +2,12 @@
 
 Rows with equal vectors are merged to one point that keeps its ``k + 1`` smallest
 ids, so a large group of copies costs one point. Points are assigned to the cells of
-a tree of pivots (``pivots.py``). The pivot distances give every cell an upper bound on
-its neighbour distances; a point is sent to a cell only if the triangle inequality
-leaves it a chance there, tried from the root of the tree down. Cells are cut into blocks of
-bounded size, so no task holds more than two blocks, and a block emits only its
-best ``k + 1`` per query, which a ranked merge reduces. No candidate is cut off, so
-the result equals the brute-force one, with ties broken by id.
+a tree of pivots (``pivots.py``); cells near each other make a region, the part that one task holds.
+A query first meets the points of its own region, which tells how far its neighbours can be at most.
+With that distance it is sent only to regions with a cell that bounds leave a chance to be nearer, tried from the
+root of the tree down. Regions and the queries sent to them are cut into blocks of bounded size; a task tells its own
+groups of rows apart by their boxes, so a row is not sent again for each cell. A ranked merge reduces what the blocks
+find. No candidate is cut off, so the result equals the brute-force one, with ties broken by id.
 """
 
 from __future__ import annotations
@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from keeprate.operators.pivots import grown, placed, statistics
 from keeprate.session import settled
 
-CELL_ROWS = 16_384  # rows a cell, as intended
-BLOCK_ROWS = 16_384  # rows of a block at most
+CELL_ROWS = 4_096  # rows a cell, as intended
+REGION_ROWS = 16_384  # rows a region, as intended, and queries that meet it in one task
+GROUP_ROWS = 128  # rows with a box of their own inside a task
 SENT_ROWS = 65_536  # rows that a task hands on at a time
+SLACK = 1e-9  # of squared lengths: what the product form may lose
 PAIRS = 1 << 20  # measured at a time
 PAIR_SLICE = 262_144
 
@@ -55,36 +57,75 @@ def _hash(points: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int) -> pd.DataFrame:
-    """The ``keep`` nearest base rows of each query in one pair of blocks."""
+class _Groups:
+    """Rows in groups of at most ``size`` by halving the widest side, with the box of each."""
+
+    def __init__(self, vectors: np.ndarray, size: int):
+        parts, todo = [], [np.arange(len(vectors))]
+        while todo:
+            rows = todo.pop()
+            if len(rows) <= size:
+                parts.append(rows)
+                continue
+            own = vectors[rows]
+            side = int(np.ptp(own, axis=0).argmax()) if own.shape[1] else 0
+            order, half = np.argpartition(own[:, side], len(rows) // 2) if own.shape[1] else np.arange(len(rows)), len(rows) // 2
+            todo += [rows[order[half:]], rows[order[:half]]]
+        self.order = np.concatenate(parts)
+        self.ends = np.cumsum([len(p) for p in parts])
+        self.starts = self.ends - [len(p) for p in parts]
+        self.low = np.stack([vectors[p].min(0) for p in parts])
+        self.high = np.stack([vectors[p].max(0) for p in parts])
+
+    def gaps(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """How far each box is from another at least."""
+        return np.sqrt((np.maximum(np.maximum(self.low - high, low - self.high), 0) ** 2).sum(1))
+
+    def rows(self, groups: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(np.arange(self.starts[g], self.ends[g]) for g in groups)])
+
+
+def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int, group_rows: int = GROUP_ROWS) -> pd.DataFrame:
+    """The ``keep`` nearest base rows of each query in one pair of blocks; of those within its ``limit``, where it has one."""
     columns = ["point", "distance", "neighbor_id", "carried"]
     if query.empty or base.empty:
         return pd.DataFrame({c: [] for c in columns}).astype(
             {"point": "int64", "distance": "float64", "neighbor_id": "int64", "carried": "float64"}
         )
     vectors = np.stack(base["vector"].to_numpy())
-    squares = (vectors**2).sum(1)
+    groups = _Groups(vectors, group_rows)
+    base, vectors = base.iloc[groups.order], vectors[groups.order]
+    centre = vectors.mean(0)  # far from the origin the product form loses digits
+    near = vectors - centre
+    squares = (near**2).sum(1)
     sizes = base["ids"].map(len).to_numpy()
     ids = np.concatenate(base["ids"].to_numpy())
     carried = np.concatenate(base["carried"].to_numpy())
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     points = query["point"].to_numpy()
     query_vectors = np.stack(query["vector"].to_numpy())
+    limits = query["limit"].to_numpy() if "limit" in query else np.full(len(query), np.inf)
+    middle = (groups.low + groups.high) / 2
     out = []
-    step = max(1, PAIRS // len(base))
-    for low in range(0, len(query), step):
-        q = query_vectors[low:low + step]
+
+    def rough(q: np.ndarray, q_squares: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return q_squares[:, None] + squares[rows][None, :] - 2 * q @ near[rows].T
+
+    def add(asked: np.ndarray, rows: np.ndarray, most: np.ndarray) -> None:
+        """Measures some queries and base rows; ``most`` bounds the squared distance."""
+        q, exactly = query_vectors[asked] - centre, query_vectors[asked]
         q_squares = (q**2).sum(1)
-        rough = q_squares[:, None] + squares[None, :] - 2 * q @ vectors.T
-        if len(base) > keep:
-            edge = np.partition(rough, keep - 1, axis=1)[:, keep - 1]
-            # The product form loses digits: keep all within its error and measure those exactly.
-            edge = edge + 1e-9 * (q_squares + squares.max())
-            row, col = np.nonzero(rough <= edge[:, None])
-        else:
-            row, col = (a.ravel() for a in np.indices(rough.shape))
+        found = rough(q, q_squares, rows)
+        edge = most + SLACK * (q_squares + squares.max())
+        row, col = np.nonzero(found <= edge[:, None])
+        if len(row) > 4 * keep * len(asked) and len(rows) > keep:
+            edge = np.minimum(edge, np.partition(found, keep - 1, axis=1)[:, keep - 1] + SLACK * (q_squares + squares.max()))
+            row, col = np.nonzero(found <= edge[:, None])
+        if not len(row):
+            return
+        col = rows[col]
         exact = np.concatenate([
-            np.sqrt(((q[row[i:i + PAIR_SLICE]] - vectors[col[i:i + PAIR_SLICE]]) ** 2).sum(1))
+            np.sqrt(((exactly[row[i:i + PAIR_SLICE]] - vectors[col[i:i + PAIR_SLICE]]) ** 2).sum(1))
             for i in range(0, len(row), PAIR_SLICE)
         ])
         times = sizes[col]
@@ -97,12 +138,29 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int) -> pd.DataFrame:
         rank = np.arange(len(who)) - np.searchsorted(who, who)
         chosen = rank < keep
         out.append(pd.DataFrame({
-            "point": points[low + who[chosen]],
+            "point": points[asked[who[chosen]]],
             "distance": distance[order][chosen],
             "neighbor_id": ids[slot[chosen]],
             "carried": carried[slot[chosen]],
         }))
-    return pd.concat(out, ignore_index=True)
+
+    asking = _Groups(query_vectors, group_rows)
+    for start, end, low, high in zip(asking.starts, asking.ends, asking.low, asking.high):
+        asked = asking.order[start:end]
+        most = limits[asked] ** 2
+        if np.isinf(most).any() and len(base) > keep:  # the groups around give a first bound
+            nearest = np.argsort(((middle - (low + high) / 2) ** 2).sum(1), kind="stable")
+            some = groups.rows(nearest[:1 + int(np.searchsorted((groups.ends - groups.starts)[nearest].cumsum(), 2 * keep))])
+            q = query_vectors[asked] - centre
+            q_squares = (q**2).sum(1)
+            if len(some) >= keep:
+                most = np.minimum(most, np.partition(rough(q, q_squares, some), keep - 1, axis=1)[:, keep - 1] + 2 * SLACK * (q_squares + squares.max()))
+        gap = groups.gaps(low, high)
+        rows = groups.rows(np.flatnonzero(gap**2 <= most.max() + SLACK * (1 + gap**2))) if np.isfinite(most).all() else np.arange(len(base))
+        step = max(1, PAIRS // max(1, len(rows)))
+        for i in range(0, len(asked) if len(rows) else 0, step):
+            add(asked[i:i + step], rows, most[i:i + step])
+    return pd.concat(out, ignore_index=True) if out else _best(query.iloc[:0], base, keep)
 
 
 def _measured_tree(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int):
@@ -122,54 +180,107 @@ def _measured_tree(queries: DataFrame, base: DataFrame, keep: int, cell_rows: in
     return tree, asked
 
 
+def _sent(batch: pd.DataFrame, row: np.ndarray, region: np.ndarray, first: str, second: str, blocks: np.ndarray, others: np.ndarray):
+    """Repeats each row once per block of the other side, in frames of bounded size."""
+    times = others[region]
+    ends = np.cumsum(times)
+    mine = (_hash(batch["point"].to_numpy()[row]) % blocks[region].astype("uint64")).astype("int32")
+    for low in range(0, int(ends[-1]) if len(ends) else 0, SENT_ROWS):
+        slots = np.arange(low, min(low + SENT_ROWS, int(ends[-1])))
+        at = np.searchsorted(ends, slots, "right")
+        frame = batch.iloc[row[at]].reset_index(drop=True)
+        frame.insert(0, "region", region[at].astype("int32"))
+        frame[first] = mine[at]
+        frame[second] = (slots - (ends - times)[at]).astype("int32")
+        yield frame
+
+
+BLOCKS = "query_block int, base_block int"
+QUERY = "point long, vector array<double>, limit double"
+POINT = "point long, vector array<double>, ids array<long>, carried array<double>"
+FOUND = "point long, distance double, neighbor_id long, carried double"
+
+
+def _measured(queries: DataFrame, base: DataFrame, keep: int, group_rows: int) -> DataFrame:
+    """The best of each pair of blocks, per query point."""
+    keys = ["region", "query_block", "base_block"]
+    return queries.groupBy(*keys).cogroup(base.groupBy(*keys)).applyInPandas(lambda q, b: _best(q, b, keep, group_rows), FOUND)
+
+
 def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int, block_rows: int) -> DataFrame:
-    """(point, distance, neighbor_id, carried): the best of each block pair, per query point."""
-    context = queries.sparkSession.sparkContext
-    tree, asked = _measured_tree(queries, base, keep, cell_rows)
-    n_query = int(tree.query_rows[0])
-    # Query blocks are also small enough to occupy all cores; base blocks only bounded.
-    query_rows = max(256, min(block_rows, math.ceil(n_query / context.defaultParallelism)))  # placement only
-    query_blocks = np.maximum(1, -(-tree.query_rows // query_rows))
-    base_blocks = np.maximum(1, -(-tree.reach() // block_rows))
-    plan = context.broadcast((tree, query_blocks, base_blocks))
-
-    def expand(batch, row, cell, first, second, blocks, others):
-        """Repeats each row once per block of the other side, in frames of bounded size."""
-        times = others[cell]
-        ends = np.cumsum(times)
-        mine = (_hash(batch["point"].to_numpy()[row]) % blocks[cell].astype("uint64")).astype("int32")
-        for low in range(0, int(ends[-1]) if len(ends) else 0, SENT_ROWS):
-            slots = np.arange(low, min(low + SENT_ROWS, int(ends[-1])))
-            at = np.searchsorted(ends, slots, "right")
-            frame = batch.iloc[row[at]].reset_index(drop=True)
-            frame.insert(0, "cell", cell[at].astype("int32"))
-            frame[first] = mine[at]
-            frame[second] = (slots - (ends - times)[at]).astype("int32")
-            yield frame
-
-    def send_queries(batches):
-        _, query_blocks, base_blocks = plan.value
+    """(point, distance, neighbor_id, carried): neighbours of each query point, the ``keep`` nearest among them."""
+    context, group_rows = queries.sparkSession.sparkContext, min(block_rows, GROUP_ROWS)
+    n_base, own = base.count(), queries is base
+    tree = grown(base, n_base, cell_rows)
+    if len(tree) == 1:  # nothing to tell apart: no pass over the rows is needed
+        n_queries = n_base if own else queries.count()
+        kept, asked = base.withColumn("leaf", F.lit(0)), queries.withColumn("leaf", F.lit(0))
+        tree.surround({0: (n_base, np.inf, [])})
+        of_queries = {0: n_queries}
+    else:
+        # Written: computed anew, a near tie could fall to another leaf, whose radius does not hold the point.
+        kept = settled(placed(base, tree, POINT), "placed")
+        tree.surround(statistics(kept, tree, 1))
+        asked = kept if own else settled(placed(queries, tree, POINT), "placed-queries")
+        of_queries = {leaf: int(tree.base_rows[leaf]) for leaf in range(len(tree)) if not tree.children[leaf]} if own else {
+            r.leaf: r["count"] for r in asked.groupBy("leaf").count().collect()}
+    region = tree.regions(REGION_ROWS)
+    n_regions = int(region.max()) + 1
+    base_blocks = np.maximum(1, -(-np.bincount(region[region >= 0], tree.base_rows[region >= 0], n_regions).astype("int64") // (2 * REGION_ROWS)))
+    n_of = np.zeros(n_regions, "int64")
+    for leaf, n in of_queries.items():
+        n_of[region[leaf]] += n
+    # Query blocks are also small enough to occupy all cores.
+    query_rows = max(256, min(REGION_ROWS, math.ceil(n_of.sum() / context.defaultParallelism)))  # placement only
+    shared = context.broadcast((tree, region, base_blocks))
+
+    def met(asked: DataFrame, n_of: np.ndarray, ways) -> DataFrame:
+        query_blocks = np.maximum(1, -(-n_of // query_rows))
+
+        def send_queries(batches):
+            for batch in filter(len, batches):
+                for row, there in ways(batch, shared.value):
+                    yield from _sent(batch[["point", "vector", "limit"]], row, there, "query_block", "base_block", query_blocks, shared.value[2])
+
+        def send_base(batches):
+            for batch in filter(len, batches):
+                there = shared.value[1][batch.pop("leaf").to_numpy()]
+                asked_for = np.flatnonzero(n_of[there])
+                yield from _sent(batch, asked_for, there[asked_for], "base_block", "query_block", shared.value[2], query_blocks)
+
+        return _measured(
+            asked.mapInPandas(send_queries, f"region int, {QUERY}, {BLOCKS}"),
+            kept.select("leaf", "point", "vector", "ids", "carried").mapInPandas(send_base, f"region int, {POINT}, {BLOCKS}"), keep, group_rows)
+
+    def home(batch, plan):
+        yield np.arange(len(batch)), plan[1][batch["leaf"].to_numpy()]
+
+    first = met(asked.select("leaf", "point", "vector", F.lit(float("inf")).alias("limit")), n_of, home)
+    if n_regions == 1:
+        return first
+    first = settled(first, "own-region")
+    limits = first.groupBy("point").agg(F.when(F.count(F.lit(1)) >= keep, F.max("distance")).alias("limit"))
+    asked = asked.select("leaf", "point", "vector").join(limits, "point", "left").select(
+        "leaf", "point", "vector", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
+
+    def away(batch, plan):
+        """Other regions that may hold a nearer point, each once for a query."""
+        tree, region, _ = plan
+        for row, leaf in tree.within(tree.shifted(batch["vector"]), batch["limit"].to_numpy()):
+            there = region[leaf]
+            other = np.unique(np.stack([row, there])[:, there != region[batch["leaf"].to_numpy()[row]]], axis=1)
+            yield other[0], other[1]
+
+    def counted(batches):
         for batch in filter(len, batches):
-            leaf = batch.pop("leaf").to_numpy()
-            yield from expand(batch, np.arange(len(batch)), leaf, "query_block", "base_block", query_blocks, base_blocks)
+            for _, there in away(batch, shared.value):
+                regions, n = np.unique(there, return_counts=True)
+                yield pd.DataFrame({"region": regions.astype("int32"), "n": n})
 
-    def send_base(batches):
-        tree, query_blocks, base_blocks = plan.value
-        for batch in filter(len, batches):
-            for row, leaf in tree.reached(tree.shifted(batch["vector"])):
-                yield from expand(batch, row, leaf, "base_block", "query_block", base_blocks, query_blocks)
-
-    blocks = "query_block int, base_block int"
-    left = asked.mapInPandas(send_queries, f"cell int, point long, vector array<double>, {blocks}")
-    right = base.select("point", "vector", "ids", "carried").mapInPandas(
-        send_base,
-        "cell int, point long, vector array<double>, ids array<long>, carried array<double>, "
-        "base_block int, query_block int",
-    )
-    keys = ["cell", "query_block", "base_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        lambda q, b: _best(q, b, keep), "point long, distance double, neighbor_id long, carried double"
-    )
+    n_away = np.zeros(n_regions, "int64")
+    for r in asked.mapInPandas(counted, "region int, n long").groupBy("region").agg(F.sum("n").alias("n")).collect():
+        n_away[r.region] = r.n
+    return first.unionByName(met(asked, n_away, away)) if n_away.any() else first
 
 
 def pair_share(base: DataFrame, k: int, cell_rows: int = CELL_ROWS) -> float:
@@ -188,14 +299,15 @@ def neighbor_lists(
     queries: DataFrame | None = None,
     carry: str | None = None,
     cell_rows: int = CELL_ROWS,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Query rows with ``neighbors``: the k nearest base rows by Euclidean distance.
 
     ``base`` and ``queries`` have ``id long`` and ``vector array<double>`` without
     nulls; both are read more than once, so pass kept tables. Without ``queries`` every base row is a query and is not its own
     neighbour. ``carry`` names a numeric base column brought along. A neighbour is
-    struct(distance, neighbor_id, carried), in that order of sorting.
+    struct(distance, neighbor_id, carried), in that order of sorting. ``block_rows`` are told apart
+    by a box inside a task, ``GROUP_ROWS`` at most.
     """
     own = queries is None
     keep = k + 1 if own else k

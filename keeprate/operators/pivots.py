@@ -146,17 +146,77 @@ class PivotTree:
             out += np.bincount(leaf, self.base_rows[leaves[row]], len(self))
         return out.astype("int64")
 
+    def surround(self, base: dict) -> None:
+        """Rows and radii of the base, by node: what ``regions`` and ``within`` need."""
+        self.base_rows, self.base_radius = np.zeros(len(self), "int64"), np.zeros(len(self))
+        for node, (rows, radius, _) in base.items():
+            self.base_rows[node], self.base_radius[node] = rows, radius
+        self.scale = (np.sqrt((self.pivots**2).sum(1).max()) + self.base_radius.max()) ** 2
+        self.between = {node: np.sqrt(((own[:, None] - own[None, :]) ** 2).sum(2)) for node in np.flatnonzero(self.children)
+                        for own in [self.pivots[self.first[node]:self.first[node] + self.children[node]]]}
+
+    def regions(self, rows: int) -> np.ndarray:
+        """The region of each leaf, of about ``rows`` base rows; leaves near each other share one. -1 for inner nodes."""
+        leaves = np.flatnonzero(self.children == 0)
+        order, todo = [], [leaves]
+        while todo:
+            part = todo.pop()
+            if len(part) == 1 or self.base_rows[part].sum() <= rows:
+                order.append(part)
+                continue
+            side = np.argsort(self.pivots[part, int(np.ptp(self.pivots[part], axis=0).argmax())], kind="stable")
+            half = min(max(1, int(np.searchsorted(self.base_rows[part[side]].cumsum(), self.base_rows[part].sum() / 2))), len(part) - 1)
+            todo += [part[side[half:]], part[side[:half]]]
+        out = np.full(len(self), -1)
+        for number, part in enumerate(order):
+            out[part] = number
+        return out
+
+    def within(self, rows: np.ndarray, limits: np.ndarray):
+        """Yields (row, leaf) pairs, in slices: leaves that may hold a base row within ``limits`` of the row.
+
+        A base row is nearest to the pivot of its own child, so it lies behind the plane halfway to any sibling's pivot;
+        it also lies within its node's radius.
+        """
+        step = max(1, REACH_SLICE // len(self))
+        for low in range(0, len(rows), step):
+            found_rows, found_leaves = [], []
+            todo = [(0, np.arange(low, min(low + step, len(rows))))]
+            while todo:
+                node, mine = todo.pop()
+                if not self.children[node]:
+                    found_rows.append(mine)
+                    found_leaves.append(np.full(len(mine), node))
+                    continue
+                under = slice(self.first[node], self.first[node] + self.children[node])
+                far = distances(rows[mine], self.pivots[under])
+                nearest = far.argmin(1)
+                loss = 1e-11 * (self.scale + (rows[mine] ** 2).sum(1))[:, None]  # of squares, in the product form
+                ahead = far**2 - far[np.arange(len(mine)), nearest][:, None] ** 2 - loss
+                between = self.between[node][nearest]
+                least = np.divide(ahead, 2 * between, out=np.zeros_like(ahead), where=between > 0)
+                least = np.maximum(least, np.sqrt(np.maximum(far**2 - loss, 0)) - self.base_radius[under] * (1 + 1e-9))
+                is_open = (least <= limits[mine][:, None] * (1 + 1e-9)) & (self.base_rows[under] > 0)
+                leaf = self.children[under] == 0
+                row, child = np.nonzero(is_open & leaf)
+                found_rows.append(mine[row])
+                found_leaves.append(under.start + child)
+                for child in np.flatnonzero(is_open.any(0) & ~leaf):
+                    todo.append((under.start + child, mine[is_open[:, child]]))
+            yield np.concatenate(found_rows), np.concatenate(found_leaves)
+
 
-def placed(points: DataFrame, tree: PivotTree) -> DataFrame:
-    """(leaf, point, vector) of every point."""
+def placed(points: DataFrame, tree: PivotTree, columns: str = "point long, vector array<double>") -> DataFrame:
+    """``leaf`` of every point, and its columns."""
     shared = points.sparkSession.sparkContext.broadcast(tree)
 
     def place(batches):
         for batch in filter(len, batches):
             leaf = shared.value.leaf_of(shared.value.shifted(batch["vector"]))
-            yield pd.DataFrame({"leaf": leaf.astype("int32"), "point": batch["point"], "vector": batch["vector"]})
+            yield batch.assign(leaf=leaf.astype("int32"))[["leaf", *batch.columns]]
 
-    return points.select("point", "vector").mapInPandas(place, "leaf int, point long, vector array<double>")
+    names = [c.split()[0] for c in columns.split(", ")]
+    return points.select(*names).mapInPandas(place, f"leaf int, {columns}")
 
 
 def statistics(rows: DataFrame, tree: PivotTree, keep: int) -> dict:

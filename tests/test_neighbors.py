@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keeprate.operators import neighbors
 from keeprate.operators.neighbors import knn_probability, knn_vote, nearest_neighbors, pair_share
-from keeprate.operators.pivots import grown, placed
+from keeprate.operators.pivots import grown, placed, statistics
 from keeprate.operators.resample import edited, rebalance, rows_to_add, synthesize
 
 
@@ -44,6 +44,16 @@ def test_equals_brute_force(spark, options):
     assert found(nearest_neighbors(points(spark, vectors), 4, **options)) == brute(vectors, 4)
 
 
+def test_equals_brute_force_over_many_regions(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "REGION_ROWS", 40)
+    rng = np.random.default_rng(11)
+    vectors = np.concatenate([rng.normal(size=(300, 3)), rng.integers(0, 3, size=(100, 3)), rng.normal(size=(100, 3)) * 50])
+    assert found(nearest_neighbors(points(spark, vectors), 4, cell_rows=10, block_rows=7)) == brute(vectors, 4)
+    asked = rng.normal(size=(80, 3)) * 10
+    got = nearest_neighbors(points(spark, vectors), 4, points(spark, asked, first=1000), cell_rows=10, block_rows=7)
+    assert found(got) == brute(vectors, 4, asked, 1000)
+
+
 def test_a_pair_of_blocks_needs_little_memory():
     vectors = np.random.default_rng(2).normal(size=(4_096, 4))
     frame = pd.DataFrame({"point": np.arange(4_096), "vector": list(vectors), "ids": [np.array([i]) for i in range(4_096)], "carried": [np.zeros(1)] * 4_096})
@@ -89,6 +99,34 @@ def test_far_from_the_origin(spark):
     assert {i: [j for j, _ in near] for i, near in got.items()} == {i: [j for j, _ in near] for i, near in want.items()}
 
 
+def test_queries_are_sent_to_few_cells(spark):
+    """By the distance they know, over points without clusters; no cell with a neighbour is left out."""
+    vectors = np.random.default_rng(9).uniform(size=(3_000, 3))
+    df = points(spark, vectors).withColumnRenamed("id", "point")
+    tree = grown(df, 3_000, 30)
+    tree.surround(statistics(placed(df, tree), tree, 1))
+    rows = vectors - tree.centre
+    leaf = tree.leaf_of(rows)
+    squares = (vectors**2).sum(1)
+    near = np.argsort(squares[:, None] + squares[None, :] - 2 * vectors @ vectors.T, axis=1)[:, :5]
+    limits = np.sqrt(((vectors[near[:, 4]] - vectors) ** 2).sum(1))
+    sent = {(int(r), int(n)) for some in tree.within(rows, limits) for r, n in zip(*some)}
+    assert sent >= {(i, int(leaf[j])) for i in range(3_000) for j in near[i]}
+    assert len(sent) < 12 * 3_000
+
+
+def test_small_cells_share_a_region(spark):
+    """A row goes to a region once, however small its cells are."""
+    vectors = np.random.default_rng(10).normal(size=(2_000, 16))
+    df = points(spark, vectors).withColumnRenamed("id", "point")
+    tree = grown(df, 2_000, 10)
+    tree.surround(statistics(placed(df, tree), tree, 1))
+    leaf = tree.leaf_of(vectors - tree.centre)
+    region = tree.regions(500)
+    sizes = np.bincount(region[leaf])
+    assert (tree.children == 0).sum() > 100 and len(sizes) <= 8 and sizes.max() <= 500 and sizes.sum() == 2_000
+
+
 def test_share_of_pairs_falls_with_size(spark):
     shares = [pair_share(points(spark, clustered(n, n // 50)), 3, cell_rows=50) for n in (500, 2000, 8000)]
     assert shares[0] > 1.5 * shares[1] > 2 * shares[2]
