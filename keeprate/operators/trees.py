@@ -34,6 +34,8 @@ from keeprate.session import discard, settled
 
 BINS = 256
 SMALL = 65_536  # rows of a node that one task finishes
+ALONE = 4  # times SMALL: rows of a boosted model that one task grows, some rounds at a time
+SHALLOW = 6  # depth up to which trees with the same columns in all nodes stay with histograms, whose number is bounded then
 CELLS = 4_000_000  # histogram cells that a partition adds up at a time
 DRAWN_ROWS = 200_000_000  # rows times trees that one job deals out
 MOST_NODES = 5_000_000  # of a boosted model; it is held whole where it scores
@@ -195,8 +197,17 @@ def child_keys(keys: np.ndarray, sides: np.ndarray) -> np.ndarray:
 
 def histogram(codes: np.ndarray, columns: np.ndarray, stats: np.ndarray) -> np.ndarray:
     """Sums of the three statistics by column and bin; whole numbers, exact below 2^53."""
-    place = (codes[:, columns].astype(np.int64) + BINS * np.arange(len(columns))).ravel()
-    return np.stack([np.bincount(place, np.repeat(s, len(columns)), BINS * len(columns)) for s in stats]).reshape(3, len(columns), BINS)
+    return histograms(codes, columns, stats, np.zeros(len(codes), np.int64), 1)[0]
+
+
+def histograms(codes: np.ndarray, columns: np.ndarray, stats: np.ndarray, node: np.ndarray, count: int) -> np.ndarray:
+    """``histogram`` of several nodes; ``node`` is the number of each row's."""
+    out, node, stats = np.empty((count, 3, len(columns), BINS)), node * BINS, stats.astype(float)
+    for i, column in enumerate(columns):
+        at = node + codes[:, column]
+        for j, s in enumerate(stats):
+            out[:, j, i] = np.bincount(at, s, BINS * count).reshape(count, BINS)
+    return out
 
 
 def scaled(sums: np.ndarray) -> np.ndarray:
@@ -352,8 +363,8 @@ def grown(codes: np.ndarray, stats: np.ndarray, rule, columns: Columns, number:
 
 # ---- growth on tables ----------------------------------------------------------------
 
-# What a row adds to a tree: (chosen rows, statistics as three rows of whole numbers).
-Statistics = Callable[[pa.RecordBatch, int], tuple[np.ndarray, np.ndarray]]
+# What rows of (codes, other columns) add to a tree: (chosen rows, statistics as three rows of whole numbers).
+Statistics = Callable[[np.ndarray, list[np.ndarray], int], tuple[np.ndarray, np.ndarray]]
 
 LEVEL = "tree int, node int, sums binary"
 SPLITS = "tree int, node int, gain double, feature int, cut int, left_stats array<double>, stats array<double>"
@@ -364,6 +375,41 @@ BRANCH_SCHEMA = pa.schema([("tree", pa.int32()), ("node", pa.int32()), *((f, pa.
                            ("key", pa.list_(pa.int64())), ("depth", pa.list_(pa.int32())), ("stats", pa.list_(pa.float64()))])
 
 
+BLOCK = "id binary, label binary, weight binary, codes binary, margin binary"
+KINDS = (np.int64, float, float, np.uint8, float)  # of the numbers in a block
+
+
+def packed_rows(rows: DataFrame) -> DataFrame:
+    """Binned rows with margins in blocks of about ``SMALL``, a few for each core: many jobs read them."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= SMALL:
+                yield block(held)
+                held = []
+        if sum(b.num_rows for b in held):
+            yield block(held)
+
+    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        values = [b"".join(table.column(i).to_pylist()) if i == 3 else table.column(i).to_numpy().astype(kind).tobytes() for i, kind in enumerate(KINDS)]
+        return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], table.schema.names)
+
+    parts = 4 * rows.sparkSession.sparkContext.defaultParallelism  # placement only
+    return settled(rows.mapInArrow(pack, BLOCK).repartition(parts), "blocks")
+
+
+def _portions(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """(codes, the other columns) of a batch of rows, or of each block."""
+    if not pa.types.is_binary(batch.schema.types[0]):
+        yield _codes(batch.column(3), size), [np.asarray(batch.column(i)) for i in (0, 1, 2)]
+        return
+    for i in range(batch.num_rows):
+        ids, label, weight, codes, margin = (np.frombuffer(batch.column(j)[i].as_buffer(), kind) for j, kind in enumerate(KINDS))
+        yield codes.reshape(-1, size), [ids, label, weight, margin]
+
+
 def _sent(trees: dict[int, Tree], nodes: dict[int, list[int]]) -> dict:
     """What tasks need of the growing trees: arrays and the nodes asked for."""
     return {t: (*(np.array(getattr(trees[t], f)) for f in Tree.FIELDS[:4]), {n: trees[t].key[n] for n in nodes[t]}) for t in nodes}
@@ -382,6 +428,7 @@ def grown_apart(rows: DataFrame, statistics: Statistics, rule, columns: Columns,
     """The trees down to their small nodes, and the branches below those, which stay on the executors."""
     context, trees = rows.sparkSession.sparkContext, {}
     large, small = {}, {}
+    few = 0 if rule.depth <= SHALLOW and columns.a_node is None else SMALL
     for t in numbers:
         trees[t] = Tree()
         trees[t].add(np.zeros(3), 1, 0)
@@ -401,7 +448,7 @@ def grown_apart(rows: DataFrame, statistics: Statistics, rule, columns: Columns,
                 continue
             for child in tree.split(r.node, r.feature, r.cut, r.gain, np.array(r.left_stats)):
                 if rule.is_open(scaled(tree.stats[child]), tree.depth[child]):
-                    (small if tree.stats[child][2] <= SMALL else left_over).setdefault(r.tree, []).append(child)
+                    (small if tree.stats[child][2] <= few else left_over).setdefault(r.tree, []).append(child)
         shared.destroy()
         large = left_over
     if not small:
@@ -416,15 +463,22 @@ def _level(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shar
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            codes = _codes(batch.column(3), columns.size)
-            for t, (feature, cut, left, right, keys) in shared.value.items():
-                chosen, stats = statistics(batch, t)
-                own = codes[chosen]
-                node = place(feature, cut, left, right, own)
-                for n, key in keys.items():
-                    here = np.flatnonzero(node == n)
-                    if len(here):
-                        part = histogram(own[here], columns.of(t, key), stats[:, here]).astype(np.int64)
+            for codes, others in _portions(batch, columns.size):
+                for t, (feature, cut, left, right, keys) in shared.value.items():
+                    chosen, stats = statistics(codes, others, t)
+                    own = codes[chosen]
+                    number = np.full(len(feature), -1)
+                    number[list(keys)] = np.arange(len(keys))
+                    node = number[place(feature, cut, left, right, own)]
+                    here = np.flatnonzero(node >= 0)
+                    if columns.a_node is None:
+                        parts = histograms(own[here], columns.of(t, 0), stats[:, here], node[here], len(keys))
+                    else:
+                        order = here[np.argsort(node[here], kind="stable")]
+                        ends = np.bincount(node[here], minlength=len(keys)).cumsum()
+                        parts = (histogram(own[rows], columns.of(t, key), stats[:, rows]) for key, rows in zip(keys.values(), np.split(order, ends[:-1])))
+                    for n, part in zip(keys, parts):
+                        part = part.astype(np.int64)
                         sums[t, n] = sums[t, n] + part if (t, n) in sums else part
         yield pa.RecordBatch.from_arrays([
             pa.array([t for t, _ in sums], pa.int32()), pa.array([n for _, n in sums], pa.int32()),
@@ -445,15 +499,16 @@ def _finished(rows: DataFrame, statistics: Statistics, rule, columns: Columns, s
     """The branches below small nodes, each grown in one task over its rows."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = _codes(batch.column(3), columns.size)
-            for t, (feature, cut, left, right, keys) in shared.value.items():
-                chosen, stats = statistics(batch, t)
-                node = place(feature, cut, left, right, codes[chosen])
-                here = np.flatnonzero(np.isin(node, list(keys)))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(here), t, np.int32)), pa.array(node[here].astype(np.int32)),
-                    batch.column(3).take(pa.array(chosen[here])), *(pa.array(s[here].astype(np.int64)) for s in stats)],
-                    ["tree", "node", "codes", "s0", "s1", "s2"])
+            for codes, others in _portions(batch, columns.size):
+                for t, (feature, cut, left, right, keys) in shared.value.items():
+                    chosen, stats = statistics(codes, others, t)
+                    own = codes[chosen]
+                    node = place(feature, cut, left, right, own)
+                    here = np.flatnonzero(np.isin(node, list(keys)))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(here), t, np.int32)), pa.array(node[here].astype(np.int32)),
+                        pa.array(own[here].view(f"V{columns.size}").ravel().tolist(), pa.binary()), *(pa.array(s[here].astype(np.int64)) for s in stats)],
+                        ["tree", "node", "codes", "s0", "s1", "s2"])
 
     def finish(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         t, n = int(key[0]), int(key[1])
@@ -796,8 +851,8 @@ class Forest(_Trees):
         rule = Gini(self.getOrDefault(self.minRowsToSplit), self.getMinInstancesPerNode(), self.getMaxDepth())
         upto = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])  # Poisson with mean 1
 
-        def statistics(batch: pa.RecordBatch, tree: int):
-            ids, label, weight = (np.asarray(batch.column(i)) for i in range(3))
+        def statistics(codes: np.ndarray, others: list[np.ndarray], tree: int):
+            ids, label, weight = others[:3]
             times = np.searchsorted(upto, draw(seed, tree, ids), "right") if bootstrap else np.ones(len(ids), np.int64)
             chosen = np.flatnonzero(times)
             whole = np.rint(weight[chosen] * UNIT).astype(np.int64) * times[chosen]
@@ -818,7 +873,7 @@ class SecondOrderBoosting(_Trees, HasMaxIter, HasStepSize):
 
     ``subsamplingRate`` rows and ``featureShare`` columns are drawn for each tree. ``gamma`` is the gain that a split
     must bring (splits above leaves are undone below it), ``minHessian`` the Hessian sum that each side needs.
-    A level of a large tree is one job; small trees are grown several in turn by one task.
+    A level of a large tree is one job over packed rows; up to ``ALONE`` times ``SMALL`` rows, trees are grown several in turn by one task.
     """
 
     subsamplingRate = Param(Params._dummy(), "subsamplingRate", "share of rows drawn for a tree", TypeConverters.toFloat)
@@ -851,7 +906,7 @@ class SecondOrderBoosting(_Trees, HasMaxIter, HasStepSize):
             return chosen, np.stack([np.rint((p - (label[chosen] > 0)) * w).astype(np.int64), np.rint(
                 np.maximum(p * (1 - p), 1e-16) * w).astype(np.int64), np.ones(len(chosen), np.int64)])
 
-        rounds = _successive if count <= SMALL else _distributed
+        rounds = _successive if count <= ALONE * SMALL else _distributed
         trees = rounds(rows.withColumn("margin", F.lit(0.0)), gradients, rule, columns, self.getMaxIter(), rate, count)
         return BoostedModel(featuresCol=self.getFeaturesCol(), size=len(cuts)).with_nodes(_table(trees, cuts, rule, rate))
 
@@ -865,18 +920,21 @@ def _distributed(rows: DataFrame, gradients, rule, columns: Columns, count: int,
     """``count`` rounds, each grown by ``grow``; margins follow from the last trees and are written every few rounds."""
     trees: dict[int, Tree] = {}
     recent: list[tuple] = []
+    blocks = packed_rows(rows)
     for number in range(count):
         shared = rows.sparkSession.sparkContext.broadcast(list(recent))
 
-        def statistics(batch: pa.RecordBatch, tree: int, shared=shared):
-            ids, label, weight = (np.asarray(batch.column(i)) for i in range(3))
-            return gradients(ids, label, weight, _margins(batch, columns.size, shared.value), tree)
+        def statistics(codes: np.ndarray, others: list[np.ndarray], tree: int, shared=shared):
+            ids, label, weight, margin = others
+            return gradients(ids, label, weight, _added(codes, margin, shared.value), tree)
 
-        trees[number] = grow(rows, statistics, rule, columns, [number], n_rows)[number].pruned(rule.gamma)
+        trees[number] = grow(blocks, statistics, rule, columns, [number], n_rows)[number].pruned(rule.gamma)
         recent.append(_scoring(trees[number], rule, rate))
         shared.destroy()
         if len(recent) == CUT and number + 1 < count:
-            rows, recent = settled(_advanced(rows, recent, columns.size), "margins"), []
+            before, blocks, recent = blocks, settled(_advanced(blocks, recent, columns.size), "margins"), []
+            discard(before)
+    discard(blocks)
     return trees
 
 
@@ -903,17 +961,21 @@ def _successive(rows: DataFrame, gradients, rule, columns: Columns, count: int,
     return trees
 
 
-def _margins(batch: pa.RecordBatch | pa.Table, size: int, trees: list[tuple]) -> np.ndarray:
-    codes, margin = _codes(batch.column(3), size), np.array(batch.column(4))
+def _margins(table: pa.Table, size: int, trees: list[tuple]) -> np.ndarray:
+    return _added(_codes(table.column(3), size), np.array(table.column(4)), trees)
+
+
+def _added(codes: np.ndarray, margin: np.ndarray, trees: list[tuple]) -> np.ndarray:
     for *nodes, values in trees:
         margin = margin + values[place(*nodes, codes)]
     return margin
 
 
-def _advanced(rows: DataFrame, trees: list[tuple], size: int) -> DataFrame:
-    """The rows with the margins after the last trees."""
+def _advanced(blocks: DataFrame, trees: list[tuple], size: int) -> DataFrame:
+    """The blocks with the margins after the last trees."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(_margins(batch, size, trees))], batch.schema.names)
+            margins = [_added(codes, others[3], trees).tobytes() for codes, others in _portions(batch, size)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(margins, pa.binary())], batch.schema.names)
 
-    return rows.mapInArrow(run, rows.schema)
+    return blocks.mapInArrow(run, blocks.schema)

@@ -63,6 +63,22 @@ def test_levels_tasks_and_partitions_grow_the_same_trees(noisy, monkeypatch, nam
         pd.testing.assert_frame_equal(whole, nodes(ESTIMATORS[name]().fit(noisy.repartition(parts))))
 
 
+def test_deep_boosted_trees_from_blocks(noisy, monkeypatch):
+    """Levels over packed rows, and tasks below, grow the trees that one task grows."""
+    estimator = trees.SecondOrderBoosting(maxIter=4, maxDepth=8, subsamplingRate=0.9, minHessian=0.1)
+    whole = nodes(estimator.fit(noisy))
+    monkeypatch.setattr(trees, "SMALL", 60)
+    monkeypatch.setattr(trees, "CUT", 3)
+    pd.testing.assert_frame_equal(whole, nodes(estimator.fit(noisy)))
+
+
+def test_one_task_grows_boosted_trees_of_some_more_rows(noisy, monkeypatch):
+    """No job for each level of each round where the whole table is a few small nodes."""
+    monkeypatch.setattr(trees, "SMALL", 150)
+    monkeypatch.setattr(trees, "_distributed", None)
+    assert trees.SecondOrderBoosting(maxIter=2, maxDepth=3).fit(noisy).getNumTrees == 2
+
+
 def test_a_branch_keeps_its_sums_and_no_histograms():
     rng = np.random.default_rng(5)
     codes, ones = rng.integers(0, 200, (3_000, 4)).astype(np.uint8), np.full(3_000, 1 << 26)
