@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from keeprate.operators import importance
@@ -64,6 +65,20 @@ def test_adaboost_combines_stumps(separable):
     assert model.votes()[0][0].feature == 0
 
 
+def test_a_round_of_adaboost_is_one_job(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(500, 3))
+    y = x[:, 0] + 2 * rng.normal(size=500) > 0
+    rows = spark.createDataFrame([(Vectors.dense(v), float(c)) for v, c in zip(x, y)], ["features", "label"])
+    jobs = []
+    for rounds in (2, 6):
+        spark.sparkContext.setJobGroup(f"boost-{rounds}", "")
+        assert len(AdaBoost(maxIter=rounds).fit(rows).votes()) == rounds
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boost-{rounds}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] - jobs[0] <= 2 * 4  # the shuffle of an adaptive query counts as a job of its own
+
+
 def test_adaboost_saves_and_loads(separable, tmp_path):
     from keeprate.operators.adaboost import AdaBoostModel
 
