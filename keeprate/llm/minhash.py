@@ -321,11 +321,11 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
         per * F.least("n", "centre.n") >= least * F.greatest("n", "centre.n")))
     labels = components(verifier.links(near.select(F.col("centre.class").alias("a"), F.col("class").alias("b")), "merge"), labels)
 
-    # The members of buckets that still hold several components, at their rarest shingles.
-    left = _apart(members.select("bucket", "class", F.lit(True).alias("leads")), labels).select("class").distinct()
-    meetings = settled(_meetings(texts.hint("merge").join(left, "class"), width, least, per), "meetings")
-    shared = meetings.groupBy("bucket").agg(F.count("*").alias("size"), F.max("leads").alias("led")).filter((F.col("size") > 1) & F.col("led"))
-    open_members = settled(meetings.join(shared.select("bucket"), "bucket"), "open")
+    # The members of buckets that still hold several components, at their rarest shingles. A centre has met its bucket:
+    # only the others' pairs are left, and none in the buckets of two that a larger corpus makes by chance.
+    others = members.join(centres.select("bucket", F.col("centre.class").alias("class")), ["bucket", "class"], "left_anti")
+    left = _apart(others.select("bucket", "class", F.lit(True).alias("leads")), labels).select("class").distinct()
+    open_members = meetings = settled(_meetings(texts.hint("merge").join(left, "class"), width, least, per), "meetings")
     # Two classes meet first at their rarest shared shingle; later meetings are left out as far as ``firsts`` tells.
     firsts = settled(meetings.filter(F.col("place") < EARLIER).groupBy("class").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "bucket"))), lambda x: x["bucket"]).alias("firsts")), "firsts")

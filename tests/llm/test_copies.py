@@ -124,6 +124,21 @@ def test_one_of_each_group_stays(spark, corpus, rows):
     assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter(wanted)
 
 
+def test_pairs_that_have_met_do_not_meet_again(spark, monkeypatch):
+    words = [f"w{i}" for i in range(8_000)]
+    rows = [(2 * i + half, " ".join(words[200 * i + 15 * half:200 * i + 15 * half + 100])) for i in range(40) for half in (0, 1)]
+    met, meetings = [], minhash._meetings
+
+    def counted(texts, *settings):
+        met.append(texts.count())
+        return meetings(texts, *settings)
+
+    monkeypatch.setattr(minhash, "_meetings", counted)
+    found = minhash.group(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(r.kept for r in found.collect())  # 81 of 111 shingles: they share buckets of two, and are no copies
+    assert met == [0]
+
+
 def test_pruning_limits_follow_the_posterior():
     limits = minhash.least_matches(0.85)
     assert limits == sorted(limits) and len(limits) == minhash.HASHES // minhash.BATCH
