@@ -68,11 +68,12 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     comes next: the earliest one stays as it is, the others with the same next block take it into their prefix. The
     earliest goes along as their witness, and stands for all of them among those that stay.
     """
-    rounds, suffixes = [], lines
+    rounds, sizes, suffixes = [], [lines.count()], lines
     while True:
         size = 1 << len(rounds)
-        agreeing = settled(_interval(suffixes).distinct(), f"runs-{size}")
-        if agreeing.isEmpty():
+        agreeing = settled(_interval(suffixes).distinct(), f"runs-{size}", sizes[-1])
+        sizes.append(agreeing.count())
+        if not sizes[-1]:
             break
         rounds.append(agreeing)
         on = agreeing.select(
@@ -93,7 +94,7 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         named = settled(state.join(following, (F.col("key") == F.col("on_key")) & (F.col("text_hash") == F.col("on_hash")) & (
             F.col("line") + F.col("size") == F.col("on_line")), "left").select(
             *state.columns, "on_words", F.when(F.col("on_name").isNotNull(), F.xxhash64("prefix", "on_name")).alias("longer")),
-            f"runs-named-{size}")
+            f"runs-named-{size}", sizes[1])
         groups = named.filter(F.col("longer").isNotNull()).groupBy("longer").agg(
             F.min(place).alias("first"), F.max(F.when(~F.col("witness"), place)).alias("last")).filter(
             F.col("last") > F.col("first")).select(F.col("longer").alias("of"), "first")

@@ -165,9 +165,10 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     The smallest label spreads along links, and each label is replaced by its own label, until
     nothing changes; every step is written, so lost executors cost one step.
     """
-    if links.isEmpty():
+    linked, labelled = links.count(), labels.count()
+    if not linked:
         return labels
-    both = settled(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"), "links")
+    both = settled(links.select("a", "b").union(links.select("b", "a")).toDF("a", "b"), "links", 2 * linked)
     while True:
         near = both.join(labels.toDF("b", "of_b"), "b").groupBy("a").agg(F.min("of_b").alias("near"))
         # The label itself is lowered as well, so whole components move at once.
@@ -175,7 +176,7 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
             "lower", F.least("label", F.coalesce("near", "label")))
         moved = met.groupBy("label").agg(F.min("lower").alias("to")).withColumnRenamed("label", "of")
         new = settled(met.join(moved, F.col("label") == F.col("of")).select(
-            "class", F.col("to").alias("label"), (F.col("to") != F.col("label")).alias("changed")), "labels")
+            "class", F.col("to").alias("label"), (F.col("to") != F.col("label")).alias("changed")), "labels", labelled)
         labels = new.select("class", "label")
         if new.filter("changed").isEmpty():
             return labels
@@ -311,7 +312,7 @@ def _linked(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int,
     # What shares a bucket grows with the corpus: it is shuffled at every size, not sent to all tasks while it is small.
     texts = keyed.join(sharing.select("class", "key", "text_hash").hint("merge"), ["key", "text_hash"])
     texts = settled(texts.groupBy("class").agg(F.first("text").alias("text")), "texts")
-    labels = settled(sharing.select("class", F.col("class").alias("label")), "labels")
+    labels = settled(sharing.select("class", F.col("class").alias("label")), "labels", sharing.count())
     verifier = _Verifier(sharing.select("class", "signature"), texts, width, least, per)
 
     # Every member against its bucket's centre.

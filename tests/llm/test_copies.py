@@ -232,6 +232,28 @@ def test_line_stage_keeps_columns(spark, corpus, rows):
     assert 0 < out.count() < corpus.count()
 
 
+def test_small_rounds_go_to_few_files(spark, corpus, rows, monkeypatch):
+    files, settled = {}, lines.settled
+
+    def counted(df, name, *about):
+        out = settled(df, name, *about)
+        files[name] = len(out.inputFiles())
+        return out
+
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    monkeypatch.setattr(lines, "settled", counted)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = lines.dedup(spark, corpus).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == len(rows)
+    assert len(files) > 5 and all(n == 1 for name, n in files.items() if name != "lines"), files
+
+
 def test_whole_runs_of_an_empty_table(spark, nothing):
     assert lines.dedup(spark, nothing, whole_runs=True).count() == 0
 
