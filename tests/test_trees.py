@@ -252,3 +252,24 @@ def test_search_bins_once_and_refits_the_best(spark, noisy, monkeypatch):
     best = max(rows, key=lambda r: r.accuracy)
     assert best.settings == {k: str(v) for k, v in found.bestSettings.items()}
     assert found.bestModel.getNumTrees == int(best.settings["maxIter"])
+
+
+def test_larger_children_take_their_histograms_from_above(monkeypatch):
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 256, (4_000, 6), dtype=np.uint8)
+    label = (codes[:, 0] > 200) ^ (codes[:, 1] < 90) ^ (rng.random(4_000) < 0.2)
+    stats = np.stack([np.rint((0.5 - label) * trees.UNIT), np.full(4_000, trees.UNIT / 4), np.ones(4_000)]).astype(np.int64)
+    read, histogram = [], trees.histogram
+    monkeypatch.setattr(trees, "histogram", lambda codes, *others: read.append(len(codes)) or histogram(codes, *others))
+    monkeypatch.setattr(trees, "SORTED", 60)
+
+    def grown():
+        read.clear()
+        tree = trees.grown(codes, stats, trees.Newton(1.0, 0.0, 1.0, 7), trees.Columns(6, 42, a_tree=0.8), 0, 1, 0)
+        return [getattr(tree, f) for f in (*tree.FIELDS, "key", "depth")], np.concatenate(tree.stats), sum(read)
+
+    tree, sums, rows = grown()
+    monkeypatch.setattr(trees, "HELD_HISTOGRAMS", 0, raising=False)
+    plain, plain_sums, plain_rows = grown()
+    assert tree == plain and (sums == plain_sums).all()
+    assert rows < 0.75 * plain_rows
