@@ -28,20 +28,23 @@ SENT_ROWS = 65_536  # rows that a task hands on at a time
 SLACK = 1e-9  # of squared lengths: what the product form may lose
 PAIRS = 1 << 20  # measured at a time
 PAIR_SLICE = 262_144
+TASKS_A_CORE = 4  # at most, that pairs of blocks are dealt to: their work is uneven
 
 
 def _merge_copies(points: DataFrame, keep: int, carry: str | None) -> DataFrame:
     """One row per distinct vector: (point, vector, ids[, carried]).
 
     The ranked filter is applied before the shuffle as well, so a vector shared by
-    a large part of all rows sends only ``keep`` rows per input partition.
+    a large part of all rows sends only ``keep`` rows per input partition. Rows are sorted by
+    the vector's hash first, so that arrays are compared only where hashes are equal.
     """
-    first = Window.partitionBy("vector").orderBy("id")
+    first = Window.partitionBy("_hash", "vector").orderBy("id")
     member = F.struct(F.col("id"), (F.col(carry).cast("double") if carry else F.lit(0.0)).alias("carried"))
     return (
-        points.withColumn("_rank", F.row_number().over(first))
+        points.withColumn("_hash", F.xxhash64("vector"))
+        .withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") <= keep)
-        .groupBy("vector")
+        .groupBy("_hash", "vector")
         .agg(F.array_sort(F.collect_list(member)).alias("members"))
         .select(
             F.element_at("members", 1)["id"].alias("point"),
@@ -201,9 +204,12 @@ POINT = "point long, vector array<double>, ids array<long>, carried array<double
 FOUND = "point long, distance double, neighbor_id long, carried double"
 
 
-def _measured(queries: DataFrame, base: DataFrame, keep: int, group_rows: int) -> DataFrame:
-    """The best of each pair of blocks, per query point."""
+def _measured(queries: DataFrame, base: DataFrame, keep: int, group_rows: int, pairs: int) -> DataFrame:
+    """The best of each of the ``pairs`` of blocks, per query point."""
     keys = ["region", "query_block", "base_block"]
+    tasks = min(pairs, TASKS_A_CORE * queries.sparkSession.sparkContext.defaultParallelism)  # much work for few bytes: not to be coalesced
+    tasks = max(tasks, min(pairs, int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    queries, base = (df.repartition(tasks, *keys) for df in (queries, base))
     return queries.groupBy(*keys).cogroup(base.groupBy(*keys)).applyInPandas(lambda q, b: _best(q, b, keep, group_rows), FOUND)
 
 
@@ -250,7 +256,8 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
 
         return _measured(
             asked.mapInPandas(send_queries, f"region int, {QUERY}, {BLOCKS}"),
-            kept.select("leaf", "point", "vector", "ids", "carried").mapInPandas(send_base, f"region int, {POINT}, {BLOCKS}"), keep, group_rows)
+            kept.select("leaf", "point", "vector", "ids", "carried").mapInPandas(send_base, f"region int, {POINT}, {BLOCKS}"), keep, group_rows,
+            max(1, int((query_blocks * base_blocks)[n_of > 0].sum())))
 
     def home(batch, plan):
         yield np.arange(len(batch)), plan[1][batch["leaf"].to_numpy()]
@@ -327,7 +334,8 @@ def neighbor_lists(
     if own:
         found = F.filter(found, lambda n: n["neighbor_id"] != F.col("id"))
     rows = base if own else queries
-    return rows.join(lists, "vector").select(*rows.columns, F.slice(found, 1, k).alias("neighbors"))
+    hashed = [df.withColumn("_hash", F.xxhash64("vector")) for df in (rows, lists)]
+    return hashed[0].join(hashed[1], ["_hash", "vector"]).select(*rows.columns, F.slice(found, 1, k).alias("neighbors"))
 
 
 def nearest_neighbors(base: DataFrame, k: int, queries: DataFrame | None = None, **options) -> DataFrame:

@@ -42,6 +42,8 @@ MOST_NODES = 5_000_000  # of a boosted model; it is held whole where it scores
 SORTED = 2_048  # codes of a node whose split is found by sorting, together with other nodes; larger ones have histograms
 ENTRIES = 1_000_000  # codes that are sorted at a time
 HELD_HISTOGRAMS = 256  # of a level that a task keeps for the next one
+GATHERED_ROWS = 1 << 16  # that a task takes together: a node's share of fewer rows costs little but calls
+DEALT_BYTES = 1 << 23  # of rows that a task hands on at a time
 HELD_NODES = 200_000  # of trees that are sent to all tasks, or that one task scores with
 SCORED_ROWS = 1 << 18  # rows that one task scores at a time with trees that are not sent to all
 VOTE = float(1 << 40)  # a tree's vote is a whole multiple of 1 / VOTE, so that votes add up in any order
@@ -386,7 +388,7 @@ Statistics = Callable[[np.ndarray, list[np.ndarray], int], tuple[np.ndarray, np.
 
 LEVEL = "tree int, node int, sums binary"
 SPLITS = "tree int, node int, gain double, feature int, cut int, left_stats array<double>, stats array<double>"
-ROWS = "tree int, node int, codes binary, s0 long, s1 long, s2 long"
+ROWS = "tree int, node int, codes binary, stats binary"  # of the rows that one batch has in a node
 BRANCH = "tree int, node int, feature array<int>, cut array<int>, left array<int>, right array<int>, gain array<double>, key array<long>, depth array<int>, stats array<double>"
 
 BRANCH_SCHEMA = pa.schema([("tree", pa.int32()), ("node", pa.int32()), *((f, pa.list_(pa.int32())) for f in Tree.FIELDS[:4]), ("gain", pa.list_(pa.float64())),
@@ -418,6 +420,21 @@ def packed_rows(rows: DataFrame) -> DataFrame:
     return settled(rows.mapInArrow(pack, BLOCK).repartition(parts), "blocks")
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of at least ``GATHERED_ROWS``, but for the last; blocks pass as they come."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if pa.types.is_binary(batch.schema.types[0]):
+            yield batch
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= GATHERED_ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _portions(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     """(codes, the other columns) of a batch of rows, or of each block."""
     if not pa.types.is_binary(batch.schema.types[0]):
@@ -480,7 +497,7 @@ def _level(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shar
     """The best split of each node asked for: histograms by partition, summed by node."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
-        for batch in batches:
+        for batch in _gathered(batches):
             for codes, others in _portions(batch, columns.size):
                 for t, (feature, cut, left, right, keys) in shared.value.items():
                     chosen, stats = statistics(codes, others, t)
@@ -514,24 +531,39 @@ def _level(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shar
 
 
 def _finished(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shared, depths: dict) -> DataFrame:
-    """The branches below small nodes, each grown in one task over its rows."""
+    """The branches below small nodes, each grown in one task over its rows, which a batch sends together."""
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*held), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], ["tree", "node", "codes", "stats"])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        held: list[tuple] = []
+        size = 0
+        for batch in _gathered(batches):
             for codes, others in _portions(batch, columns.size):
                 for t, (feature, cut, left, right, keys) in shared.value.items():
                     chosen, stats = statistics(codes, others, t)
                     own = codes[chosen]
-                    node = place(feature, cut, left, right, own)
-                    here = np.flatnonzero(np.isin(node, list(keys)))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(here), t, np.int32)), pa.array(node[here].astype(np.int32)),
-                        pa.array(own[here].view(f"V{columns.size}").ravel().tolist(), pa.binary()), *(pa.array(s[here].astype(np.int64)) for s in stats)],
-                        ["tree", "node", "codes", "s0", "s1", "s2"])
+                    number = np.full(len(feature), -1)
+                    number[list(keys)] = np.arange(len(keys))
+                    node = number[place(feature, cut, left, right, own)]
+                    here = np.flatnonzero(node >= 0)
+                    size += len(here) * (columns.size + 24)
+                    order = here[np.argsort(node[here], kind="stable")]
+                    ends = np.bincount(node[here], minlength=len(keys)).cumsum()
+                    for n, part in zip(keys, np.split(order, ends[:-1])):
+                        if len(part):
+                            held.append((t, n, own[part].tobytes(), stats[:, part].astype(np.int64).tobytes()))
+                    if size >= DEALT_BYTES:
+                        yield packed(held)
+                        held, size = [], 0
+        if held:
+            yield packed(held)
 
     def finish(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         t, n = int(key[0]), int(key[1])
-        codes = np.frombuffer(b"".join(frame["codes"]), np.uint8).reshape(len(frame), -1)
-        stats = frame[["s0", "s1", "s2"]].to_numpy(np.int64).T
+        codes = np.frombuffer(b"".join(frame["codes"]), np.uint8).reshape(-1, columns.size)
+        stats = np.concatenate([np.frombuffer(s, np.int64).reshape(3, -1) for s in frame["stats"]], axis=1)
         tree = grown(codes, stats, rule, columns, t, shared.value[t][4][n], depths[t][n])
         return pd.DataFrame({"tree": [t], "node": [n], **{f: [np.array(getattr(tree, f))] for f in (*Tree.FIELDS, "key", "depth")},
                              "stats": [np.concatenate(tree.stats)]})

@@ -54,6 +54,38 @@ def test_equals_brute_force_over_many_regions(spark, monkeypatch):
     assert found(got) == brute(vectors, 4, asked, 1000)
 
 
+def test_vectors_are_sorted_by_their_hash(spark, monkeypatch):
+    """Sorting and joining by arrays alone compares them value by value for every pair of rows."""
+    df = points(spark, [[0.0, 1.0], [-0.0, 1.0], [0.0, 1.0], [2.0, 3.0], [float("nan"), 0.0], [float("nan"), -0.0]])
+    merged = neighbors._merge_copies(df, 4, None)
+    assert sorted(sorted(r.ids) for r in merged.collect()) == [[0, 1, 2], [3], [4, 5]]
+    assert found(nearest_neighbors(df.filter("id < 4"), 2)) == {0: [(1, 0.0), (2, 0.0)], 1: [(0, 0.0), (2, 0.0)], 2: [(0, 0.0), (1, 0.0)], 3: [(0, 2.828427125), (1, 2.828427125)]}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (merged, neighbors.neighbor_lists(df, 2))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for plan in plans:
+        by_vector = [line for line in plan.splitlines() if " Sort [" in line and "vector#" in line.split("Sort [", 1)[1]]
+        assert by_vector and all(line.split("Sort [", 1)[1].startswith("_hash#") for line in by_vector)
+
+
+def test_pairs_of_blocks_go_to_more_tasks_than_cores(spark, monkeypatch):
+    """Their work is uneven: with a task a core, or a few, all wait for the slowest."""
+    monkeypatch.setattr(neighbors, "REGION_ROWS", 40)
+    dealt, run = [], neighbors._measured
+
+    def watched(*args):
+        dealt.append(run(*args))
+        return dealt[-1]
+
+    monkeypatch.setattr(neighbors, "_measured", watched)
+    vectors = np.random.default_rng(11).normal(size=(2_000, 3))
+    assert found(nearest_neighbors(points(spark, vectors), 2, cell_rows=10)) == brute(vectors, 2)
+    assert all(r.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism for r in dealt) and dealt
+
+
 def test_a_pair_of_blocks_needs_little_memory():
     vectors = np.random.default_rng(2).normal(size=(4_096, 4))
     frame = pd.DataFrame({"point": np.arange(4_096), "vector": list(vectors), "ids": [np.array([i]) for i in range(4_096)], "carried": [np.zeros(1)] * 4_096})

@@ -63,6 +63,29 @@ def test_levels_tasks_and_partitions_grow_the_same_trees(noisy, monkeypatch, nam
         pd.testing.assert_frame_equal(whole, nodes(ESTIMATORS[name]().fit(noisy.repartition(parts))))
 
 
+def test_rows_of_a_branch_travel_together(noisy, monkeypatch):
+    """A task sends a node's rows as one, not a row of the table for each of them in each tree."""
+    dealt, run = [], type(noisy).mapInArrow
+
+    def watched(df, *args, **kwargs):
+        out = run(df, *args, **kwargs)
+        if {"tree", "node", "codes"} <= set(out.columns):
+            dealt.append(out)
+        return out
+
+    estimator = trees.Forest(numTrees=4)
+    binned = estimator.binned(noisy.repartition(2))
+    whole = nodes(estimator.fit_binned(*binned))
+    monkeypatch.setattr(trees, "SMALL", 150)
+    monkeypatch.setattr(type(noisy), "mapInArrow", watched)
+    pd.testing.assert_frame_equal(whole, nodes(estimator.fit_binned(*binned)))
+    assert len(dealt) == 1
+    found, tasks = dealt[0].toPandas(), binned[0].rdd.getNumPartitions()
+    per_node = found.groupby(["tree", "node"]).size()
+    assert len(per_node) >= 8 and per_node.max() <= tasks
+    assert found["codes"].map(len).sum() > 4 * 400 * 5 / 2  # about 63 of 100 rows are drawn for a tree
+
+
 def test_deep_boosted_trees_from_blocks(noisy, monkeypatch):
     """Levels over packed rows, and tasks below, grow the trees that one task grows."""
     estimator = trees.SecondOrderBoosting(maxIter=4, maxDepth=8, subsamplingRate=0.9, minHessian=0.1)
