@@ -30,7 +30,7 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, Has
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLWritable
 from pyspark.sql import DataFrame, functions as F
 
-from keeprate.session import discard, settled
+from keeprate.session import discard, scratch_path, settled
 
 BINS = 256
 SMALL = 65_536  # rows of a node that one task finishes
@@ -44,8 +44,9 @@ ENTRIES = 1_000_000  # codes that are sorted at a time
 HELD_HISTOGRAMS = 256  # of a level that a task keeps for the next one
 GATHERED_ROWS = 1 << 16  # that a task takes together: a node's share of fewer rows costs little but calls
 DEALT_BYTES = 1 << 23  # of rows that a task hands on at a time
-HELD_NODES = 200_000  # of trees that are sent to all tasks, or that one task scores with
-SCORED_ROWS = 1 << 18  # rows that one task scores at a time with trees that are not sent to all
+HELD_NODES = 200_000  # of trees that are sent to all tasks
+SCORED_ROWS = 1 << 16  # vectors of a block that walks trees which are not sent to all
+SCORED_BYTES = 1 << 26  # of branches and vectors that a task meets, as intended, and of the votes that it holds
 VOTE = float(1 << 40)  # a tree's vote is a whole multiple of 1 / VOTE, so that votes add up in any order
 UNIT = float(1 << 26)  # statistics are whole multiples of 1 / UNIT
 CUT = 8  # boosting rounds after which margins are written
@@ -163,7 +164,7 @@ class Gini:
         return (depth < self.depth) & (s[2] >= self.rows_to_split) & (0 < s[0]) & (s[0] < s[1])
 
     def value(self, s) -> float:
-        return s[0] / s[1] if s[1] > 0 else 0.0
+        return np.divide(s[0], s[1], out=np.zeros_like(s[0]), where=s[1] > 0)
 
 
 class Columns:
@@ -459,8 +460,13 @@ def grow(rows: DataFrame, statistics: Statistics, rule, columns: Columns, number
     return trees
 
 
-def grown_apart(rows: DataFrame, statistics: Statistics, rule, columns: Columns, numbers: list[int], count: int) -> tuple[dict[int, Tree], DataFrame | None]:
-    """The trees down to their small nodes, and the branches below those, which stay on the executors."""
+def grown_apart(
+    rows: DataFrame, statistics: Statistics, rule, columns: Columns, numbers: list[int], count: int, made: tuple | None = None,
+) -> tuple[dict[int, Tree], DataFrame | None]:
+    """The trees down to their small nodes, and the branches below those, which stay on the executors.
+
+    ``made`` are a schema and what makes a row of it from (tree, node, branch), instead of ``BRANCH``.
+    """
     context, trees = rows.sparkSession.sparkContext, {}
     large, small = {}, {}
     few = 0 if rule.depth <= SHALLOW and columns.a_node is None else SMALL
@@ -489,10 +495,14 @@ def grown_apart(rows: DataFrame, statistics: Statistics, rule, columns: Columns,
     if not small:
         return trees, None
     shared = context.broadcast(_sent(trees, small))
-    branches = _finished(rows, statistics, rule, columns, shared, {t: {n: trees[t].depth[n] for n in nodes} for t, nodes in small.items()})
+    branches = _finished(rows, statistics, rule, columns, shared, {t: {n: trees[t].depth[n] for n in nodes} for t, nodes in small.items()}, made or (BRANCH, _branch))
     return trees, branches
 
 
+def _branch(tree: int, node: int, branch: Tree) -> dict:
+    return {"tree": tree, "node": node, **{f: np.array(getattr(branch, f)) for f in (*Tree.FIELDS, "key", "depth")}, "stats": np.concatenate(branch.stats)}
+
+
 def _level(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shared) -> DataFrame:
     """The best split of each node asked for: histograms by partition, summed by node."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -530,7 +540,7 @@ def _level(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shar
     return rows.mapInArrow(add, LEVEL).groupBy("tree", "node").applyInPandas(best, SPLITS)
 
 
-def _finished(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shared, depths: dict) -> DataFrame:
+def _finished(rows: DataFrame, statistics: Statistics, rule, columns: Columns, shared, depths: dict, made: tuple) -> DataFrame:
     """The branches below small nodes, each grown in one task over its rows, which a batch sends together."""
     def packed(held: list[tuple]) -> pa.RecordBatch:
         columns = zip(zip(*held), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))
@@ -565,12 +575,11 @@ def _finished(rows: DataFrame, statistics: Statistics, rule, columns: Columns, s
         codes = np.frombuffer(b"".join(frame["codes"]), np.uint8).reshape(-1, columns.size)
         stats = np.concatenate([np.frombuffer(s, np.int64).reshape(3, -1) for s in frame["stats"]], axis=1)
         tree = grown(codes, stats, rule, columns, t, shared.value[t][4][n], depths[t][n])
-        return pd.DataFrame({"tree": [t], "node": [n], **{f: [np.array(getattr(tree, f))] for f in (*Tree.FIELDS, "key", "depth")},
-                             "stats": [np.concatenate(tree.stats)]})
+        return pd.DataFrame({f: [x] for f, x in made[1](t, n, tree).items()})
 
     groups = sum(len(nodes) for nodes in depths.values())
     parts = min(groups, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work: not to be coalesced
-    return rows.mapInArrow(deal, ROWS).repartition(parts, "tree", "node").groupBy("tree", "node").applyInPandas(finish, BRANCH)
+    return rows.mapInArrow(deal, ROWS).repartition(parts, "tree", "node").groupBy("tree", "node").applyInPandas(finish, made[0])
 
 
 def _collected(branches: DataFrame, depth: int) -> list:
@@ -595,19 +604,24 @@ def _collected(branches: DataFrame, depth: int) -> list:
 NODES = "tree int, node int, feature int, threshold double, left int, right int, value double, gain double, cover double"
 FIELDS = ("feature", "threshold", "left", "right", "value", "gain", "cover")  # of nodes
 SCORING = list(FIELDS[:5])
-PACKED = "tree int, feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>, gain array<double>, cover array<double>"
+# The part of a tree down to its small nodes (root -1), or the branch in the place of one of those nodes (root); its nodes are numbered from 0.
+PIECE = "tree int, root int, n int, feature array<int>, threshold array<double>, left array<int>, right array<int>, value array<double>, gain array<double>, cover array<double>"
+# Rows of pieces are large: files are cut by their bytes, not after a number of rows, so that readers hold few.
+PIECES_WRITTEN = {"parquet.block.size": 1 << 24, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
+SENT = "tree int, root int, kind int, block long, place binary, data binary"  # branches (kind 0), vectors that meet them (1) and votes of the tops (2)
+NODE = np.dtype([("feature", np.int16), ("cut", np.int16), ("left", np.int32), ("right", np.int32), ("votes", np.int64)])
 
 
 class _NodesWriter(DefaultParamsWriter):
     def saveImpl(self, path: str) -> None:
         super().saveImpl(path)
-        self.instance.node_rows(self.sparkSession).write.parquet(f"{path}/data")
+        self.instance.saved_rows(self.sparkSession).write.parquet(f"{path}/data")
 
 
 class _NodesReader(DefaultParamsReader):
     def load(self, path: str):
         model = super().load(path)
-        return model.with_node_rows(self.sparkSession.read.parquet(f"{path}/data"))
+        return model.with_saved_rows(self.sparkSession.read.parquet(f"{path}/data"))
 
 
 def _numbers(values: pd.Series) -> np.ndarray:
@@ -640,7 +654,10 @@ class _TreesModel(Model, HasFeaturesCol, MLWritable, MLReadable):
     def node_rows(self, spark) -> DataFrame:
         return spark.createDataFrame(self.nodes, NODES)
 
-    def with_node_rows(self, rows: DataFrame):
+    def saved_rows(self, spark) -> DataFrame:
+        return self.node_rows(spark)
+
+    def with_saved_rows(self, rows: DataFrame):
         return self.with_nodes(rows.toPandas())
 
     def write(self):
@@ -674,16 +691,16 @@ class _TreesModel(Model, HasFeaturesCol, MLWritable, MLReadable):
 
 
 class ForestModel(_TreesModel):
-    """The trees are a table of one row a tree, however many nodes they have; ``nodes`` collects them, for a look at small ones.
+    """The trees are a table of pieces of bounded size, however many nodes they have; ``nodes`` collects them, for a look at small ones.
 
-    Up to ``HELD_NODES`` nodes are sent to all tasks. More are dealt: a task gets some trees and some of the distinct vectors,
-    and the votes are added up by vector.
+    Up to ``HELD_NODES`` nodes are sent to all tasks. Beyond, all tasks get the tops of the trees alone: blocks of distinct vectors walk those
+    and are dealt to the branches they come to, and the votes are added up by vector.
     """
 
     packed: DataFrame
 
-    def with_packed(self, packed: DataFrame):
-        self.packed, self.written = packed, [packed]
+    def with_packed(self, packed: DataFrame, cuts: list[np.ndarray] | None = None):
+        self.packed, self.written, self.cuts = packed, [packed], cuts
         return self
 
     def discard(self) -> None:
@@ -699,75 +716,187 @@ class ForestModel(_TreesModel):
         pass
 
     def copy(self, extra=None):
-        return Model.copy(self, extra).with_packed(self.packed)
+        return Model.copy(self, extra).with_packed(self.packed, self.cuts)
 
-    def node_rows(self, spark) -> DataFrame:
-        zipped = F.posexplode(F.arrays_zip(*FIELDS)).alias("node", "x")
-        return self.packed.select("tree", zipped).select("tree", "node", *[f"x.{f}" for f in FIELDS])
+    def sizes(self) -> dict[int, dict[int, int]]:
+        """Nodes of each piece, by tree and root."""
+        out: dict[int, dict[int, int]] = {}
+        for r in self.packed.select("tree", "root", "n").collect():
+            out.setdefault(r.tree, {})[r.root] = r.n
+        return out
 
-    def with_node_rows(self, rows: DataFrame):
+    def node_rows(self, spark) -> DataFrame:
+        first = {}  # of the nodes below each branch's root, numbered as by ``Tree.graft``
+        for tree, sizes in self.sizes().items():
+            upto = sizes[-1]
+            for root in sorted(r for r in sizes if r >= 0):
+                first[tree, root], upto = upto, upto + sizes[root] - 1
+        roots: dict[int, list[int]] = {}
+        for tree, root in first:
+            roots.setdefault(tree, []).append(root)
+        shared = spark.sparkContext.broadcast((first, roots))
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            first, roots = shared.value
+            for frame in frames:
+                for piece in frame.to_dict("records"):
+                    t, root = piece["tree"], piece["root"]
+                    out = pd.DataFrame({"tree": t, "node": np.arange(piece["n"]), **{f: piece[f] for f in FIELDS}})
+                    if root < 0:
+                        yield out[~out["node"].isin(roots.get(t, []))]
+                        continue
+                    out["node"] = np.append(root, first[t, root] + np.arange(piece["n"] - 1))
+                    for side in ("left", "right"):
+                        out[side] = np.where(out[side] >= 0, first[t, root] + out[side] - 1, -1)
+                    yield out
+
+        return self.packed.mapInPandas(run, NODES)
+
+    def saved_rows(self, spark) -> DataFrame:
+        return self.packed
+
+    def with_saved_rows(self, rows: DataFrame):
+        """Pieces, or one row a node as older models have them, of which each tree becomes a piece."""
         def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values("node")
-            return pd.DataFrame({"tree": [int(key[0])], **{f: [frame[f].to_numpy()] for f in FIELDS}})
+            frame, n = frame.sort_values("node"), len(frame)
+            top = dict(zip(FIELDS, (-1, math.nan, -1, -1, 0.0, 0.0, 0.0)))
+            return pd.DataFrame({"tree": int(key[0]), "root": [-1, 0], "n": [1, n], **{f: [np.array([top[f]]), frame[f].to_numpy()] for f in FIELDS}})
 
-        return self.with_packed(settled(rows.groupBy("tree").applyInPandas(pack, PACKED), "trees"))
+        pieces = rows if "root" in rows.columns else rows.groupBy("tree").applyInPandas(pack, PIECE)
+        path = scratch_path(rows.sparkSession, "trees")
+        pieces.write.options(**PIECES_WRITTEN).parquet(path)
+        return self.with_packed(rows.sparkSession.read.schema(PIECE).parquet(path))
 
     @property
     def getNumTrees(self) -> int:
-        return self.packed.count()
-
-    @staticmethod
-    def votes(trees: list[tuple], x: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(x), np.int64)
-        for t in trees:
-            out += np.rint(t[4] * VOTE).astype(np.int64)[place(*t[:4], x)]
-        return out
-
-    def arrays(self) -> list[tuple]:
-        return [tuple(np.array(r[f]) for f in SCORING) for r in self.packed.select("tree", *SCORING).orderBy("tree").toLocalIterator()]
+        return self.packed.filter("root < 0").count()
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        sizes = {r.tree: r.n for r in self.packed.select("tree", F.size("feature").alias("n")).collect()}
+        sizes = self.sizes()
         values = vector_to_array(self.getFeaturesCol())
-        if df.isStreaming or sum(sizes.values()) <= HELD_NODES:
-            shared, votes = df.sparkSession.sparkContext.broadcast(self.arrays()), self.votes
+        if df.isStreaming or sum(n for pieces in sizes.values() for n in pieces.values()) <= HELD_NODES:
+            shared = df.sparkSession.sparkContext.broadcast([(*t[:4], np.rint(t[4] * VOTE).astype(np.int64)) for t in self.arrays()])
 
             def score(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
                 for rows in frames:
-                    yield pd.Series(votes(shared.value, _numbers(rows)))
+                    x, out = _numbers(rows), np.zeros(len(rows), np.int64)
+                    for *nodes, votes in shared.value:
+                        out += votes[place(*nodes, x)]
+                    yield pd.Series(out)
 
             out = df.withColumn("probability", F.pandas_udf(score, "long")(values))
         else:
-            found = self._voted(df.select(values.alias("_values")).distinct(), sizes)
-            out = df.withColumn("_values", values).join(found, "_values", "left").drop("_values")
+            keys = ["_hash", "_values"]  # arrays are compared only where hashes are equal
+            asked = df.withColumn("_values", values).withColumn("_hash", F.xxhash64("_values"))
+            out = asked.join(self._voted(asked.select(*keys).distinct(), sizes), keys, "left").drop(*keys)
         return out.withColumn("probability", F.col("probability") / F.lit(VOTE * len(sizes))).withColumn(
             "prediction", (F.col("probability") > 0.5).cast("double"))
 
-    def _voted(self, vectors: DataFrame, sizes: dict[int, int]) -> DataFrame:
-        """(_values, probability: sum of votes) of distinct vectors."""
+    def _thresholds(self) -> list[np.ndarray]:
+        """The cuts that the trees use, where those of the training are not known."""
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for feature, threshold in zip(frame["feature"], frame["threshold"]):
+                    inner = np.isfinite(threshold) & (feature >= 0)
+                    yield pd.DataFrame({"feature": feature[inner], "threshold": threshold[inner]}).drop_duplicates()
+
+        out: list[list] = [[] for _ in range(self.getOrDefault(self.size))]
+        for r in self.packed.select("feature", "threshold").mapInPandas(run, "feature int, threshold double").distinct().collect():
+            out[r.feature].append(r.threshold)
+        return [np.array(sorted(x)) for x in out]
+
+    def _voted(self, vectors: DataFrame, sizes: dict[int, dict[int, int]]) -> DataFrame:
+        """(_hash, _values, probability: sum of votes) of distinct vectors."""
+        context, width = vectors.sparkSession.sparkContext, self.getOrDefault(self.size)
         rows = settled(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")  # written: the numbers stay
-        self.written.append(rows)
-        blocks = max(1, -(-rows.count() // SCORED_ROWS))
-        part, upto = {}, 0
-        for tree, n in sorted(sizes.items()):
-            part[tree], upto = upto // HELD_NODES, upto + n
-        groups = {p: i for i, p in enumerate(sorted(set(part.values())))}
-        parts = rows.sparkSession.createDataFrame([(t, groups[p]) for t, p in part.items()], "tree int, part int")
-        asked = rows.select("row", "_values", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))).alias("part"),
-                            F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"))
-        dealt = self.packed.select("tree", *SCORING).join(F.broadcast(parts), "tree").withColumn(
-            "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        votes = self.votes
-
-        def vote(x: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
-            found = votes(list(trees[SCORING].itertuples(index=False, name=None)), _numbers(x["_values"]))
-            return pd.DataFrame({"row": x["row"], "votes": found})
-
-        keys = ["part", "block"]
-        tasks = blocks * len(groups)  # much work for few bytes: not to be coalesced
-        voted = asked.repartition(tasks, *keys).groupBy(*keys).cogroup(dealt.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(
-            vote, "row long, votes long")
-        return rows.join(voted.groupBy("row").agg(F.sum("votes").alias("probability")), "row").drop("row")
+        cuts = context.broadcast(self._thresholds() if self.cuts is None else self.cuts)
+        limit = SCORED_ROWS
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in _gathered(batches):
+                for start in range(0, batch.num_rows, limit):
+                    part = batch.slice(start, limit)
+                    ids, x = part.column(0).to_numpy(), np.asarray(part.column(1).flatten()).reshape(part.num_rows, -1)
+                    codes = coded(np.where(np.isnan(x), np.inf, x), cuts.value)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[:1]), pa.array([ids.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary())],
+                                                     ["block", "ids", "codes"])
+
+        blocks = settled(rows.select("row", "_values").mapInArrow(pack, "block long, ids binary, codes binary"), "vector-blocks")
+        self.written += [rows, blocks]
+        rows_of = {r.block: r.n // 8 for r in blocks.select("block", F.length("ids").alias("n")).collect()}
+        tops = {r.tree: tuple(np.array(r[f]) for f in SCORING) for r in self.packed.filter("root < 0").select("tree", *SCORING).collect()}
+        shared = context.broadcast((rows_of, {t: (np.array(sorted(r for r in sizes[t] if r >= 0), np.int64), _sent_nodes(*tops[t], cuts.value)) for t in tops}))
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    block, codes = batch.column(0)[i].as_py(), np.frombuffer(batch.column(1)[i].as_buffer(), np.uint8).reshape(-1, width)
+                    direct = np.zeros(len(codes), np.int64)
+                    for t, (roots, nodes) in shared.value[1].items():
+                        node, number = _reached(nodes, codes), np.full(len(nodes), -1)
+                        number[roots] = np.arange(len(roots))
+                        branch = number[node]
+                        direct += np.where(branch < 0, nodes["votes"][node], 0)
+                        here = np.flatnonzero(branch >= 0)
+                        order = here[np.argsort(branch[here], kind="stable")]
+                        ends = np.bincount(branch[here], minlength=len(roots)).cumsum()
+                        for root, part in zip(roots.tolist(), np.split(order, ends[:-1])):
+                            if len(part):
+                                held.append((t, root, 1, block, part.astype(np.int32).tobytes(), codes[part].tobytes()))
+                        size += len(here) * (width + 4)
+                        if size >= DEALT_BYTES:
+                            yield _sent_rows(held)
+                            held, size = [], 0
+                    held.append((-1, block % (1 << 31), 2, block, b"", direct.tobytes()))
+            if held:
+                yield _sent_rows(held)
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    t, root, *fields = (batch.column(j)[i] for j in range(batch.num_columns))
+                    nodes = _sent_nodes(*(f.values.to_numpy(zero_copy_only=False) for f in fields), cuts.value)
+                    yield _sent_rows([(t.as_py(), root.as_py(), 0, 0, b"", nodes.tobytes())])
+
+        def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            nodes = None
+            for batch in batches:
+                for i, (kind, block) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                    at, data = (batch.column(j)[i].as_buffer() for j in (4, 5))
+                    if kind == 0:
+                        nodes = np.frombuffer(bytes(data), NODE)
+                        continue
+                    if block not in sums:
+                        if sum(x.nbytes for x in sums.values()) >= SCORED_BYTES:
+                            yield from map(summed, sums.items())
+                            sums = {}
+                        sums[block] = np.zeros(shared.value[0][block], np.int64)
+                    if kind == 1:
+                        found = nodes["votes"][_reached(nodes, np.frombuffer(data, np.uint8).reshape(-1, width))]
+                        sums[block][np.frombuffer(at, np.int32)] += found
+                    else:
+                        sums[block] += np.frombuffer(data, np.int64)
+            yield from map(summed, sums.items())
+
+        def summed(item: tuple[int, np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([item[0]], pa.int64()), pa.array([False]), pa.array([item[1].tobytes()], pa.binary())], ["block", "ids", "data"])
+
+        def total(frame: pd.DataFrame) -> pd.DataFrame:
+            ids = np.frombuffer(frame.loc[frame["ids"], "data"].iloc[0], np.int64)
+            votes = sum((np.frombuffer(x, np.int64) for x in frame.loc[~frame["ids"], "data"]), np.zeros(len(ids), np.int64))
+            return pd.DataFrame({"row": ids, "probability": votes})
+
+        pieces = sum(len(x) for x in sizes.values())
+        sent = sum(rows_of.values()) * len(sizes) * (width + 4) + sum(n for x in sizes.values() for n in x.values()) * NODE.itemsize
+        tasks = max(min(pieces, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))), sent // SCORED_BYTES)
+        met = blocks.select("block", "codes").mapInArrow(deal, SENT).unionByName(
+            self.packed.filter("root >= 0").select("tree", "root", *SCORING).mapInArrow(send, SENT))
+        voted = met.repartition(int(tasks), "tree", "root").sortWithinPartitions("tree", "root", "kind").mapInArrow(vote, "block long, ids boolean, data binary")
+        own = blocks.select("block", F.lit(True).alias("ids"), F.col("ids").alias("data"))
+        sums = own.unionByName(voted).groupBy("block").applyInPandas(total, "row long, probability long")
+        return rows.join(sums, "row").drop("row")
 
     @property
     def featureImportances(self) -> DenseVector:
@@ -777,10 +906,16 @@ class ForestModel(_TreesModel):
         def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 own = [np.bincount(f[f >= 0], np.maximum(g[f >= 0], 0), size) for f, g in zip(frame["feature"], frame["gain"])]
-                yield pd.DataFrame({"tree": frame["tree"], "own": own})
+                yield pd.DataFrame({"tree": frame["tree"], "root": frame["root"], "own": own})
 
         out = np.zeros(size)
-        for r in self.packed.select("tree", "feature", "gain").mapInPandas(sums, "tree int, own array<double>").orderBy("tree").collect():
+        def joined(frame: pd.DataFrame) -> pd.DataFrame:
+            own = np.sum(np.stack(frame.sort_values("root")["own"].to_numpy()), axis=0)
+            return pd.DataFrame({"tree": frame["tree"].iloc[:1], "own": [own]})
+
+        kind = "tree int, root int, own array<double>"
+        pieces = self.packed.select("tree", "root", "feature", "gain").mapInPandas(sums, kind)
+        for r in pieces.groupBy("tree").applyInPandas(joined, kind.replace(" root int,", "")).orderBy("tree").collect():
             own = np.array(r.own)
             out += own / own.sum() if own.sum() else 0
         return DenseVector(out / out.sum() if out.sum() else out)
@@ -808,43 +943,40 @@ def _table(trees: dict[int, Tree], cuts: list[np.ndarray], rule, rate: float = 1
     return pd.concat(parts, ignore_index=True)
 
 
-def _packed(trees: dict[int, Tree], branches: list[DataFrame], rows: DataFrame, cuts: list[np.ndarray], rule) -> DataFrame:
-    """One row a tree: its upper nodes with the branches in their places, numbered as by ``Tree.graft``."""
-    tops = [(t, -1, *(list(map(kind, getattr(tree, f))) for f, kind in zip(Tree.FIELDS, (int, int, int, int, float))), np.concatenate(tree.stats).tolist())
-            for t, tree in trees.items()]
-    pieces = rows.sparkSession.createDataFrame(tops, BRANCH.replace(" key array<long>, depth array<int>,", ""))
-    for found in branches:
-        pieces = pieces.unionByName(found.drop("key", "depth"))
-    shared = rows.sparkSession.sparkContext.broadcast(cuts)
-
-    def assemble(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        tree, size = {f: [] for f in (*Tree.FIELDS, "stats")}, 0
-        for piece in frame.sort_values("node").to_dict("records"):
-            own = {f: np.array(piece[f]) for f in Tree.FIELDS} | {"stats": np.array(piece["stats"]).reshape(-1, 3)}
-            if piece["node"] >= 0:
-                for side in ("left", "right"):
-                    own[side] = np.where(own[side] >= 0, own[side] + size - 1, -1)
-                for f in own:
-                    tree[f][0][piece["node"]] = own[f][0]
-                own = {f: x[1:] for f, x in own.items()}
-            for f, x in own.items():
-                tree[f].append(x)
-            size += len(own["feature"])
-        tree = {f: np.concatenate(x) for f, x in tree.items()}
-        return pd.DataFrame({"tree": [int(key[0])], **{f: [x] for f, x in _fields(tree, shared.value, rule).items()}})
-
-    parts = min(len(trees), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return settled(pieces.repartition(parts, "tree").groupBy("tree").applyInPandas(assemble, PACKED), "trees")
-
-
 def _fields(tree: dict, cuts: list[np.ndarray], rule, rate: float = 1.0) -> dict:
     """The columns of a tree's nodes."""
     feature, inner = tree["feature"], tree["feature"] >= 0
-    threshold = np.full(len(feature), np.nan)
-    threshold[inner] = [cuts[f][c] if c < len(cuts[f]) else np.inf for f, c in zip(feature[inner], tree["cut"][inner])]
-    stats = [scaled(s) for s in tree["stats"]]
-    return {"feature": feature, "threshold": threshold, "left": tree["left"], "right": tree["right"], "value": np.array([rate * rule.value(s) for s in stats], float),
-            "gain": np.where(inner, tree["gain"], 0.0), "cover": np.array([s[1] for s in stats], float)}
+    limits = np.full((len(cuts), BINS), np.inf)
+    for limit, c in zip(limits, cuts):
+        limit[:len(c)] = c
+    stats = scaled(np.asarray(tree["stats"]).reshape(-1, 3).T)
+    return {"feature": feature, "threshold": np.where(inner, limits[feature, tree["cut"]], np.nan), "left": tree["left"], "right": tree["right"],
+            "value": rate * rule.value(stats), "gain": np.where(inner, tree["gain"], 0.0), "cover": stats[1]}
+
+
+def _piece(number: int, root: int, tree: Tree, cuts: list[np.ndarray], rule) -> dict:
+    """A row of ``PIECE``."""
+    fields = _fields({f: np.array(getattr(tree, f)) for f in (*Tree.FIELDS, "stats")}, cuts, rule)
+    return {"tree": number, "root": root, "n": len(tree.feature), **fields}
+
+
+def _sent_nodes(feature, threshold, left, right, value, cuts: list[np.ndarray]) -> np.ndarray:
+    """A piece as tasks get it, with codes in place of thresholds and votes in place of values."""
+    out = np.zeros(len(feature), NODE)
+    for f in np.unique(feature[feature >= 0]):
+        own = feature == f
+        out["cut"][own] = np.searchsorted(cuts[f], threshold[own], "left")
+    out["feature"], out["left"], out["right"], out["votes"] = feature, left, right, np.rint(value * VOTE).astype(np.int64)
+    return out
+
+
+def _reached(nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return place(*(np.ascontiguousarray(nodes[f]) for f in ("feature", "cut", "left", "right")), codes)
+
+
+def _sent_rows(held: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*held), kinds)], ["tree", "root", "kind", "block", "place", "data"])
 
 
 class _Trees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed):
@@ -908,14 +1040,17 @@ class Forest(_Trees):
             whole = np.rint(weight[chosen] * UNIT).astype(np.int64) * times[chosen]
             return chosen, np.stack([whole * (label[chosen] > 0), whole, times[chosen]])
 
-        trees, branches = {}, []
-        at_once = max(1, DRAWN_ROWS // max(count, 1))
+        spark, at_once = rows.sparkSession, max(1, DRAWN_ROWS // max(count, 1))
+        shared, path = spark.sparkContext.broadcast(cuts), scratch_path(spark, "trees")
+        made = PIECE, lambda tree, node, branch: _piece(tree, node, branch, shared.value, rule)
         for start in range(0, self.getNumTrees(), at_once):
-            tops, below = grown_apart(rows, statistics, rule, columns, list(range(start, min(start + at_once, self.getNumTrees()))), count)
-            trees, branches = trees | tops, branches + ([settled(below, "branches")] if below is not None else [])
-        packed = _packed(trees, branches, rows, cuts, rule)
-        discard(*branches)
-        return ForestModel(featuresCol=self.getFeaturesCol(), size=len(cuts)).with_packed(packed)
+            numbers = list(range(start, min(start + at_once, self.getNumTrees())))
+            tops, below = grown_apart(rows, statistics, rule, columns, numbers, count, made)
+            tops = (_piece(t, -1, tree, cuts, rule) for t, tree in tops.items())
+            pieces = spark.createDataFrame([tuple(x.tolist() if isinstance(x, np.ndarray) else x for x in top.values()) for top in tops], PIECE)
+            pieces = pieces if below is None else pieces.unionByName(below)
+            pieces.write.mode("append").options(**PIECES_WRITTEN).parquet(path)
+        return ForestModel(featuresCol=self.getFeaturesCol(), size=len(cuts)).with_packed(spark.read.schema(PIECE).parquet(path), cuts)
 
 
 class SecondOrderBoosting(_Trees, HasMaxIter, HasStepSize):
@@ -963,7 +1098,7 @@ class SecondOrderBoosting(_Trees, HasMaxIter, HasStepSize):
 
 def _scoring(tree: Tree, rule, rate: float) -> tuple:
     """The arrays that add a tree to a margin."""
-    return (*(np.array(getattr(tree, f)) for f in Tree.FIELDS[:4]), np.array([rate * rule.value(scaled(s)) for s in tree.stats]))
+    return (*(np.array(getattr(tree, f)) for f in Tree.FIELDS[:4]), rate * rule.value(scaled(np.stack(tree.stats, axis=1))))
 
 
 def _distributed(rows: DataFrame, gradients, rule, columns: Columns, count: int, rate: float, n_rows: int) -> dict[int, Tree]:

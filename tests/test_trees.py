@@ -127,6 +127,33 @@ def test_forests_beyond_what_tasks_hold(noisy, monkeypatch, tmp_path):
         assert dealt.getNumTrees == 5 and dealt.featureImportances == whole.featureImportances
 
 
+def test_no_row_of_a_forest_holds_a_whole_tree(noisy, monkeypatch, tmp_path):
+    """Rows are branches of small nodes, and a vector goes to a branch as bytes, not to every part of the forest as numbers."""
+    whole = nodes(trees.Forest(numTrees=3).fit(noisy))
+    monkeypatch.setattr(trees, "SMALL", 60)
+    monkeypatch.setattr(trees, "HELD_NODES", 50)
+    monkeypatch.setattr(trees, "DRAWN_ROWS", 800)  # two trees at once
+    model = trees.Forest(numTrees=3).fit(noisy)
+    pd.testing.assert_frame_equal(whole, nodes(model))
+    sizes = [r.n for r in model.packed.select(F.size("feature").alias("n")).collect()]
+    assert max(sizes) < min(whole.groupby("tree").size())
+    model.write().save(f"{tmp_path}/forest")
+    dealt, run = [], type(noisy).repartition
+
+    def watched(df, *args):
+        dealt.append(df)
+        return run(df, *args)
+
+    monkeypatch.setattr(type(noisy), "repartition", watched)
+    odd = noisy.unionByName(noisy.limit(2).withColumn("features", array_to_vector(F.array(*[F.lit(x) for x in (float("nan"), -0.0, float("inf"), 9.0, 1.0)]))))
+    found = [sorted((r.customer_id, r.probability) for r in m.transform(odd).collect()) for m in (model, trees.ForestModel.load(f"{tmp_path}/forest"))]
+    assert len(found[0]) == 402 and found[0] == found[1]
+    met = [df.filter("kind = 1").toPandas() for df in dealt if "kind" in df.columns]
+    assert met and all(sum(map(len, m["data"])) <= 401 * 5 * 3 for m in met)
+    monkeypatch.setattr(trees, "HELD_NODES", 10**6)
+    assert found[0] == sorted((r.customer_id, r.probability) for r in model.transform(odd).collect())
+
+
 def test_trials_leave_no_trees_behind(spark, noisy, monkeypatch):
     """A search keeps the winner's tables alone, whatever the number of trials."""
     from keeprate.session import run_folder
