@@ -102,6 +102,34 @@ def test_one_task_grows_boosted_trees_of_some_more_rows(noisy, monkeypatch):
     assert trees.SecondOrderBoosting(maxIter=2, maxDepth=3).fit(noisy).getNumTrees == 2
 
 
+def test_one_task_grows_boosted_trees_of_a_million_rows(noisy, monkeypatch):
+    """As many rows as a task holds need no job for each level of each round; more rows, or many columns, grow the same trees level by level."""
+    estimator = trees.SecondOrderBoosting(maxIter=5, maxDepth=8, subsamplingRate=0.9, featureShare=0.7, minHessian=0.1, gamma=0.3)
+    monkeypatch.setattr(trees, "SMALL", 40)  # a tenth of the rows
+    with monkeypatch.context() as m:
+        m.setattr(trees, "_distributed", None)
+        m.setattr(trees, "JOINT_ROWS", 50, raising=False)
+        whole = nodes(estimator.fit(noisy))
+    for name in ("ALONE", "ALONE_CODES"):
+        with monkeypatch.context() as m:
+            m.setattr(trees, name, 1)
+            m.setattr(trees, "_successive", None)
+            pd.testing.assert_frame_equal(whole, nodes(estimator.fit(noisy)))
+
+
+def test_joint_histograms_equal_plain_ones():
+    rng = np.random.default_rng(8)
+    codes = np.stack([rng.integers(0, n, 900) for n in (256, 3, 200, 1, 40, 256, 2)], axis=1).astype(np.uint8)
+    stats = np.stack([rng.integers(-9, 9, 900), rng.integers(0, 9, 900), rng.integers(1, 4, 900)])
+    rows, columns = np.sort(rng.permutation(900)[:500]), np.array([0, 2, 3, 5, 6])
+    joint = trees.Joint(codes)
+    assert len(joint.groups) < 5
+    for own in (stats, np.stack([*stats[:2], np.ones(900, int)])):
+        plain = trees.histogram(codes[rows], columns, own[:, rows])
+        assert (joint.histogram(rows, columns, own[:, rows].astype(float)) == plain).all()
+        assert (joint.take(rows).histogram(np.arange(500), columns, own[:, rows].astype(float)) == plain).all()
+
+
 def test_a_branch_keeps_its_sums_and_no_histograms():
     rng = np.random.default_rng(5)
     codes, ones = rng.integers(0, 200, (3_000, 4)).astype(np.uint8), np.full(3_000, 1 << 26)
