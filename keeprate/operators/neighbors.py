@@ -111,21 +111,27 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int, group_rows: int =
     middle = (groups.low + groups.high) / 2
     out = []
 
-    def rough(q: np.ndarray, q_squares: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return q_squares[:, None] + squares[rows][None, :] - 2 * q @ near[rows].T
+    beside = np.concatenate([near, squares[:, None]], axis=1)
+
+    def rough(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Squared distances less the query's own square, as one product."""
+        doubled = np.concatenate([-2 * q, np.ones((len(q), 1))], axis=1)
+        return doubled @ (beside if len(rows) == len(beside) else beside[rows]).T
 
     def add(asked: np.ndarray, rows: np.ndarray, most: np.ndarray) -> None:
         """Measures some queries and base rows; ``most`` bounds the squared distance."""
         q, exactly = query_vectors[asked] - centre, query_vectors[asked]
         q_squares = (q**2).sum(1)
-        found = rough(q, q_squares, rows)
-        edge = most + SLACK * (q_squares + squares.max())
-        row, col = np.nonzero(found <= edge[:, None])
-        if len(row) > 4 * keep * len(asked) and len(rows) > keep:
-            edge = np.minimum(edge, np.partition(found, keep - 1, axis=1)[:, keep - 1] + SLACK * (q_squares + squares.max()))
-            row, col = np.nonzero(found <= edge[:, None])
-        if not len(row):
+        found = rough(q, rows)
+        loss = SLACK * (q_squares + squares.max())
+        edge = most - q_squares + loss
+        pairs = np.flatnonzero(found <= edge[:, None])
+        if len(pairs) > 4 * keep * len(asked) and len(rows) > keep:
+            edge = np.minimum(edge, np.partition(found, keep - 1, axis=1)[:, keep - 1] + loss)
+            pairs = np.flatnonzero(found <= edge[:, None])
+        if not len(pairs):
             return
+        row, col = np.divmod(pairs, len(rows))
         col = rows[col]
         exact = np.concatenate([
             np.sqrt(((exactly[row[i:i + PAIR_SLICE]] - vectors[col[i:i + PAIR_SLICE]]) ** 2).sum(1))
@@ -157,7 +163,7 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, keep: int, group_rows: int =
             q = query_vectors[asked] - centre
             q_squares = (q**2).sum(1)
             if len(some) >= keep:
-                most = np.minimum(most, np.partition(rough(q, q_squares, some), keep - 1, axis=1)[:, keep - 1] + 2 * SLACK * (q_squares + squares.max()))
+                most = np.minimum(most, np.partition(rough(q, some), keep - 1, axis=1)[:, keep - 1] + q_squares + 2 * SLACK * (q_squares + squares.max()))
         gap = groups.gaps(low, high)
         rows = groups.rows(np.flatnonzero(gap**2 <= most.max() + SLACK * (1 + gap**2))) if np.isfinite(most).all() else np.arange(len(base))
         step = max(1, PAIRS // max(1, len(rows)))
@@ -270,23 +276,25 @@ def _candidates(queries: DataFrame, base: DataFrame, keep: int, cell_rows: int,
     asked = asked.select("leaf", "point", "vector").join(limits, "point", "left").select(
         "leaf", "point", "vector", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
 
-    def away(batch, plan):
-        """Other regions that may hold a nearer point, each once for a query."""
-        tree, region, _ = plan
-        for row, leaf in tree.within(tree.shifted(batch["vector"]), batch["limit"].to_numpy()):
-            there = region[leaf]
-            other = np.unique(np.stack([row, there])[:, there != region[batch["leaf"].to_numpy()[row]]], axis=1)
-            yield other[0], other[1]
-
-    def counted(batches):
+    def others(batches):
+        """Queries with the other regions that may hold a nearer point, each once for a query."""
+        tree, region, _ = shared.value
         for batch in filter(len, batches):
-            for _, there in away(batch, shared.value):
-                regions, n = np.unique(there, return_counts=True)
-                yield pd.DataFrame({"region": regions.astype("int32"), "n": n})
+            own = region[batch["leaf"].to_numpy()]
+            pairs = tree.regions_within(tree.shifted(batch["vector"]), batch["limit"].to_numpy(), region, own)
+            row, there = (np.concatenate(x) for x in zip(*pairs))
+            lists = np.split(there.astype("int32"), np.bincount(row, minlength=len(batch)).cumsum()[:-1])
+            yield batch[["point", "vector", "limit"]].assign(regions=lists)
+
+    # Written: the bounds are tried once, and not again to count the queries of each region.
+    asked = settled(asked.mapInPandas(others, f"{QUERY}, regions array<int>").filter(F.size("regions") > 0), "asked-away")
+
+    def away(batch, plan):
+        yield np.repeat(np.arange(len(batch)), batch["regions"].map(len)), np.concatenate(batch["regions"].to_numpy()).astype(np.int64)
 
     n_away = np.zeros(n_regions, "int64")
-    for r in asked.mapInPandas(counted, "region int, n long").groupBy("region").agg(F.sum("n").alias("n")).collect():
-        n_away[r.region] = r.n
+    for r in asked.select(F.explode("regions").alias("region")).groupBy("region").count().collect():
+        n_away[r.region] = r["count"]
     return first.unionByName(met(asked, n_away, away)) if n_away.any() else first
 
 

@@ -188,15 +188,7 @@ class PivotTree:
                     found_rows.append(mine)
                     found_leaves.append(np.full(len(mine), node))
                     continue
-                under = slice(self.first[node], self.first[node] + self.children[node])
-                far = distances(rows[mine], self.pivots[under])
-                nearest = far.argmin(1)
-                loss = 1e-11 * (self.scale + (rows[mine] ** 2).sum(1))[:, None]  # of squares, in the product form
-                ahead = far**2 - far[np.arange(len(mine)), nearest][:, None] ** 2 - loss
-                between = self.between[node][nearest]
-                least = np.divide(ahead, 2 * between, out=np.zeros_like(ahead), where=between > 0)
-                least = np.maximum(least, np.sqrt(np.maximum(far**2 - loss, 0)) - self.base_radius[under] * (1 + 1e-9))
-                is_open = (least <= limits[mine][:, None] * (1 + 1e-9)) & (self.base_rows[under] > 0)
+                under, is_open = self._open(node, rows[mine], limits[mine])
                 leaf = self.children[under] == 0
                 row, child = np.nonzero(is_open & leaf)
                 found_rows.append(mine[row])
@@ -205,6 +197,52 @@ class PivotTree:
                     todo.append((under.start + child, mine[is_open[:, child]]))
             yield np.concatenate(found_rows), np.concatenate(found_leaves)
 
+    def _open(self, node: int, rows: np.ndarray, limits: np.ndarray) -> tuple[slice, np.ndarray]:
+        """The children of a node, and which of them may hold a base row within its limit of each row."""
+        under = slice(self.first[node], self.first[node] + self.children[node])
+        far = distances(rows, self.pivots[under])
+        nearest = far.argmin(1)
+        loss = 1e-11 * (self.scale + (rows ** 2).sum(1))[:, None]  # of squares, in the product form
+        ahead = far**2 - far[np.arange(len(rows)), nearest][:, None] ** 2 - loss
+        between = self.between[node][nearest]
+        least = np.divide(ahead, 2 * between, out=np.zeros_like(ahead), where=between > 0)
+        least = np.maximum(least, np.sqrt(np.maximum(far**2 - loss, 0)) - self.base_radius[under] * (1 + 1e-9))
+        return under, (least <= limits[:, None] * (1 + 1e-9)) & (self.base_rows[under] > 0)
+
+    def regions_within(self, rows: np.ndarray, limits: np.ndarray, region: np.ndarray, own: np.ndarray):
+        """Yields (row, region) pairs, in slices: the regions of the leaves of ``within``, each once for a row, but for its ``own``.
+
+        Branches are left out for a row that has all their regions already: where bounds exclude little, few leaves are tried.
+        """
+        count = int(region.max()) + 1
+        below: list[set] = [{int(r)} if r >= 0 else set() for r in region]
+        for node in range(len(self) - 1, 0, -1):  # children come after their parents
+            below[self.parent[node]] |= below[node]
+        below = [np.array(sorted(x), np.int64) for x in below]
+        step = max(1, REACH_SLICE // max(count, FAN))
+        for low in range(0, len(rows), step):
+            upto = min(low + step, len(rows))
+            seen, here = np.zeros((upto - low, count), bool), np.arange(upto - low)
+            seen[here, own[low:upto]] = True
+            todo = [(0, here)]
+            while todo:
+                node, mine = todo.pop()
+                mine = mine[~seen[mine[:, None], below[node]].all(1)]
+                if not len(mine):
+                    continue
+                if not self.children[node]:
+                    seen[mine, region[node]] = True
+                    continue
+                under, is_open = self._open(node, rows[low + mine], limits[low + mine])
+                leaf = self.children[under] == 0
+                row, child = np.nonzero(is_open & leaf)
+                seen[mine[row], region[under.start + child]] = True
+                for child in np.flatnonzero(is_open.any(0) & ~leaf):
+                    todo.append((under.start + child, mine[is_open[:, child]]))
+            seen[here, own[low:upto]] = False
+            row, there = np.nonzero(seen)
+            yield low + row, there
+
 
 def placed(points: DataFrame, tree: PivotTree, columns: str = "point long, vector array<double>") -> DataFrame:
     """``leaf`` of every point, and its columns."""

@@ -159,6 +159,30 @@ def test_small_cells_share_a_region(spark):
     assert (tree.children == 0).sum() > 100 and len(sizes) <= 8 and sizes.max() <= 500 and sizes.sum() == 2_000
 
 
+@pytest.mark.parametrize("dims, share", [(16, 0.5), (2, 1.01)])
+def test_regions_are_found_without_trying_all_cells(spark, dims, share):
+    """The same regions as by all cells; where bounds exclude little, a row tries few of the cells of a region that it goes to anyway."""
+    vectors = np.random.default_rng(12).normal(size=(3_000, dims))
+    df = points(spark, vectors).withColumnRenamed("id", "point")
+    tree = grown(df, 3_000, 10)
+    deep = [n for n in range(1, len(tree)) if not tree.children[n]][:40]
+    for node in deep:  # a level more
+        own = vectors[tree.leaf_of(vectors - tree.centre) == node]
+        if len(own) > 4:
+            tree.split(node, own[:4])
+    tree.surround(statistics(placed(df, tree), tree, 1))
+    rows, region = vectors - tree.centre, tree.regions(500)
+    own = region[tree.leaf_of(rows)]
+    limits = np.full(3_000, 0.25 * np.sqrt(dims) * (2 if dims > 2 else 1))
+    tried, opened = [], tree._open
+    tree._open = lambda node, some, *args: tried.append(len(some) * tree.children[node]) or opened(node, some, *args)
+    wanted = {(int(r), int(region[n])) for some in tree.within(rows, limits) for r, n in zip(*some) if region[n] != own[r]}
+    before, _ = sum(tried), tried.clear()
+    got = [(int(r), int(n)) for some in tree.regions_within(rows, limits, region, own) for r, n in zip(*some)]
+    assert len(got) == len(set(got)) and set(got) == wanted and len(got) > 3_000 * (dims > 2)
+    assert sum(tried) < share * before
+
+
 def test_share_of_pairs_falls_with_size(spark):
     shares = [pair_share(points(spark, clustered(n, n // 50)), 3, cell_rows=50) for n in (500, 2000, 8000)]
     assert shares[0] > 1.5 * shares[1] > 2 * shares[2]
